@@ -5,7 +5,8 @@ theta_0 <= theta_1 <= .... Features are the distinct words of the whole text, ha
 expected severity, the sum of P(grade > k), and whether P(grade > 0) reaches one half.
 
 The model is fitted on the driver by Adam on at most about ``most_rows`` labelled documents chosen by a hash of their ids, a
-documented bound on the sample. Cells seen in fewer than ``least_df`` of them get no weight.
+documented bound on the sample. Only cells whose documents' grades differ from the rest's get a weight: by the score test, the
+number above some threshold must be ``least_z`` standard deviations off. That keeps chance words of single documents out.
 
 Edge cases: null text has no features and gets the base rate. Labels of documents that don't exist, or with a null grade, are
 ignored; of several labels of a document the highest holds. Without labels, severity is null and nothing is toxic.
@@ -33,16 +34,20 @@ def features(text: str | None) -> list[int]:
     return list({xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) % CELLS for w in set(WORD.findall((text or "").lower()))})
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 150, l2: float = 1e-4, least_df: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 800, l2: float = 1e-6, least_z: float = 6.0) -> tuple[np.ndarray, np.ndarray]:
     """Weights over CELLS and thresholds (ascending) of a cumulative-link model."""
     idx = np.concatenate(rows) if rows else np.empty(0, np.int64)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     df = np.bincount(idx, minlength=CELLS)
-    use = df[idx] >= least_df
-    cells, idx = np.unique(idx[use], return_inverse=True)
-    row = row[use]
     above = grades[:, None] > np.arange(levels)[None, :]
     base = np.clip(above.mean(axis=0), 1e-4, 1 - 1e-4)
+    telling = np.zeros(CELLS, bool)
+    for k in range(levels):
+        off = np.bincount(idx, above[row, k], CELLS) - df * base[k]
+        telling |= np.abs(off) >= least_z * np.sqrt(np.maximum(df, 1) * base[k] * (1 - base[k]))
+    use = telling[idx]
+    cells, idx = np.unique(idx[use], return_inverse=True)
+    row = row[use]
     theta = -np.log(base / (1 - base))
     # theta as its first value and the logs of the gaps, so that the order can't be lost
     par = np.concatenate([np.zeros(len(cells)), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
@@ -70,13 +75,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 15
     return weights, par[d] + np.concatenate([[0.0], np.cumsum(np.exp(par[d + 1 :]))])
 
 
-def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) -> tuple[np.ndarray, np.ndarray] | None:
+def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 16_000) -> tuple[np.ndarray, np.ndarray] | None:
     """The model for labels (doc_id, grade); None if there is nothing to learn from."""
     known = labels.filter("doc_id IS NOT NULL AND grade IS NOT NULL")
     if not (total := known.count()):
         return None
     part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000.0 * most_rows / total)).groupBy("doc_id").agg(F.max("grade").cast("long").alias("grade"))
-    sample = docs.select("doc_id", "text").join(bounded_broadcast(part, 4 * most_rows), "doc_id").select("text", "grade")
+    sample = docs.select("doc_id", "text").join(bounded_broadcast(part, 2 * most_rows), "doc_id").select("text", "grade")
 
     def run(batches):
         for b in batches:
