@@ -58,7 +58,7 @@ def run(spark: SparkSession, name: str, root: str) -> list[dict]:
     """The rows of a folder's check; StructureError if a need isn't met, ValueError for an unknown name."""
     if ALIASES.get(name, name) not in CHECKS:
         raise ValueError(f"unknown source {name!r}")
-    rows = [r.asDict() for r in judge(readers.listing(spark, root, recursive=True), name).collect()]
+    rows = [r.asDict() for r in judge(readers.listing(spark, root, recursive=True, with_empty=True), name).collect()]
     groups: dict[str, list[dict]] = {}
     for r in rows:
         groups.setdefault(r["any_of"] or r["kind"], []).append(r)

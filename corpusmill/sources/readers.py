@@ -103,12 +103,17 @@ def land_cover_labels(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("position", F.coalesce("image_id", "id").alias("image_id"), F.coalesce("label", "class").alias("label"))
 
 
-def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    """path, name, stem, ext and size of files, without their content; nothing if the folder isn't there."""
+def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False, with_empty: bool = False) -> DataFrame:
+    """path, name, stem, ext and size of files, without their content; nothing if the folder isn't there.
+
+    Spark makes no rows of files without bytes; ``with_empty`` takes the names from its file index, which is on the driver, and has no sizes.
+    """
     empty = spark.createDataFrame([], "path string, length long")
     if exists(spark, path):
         reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
         files = (reader.option("recursiveFileLookup", "true") if recursive else reader).load(path).select("path", "length")
+        if with_empty:
+            files = spark.createDataFrame([(f, None) for f in files.inputFiles()], empty.schema)
     else:
         files = empty
     name = F.substring_index("path", "/", -1)
