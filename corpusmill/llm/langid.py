@@ -99,7 +99,7 @@ def infer(word_logs: np.ndarray) -> dict[int, float]:
     price = np.log(max(len(like), 2))
     best = -2 * ll + (len(langs) - 1) * price
     while len(langs) > 1:
-        out = share.argmin()
+        out = len(share) - 1 - share[::-1].argmin()  # of equal ones the last
         # shares of nothing go at once
         rest = np.setdiff1d(np.flatnonzero(share >= 1e-3), [out]) if share[out] >= 1e-3 else np.flatnonzero(share >= 1e-3)
         s, ll = fit(like[:, langs[rest]])
