@@ -5,16 +5,16 @@ determinant estimates location and scatter of the bulk; a text whose Mahalanobis
 too large is rejected. Two plain base rules come first (too few words, too much repetition).
 
 How the estimate is distributed
-    Vectors are fixed-point integers, so sums are exact and do not depend on the order of rows. Equal vectors
-    of a group count once: thousands of copies of one text can't pose as the bulk, and a hot group shrinks in
-    the map-side aggregate. A concentration step bins all squared distances of a group on a fine logarithmic
+    Vectors are fixed-point integers, so sums are exact and do not depend on the order of rows. Equal texts of a
+    group count once (by a 64-bit digest): thousands of copies of one text can't pose as the bulk, and a hot group
+    shrinks in the map-side aggregate. A concentration step bins all squared distances of a group on a fine logarithmic
     grid and sums counts and moments per bin; the bins up to the one that reaches h rows are the next subset.
     No rows of a group ever meet in one task. Steps start from the classical moments and from medians with
     quartile scales; the smaller determinant wins, and one reweighting step follows.
 
 Edge cases
     Null or empty text: no words, hence base_failed. Null lang or source is a group of its own. Groups with
-    fewer than ``min_group`` distinct vectors use their language's estimate, then that of all texts; with
+    fewer than ``min_group`` distinct texts use their language's estimate, then that of all texts; with
     still fewer texts the method keeps what the base rules keep. Repeated rows each get their own result.
     Further columns are ignored by ``judge`` and passed through by ``keep``.
 """
@@ -27,6 +27,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\v\f\r"
 #: Fixed-point units per 1.0 of a feature.
-UNIT = 256
+UNIT = 1024
 #: Smallest standard deviation of each feature that counts as a difference, in feature units.
 FLOORS = (0.08, 0.15, 0.10, 0.08)
 P = len(FLOORS)
@@ -50,7 +51,7 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def text_stats(text: str | None) -> tuple[int, ...]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, then the features in fixed point."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the features in fixed point, and the text's digest."""
     text = text or ""
     words = WORD.findall(text)
     n = len(words)
@@ -76,12 +77,13 @@ def text_stats(text: str | None) -> tuple[int, ...]:
                 end = k + 3
     m = max(n, 1)
     features = (math.log(max(chars, 1) / m), math.asinh(10 * symbols / m), dups / max(lines, 1), repeated / m)
-    return (n, chars, symbols, dups, repeated, *(round(f * UNIT) for f in features))
+    digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+    return (n, chars, symbols, dups, repeated, *(round(f * UNIT) for f in features), digest)
 
 
 def with_stats(df: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``df`` and the statistics of its column text."""
-    names = [*STATS, *X]
+    names = [*STATS, *X, "digest"]
     out = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in names)])
 
     def run(batches):
@@ -169,7 +171,7 @@ def _concentrate(vectors: DataFrame, params: DataFrame, sizes: DataFrame, h: flo
 
 def estimate(stats: DataFrame, h: float = 0.6, steps: int = 3, min_group: int = 60) -> DataFrame:
     """Columns g (language and source), mu, inv: the estimate that each (language, source) is judged by."""
-    vectors = stats.filter(~base_failed()).groupBy("lang", "source", *X).agg(F.lit(1).alias("one")).drop("one")
+    vectors = stats.filter(~base_failed()).groupBy("lang", "source", "digest", *X).agg(F.lit(1).alias("one")).drop("one", "digest")
     vectors = vectors.withColumn("own", _key(0)).select("own", F.explode(F.array(_key(0), _key(1), _key(2))).alias("g"), *X)
     vectors = materialise(vectors)
     totals = materialise(vectors.groupBy("g").agg(*_moments(), *[F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, x in enumerate(X)]))
