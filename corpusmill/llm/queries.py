@@ -110,13 +110,13 @@ WITH p AS (
   FROM p LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) GROUP BY host
 ), o AS (SELECT (coalesce(sum(x), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(x) AS x, (SELECT m FROM o) AS m FROM h GROUP BY suffix),
-sr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0), 0.001), 0.999) AS rho FROM s WHERE n > 0),
+sr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.001), 0.999) AS rho FROM s WHERE n > 0),
 sp AS (SELECT suffix, ((1 - rho) / rho * m + x) / ((1 - rho) / rho + n) AS mean FROM s, sr),
 g AS (SELECT h.suffix, domain, sum(n) AS n, sum(x) AS x, any_value(sp.mean) AS m FROM h JOIN sp USING (suffix) GROUP BY h.suffix, domain),
-gr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0), 0.001), 0.999) AS rho FROM g WHERE n > 0),
+gr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.001), 0.999) AS rho FROM g WHERE n > 0),
 gp AS (SELECT domain, ((1 - rho) / rho * m + x) / ((1 - rho) / rho + n) AS mean FROM g, gr),
 f AS (SELECT host, n, x, gp.mean AS m FROM h JOIN gp USING (domain)),
-fr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0), 0.001), 0.999) AS rho FROM f WHERE n > 0),
+fr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.001), 0.999) AS rho FROM f WHERE n > 0),
 fp AS (SELECT host, (1 - rho) / rho * m + x AS a, (1 - rho) / rho * (1 - m) + n - x AS b FROM f, fr),
 rules AS (SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS r(v, top, rest)),
 best AS (

@@ -21,7 +21,8 @@ from .common import materialise
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Public suffixes of two labels; others have one.
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "com.cn", "co.nz", "co.za")
-LEAST_RHO, MOST_RHO = 1e-3, 0.999
+#: Bounds of the overdispersion, and its value where no group has two labelled pages.
+LEAST_RHO, MOST_RHO, NO_RHO = 1e-3, 0.999, 0.5
 
 
 def host_of(url: Column) -> Column:
@@ -59,7 +60,7 @@ def _shrink(level: DataFrame) -> DataFrame:
         (F.pow(F.col("x") - F.col("n") * F.col("m"), 2) / (F.col("n") * F.col("m") * (1 - F.col("m"))) - 1).alias("over"), (F.col("n") - 1).alias("more")
     )
     over, more = parts.agg(F.sum("over"), F.sum("more")).first()
-    rho = min(max((over or 0.0) / more if more else 0.0, LEAST_RHO), MOST_RHO)
+    rho = min(max((over or 0.0) / more if more else NO_RHO, LEAST_RHO), MOST_RHO)
     strength = (1 - rho) / rho
     a, b = F.lit(strength) * F.col("m") + F.col("x"), F.lit(strength) * (1 - F.col("m")) + F.col("n") - F.col("x")
     return level.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
