@@ -1,0 +1,523 @@
+"""The training-data operators against brute force on small rows, and their edge cases."""
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from corpusmill.llm import chat, decontam, langid, mixing, neardup, pii, quality, queries, tokens, toxicity, urls
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def docs(spark, rows):
+    full = [(i, t, "en", s, len(t or "")) for i, t, s in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def prose(seed, n, vocab=400):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{k}" for k in rng.integers(0, vocab, n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty, blank and very long texts, repeated rows, null keys, and extra columns with clashing names."""
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t", None), (4, "word " * 50_000, "a"), (5, "Same text here", "b"), (5, "Same text here", "b"), (None, "Same text here", None), (6, "é ü ß ñ", "b"), (7, "a" * 200_000, "b"), (8, "123 456", None)]
+    df = docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") == 6, None).otherwise(F.col("lang")))
+    for c in ("x0", "g", "mu", "inv", "n_words", "kept", "size", "slice", "src", "target", "rep", "comp", "key", "word", "rid", "w", "row", "grade", "score", "sig"):
+        df = df.withColumn(c, F.lit("clash"))
+    return df
+
+
+def empty_like(df):
+    return df.filter("false")
+
+
+# ---- 1 language
+
+
+def test_language_accuracy(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    got = queries.op1_language_mixture(spark, SF).join(d.select("doc_id", "lang", F.length("text").alias("n")), "doc_id").collect()
+    held = [r for r in got if r.held_out and r.n > 100]
+    assert len(got) == d.count() and held
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_mixture():
+    like = np.array([[1.0, 1e-9]] * 30 + [[1e-9, 1.0]] * 10)
+    shares = langid.infer(np.log(like))
+    assert shares[0] == pytest.approx(0.75, abs=0.01) and shares[1] == pytest.approx(0.25, abs=0.01)
+    assert langid.infer(np.log(like[:30])) == {0: 1.0}
+
+
+def test_language_edges(spark, odd):
+    model = (["de", "en"], np.log(np.full((langid.BUCKETS, 2), 1 / langid.BUCKETS)).astype(np.float32))
+    got = {r.doc_id: r for r in langid.predict(odd, model).collect()}
+    assert got[1].lang_pred == got[2].lang_pred == got[8].lang_pred == "und" and got[1].score == 0
+    assert got[4].lang_pred == "de" and got[None].held_out is False
+    assert langid.learn(empty_like(odd))[0] == []
+    assert langid.predict(odd, langid.learn(empty_like(odd))).filter("lang_pred <> 'und'").count() == 0
+
+
+# ---- 2 mixing
+
+
+def brute_mix(rows, weights=(3, 1, 2), budget=1.5):
+    size = {i: len(WORD.findall(t or "")) for i, t, s in rows}
+    by = defaultdict(list)
+    for i, t, s in rows:
+        by[s].append(i)
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    w = {s: weights[k % 3] for k, s in enumerate(order)}
+    total = {s: sum(size[i] for i in by[s]) for s in order}
+    want, open_ = {}, set(order)
+    left = budget * sum(total.values())
+    while open_:
+        each = {s: left * w[s] / sum(w[x] for x in open_) for s in open_}
+        full = [s for s in open_ if 2 * total[s] <= each[s]]
+        if not full:
+            want |= each
+            break
+        for s in full:
+            want[s] = 2.0 * total[s]
+            left -= want[s]
+            open_.remove(s)
+    return size, total, want
+
+
+def test_mix(spark):
+    rows = [(k, prose(k, 1 + k * 7 % 90), [None, "a", "b", "big", "big", "big"][k % 6]) for k in range(400)]
+    got = mixing.mix(docs(spark, rows)).collect()
+    again = mixing.mix(docs(spark, rows[::-1]).repartition(5)).collect()
+    assert {(r.doc_id, r.taken) for r in got} == {(r.doc_id, r.taken) for r in again}
+    size, total, want = brute_mix(rows)
+    source = {i: s for i, t, s in rows}
+    taken = Counter()
+    for r in got:
+        assert r["size"] == size[r.doc_id] and r.source_size == total[source[r.doc_id]]
+        assert r.target == pytest.approx(want[source[r.doc_id]]) and r.taken in (0, size[r.doc_id], 2 * size[r.doc_id])
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 90 for s in want)
+    assert sum(taken.values()) <= 1.5 * sum(total.values())
+
+
+def test_mix_edges(spark, odd):
+    got = mixing.mix(odd).collect()
+    assert len(got) == odd.count() and {r.taken for r in got if r.doc_id in (1, 2, 3)} == {0}
+    assert mixing.mix(empty_like(odd)).count() == 0
+
+
+# ---- 3 tokens
+
+
+def brute_tokens(word, pieces):
+    best = [(0.0, 0)] + [None] * len(word)
+    for end in range(1, len(word) + 1):
+        size = len(word[end - 1].encode())
+        options = [(best[end - 1][0] + tokens.BYTE * size, -(-best[end - 1][1] + size))]
+        options += [(best[lo][0] + pieces[word[lo:end]], best[lo][1] - 1) for lo in range(end) if word[lo:end] in pieces]
+        best[end] = max(options)
+    return -best[-1][1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abcé", min_size=1, max_size=9), min_size=1, max_size=20))
+def test_tokens_brute(words):
+    pieces = {p: -float(k) for k, p in enumerate(["a", "b", "ab", "abc", "ca", "bca", "aa", "cab", "▁a"])}
+    got = tokens.forward_counts(set(words), pieces, 3)
+    assert got == {w: brute_tokens(w, pieces) for w in words}
+
+
+def test_tokens_edges(spark, odd):
+    pieces = tokens.load_pieces(queries.VOCABULARY)
+    got = {r.doc_id: r for r in tokens.count_tokens(odd, pieces).collect()}
+    assert got[1].n_tokens == got[2].n_tokens == got[3].n_tokens == 0 and got[4].n_pretokens == 50_000
+    assert tokens.count_tokens(empty_like(odd), pieces).count() == 0
+
+
+# ---- 4 urls
+
+
+def test_url_rules(spark):
+    rows = [(1, "https://Sub.Example.ORG/en/15?x"), (2, "http://example.org/en/2"), (3, "http://a.com/de/1#x"), (4, "http://a.com/x/1"), (5, "nonsense"), (6, None), (7, "http://org"), (8, "http://notexample.org/es/"), (9, "x://a.org?/es")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
+    none = spark.createDataFrame([], "key long, bad boolean")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages, none).collect()}
+    assert got[1] == ("sub.example.org", "/en/15", "example.org/en/1", "block") and got[2][2:] == ("org/", "allow")
+    assert got[3][2:] == ("com/de/", "block") and got[4][2:] == (None, "allow")
+    assert got[5] == got[6] == ("", "", None, "allow") and got[7] == ("org", "", None, "allow") and got[8][2] == "org/" and got[9][:3] == ("a.org", "", None)
+    assert urls.judge(empty_like(pages), none).count() == 0
+
+
+def test_reputation(spark):
+    rows = [("bad.x.net", k < 38) for k in range(40)] + [("good.x.net", k < 2) for k in range(40)] + [("few.y.net", True)] * 2 + [("new.y.net", None)]
+    got = {r.host: r for r in urls.reputation(spark.createDataFrame(rows, "host string, bad boolean")).collect()}
+    assert got["bad.x.net"].lower > 0.5 > got["good.x.net"].mean
+    assert got["good.x.net"].mean < got["new.y.net"].mean < got["few.y.net"].mean < 1 and got["few.y.net"].lower < 0.9
+
+
+# ---- 5 near duplicates
+
+
+def brute_components(rows, width, threshold):
+    sets = {}
+    for i, t, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    comp = {i: i for i in sets}
+
+    def top(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            inter = len(sets[a] & sets[b])
+            if inter and 100 * inter >= threshold * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                comp[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+def near_rows():
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(12):
+        words = prose(g, int(rng.integers(20, 200))).split()
+        for k in range(int(rng.integers(1, 30))):
+            edited = list(words)
+            for _ in range(int(rng.integers(0, 1 + len(words) // 20))):
+                edited[rng.integers(len(edited))] = f"e{rng.integers(1000)}"
+            rows.append((len(rows), " ".join(edited), "a"))
+    # a chain: each a few words from the last, the ends far apart
+    chain = prose(99, 120).split()
+    for k in range(40):
+        chain[k * 3] = f"c{k}"
+        rows.append((len(rows), " ".join(chain).title(), "a"))
+    return rows
+
+
+@pytest.mark.parametrize("width,threshold,block", [(3, 85, 2048), (5, 80, 2048), (3, 85, 3)])
+def test_near_duplicates(spark, monkeypatch, width, threshold, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rows = near_rows()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(spark, rows), width, threshold).collect()}
+    assert got == brute_components(rows, width, threshold)
+
+
+def test_shuffled_texts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
+    rows = near_rows()[:120]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(spark, rows), 3, 85).collect()}
+    assert got == brute_components(rows, 3, 85)
+
+
+def test_near_plan():
+    for threshold in (70, 80, 85, 90):
+        width, most = neardup.plan(threshold)
+        p = 1 - threshold / 100
+        assert sum(math.comb(64, d) * p**d * (1 - p) ** (64 - d) for d in range(most + 1, 65)) <= neardup.MISS
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 65536, (50, 64)).astype(np.uint16)
+    b = a.copy()
+    for r in range(50):  # any 25 symbols may differ
+        b[r, rng.choice(64, 25, replace=False)] += 1
+    assert (neardup.bucket_keys(a, 5) == neardup.bucket_keys(b, 5)).any(axis=1).all()
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(1, 40)] + [(100, 101), (101, 102), (300, 7), (5, 5)]
+    got = {r.node: r.comp for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 1 for k in range(1, 41)}, 100: 100, 101: 100, 102: 100, 300: 1}
+    assert neardup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_edges(spark, odd):
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(odd, 3, 85).collect()), key=str)
+    assert (1, 0, 1, True) in got and (2, 0, 2, True) in got and (4, 1, 4, True) in got and got.count((5, 1, 5, True)) == 2 and (0, 1, None, True) in got
+    assert neardup.near_duplicates(empty_like(odd)).count() == 0
+    kept = neardup.keep(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert neardup.keep(empty_like(odd)).count() == 0
+
+
+def test_two_texts_of_one_id(spark):
+    rows = [(1, prose(1, 50), "a"), (2, prose(1, 50), "a"), (2, prose(2, 50), "a"), (3, prose(2, 50), "a"), (4, prose(3, 50), "a")]
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs(spark, rows)).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+# ---- 6 decontamination
+
+
+def brute_contamination(doc_rows, items):
+    tok = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    out = {}
+    for i, t, _ in doc_rows:
+        w, hit, ids = tok(t), set(), set()
+        for item, text in items:
+            v = tok(text)
+            n = min(13, len(v))
+            for s in range(len(v) - n + 1) if n else ():
+                for k in range(len(w) - n + 1):
+                    if w[k : k + n] == v[s : s + n]:
+                        hit |= set(range(k, k + n))
+                        ids.add(str(item))
+        out[i] = (len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w))
+    return out
+
+
+def contaminated_rows():
+    items = [(k, prose(1000 + k, 5 + k)) for k in range(25)] + [(98, "Only"), (99, None), (100, "...")]
+    rows = [(k, prose(k, 60), "a") for k in range(20)]
+    rows += [(30 + k, f"{prose(k, 10)} {items[k][1].upper()} {prose(k + 1, 100)}, {items[k][1]}", "a") for k in range(25)]
+    return rows + [(70, "only", "a"), (71, None, "a"), (72, "", "a"), (73, "x" * 100_000, "a"), (74, " ".join(items[24][1].split()[:12]), "a")], items
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_decontamination(spark, limit):
+    rows, items = contaminated_rows()
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("win", F.lit("clash"))
+    found = decontam.find(docs(spark, rows).withColumn("w", F.lit("clash")), bench, broadcast_rows=limit)
+    got = {r.doc_id: (r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest()) for r in found.collect()}
+    want = brute_contamination(rows, items)
+    assert got == {k: v[:4] for k, v in want.items()}
+    if limit:
+        kept = {r.doc_id for r in decontam.keep(docs(spark, rows), bench).collect()}
+        assert kept == {k for k, v in want.items() if not v[4]}
+
+
+def test_decontamination_edges(spark, odd):
+    bench = spark.createDataFrame([(1, "Same text here")], "item_id long, text string")
+    got = decontam.judge(odd, bench).collect()
+    assert len(got) == odd.count() and sum(r.contaminated for r in got) == 3
+    assert decontam.keep(odd, bench).columns == odd.columns and decontam.keep(odd, bench).count() == odd.count() - 3
+    assert not any(r.contaminated for r in decontam.judge(odd, empty_like(bench)).collect())
+    assert decontam.judge(empty_like(odd), bench).count() == 0
+
+
+# ---- 7 personal data
+
+
+def brute_spans(t):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if max(map(int, m[0].split("."))) <= 255]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        twice = [sum(divmod(2 * x, 10)) for x in d[-2::-2]]
+        if 16 <= len(d) <= 19 and (sum(d[::-2]) + sum(twice)) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab1@.+-() 2é%\n", max_size=60))
+def test_base_spans(t):
+    assert pii.base_spans(t) == brute_spans(t)
+
+
+def test_base_spans_examples(spark):
+    for t in ("x a.b@c.d.e, a@b.c@d.e 1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.4", "4111 1111 1111 1111 4111-1111-1111-1112 41111111111111111", "+1 (017) 555-7713 +12 +1234567 +1234567890123456", "é +49 30 1234567 ü@x.yz"):
+        assert pii.base_spans(t) == brute_spans(t)
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r for r in pii.find(d).collect()}
+    for r in d.collect():
+        want = brute_spans(r.text)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in want).encode()).hexdigest()
+        assert got[r.doc_id].n_email == sum(x[0] == "email" for x in want)
+
+
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_disclosing_terms(spark, monkeypatch, few):
+    monkeypatch.setattr(pii, "SENT_TERMS", few)
+    rows = [(k, f"Zorbo wrote from zo@x.com about {prose(k, 5, 50)}.\n{prose(k + 500, 40, 50)}", "a") for k in range(8)]
+    rows += [(100 + k, f"about {prose(k, 30, 50)}", "a") for k in range(300)] + [(900, "Ask Zorbo now", "a"), (901, None, "a")]
+    terms = {r.term: r.action for r in pii.disclosing(docs(spark, rows)).collect()}
+    assert set(terms) == {"zorbo", "wrote", "from"}
+    got = {r.doc_id: r.spans for r in pii.find(docs(spark, rows)).collect()}
+    assert got[900] == "term:4:9" and got[0].startswith("email:17:25,term:0:5") and got[901] == ""
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert "zo@x.com" not in clean[0] and "Zorbo" not in clean[900] and clean[901] is None and clean[150] == rows[58][1]
+
+
+def test_pii_edges(spark, odd):
+    assert pii.find(odd).count() == odd.count() and pii.find(empty_like(odd)).count() == 0
+    assert pii.sanitise(odd).columns == odd.columns
+
+
+# ---- 8 toxicity
+
+
+def test_toxicity_held_out(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(1500):
+        grade = int(rng.integers(0, 10) == 0) + int(rng.integers(0, 20) == 0)
+        words = prose(k, 80).split() + [f"bad{rng.integers(6)}" for _ in range(2 * (grade > 0))] + [f"worse{rng.integers(6)}" for _ in range(2 * (grade > 1))]
+        rows.append((k, " ".join(words), grade))
+    d = docs(spark, [(k, t, "a") for k, t, _ in rows])
+    labels = spark.createDataFrame([(k, g) for k, _, g in rows if k % 2], "doc_id long, grade int")
+    got = {r.doc_id: r for r in toxicity.score(d, toxicity.learn(d, labels)).collect()}
+    right = [got[k].toxic == (g > 0) for k, _, g in rows if k % 2 == 0]
+    assert sum(right) >= 0.98 * len(right)
+    mean = [np.mean([got[k].severity for k, _, g in rows if g == y]) for y in (0, 1, 2)]
+    assert mean[0] < 0.1 < 0.7 < mean[1] < mean[2]
+
+
+def test_toxicity_edges(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, grade int")
+    assert toxicity.learn(odd, none) is None and toxicity.score(odd, None).filter("toxic OR severity IS NOT NULL").count() == 0
+    labels = spark.createDataFrame([(1, 0), (5, 1), (6, None), (77, 1), (None, 1)], "doc_id long, grade int")
+    assert toxicity.score(odd, toxicity.learn(odd, labels)).count() == odd.count()
+    assert toxicity.score(empty_like(odd), toxicity.learn(odd, labels)).count() == 0
+
+
+# ---- 9 chat
+
+
+def test_chat(spark):
+    rows = [("c", 1, "bob", "hi"), ("c", 0, "ann", None), ("c", 2, "system", "be kind"), ("c", 300, "ann", "late"), ("d", 0, "system", "alone"), (None, 0, None, "x"), ("c", 1, "bob", "hi")]
+    got = chat.rotate(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").withColumn("speaker", F.lit("clash"))).collect()
+    by = {(r.conv_id, r.part, r.speaker): r for r in got}
+    assert set(by) == {("c", 0, "ann"), ("c", 0, "bob"), ("c", 1, "ann"), ("c", 1, "bob"), (None, 0, "unknown")}
+    r = by["c", 0, "bob"]
+    assert r.n_turns == 4 and r.n_own == 2 and r.text.startswith('<user name="ann">\n\n</turn>\n<assistant>\nhi')
+    assert [r.text[int(a) : int(b)] for a, b in (s.split(":") for s in r["mask"].split(","))] == ["hi\n</turn>\n"] * 2
+    assert by["c", 1, "bob"]["mask"] == ""
+    assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+# ---- 10 quality
+
+
+def brute_base(t):
+    w = WORD.findall(t or "")
+    grams = Counter(zip(w, w[1:], w[2:]))
+    rep = {k + j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)}
+    lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(rep)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab# \n|", max_size=80))
+def test_base_statistics(t):
+    assert quality.text_stats(t)[:5] == brute_base(t)
+
+
+def brute_mcd(x, h=0.6, steps=3):
+    """The estimate of one group, its vectors in one array."""
+    x = x.astype(float)
+    floor = np.diag((np.array(quality.FLOORS) * quality.UNIT) ** 2)
+
+    def solve(rows, c):
+        cov = np.cov(rows.T, bias=True) * c
+        cov = cov + np.diag(np.maximum(np.diag(floor) - np.diag(cov), 0)) + floor * 1e-3
+        return rows.mean(axis=0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+    d2 = lambda mu, inv: np.einsum("ni,ij,nj->n", x - mu, inv, x - mu)
+    cut = lambda q: q / quality._chi2_cdf(quality.chi2_quantile(q, 4), 6)
+    q1, q2, q3 = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
+    scale = np.maximum(np.array(quality.FLOORS) * quality.UNIT, (q3 - q1) / 1.349)
+    found = []
+    for mu, inv in (solve(x, 1.0)[:2], (q2, np.diag(1 / scale**2))):
+        for _ in range(steps):
+            bins = np.minimum(2047, np.floor(np.log2(1 + d2(mu, inv)) * 64))
+            last = np.sort(bins)[math.ceil(len(x) * h) - 1]
+            mu, inv, det = solve(x[bins <= last], cut(h))
+        found.append((det, mu, inv))
+    _, mu, inv = min(found, key=lambda f: f[0])
+    near = x[d2(mu, inv) <= quality.chi2_quantile(0.975, 4)]
+    return solve(near, cut(0.975))[:2]
+
+
+def outlier_rows():
+    rows = [(k, prose(k, 60 + k % 300) + (f"\n{prose(k, 9)}" if k % 9 == 0 else ""), "a") for k in range(150)]
+    rows += [(200 + k, " ".join(f"{w}###" for w in prose(k, 80).split()), "a") for k in range(15)]
+    return rows + [(300, "few words", "a"), (301, "x y z " * 40, "a")]
+
+
+def test_outliers(spark):
+    rows = outlier_rows()
+    got = {r.doc_id: r for r in quality.judge(docs(spark, rows)).collect()}
+    stats = {i: quality.text_stats(t) for i, t, _ in rows}
+    fine = [i for i, s in stats.items() if s[0] >= 50 and 100 * s[4] <= 50 * s[0]]
+    mu, inv = brute_mcd(np.array([stats[i][5:9] for i in fine]))
+    for i in fine:
+        v = np.array(stats[i][5:9]) - mu
+        assert got[i].distance2 == pytest.approx(v @ inv @ v, rel=1e-6)
+    assert {i for i, r in got.items() if r.kept} == set(range(150)) and got[300].base_failed and got[301].base_failed
+
+
+def test_copies_are_no_bulk(spark):
+    rows = outlier_rows() + [(1000 + k, rows_text, "a") for k in range(500) for rows_text in [" ".join(f"{w}***" for w in prose(7, 70).split())]]
+    got = {r.doc_id: r.kept for r in quality.judge(docs(spark, rows)).collect()}
+    assert not got[1000] and all(got[k] for k in range(150))
+
+
+def test_quality_edges(spark, odd):
+    assert quality.judge(odd).count() == odd.count() and quality.judge(odd).filter("kept").count() == 0
+    assert quality.keep(odd).columns == odd.columns and quality.judge(empty_like(odd)).count() == 0 and quality.keep(empty_like(odd)).count() == 0
+
+
+# ---- SQL, pipeline
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    out = con.execute(queries.ORACLE_SQL[name])
+    names = [x[0] for x in out.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(repr, (tuple(r) for r in df.select(*names).collect()))) == sorted(map(repr, out.fetchall()))
+
+
+def test_pipeline(spark, tmp_path):
+    """Every stage against brute force on what the stage before it kept."""
+    rows = outlier_rows()
+    rows += [(400 + k, f"{rows[k][1]} tail", "b") for k in range(10)]
+    bad, items = contaminated_rows()
+    rows += [(500, f"{prose(8, 60)} {items[24][1]}", "b"), (501, f"{prose(9, 70)} write to me@x.org or +1 234 567 8901", None)]
+    sf = str(tmp_path)
+    docs(spark, rows).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    text = {i: (t, s) for i, t, s in rows}
+    kept = {i for i in text if not (200 <= i < 220 or i in (300, 301))}
+    near = brute_components([(i, *text[i]) for i in kept], 5, 80)
+    kept = {i for i in kept if near[i][1] == i}
+    dirty = brute_contamination([(i, *text[i]) for i in kept], items)
+    kept = {i for i in kept if not dirty[i][4]}
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    seen = []
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        d = corpus_pipeline.materialise(stage(spark, d, sf))
+        assert d.columns == corpus_pipeline.COLUMNS
+        seen.append({r.doc_id: r.text for r in d.collect()})
+    assert set(seen[2]) == set(seen[3]) == kept and 500 not in kept and 400 not in kept
+    assert seen[3][501].endswith("write to [EMAIL] or [PHONE]")
+    size, total, want = brute_mix([(i, t, text[i][1]) for i, t in seen[3].items()])
+    final = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}
+    assert set(final) <= kept and all(r["size"] == size[i] and r.target == pytest.approx(want[text[i][1]]) for i, r in final.items())
+
+
+def test_pipeline_edges(spark, tmp_path, odd):
+    sf = str(tmp_path)
+    odd.select(*corpus_pipeline.COLUMNS).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
