@@ -69,6 +69,15 @@ def decode(files: DataFrame, content: str = "content", path: str = "path", out:
     return map_images(files, [path, content], out, RASTER, read)
 
 
+def decode_jvm(spark, path: str, glob: str = "*") -> DataFrame:
+    """path and image (gray or RGB) of 8-bit files that the JVM decodes, JPEG among them; files it can't read are left out."""
+    files = spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", glob).load(path)
+    flat = files.select(F.col("image.origin").alias("path"), F.struct(F.col("image.height").alias("h"), F.col("image.width").alias("w"), F.col("image.nChannels").alias("bands"), F.lit("|u1").alias("dtype"), F.col("image.data").alias("data")).cast(RASTER).alias("raw"))
+    # channels are stored blue, green, red
+    swap = lambda a: a if a.ndim == 2 else np.ascontiguousarray(a[:, :, 2::-1])
+    return map_images(flat, ["raw"], "image", RASTER, swap).drop("raw", "error")
+
+
 def encode(images: DataFrame, image: str = "image", out: str = "png", level: int = 6) -> DataFrame:
     return map_images(images, [image], out, T.BinaryType(), lambda x: rasters.write_png(x, level))
 

@@ -77,9 +77,9 @@ def vrsbench(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     placed = _pending(entries, o).join(files, "image", "left")
     proxy = F.lit(None).cast("string")
     if o.output_dir:  # one proxy per image, however many entries share it
-        pngs = images.decode(readers.contents(spark, folder, "*.png")) if folder else None
-        if pngs is not None:
-            small = images.map_images(pngs.drop("error"), ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.proxy_image(x))).select(F.concat(_stem(), F.lit("_proxy")).alias("name"), "png")
+        if folder:
+            pixels = images.decode_jvm(spark, folder)
+            small = images.map_images(pixels, ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.proxy_image(x))).select(F.concat(_stem(), F.lit("_proxy")).alias("name"), "png")
             _write(small, o)
             proxy = F.when(F.col("path").isNotNull(), _at(o, F.concat(_stem(), F.lit("_proxy"))))
     return placed.select("source_id", "position", rows.conversation_rows(F.col("position"), F.col("conversations"), F.col("path"), proxy).alias("rows"))
@@ -89,7 +89,12 @@ def rsvqa_hr(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     items = sampling.head(readers.questions(spark, root), ["position"], o.max_samples)
     items = items.withColumn("source_id", F.concat(F.lit("rsvqa_hr_"), F.coalesce("question_id", "id", F.col("position").cast("string"))))
     placed = readers.first_image(_pending(items, o), readers.listing(spark, f"{root}/images"), "image_id", ("png", "jpg", "jpeg", "tif"))
-    return placed.select("source_id", "position", rows.question_rows(F.col("source_id"), F.col("question"), F.col("answer"), F.col("image")).alias("rows"))
+    image = F.col("image")
+    if o.output_dir and readers.exists(spark, f"{root}/images"):  # other formats become PNGs, each image once
+        others = images.decode_jvm(spark, f"{root}/images", "*.{jpg,jpeg,tif}")
+        _write(images.encode(others).select(_stem().alias("name"), "png"), o)
+        image = F.when(F.endswith(image, F.lit(".png")), image).otherwise(_at(o, _stem("image")))
+    return placed.select("source_id", "position", rows.question_rows(F.col("source_id"), F.col("question"), F.col("answer"), image).alias("rows"))
 
 
 def cdvqa(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:

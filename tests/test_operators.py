@@ -244,3 +244,24 @@ def test_compare(spark):
     schema = "name string, steps_per_sec double, memory_mb double, final_loss double, loss_is_real boolean"
     got = training.compare(spark.createDataFrame([("dora", 2.0, 1.0, 0.5, True), ("qlora", 2.0, 2.0, 0.6, True)], schema)).first()
     assert (got.speed, got.memory, got.loss, got.recommendation) == ("qlora", "dora", "dora", "use_dora")
+
+
+def test_jvm_images(spark, tmp_path):
+    rgb = np.zeros((3, 2, 3), np.uint8)
+    rgb[..., 0], rgb[..., 2] = 200, 7
+    (tmp_path / "a.png").write_bytes(rasters.write_png(rgb))
+    got = images.decode_jvm(spark, str(tmp_path)).first()
+    assert (images.unpack(got.image.asDict()) == rgb).all()
+
+
+def test_stream_resumes(spark, tmp_path):
+    from corpusmill.streaming import resume
+
+    source, sink, log = (str(tmp_path / x) for x in ("in", "out", "log"))
+    spark.range(5).write.parquet(source)
+    schema = spark.range(1).schema
+    assert resume.resume(spark, source, schema, lambda b: b, sink, log) == 1
+    spark.range(5, 8).write.mode("append").parquet(source)
+    assert resume.resume(spark, source, schema, lambda b: b, sink, log) == 1
+    assert resume.resume(spark, source, schema, lambda b: b, sink, log) == 0
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(8))
