@@ -208,7 +208,7 @@ def _chi2_cdf(x: float, df: int) -> float:
     return 1 - math.exp(-x / 2) * total
 
 
-def verdicts(stats: DataFrame, params: DataFrame, tail: float = 1e-4) -> DataFrame:
+def verdicts(stats: DataFrame, params: DataFrame, tail: float = 1e-6) -> DataFrame:
     """Adds base_failed, distance2 and kept to a frame with lang, source and statistics."""
     cutoff = chi2_quantile(1 - tail, P)
     return (
@@ -221,13 +221,13 @@ def verdicts(stats: DataFrame, params: DataFrame, tail: float = 1e-4) -> DataFra
     )
 
 
-def judge(docs: DataFrame, tail: float = 1e-4, h: float = 0.6) -> DataFrame:
+def judge(docs: DataFrame, tail: float = 1e-6, h: float = 0.6) -> DataFrame:
     """One row per row of docs (doc_id, text, lang, source): statistics, base_failed, distance2, kept."""
     stats = materialise(with_stats(docs, ["doc_id", "lang", "source"]))
     return verdicts(stats, estimate(stats, h=h), tail).select("doc_id", *STATS, "base_failed", "kept", "distance2")
 
 
-def keep(docs: DataFrame, tail: float = 1e-4, h: float = 0.6) -> DataFrame:
+def keep(docs: DataFrame, tail: float = 1e-6, h: float = 0.6) -> DataFrame:
     """The rows of docs that pass, with all their columns. Texts are scanned twice and never shuffled."""
     stats = materialise(with_stats(docs.select("text", "lang", "source"), ["lang", "source"]))
     params = estimate(stats, h=h)
