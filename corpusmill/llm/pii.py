@@ -146,14 +146,16 @@ def disclosing(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, s
     seen = raw.filter("entity IS NOT NULL")
     n_entity = seen.select("entity", "unit").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     joint = seen.filter("term IS NOT NULL").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
-    joint = materialise(joint.join(n_entity, "entity"))
+    ic = F.greatest(F.log2(F.lit(float(max(total, 2))) / F.col("n_e")), F.lit(1e-9))
+    score = lambda n: 1 - F.log2(F.greatest(F.col(n) / F.col("n_te"), F.lit(1.0))) / ic
+    # sentences with some entity are a lower bound of all of a term's sentences: common words fall here, before they are counted
+    least = seen.select("term", "unit").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
+    joint = materialise(joint.join(n_entity, "entity").join(least, "term").filter(score("n_least") >= generalise))
     terms = joint.select("term").distinct()
     few = _few(terms)
     used = occurrences(docs, None if few is None else frozenset(r[0] for r in few))
     n_term = used.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    ic = F.log2(F.lit(float(max(total, 2))) / F.col("n_e"))
-    score = 1 - F.log2(F.greatest(F.col("n_t") / F.col("n_te"), F.lit(1.0))) / F.greatest(ic, F.lit(1e-9))
-    best = joint.join(n_term, "term").groupBy("term").agg(F.max(score).alias("score")).filter(F.col("score") >= generalise)
+    best = joint.join(n_term, "term").groupBy("term").agg(F.max(score("n_t")).alias("score")).filter(F.col("score") >= generalise)
     return materialise(best.withColumn("action", F.when(F.col("score") >= remove, "remove").otherwise("generalise")))
 
 
