@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import materialise, ship
+from .common import bounded_broadcast, materialise, ship
 
 ship(__name__)
 
@@ -45,6 +45,8 @@ UNIT = 1024
 #: Smallest standard deviation of each feature that counts as a difference, in feature units.
 FLOORS = (0.08, 0.15, 0.10, 0.08)
 P = len(FLOORS)
+#: Groups whose estimates are broadcast at most (some 300 bytes each); more are joined by a shuffle.
+BROADCAST_GROUPS = 50_000
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 X = [f"x{i}" for i in range(P)]
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -196,7 +198,7 @@ def estimate(stats: DataFrame, h: float = 0.6, steps: int = 3, min_group: int =
     near = vectors.select("g", *X).join(best, "g").filter(_d2() <= chi2_quantile(0.975, P)).groupBy("g").agg(*_moments())
     final = _solve(near.withColumn("start", F.lit(0)), ["g"], cut(0.975)).drop("logdet")
     groups = vectors.select("own", "g").distinct()
-    return groups.join(final, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("b")).select(F.col("own").alias("g"), "b.mu", "b.inv")
+    return materialise(groups.join(final, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("b")).select(F.col("own").alias("g"), "b.mu", "b.inv"))
 
 
 def _chi2_cdf(x: float, df: int) -> float:
@@ -213,7 +215,7 @@ def verdicts(stats: DataFrame, params: DataFrame, tail: float = 1e-6) -> DataFra
     cutoff = chi2_quantile(1 - tail, P)
     return (
         stats.withColumn("g", _key(0))
-        .join(params, "g", "left")
+        .join(bounded_broadcast(params, BROADCAST_GROUPS), "g", "left")
         .withColumn("base_failed", base_failed())
         .withColumn("distance2", _d2())
         .withColumn("kept", ~F.col("base_failed") & (F.col("mu").isNull() | (F.col("distance2") <= cutoff)))
