@@ -10,8 +10,9 @@ probability below 1e-5. Links are then confirmed on the full shingle sets.
 How buckets are handled
     Equal sets are one class from the start, so copies never meet as pairs. In every bucket all members are
     first tested against its smallest id only (a star, linear in the bucket). Members of a bucket that the
-    confirmed links have not yet brought into one component are then tested in pairs, across components only, in
-    blocks of bounded size, by signature distance first: exact, without caps on buckets or partners.
+    confirmed links have not yet brought into one component are then compared with their texts, across components
+    only, in blocks of bounded size, by signature distance first: exact, without caps on buckets or partners. Only
+    links that join components leave a task, so what is written stays linear in the group.
     Components come from alternating star contractions on the link table; nothing of it goes to the driver.
 
 Edge cases: null, empty and word-less texts have an empty set, link with nothing and are kept. Texts with fewer words
@@ -202,53 +203,71 @@ def components(edges: DataFrame) -> DataFrame:
     return state.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(state.select("v", "v").distinct())
 
 
-def _cross_pairs(members: DataFrame, comps: DataFrame, classes: DataFrame, most: int) -> DataFrame:
-    """a, b: pairs of a bucket in different components whose signatures are near."""
+def _cross_links(members: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, width: int, threshold: int, chunk: int, most: int) -> DataFrame:
+    """a, b: confirmed links that join the components of a bucket's members; enough of them, not all.
+
+    Texts come along, so that pairs are confirmed where they meet and only links leave a task. A pair is looked at in the
+    first bucket that its members share, and not if links found so far have joined them.
+    """
     rows = members.select("key", "id").union(members.select("key", "pivot").distinct())
     rows = rows.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     per_key = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi and size > 2").select("key", "size")
     open_rows = rows.join(per_key, "key")
     # large buckets are cut into blocks by hash, and every two blocks meet in a task of their own
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = open_rows.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    open_rows = open_rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = tasks.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "id", "comp")
-    tasks = tasks.join(classes.select(F.col("rep").alias("id"), "sig"), "id").repartition("task").sortWithinPartitions("task", "id")
-
-    def compare(ids, comps_, sigs):
+    tasks = materialise(tasks.select("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "id", "comp"))
+    needed = bounded_broadcast(tasks.select(F.col("id").alias("doc_id")).distinct(), BROADCAST_IDS)
+    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
+    tasks = tasks.join(classes.select(F.col("rep").alias("id"), "sig").join(texts, "id"), "id").repartition("task").sortWithinPartitions("task")
+
+    def links(key, ids, comp, sigs, sets):
+        keys = bucket_keys(sigs, chunk)
+        slot = np.flatnonzero((keys == key).any(axis=0))
+        if not len(slot):
+            return
+        slot = slot[0]
+        keys = keys[:, :slot]
+        sizes = np.array([len(x) for x in sets])
+        comp = comp.copy()
         for k in range(len(ids) - 1):
-            other = np.flatnonzero(comps_[k + 1 :] != comps_[k]) + k + 1
-            if len(other):
-                hit = other[(sigs[other] != sigs[k]).sum(axis=1) <= most]
-                hit = hit[ids[hit] != ids[k]]
-                if len(hit):
-                    yield np.minimum(ids[hit], ids[k]), np.maximum(ids[hit], ids[k])
+            rest = slice(k + 1, None)
+            near = (comp[rest] != comp[k]) & (100 * np.minimum(sizes[rest], sizes[k]) >= threshold * np.maximum(sizes[rest], sizes[k]))
+            at = np.flatnonzero(near) + k + 1
+            at = at[(sigs[at] != sigs[k]).sum(axis=1) <= most]
+            if slot and len(at):
+                at = at[~(keys[at] == keys[k]).any(axis=1)]
+            for j in at:
+                if comp[j] != comp[k]:
+                    inter = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+                    if 100 * inter >= threshold * (sizes[k] + sizes[j] - inter):
+                        yield min(ids[k], ids[j]), max(ids[k], ids[j])
+                        comp[comp == comp[j]] = comp[k]
 
     def run(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         held: list = []
-        open_task = None
+        now = None
 
         def flush():
-            if held and sum(len(x[0]) for x in held) > 1:
-                for a, b in compare(*(np.concatenate(x) for x in zip(*held, strict=True))):
-                    yield from record_batches([a, b], schema)
+            if len(held) > 1:
+                key, ids, comp, sigs, sets = zip(*held)
+                if found := list(links(np.uint64(key[0] % 2**64), np.array(ids), np.array(comp), np.stack(sigs), sets)):
+                    yield from record_batches([[x[0] for x in found], [x[1] for x in found]], schema)
             held.clear()
 
         for b in batches:
             if not b.num_rows:
                 continue
-            task, ids, cs = (b.column(c).to_numpy() for c in ("task", "id", "comp"))
             sigs = _sigs(b.column("sig"))
-            edges = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
-            for lo, hi in zip(edges, edges[1:]):
-                if task[lo] != open_task:
+            for i, (task, key, ident, comp, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("task", "key", "id", "comp", "text")), strict=True)):
+                if task != now:
                     yield from flush()
-                    open_task = task[lo]
-                held.append((ids[lo:hi].copy(), cs[lo:hi].copy(), sigs[lo:hi].copy()))
+                    now = task
+                held.append((key, ident, comp, sigs[i].copy(), shingles(text, width)))
         yield from flush()
 
-    return tasks.select("task", "id", "comp", "sig").mapInArrow(run, "a long, b long").distinct()
+    return tasks.select("task", "key", "id", "comp", "sig", "text").mapInArrow(run, "a long, b long").filter("a != b").distinct()
 
 
 def resolve(docs: DataFrame, width: int = 5, threshold: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -268,8 +287,7 @@ def resolve(docs: DataFrame, width: int = 5, threshold: int = 80) -> tuple[DataF
     tied = named.join(classes.select("set_hash", "rep"), "set_hash").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("reps")).filter("a != z")
     links = materialise(links.union(tied.select("a", F.explode("reps").alias("b")).filter("a != b")))
     comps = materialise(components(links))
-    crossed = materialise(_cross_pairs(members, comps, classes, most))
-    more = _confirm(crossed, classes, docs, width, threshold, most)
+    more = materialise(_cross_links(members, comps, classes, docs, width, threshold, chunk, most))
     if more.limit(1).count():
         comps = materialise(components(links.union(more)))
     return prints.join(classes.select("set_hash", "rep"), "set_hash", "left"), comps
