@@ -493,7 +493,7 @@ def test_pipeline(spark, tmp_path):
     rows = outlier_rows()
     rows += [(400 + k, f"{rows[k][1]} tail", "b") for k in range(10)]
     bad, items = contaminated_rows()
-    rows += [(500, f"{prose(8, 60)} {items[24][1]}", "b"), (501, f"{prose(9, 70)} write to me@x.org or +1 234 567 8901", None)]
+    rows += [(500, f"{prose(888, 60)} {items[24][1]}", "b"), (501, f"{prose(777, 70)} write to me@x.org or +1 234 567 8901", None)]
     sf = str(tmp_path)
     docs(spark, rows).write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
