@@ -64,15 +64,22 @@ def decode(files: DataFrame, content: str = "content", path: str = "path", out:
     def read(name, data):
         if name.endswith(".npy"):
             return np.moveaxis(x, 0, -1) if (x := rasters.read_npy(data)).ndim == 3 else x
-        return rasters.read_png(data) if name.endswith(".png") else rasters.read_tiff(data)
+        return rasters.read_png(data) if name.lower().endswith(".png") else rasters.read_tiff(data)
 
     return map_images(files, [path, content], out, RASTER, read)
 
 
-def decode_jvm(spark, path: str, glob: str = "*") -> DataFrame:
-    """path and image (gray or RGB) of 8-bit files that the JVM decodes, JPEG among them; files it can't read are left out."""
-    files = spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", glob).load(path)
-    flat = files.select(F.col("image.origin").alias("path"), F.struct(F.col("image.height").alias("h"), F.col("image.width").alias("w"), F.col("image.nChannels").alias("bands"), F.lit("|u1").alias("dtype"), F.col("image.data").alias("data")).cast(RASTER).alias("raw"))
+def decode_jvm(spark, path: str, glob: str = "*", among: DataFrame | None = None) -> DataFrame:
+    """path and image (gray or RGB) of 8-bit files that the JVM decodes, JPEG among them; files it can't read are left out.
+
+    ``among`` (path): only these files reach Python.
+    """
+    # a damaged JPEG is an IOException of the decoder, which dropInvalid doesn't cover
+    files = spark.read.format("image").option("dropInvalid", True).option("ignoreCorruptFiles", True).option("pathGlobFilter", glob).load(path)
+    # origins are percent-encoded, paths of listings aren't
+    plain = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
+    flat = files.select(F.regexp_replace(plain, "^file:///", "file:/").alias("path"), F.struct(F.col("image.height").alias("h"), F.col("image.width").alias("w"), F.col("image.nChannels").alias("bands"), F.lit("|u1").alias("dtype"), F.col("image.data").alias("data")).cast(RASTER).alias("raw"))
+    flat = flat if among is None else flat.join(among, "path", "left_semi")
     # channels are stored blue, green, red
     swap = lambda a: a if a.ndim == 2 else np.ascontiguousarray(a[:, :, 2::-1])
     return map_images(flat, ["raw"], "image", RASTER, swap).drop("raw", "error")

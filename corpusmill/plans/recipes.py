@@ -185,6 +185,15 @@ def oscd(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     return todo.select("source_id", F.lit(0).alias("position"), F.when(complete, rows.location_rows(F.col("location"), path("before"), path("after"))).alias("rows"))
 
 
+def _png_or_jpeg(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """wanted (path and others) with the image of the files in a folder that can be read: PNGs, and JPEGs through the JVM."""
+    if not readers.exists(spark, folder):
+        return wanted.withColumn("image", F.lit(None).cast(images.RASTER))
+    png = images.decode(readers.contents(spark, folder, "*.[pP][nN][gG]").join(wanted, "path")).drop("content", "error")
+    jpeg = images.decode_jvm(spark, folder, "*.[jJ][pP][gG]", wanted.select("path")).join(wanted, "path")
+    return png.unionByName(jpeg)
+
+
 def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     fraction = 0.10 if o.fraction is None else o.fraction
     files = readers.listing(spark, f"{root}/images").filter(F.col("ext").isin("png", "jpg"))
@@ -195,13 +204,16 @@ def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     items = files.join(primary, "stem", "left").withColumn("class_name", F.coalesce("class_name", F.lit("unknown"))).withColumn("ext_ord", F.when(F.col("ext") == "png", 0).otherwise(1))
     chosen = sampling.head(sampling.stratified_sample(materialise(items), ["class_name"], "name", fraction, o.seed), ["ext_ord", "name"], o.max_samples).withColumn("source_id", F.concat(F.lit("sardet_"), "stem"))
     todo = _pending(chosen, o)
-    loaded = images.decode(readers.contents(spark, f"{root}/images", "*.png").join(todo.select("path", "stem", "source_id"), "path"))
+    loaded = _png_or_jpeg(spark, f"{root}/images", todo.select("path", "stem", "source_id", "ext_ord"))
+    # of a PNG and a JPEG of one id the first that can be read holds
+    sizes = loaded.filter("image IS NOT NULL").select("path", "stem", "source_id", "ext_ord", F.col("image.w").cast("double").alias("w"), F.col("image.h").cast("double").alias("h"))
+    first = materialise(sizes.groupBy("source_id").agg(F.min_by(F.struct("path", "stem", "w", "h"), F.struct("ext_ord", "path")).alias("f")).select("source_id", "f.*"))
     if o.output_dir:
         gray = lambda x: rasters.write_png(rasters.radar_rgb((x if x.ndim == 2 else x[:, :, :3].mean(axis=2)).astype(np.float32)))
-        _write(images.map_images(loaded.drop("error"), ["image"], "png", T.BinaryType(), gray).select(F.col("source_id").alias("name"), "png"), o)
-    sized = lines.join(loaded.select("stem", F.col("image.w").cast("double").alias("w"), F.col("image.h").cast("double").alias("h")), "stem")
-    found = sized.withColumn("a", boxes.yolo_row(F.col("line"), F.col("w"), F.col("h"))).filter("a IS NOT NULL").groupBy("stem").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "a"))), lambda x: x["a"]).alias("found"))
-    placed = loaded.join(found, "stem", "left")
+        _write(images.map_images(loaded.join(first.select("path"), "path", "left_semi"), ["image"], "png", T.BinaryType(), gray).select(F.col("source_id").alias("name"), "png"), o)
+    sized = lines.join(first, "stem")
+    found = sized.withColumn("a", boxes.yolo_row(F.col("line"), F.col("w"), F.col("h"))).filter("a IS NOT NULL").groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "a"))), lambda x: x["a"]).alias("found"))
+    placed = todo.select("source_id").distinct().join(first.join(found, "path", "left"), "source_id", "left")
     image = _at(o, F.col("source_id")) if o.output_dir else F.col("path")
     return placed.select("source_id", F.lit(0).alias("position"), rows.detection_rows(F.col("source_id"), image, F.col("found")).alias("rows"))
 

@@ -120,6 +120,34 @@ def test_sardet_and_resume(spark, tmp_path):
     assert counts["processed"] == 0 and not rows
 
 
+def jpeg(spark, path, size, value):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    jvm = spark._jvm
+    image = jvm.java.awt.image.BufferedImage(size, size, 10)
+    for k in range(size * size):
+        image.getRaster().setSample(k % size, k // size, 0, value)
+    assert jvm.javax.imageio.ImageIO.write(image, "jpg", jvm.java.io.File(str(path)))
+
+
+def test_sardet_jpeg(spark, tmp_path):
+    """JPEGs give samples, damaged files count as failed, and a PNG holds before a JPEG of its name."""
+    tmp_path = tmp_path / "a b+%"
+    (tmp_path / "labels").mkdir(parents=True)
+    for name in ("j0", "j1", "both", "cut", "empty_boxes", "text", "half"):
+        (tmp_path / f"labels/{name}.txt").write_text("0 .5 .5 .5 .5\n" * (name != "empty_boxes"))
+    for name in ("j0.jpg", "j1.JPG", "empty_boxes.jpg", "both.jpg", "half.jpg"):
+        jpeg(spark, tmp_path / "images" / name, 32, 90)
+    png(tmp_path / "images/both.png", np.full((64, 64), 9))
+    (tmp_path / "images/half.png").write_bytes(b"no image")
+    (tmp_path / "images/cut.jpg").write_bytes((tmp_path / "images/j1.JPG").read_bytes()[:180])
+    (tmp_path / "images/text.jpg").write_text("no image")
+    counts, rows, _ = run(spark, "sardet", tmp_path, fraction=1.0)
+    assert counts == {"processed": 4, "failed": 3, "skipped": 0}
+    assert {r["id"] for r in rows} == {"sardet_j0", "sardet_j1", "sardet_both", "sardet_half"} and all(r["bbox"] == [[250.0, 250.0, 750.0, 750.0]] for r in rows)
+    sizes = {n: rasters.read_png((tmp_path / f"out/images/sardet_{n}.png").read_bytes()).shape[:2] for n in ("j0", "both", "half")}
+    assert sizes == {"j0": (32, 32), "both": (64, 64), "half": (32, 32)}
+
+
 def test_sen2lulc(spark, tmp_path):
     (tmp_path / "metadata.csv").write_text("image_id,label\n" + "".join(f"i{k},{k % 2}\n" for k in range(20)) + "rare,6\n")
     png(tmp_path / "images/rare.png", np.zeros((4, 4)))
