@@ -1,12 +1,15 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 Grades 0..G are ordered; P(grade > k) = sigmoid(w x - theta_k) with one weight vector w for all thresholds
-theta_0 <= theta_1 <= .... Features are the distinct words of the whole text, hashed to ``CELLS`` cells. The output is the
+theta_0 <= theta_1 <= .... Features are the distinct words of the whole text, hashed to ``CELLS`` cells; x is their
+mean over those with a weight, so that many words of one grade don't add up to the next. The output is the
 expected severity, the sum of P(grade > k), and whether P(grade > 0) reaches one half.
 
 The model is fitted on the driver by Adam on at most about ``most_rows`` labelled documents chosen by a hash of their ids, a
-documented bound on the sample. Only cells whose documents' grades differ from the rest's get a weight: by the score test, the
-number above some threshold must be ``least_z`` standard deviations off. That keeps chance words of single documents out.
+documented bound on the sample. Only cells whose documents' grades differ from the rest's get a weight: for some threshold, the
+exact binomial tail of the number above it must be below ``chance`` divided by the number of cells that are tested. Tested are
+cells of so many documents that they could pass at all (chosen by document counts alone), so few labels still teach clear words,
+and chance words of single documents stay out at any base rate.
 
 Edge cases: null text has no features and gets the base rate. Labels of documents that don't exist, or with a null grade, are
 ignored; of several labels of a document the highest holds. Without labels, severity is null and nothing is toxic.
@@ -34,7 +37,29 @@ def features(text: str | None) -> list[int]:
     return list({xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) % CELLS for w in set(WORD.findall((text or "").lower()))})
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 800, l2: float = 1e-6, least_z: float = 6.0) -> tuple[np.ndarray, np.ndarray]:
+def differing(df: np.ndarray, hits: np.ndarray, base: float, chance: float) -> np.ndarray:
+    """Which cells' hits of df documents have a binomial tail (either side) below ``chance``, by Bonferroni over the tested cells."""
+    sizes, where = np.unique(df, return_inverse=True)
+    tested = np.cumsum(np.bincount(where)[::-1])[::-1]
+    # the smallest document count, two at least, at which a cell of one kind only could pass beside all larger cells
+    can = (sizes > 1) & (sizes * np.log(min(base, 1 - base)) <= np.log(chance / 2 / tested))
+    out = np.zeros(len(df), bool)
+    if not can.any():
+        return out
+    first = int(np.argmax(can))
+    level = chance / 2 / tested[first]
+    log_fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, sizes[-1] + 1)))])
+    order = np.argsort(where, kind="stable")
+    ends = np.cumsum(np.bincount(where))
+    for s in range(first, len(sizes)):
+        n, cells = int(sizes[s]), order[ends[s - 1] if s else 0 : ends[s]]
+        j = np.arange(n + 1)
+        p = np.exp(log_fact[n] - log_fact[: n + 1] - log_fact[n::-1] + j * np.log(base) + (n - j) * np.log(1 - base))
+        out[cells] = np.minimum(np.cumsum(p), np.cumsum(p[::-1])[::-1])[hits[cells]] <= level
+    return out
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 800, l2: float = 1e-6, chance: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Weights over CELLS and thresholds (ascending) of a cumulative-link model."""
     idx = np.concatenate(rows) if rows else np.empty(0, np.int64)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -43,12 +68,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 80
     base = np.clip(above.mean(axis=0), 1e-4, 1 - 1e-4)
     telling = np.zeros(CELLS, bool)
     for k in range(levels):
-        off = np.bincount(idx, above[row, k], CELLS) - df * base[k]
-        telling |= np.abs(off) >= least_z * np.sqrt(np.maximum(df, 1) * base[k] * (1 - base[k]))
+        telling |= differing(df, np.bincount(idx, above[row, k], CELLS).astype(np.int64), base[k], chance)
     use = telling[idx]
     cells, idx = np.unique(idx[use], return_inverse=True)
     row = row[use]
     theta = -np.log(base / (1 - base))
+    share = 1 / np.maximum(np.bincount(row, minlength=len(rows)), 1)
     # theta as its first value and the logs of the gaps, so that the order can't be lost
     par = np.concatenate([np.zeros(len(cells)), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
     m, v = np.zeros_like(par), np.zeros_like(par)
@@ -56,7 +81,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 80
     for t in range(1, steps + 1):
         gaps = np.exp(par[d + 1 :])
         theta = par[d] + np.concatenate([[0.0], np.cumsum(gaps)])
-        z = np.bincount(row, par[idx], len(rows))
+        z = np.bincount(row, par[idx], len(rows)) * share
         # grade probabilities are differences of neighbouring cumulative ones
         cum = np.column_stack([np.ones(n), 1 / (1 + np.exp(-(z[:, None] - theta))), np.zeros(n)])
         slope = cum * (1 - cum)
@@ -67,7 +92,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 80
         np.add.at(gt, np.maximum(grades - 1, 0), np.where(grades > 0, slope[at, grades] / p / n, 0))
         np.add.at(gt, np.minimum(grades, levels - 1), np.where(grades < levels, -slope[at, grades + 1] / p / n, 0))
         tail = np.cumsum(gt[::-1])[::-1]
-        g = np.concatenate([np.bincount(idx, gz[row], d) + l2 * par[:d], [gt.sum()], tail[1:] * gaps])
+        g = np.concatenate([np.bincount(idx, (gz * share)[row], d) + l2 * par[:d], [gt.sum()], tail[1:] * gaps])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         par = par - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     weights = np.zeros(CELLS, np.float32)
@@ -107,7 +132,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataF
                 sev = p = [None] * len(texts)
                 toxic = [False] * len(texts)
             else:
-                z = np.array([float(model[0][features(t)].sum()) for t in texts])
+                z = np.array([float(w.sum()) / max(np.count_nonzero(w), 1) for w in (model[0][features(t)] for t in texts)])
                 cum = 1 / (1 + np.exp(-(z[:, None] - model[1])))
                 sev, p = cum.sum(axis=1), cum[:, 0]
                 toxic = p >= 0.5

@@ -386,6 +386,33 @@ def test_toxicity_edges(spark, odd):
     assert toxicity.score(empty_like(odd), toxicity.learn(odd, labels)).count() == 0
 
 
+def test_toxicity_few_labels():
+    """Clear words of few labels get a weight, also at a share of one half; words of single documents don't at a rare grade."""
+
+    def weights(texts, grades):
+        w, _ = toxicity.fit([np.array(toxicity.features(t), np.int64) for t in texts], np.array(grades), max(grades))
+        return lambda word: w[toxicity.features(word)[0]]
+
+    few = [(prose(k, 60) + " scum" * (k < 5) + f" once{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}", int(k < 10)) for k in range(80)]
+    w = weights(*zip(*few))
+    assert w("scum") > 1 and w("onceaa") == 0
+    half = [(prose(k, 20) + " scum" * (k < 16), int(k < 40)) for k in range(80)]
+    assert weights(*zip(*half))("scum") > 1
+    rare = [(prose(k, 20) + f" {'lone' + chr(97 + k) if k < 5 else 'plain'}", 2 if k < 5 else int(k < 200)) for k in range(2000)]
+    w = weights(*zip(*rare))
+    assert all(w("lone" + chr(97 + k)) == 0 for k in range(5))
+
+
+def test_binomial_tails():
+    rng = np.random.default_rng(5)
+    df = rng.integers(0, 60, 200)
+    hits = np.minimum(rng.integers(0, 60, 200), df)
+    tail = [min(sum(math.comb(n, j) * 0.2**j * 0.8 ** (n - j) for j in js) for js in (range(x, n + 1), range(x + 1))) for n, x in zip(df.tolist(), hits.tolist())]
+    sizes = [n for n in sorted(set(df.tolist())) if n > 1 and 0.2**n <= 0.025 / (df >= n).sum()]
+    want = [n >= sizes[0] and t <= 0.025 / (df >= sizes[0]).sum() for n, t in zip(df.tolist(), tail)]
+    assert toxicity.differing(df, hits, 0.2, 0.05).tolist() == want and any(want)
+
+
 # ---- 9 chat
 
 
