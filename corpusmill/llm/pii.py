@@ -87,16 +87,26 @@ def _terms(text: str, lo: int, hi: int, spans: list) -> set[str]:
     return {m[0].lower() for m in TERM.finditer(text, lo, hi) if not any(s < m.end() and m.start() < e for _, s, e in spans)}
 
 
+def units(docs: DataFrame) -> DataFrame:
+    """unit: the digests of all sentences, each once in a batch."""
+
+    def run(batches):
+        for b in batches:
+            own = {_digest(text[lo:hi]) for text in b.column("text").to_pylist() if text for lo, hi in sentences(text)}
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64())], names=["unit"])
+
+    return docs.select("text").mapInArrow(run, "unit long")
+
+
 def mentions(docs: DataFrame) -> DataFrame:
-    """entity, term, unit: a row for each entity and term of a sentence. A batch's count of sentences is a row with null entity."""
+    """entity, term, unit: a row for each entity and term of a sentence."""
     names = ["entity", "term", "unit"]
 
     def run(batches):
         for b in batches:
-            rows, total = [], 0
+            rows = []
             for text in b.column("text").to_pylist():
                 text = text or ""
-                total += len(SENTENCE_END.findall(text)) + 1
                 if not (spans := base_spans(text)):
                     continue
                 for lo, hi in sentences(text):
@@ -106,8 +116,8 @@ def mentions(docs: DataFrame) -> DataFrame:
                         for kind, s, e in own:
                             entity = _digest(f"{kind}:{text[s:e].lower() if kind == 'email' else NOT_DIGIT.sub('', text[s:e]) if kind != 'ip' else text[s:e]}")
                             rows += [(entity, t, unit) for t in sorted(terms)] or [(entity, None, unit)]
-            rows.append((None, None, total))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64()))], names=names)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64()))], names=names)
 
     return docs.select("text").mapInArrow(run, "entity long, term string, unit long")
 
@@ -141,9 +151,8 @@ def _few(terms: DataFrame) -> list | None:
 
 def disclosing(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 3) -> DataFrame:
     """term, score, action ('generalise' or 'remove'): the terms that disclose some entity, by their largest PMI / IC."""
-    raw = materialise(mentions(docs))
-    total = raw.filter("entity IS NULL").agg(F.coalesce(F.sum("unit"), F.lit(0))).first()[0]
-    seen = raw.filter("entity IS NOT NULL")
+    seen = materialise(mentions(docs))
+    total = units(docs).distinct().count()
     n_entity = seen.select("entity", "unit").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     joint = seen.filter("term IS NOT NULL").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
     ic = F.greatest(F.log2(F.lit(float(max(total, 2))) / F.col("n_e")), F.lit(1e-9))

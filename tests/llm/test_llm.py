@@ -354,6 +354,15 @@ def test_disclosing_terms(spark, monkeypatch, few):
     assert "zo@x.com" not in clean[0] and "Zorbo" not in clean[900] and clean[901] is None and clean[150] == rows[58][1]
 
 
+def test_disclosing_copies(spark):
+    """Copies of texts, with and without entities, change no score."""
+    rows = [(k, f"Zorbo wrote from zo@x.com about {prose(k, 5, 50)}.\n{prose(k + 500, 40, 50)}", "a") for k in range(8)]
+    rows += [(100 + k, f"Zorbo and about {prose(k, 30, 50)}", "a") for k in range(3)] + [(200 + k, f"about {prose(k, 30, 50)}", "a") for k in range(300)]
+    copies = [(1000 + k, rows[j][1], "a") for k in range(400) for j in (0, 9, 20)]
+    plain, more = ({r.term: r.score for r in pii.disclosing(docs(spark, x), generalise=0.5).collect()} for x in (rows, rows + copies))
+    assert plain == more and 0.5 < plain["zorbo"] < 0.97
+
+
 def test_pii_edges(spark, odd):
     assert pii.find(odd).count() == odd.count() and pii.find(empty_like(odd)).count() == 0
     assert pii.sanitise(odd).columns == odd.columns
