@@ -1,10 +1,11 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms that give it away.
 
 Base: e-mail addresses, IP addresses, payment cards (Luhn) and phone numbers. Their values are the protected entities.
-A term discloses an entity as far as it tells about it: over all distinct sentences of the corpus,
+A term discloses an entity as far as it tells about it: over all distinct sentences of the corpus, and
+once more over all distinct paragraphs (lines), of which the larger score holds,
 PMI(t, e) = log2(N n(t, e) / (n(t) n(e))) is compared with the entity's own information IC(e) = log2(N / n(e)).
 PMI / IC of at least ``remove`` removes the term, at least ``generalise`` replaces it by a general word; fewer than
-``support`` distinct sentences with both say nothing. Copies of a sentence count once, so that copied documents
+``support`` distinct sentences (or paragraphs) with both say nothing, so nothing is said beside an entity that is seen in fewer. Terms are runs of letters; of one or two letters only as whole words (``Li``). Copies of a sentence count once, so that copied documents
 don't make their words look telling.
 
 Edge cases: null text is empty. Repeated rows get equal results. Equal sentences count once however often they occur.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 import xxhash
@@ -34,7 +36,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 SENTENCE_END = re.compile(r"[.!?](?=\s)|\n")
-TERM = re.compile(r"[^\W\d_]{3,}")
+TERM = re.compile(r"[^\W\d_]{3,}|(?<!\w)[^\W\d_]{1,2}(?!\w)")
+#: Rows of a batch that a task gathers before it hands them on.
+ROWS = 50_000
+LINE_END = re.compile("\n")
 #: Terms that are sent to the tasks as a set at most; more are joined.
 SENT_TERMS = 200_000
 GENERAL = "[TERM]"
@@ -78,6 +83,13 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip([0, *ends], [*ends, len(text)]) if b > a]
 
 
+def stretches(text: str) -> list[tuple[int, int, int]]:
+    """(wide, start, end) of the units in which terms and entities meet: sentences (0) and paragraphs (1)."""
+    ends = [m.start() for m in LINE_END.finditer(text)]
+    wide = [(1, a, b) for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(text)]) if b > a]
+    return [*((0, a, b) for a, b in sentences(text)), *wide]
+
+
 def _digest(s: str) -> int:
     return xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass")) - 2**63
 
@@ -88,19 +100,22 @@ def _terms(text: str, lo: int, hi: int, spans: list) -> set[str]:
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """unit: the digests of all sentences, each once in a batch."""
+    """wide, unit: the digests of all sentences and paragraphs, each once in a batch."""
 
     def run(batches):
         for b in batches:
-            own = {_digest(text[lo:hi]) for text in b.column("text").to_pylist() if text for lo, hi in sentences(text)}
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64())], names=["unit"])
+            own = {(w, _digest(text[lo:hi])) for text in b.column("text").to_pylist() if text for w, lo, hi in stretches(text)}
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.int32()), pa.array([u for _, u in own], pa.int64())], names=["wide", "unit"])
 
-    return docs.select("text").mapInArrow(run, "unit long")
+    return docs.select("text").mapInArrow(run, "wide int, unit long")
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """entity, term, unit: a row for each entity and term of a sentence."""
-    names = ["entity", "term", "unit"]
+    """wide, entity, term, unit: a row for each entity and term of a sentence or paragraph."""
+    names = ["wide", "entity", "term", "unit"]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.string(), pa.int64()))], names=names)
 
     def run(batches):
         for b in batches:
@@ -109,38 +124,50 @@ def mentions(docs: DataFrame) -> DataFrame:
                 text = text or ""
                 if not (spans := base_spans(text)):
                     continue
-                for lo, hi in sentences(text):
+                for wide, lo, hi in stretches(text):
                     if own := [s for s in spans if s[1] < hi and lo < s[2]]:
                         unit = _digest(text[lo:hi])
-                        terms = _terms(text, lo, hi, own)
-                        for kind, s, e in own:
-                            entity = _digest(f"{kind}:{text[s:e].lower() if kind == 'email' else NOT_DIGIT.sub('', text[s:e]) if kind != 'ip' else text[s:e]}")
-                            rows += [(entity, t, unit) for t in sorted(terms)] or [(entity, None, unit)]
+                        terms = sorted(_terms(text, lo, hi, own))
+                        entities = {_digest(f"{kind}:{text[s:e].lower() if kind == 'email' else NOT_DIGIT.sub('', text[s:e]) if kind != 'ip' else text[s:e]}") for kind, s, e in own}
+                        for entity in sorted(entities):
+                            rows += [(wide, entity, t, unit) for t in terms] or [(wide, entity, None, unit)]
+                            if len(rows) >= ROWS:
+                                yield batch(rows)
+                                rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64()))], names=names)
+                yield batch(rows)
 
-    return docs.select("text").mapInArrow(run, "entity long, term string, unit long")
+    return docs.select("text").mapInArrow(run, "wide int, entity long, term string, unit long")
 
 
 def occurrences(docs: DataFrame, only: frozenset | None) -> DataFrame:
-    """term, unit for the terms ``only`` (all, if None) in the sentences of docs."""
+    """wide, term, unit for the terms ``only`` (all, if None) in the sentences and paragraphs of docs."""
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*sorted(rows)), (pa.int32(), pa.string(), pa.int64()))], names=["wide", "term", "unit"])
 
     def run(batches):
         for b in batches:
             rows = set()
             for text in b.column("text").to_pylist():
                 text = text or ""
-                if only is not None and only.isdisjoint(m.lower() for m in TERM.findall(text)):
+                # units end between terms, so one pass finds the terms of all of them
+                hits = [(m.start(), t) for m in TERM.finditer(text) if (t := m[0].lower()) in only] if only is not None else [(m.start(), m[0].lower()) for m in TERM.finditer(text)]
+                if not hits:
                     continue
-                for lo, hi in sentences(text):
-                    terms = {m[0].lower() for m in TERM.finditer(text, lo, hi)}
-                    if found := terms if only is None else terms & only:
+                starts = [at for at, _ in hits]
+                for wide, lo, hi in stretches(text):
+                    first, end = bisect_left(starts, lo), bisect_left(starts, hi)
+                    if first < end:
                         unit = _digest(text[lo:hi])
-                        rows.update((t, unit) for t in found)
+                        rows.update((wide, t, unit) for _, t in hits[first:end])
+                        if len(rows) >= ROWS:
+                            yield batch(rows)
+                            rows = set()
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*sorted(rows)), (pa.string(), pa.int64()))], names=["term", "unit"])
+                yield batch(rows)
 
-    return docs.select("text").mapInArrow(run, "term string, unit long")
+    return docs.select("text").mapInArrow(run, "wide int, term string, unit long")
 
 
 def _few(terms: DataFrame) -> list | None:
@@ -152,19 +179,20 @@ def _few(terms: DataFrame) -> list | None:
 def disclosing(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 3) -> DataFrame:
     """term, score, action ('generalise' or 'remove'): the terms that disclose some entity, by their largest PMI / IC."""
     seen = materialise(mentions(docs))
-    total = units(docs).distinct().count()
-    n_entity = seen.select("entity", "unit").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    joint = seen.filter("term IS NOT NULL").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
-    ic = F.greatest(F.log2(F.lit(float(max(total, 2))) / F.col("n_e")), F.lit(1e-9))
+    total = dict(units(docs).distinct().groupBy("wide").count().collect())
+    n_entity = seen.select("wide", "entity", "unit").distinct().groupBy("wide", "entity").agg(F.count(F.lit(1)).alias("n_e"))
+    joint = seen.filter("term IS NOT NULL").distinct().groupBy("wide", "entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
+    n = F.when(F.col("wide") == 0, float(max(total.get(0, 0), 2))).otherwise(float(max(total.get(1, 0), 2)))
+    ic = F.greatest(F.log2(n / F.col("n_e")), F.lit(1e-9))
     score = lambda n: 1 - F.log2(F.greatest(F.col(n) / F.col("n_te"), F.lit(1.0))) / ic
-    # sentences with some entity are a lower bound of all of a term's sentences: common words fall here, before they are counted
-    least = seen.select("term", "unit").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_least"))
-    joint = materialise(joint.join(n_entity, "entity").join(least, "term").filter(score("n_least") >= generalise))
+    # units with some entity are a lower bound of all of a term's units: common words fall here, before they are counted
+    least = seen.select("wide", "term", "unit").distinct().groupBy("wide", "term").agg(F.count(F.lit(1)).alias("n_least"))
+    joint = materialise(joint.join(n_entity, ["wide", "entity"]).join(least, ["wide", "term"]).filter(score("n_least") >= generalise))
     terms = joint.select("term").distinct()
     few = _few(terms)
     used = occurrences(docs, None if few is None else frozenset(r[0] for r in few))
-    n_term = used.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    best = joint.join(n_term, "term").groupBy("term").agg(F.max(score("n_t")).alias("score")).filter(F.col("score") >= generalise)
+    n_term = used.join(terms, "term", "left_semi").distinct().groupBy("wide", "term").agg(F.count(F.lit(1)).alias("n_t"))
+    best = joint.join(n_term, ["wide", "term"]).groupBy("term").agg(F.max(score("n_t")).alias("score")).filter(F.col("score") >= generalise)
     return materialise(best.withColumn("action", F.when(F.col("score") >= remove, "remove").otherwise("generalise")))
 
 

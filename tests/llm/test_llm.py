@@ -363,6 +363,15 @@ def test_disclosing_copies(spark):
     assert plain == more and 0.5 < plain["zorbo"] < 0.97
 
 
+def test_disclosing_paragraphs(spark):
+    """Terms of another sentence of the entity's paragraph are found, short names too; letters within codes are no terms."""
+    rows = [(k, f"Mail zo@x.com about {prose(k, 5, 50)}. Ask Li or Zorbo w{k}.\n{prose(k + 500, 40, 50)}", "a") for k in range(8)]
+    rows += [(100 + k, f"mail about ask or {prose(k, 30, 50)}", "a") for k in range(300)] + [(900, "Met Li, B12Li9 there", "a")]
+    got = {r.doc_id: r.spans for r in pii.find(docs(spark, rows)).collect()}
+    assert {r.term for r in pii.disclosing(docs(spark, rows)).collect()} == {"li", "zorbo"}
+    assert got[900] == "term:4:6"
+
+
 def test_pii_edges(spark, odd):
     assert pii.find(odd).count() == odd.count() and pii.find(empty_like(odd)).count() == 0
     assert pii.sanitise(odd).columns == odd.columns
