@@ -12,6 +12,8 @@ their domain's prior. Null outcomes count as unlabelled. Repeated rows each get
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ from .common import materialise
 
 #: (verdict, host and path); at most some hundred: they are part of the plan.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Public suffixes of two labels; others have one.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "com.cn", "co.nz", "co.za")
+#: The public suffix list (publicsuffix.org, with its private part), as the rules of ``with_suffixes``.
+SUFFIX_LIST = Path(__file__).with_name("public_suffix_list.dat")
 #: Bounds of the overdispersion, and its value where no group has two labelled pages.
 LEAST_RHO, MOST_RHO, NO_RHO = 1e-3, 0.999, 0.5
 
@@ -45,13 +47,31 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return best
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*LONG_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
-
-
-def domain_of(host: Column) -> Column:
-    return F.when(F.substring_index(host, ".", -2).isin(*LONG_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def suffix_rules(text: str) -> list[str]:
+    """Rules of a public suffix list, names beyond ASCII in their encoded form too."""
+    rules = {line.split()[0].lower() for line in text.splitlines() if line.strip() and not line.startswith("//")}
+    for rule in [r for r in rules if not r.isascii()]:
+        try:
+            rules.add(".".join(label if label.isascii() else label.encode("idna").decode() for label in rule.split(".")))
+        except UnicodeError:  # a label that the older encoding doesn't know: its plain form stays
+            pass
+    return sorted(rules)
+
+
+def with_suffixes(hosts: DataFrame, rules: list[str] | None = None) -> DataFrame:
+    """Adds suffix and domain (one label more) to rows of distinct hosts, by a public suffix list: ``*.x`` stands for any label
+    before x, ``!x`` is no suffix itself, the longest rule holds. Without a rule the last label is the suffix."""
+    rules = suffix_rules(SUFFIX_LIST.read_text("utf-8")) if rules is None else rules
+    most = max([r.count(".") + 1 for r in rules], default=1)
+    line = hosts.sparkSession.range(1).select(F.explode(F.split(F.lit("\n".join(rules)), "\n")).alias("rule"))
+    table = line.select(F.regexp_replace("rule", r"^(\*\.|!)", "").alias("tail"), F.startswith("rule", F.lit("*.")).alias("wild"), F.startswith("rule", F.lit("!")).alias("but"))
+    last = lambda count, more=0: F.call_function("substring_index", F.col("host"), F.lit("."), -F.col(count) - more)
+    labels = F.split("host", r"\.")
+    split = hosts.select("host", F.size(labels).alias("all"), F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))).alias("k")).withColumn("tail", last("k"))
+    length = F.when(F.col("wild"), F.when(F.col("all") > F.col("k"), F.col("k") + 1)).otherwise(F.col("k"))
+    found = split.join(F.broadcast(table), "tail").groupBy("host").agg(F.max(F.when(F.col("but"), F.col("k") - 1)).alias("but"), F.max(F.when(~F.col("but"), length)).alias("most"))
+    size = F.coalesce("but", "most", F.lit(1))
+    return hosts.join(found.select("host", size.alias("labels")), "host", "left").withColumn("labels", F.coalesce("labels", F.lit(1))).withColumn("suffix", last("labels")).withColumn("domain", last("labels", 1)).drop("labels")
 
 
 def _shrink(level: DataFrame) -> DataFrame:
@@ -66,10 +86,11 @@ def _shrink(level: DataFrame) -> DataFrame:
     return level.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
 
 
-def reputation(pages: DataFrame, z: float = 1.645) -> DataFrame:
+def reputation(pages: DataFrame, z: float = 1.645, suffixes: list[str] | None = None) -> DataFrame:
     """host, n, x, mean, lower: posterior of the share of bad pages of hosts. pages: host, bad (null: unlabelled)."""
     sums = [F.sum("n").alias("n"), F.sum("x").alias("x")]
-    hosts = materialise(pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("x")).withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host"))))
+    hosts = pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("x"))
+    hosts = materialise(with_suffixes(hosts, suffixes))
     n, x = hosts.agg(*sums).first()
     overall = ((x or 0) + 1) / ((n or 0) + 2)
     suffixes = _shrink(hosts.groupBy("suffix").agg(*sums).withColumn("m", F.lit(overall)))
@@ -79,15 +100,15 @@ def reputation(pages: DataFrame, z: float = 1.645) -> DataFrame:
     return full.select("host", "n", "x", "mean", (F.col("mean") - z * F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))).alias("lower"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, most_bad: float = 0.35, z: float = 1.645, rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, most_bad: float = 0.35, z: float = 1.645, rules=RULES, suffixes: list[str] | None = None) -> DataFrame:
     """One row per row of pages (page_id, url): page_id, host, path, rule, verdict, bad_share. outcomes: key, bad.
 
-    A page's key, by which its outcome is found, is the first number in its path.
+    suffixes: rules of a public suffix list (by default those of ``SUFFIX_LIST``). A page's key, by which its outcome is found, is the first number in its path.
     """
     parsed = pages.select("page_id", "url").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     known = outcomes.filter("key IS NOT NULL AND bad IS NOT NULL").groupBy("key").agg(F.max("bad").alias("bad"))
     keyed = parsed.select("host", F.expr("try_cast(regexp_extract(path, '([0-9]+)', 1) AS bigint)").alias("key"))
-    hosts = materialise(reputation(keyed.join(known, "key", "left"), z))
+    hosts = materialise(reputation(keyed.join(known, "key", "left"), z, suffixes))
     judged = parsed.join(hosts, "host", "left").withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("n").isNotNull() & (F.col("lower") > most_bad), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", own).alias("verdict"), F.col("mean").alias("bad_share"))

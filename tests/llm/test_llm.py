@@ -169,6 +169,16 @@ def test_reputation(spark):
     assert got["good.x.net"].mean < got["new.y.net"].mean < got["few.y.net"].mean < 1 and got["few.y.net"].lower < 0.9
 
 
+def test_public_suffixes(spark):
+    want = {"a.b.gov.uk": "b.gov.uk", "x.gov.uk": "x.gov.uk", "gov.uk": "gov.uk", "p.x.com.mx": "x.com.mx", "u.github.io": "u.github.io", "v.u.github.io": "u.github.io", "a.co.uk": "a.co.uk", "s.x.net": "x.net", "www.ck": "www.ck", "b.www.ck": "www.ck", "a.b.c.ck": "b.c.ck", "y.x.nosuch": "x.nosuch", "one": "one", "": "", "a.xn--p1ai": "a.xn--p1ai", "u.a.рф": "a.рф"}
+    got = {r.host: r.domain for r in urls.with_suffixes(spark.createDataFrame([(h,) for h in want], "host string")).collect()}
+    assert got == want
+    rows = [("bad.github.io", True)] * 40 + [("good.github.io", False)] * 40 + [("new.github.io", None), ("sub.bad.github.io", None)]
+    got = {r.host: r for r in urls.reputation(spark.createDataFrame(rows, "host string, bad boolean")).collect()}
+    assert got["sub.bad.github.io"].mean > 0.7 and got["new.github.io"].mean < got["sub.bad.github.io"].mean - 0.2
+    assert {r.domain for r in urls.with_suffixes(spark.createDataFrame([("a.b.c",)], "host string"), ["b.c"]).collect()} == {"a.b.c"}
+
+
 # ---- 5 near duplicates
 
 
