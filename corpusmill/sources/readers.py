@@ -120,6 +120,16 @@ def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = F
     return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), F.col("length").alias("size"))
 
 
+def names_below(spark: SparkSession, path: str) -> DataFrame:
+    """path and size of every file below a folder by the file system itself, empty and hidden ones too; listed on the driver."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        files.append((f.getPath().toString(), f.getLen()))
+    return spark.createDataFrame(files, "path string, size long")
+
+
 def contents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
 

@@ -8,12 +8,14 @@ import sys
 import tarfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import corpus
 from ..schema import FIELDS
+from . import readers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -77,9 +79,22 @@ def write_shards(files: DataFrame, folder: str, prefix: str, capacity: int = 200
 
 
 def write_folder_shards(spark, source: str, folder: str, prefix: str, capacity: int = 2000, skip: str = ".jsonl") -> DataFrame:
-    """Shards of all files below a folder in path order, without those of the ending ``skip``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).filter(~F.endswith("path", F.lit(skip)))
-    return write_shards(files.select("path", "content"), folder, prefix, capacity)
+    """Shards of all files below a folder in path order, without those of the ending ``skip``.
+
+    Spark's file source leaves out files without bytes and names that start with '_' or '.'; the file system lists those.
+    They are read on a file system that all executors share, as ``write_files`` writes there.
+    """
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "content")
+    names = readers.names_below(spark, source)
+    rest = names.join(plain.select("path"), "path", "left_anti")
+
+    def run(batches):
+        for b in batches:
+            for path, size in zip(b.column("path").to_pylist(), b.column("size").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([Path(path.removeprefix("file:")).read_bytes() if size else b""], pa.binary())], names=["path", "content"])
+
+    files = plain.unionByName(rest.mapInArrow(run, "path string, content binary"))
+    return write_shards(files.filter(~F.endswith("path", F.lit(skip))), folder, prefix, capacity)
 
 
 def report(samples: DataFrame, duplicates: int, path: str | None = None) -> dict:

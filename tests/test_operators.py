@@ -110,6 +110,25 @@ def test_shard_files(spark, tmp_path):
         assert t.getnames() == ["4.png"]
 
 
+def test_folder_shards(spark, tmp_path):
+    """Empty and hidden files are packed too."""
+    import tarfile
+
+    want = {"a.png": b"1", "empty.txt": b"", "_mark": b"2", ".dot": b"3", "x y+%.txt": b"4", "in.txt": b"5"}
+    for name, data in want.items():
+        target = tmp_path / "src" / ("_sub" if name == "in.txt" else "d") / name
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(data)
+    (tmp_path / "src/rows.jsonl").write_text("{}")
+    counts = sinks.write_folder_shards(spark, str(tmp_path / "src"), str(tmp_path / "out"), "img", 4)
+    assert sorted(r.files for r in counts.collect()) == [2, 4]
+    got = {}
+    for path in (tmp_path / "out").glob("*.tar.gz"):
+        with tarfile.open(path) as t:
+            got |= {m.name: t.extractfile(m).read() for m in t.getmembers()}
+    assert got == want
+
+
 def test_manifest(spark):
     log = spark.createDataFrame([("a", True, 1), ("a", False, 2), ("b", True, 1), ("c", None, 1)], "id string, processed boolean, ord int")
     items = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
