@@ -4,7 +4,8 @@ For every participant of a dialogue one example is made in which that speaker is
 The loss mask is the list of spans (code points, end exclusive) of the speaker's own texts with their closing marks.
 
 A dialogue is rendered in parts of ``PART`` consecutive turn numbers, so that one very long dialogue is many rows, never one task's;
-every participant of the dialogue gets every part. Turns are joined with participants per dialogue.
+every participant of the dialogue gets every part. Later parts lack the other earlier turns but begin with the turns of ``NARRATORS``
+from earlier parts (counted in n_turns). Turns are joined with participants per dialogue.
 
 Edge cases: null text is empty; null role is the name ``unknown``; turns come in order of (turn, role, text), null turns first in part
 0; repeated rows are repeated turns. Roles in ``NARRATORS`` set the scene and get no example of their own; a dialogue of them
@@ -25,6 +26,12 @@ def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
     clean = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     number = F.coalesce(F.floor(F.col("turn") / part).cast("long"), F.lit(0).cast("long"))
     parts = clean.groupBy("conv_id", number.alias("part")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    # parts after the first are rare: only they look for what set the scene before
+    scene = clean.filter(F.col("role").isin(*NARRATORS)).select(F.col("conv_id").alias("in"), number.alias("from"), F.struct("turn", "role", "text").alias("t"))
+    later = clean.select(F.col("conv_id").alias("c"), number.alias("k")).filter("k > 0").distinct()
+    carried = later.join(scene, F.col("c").eqNullSafe(F.col("in")) & (F.col("from") < F.col("k"))).groupBy("c", "k").agg(F.array_sort(F.collect_list("t")).alias("earlier"))
+    parts = parts.join(carried, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("k")), "left")
+    parts = parts.select("conv_id", "part", F.when(F.col("earlier").isNull(), F.col("turns")).otherwise(F.concat("earlier", "turns")).alias("turns"))
     speakers = clean.filter(~F.col("role").isin(*NARRATORS)).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
     both = parts.join(speakers, parts.conv_id.eqNullSafe(speakers["of"]))
 

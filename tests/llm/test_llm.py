@@ -456,6 +456,18 @@ def test_chat(spark):
     assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_scene_of_parts(spark):
+    """Later parts begin with the earlier system turns, none with later ones."""
+    rows = [(None, 0, "system", "be kind"), (None, 1, "ann", "a"), (None, 300, "bob", "b"), (None, 301, "system", "be brief"), (None, 600, "ann", "c")]
+    got = {(r.part, r.speaker): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    kind, brief = "<system>\nbe kind\n</turn>\n", "<system>\nbe brief\n</turn>\n"
+    assert got[0, "ann"].text == kind + "<assistant>\na\n</turn>\n"
+    assert got[1, "bob"].text == kind + "<assistant>\nb\n</turn>\n" + brief and got[1, "bob"].n_turns == 3
+    r = got[2, "ann"]
+    a, b = map(int, r["mask"].split(":"))
+    assert r.text == kind + brief + "<assistant>\nc\n</turn>\n" and r.text[a:b] == "c\n</turn>\n"
+
+
 # ---- 10 quality
 
 
