@@ -16,8 +16,50 @@ def read_npy(data: bytes) -> np.ndarray:
     return np.load(io.BytesIO(data), allow_pickle=False)
 
 
+def _lzw(data: bytes) -> bytes:
+    """Bytes of a TIFF's LZW stream: codes of 9 to 12 bits, highest bit first."""
+    out, table, width, last = bytearray(), [], 9, b""
+    held = bits = 0
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, width, last = [bytes([k]) for k in range(256)] + [b"", b""], 9, b""
+            continue
+        entry = table[code] if code < len(table) else last + last[:1]
+        out += entry
+        if last:
+            table.append(last + entry[:1])
+        last = entry
+        # the writer changes width one code early
+        width = 12 if len(table) >= 2047 else 11 if len(table) >= 1023 else 10 if len(table) >= 511 else 9
+    return bytes(out)
+
+
+def _packbits(data: bytes) -> bytes:
+    out, at = bytearray(), 0
+    while at < len(data):
+        n = data[at]
+        if n < 128:
+            out += data[at + 1 : at + 2 + n]
+            at += 2 + n
+        else:
+            out += data[at + 1 : at + 2] * (257 - n if n > 128 else 0)
+            at += 2
+    return bytes(out)
+
+
+#: Compressions by their number.
+UNPACK = {1: bytes, 5: _lzw, 8: zlib.decompress, 32773: _packbits, 32946: zlib.decompress}
+
+
 def read_tiff(data: bytes) -> np.ndarray:
-    """First image of a strip TIFF: no or deflate compression, predictor 1 or 2, chunky or planar; (H, W) or (H, W, C)."""
+    """First image of a TIFF in strips or tiles: no, LZW, deflate or packbits compression, predictor 1 or 2, chunky or planar; (H, W) or (H, W, C)."""
     end = {b"II": "<", b"MM": ">"}[data[:2]]
     (at,) = struct.unpack_from(end + "I", data, 4)
     (count,) = struct.unpack_from(end + "H", data, at)
@@ -35,18 +77,25 @@ def read_tiff(data: bytes) -> np.ndarray:
     width, height, bands = one(256, 0), one(257, 0), one(277, 1)
     kind = {1: "u", 2: "i", 3: "f"}[one(339, 1)]
     dtype = np.dtype(f"{end}{kind}{one(258, 8) // 8}")
-    if 273 not in tags or one(259, 1) not in (1, 8, 32946):
-        raise ValueError("only strip TIFFs without or with deflate compression are read")
-    planar, rows = one(284, 1) == 2, one(278, height)
+    if one(259, 1) not in UNPACK or one(317, 1) not in (1, 2):
+        raise ValueError("this TIFF's compression is not read")
+    unpack, planar = UNPACK[one(259, 1)], one(284, 1) == 2
     across = 1 if planar else bands
-    parts = []
-    for k, (lo, n) in enumerate(zip(tags[273], tags[279], strict=True)):
-        raw = data[lo : lo + n] if one(259, 1) == 1 else zlib.decompress(data[lo : lo + n])
-        first = k % math.ceil(height / rows) * rows
-        strip = np.frombuffer(raw, dtype, min(rows, height - first) * width * across).reshape(-1, width, across)
-        parts.append(np.cumsum(strip, axis=1, dtype=dtype.newbyteorder("=")) if one(317, 1) == 2 else strip)
-    full = np.concatenate(parts)
-    full = np.moveaxis(full.reshape(bands, height, width), 0, -1) if planar and bands > 1 else full
+    # strips are tiles of the whole width
+    tiled = 322 in tags
+    wide, high = (one(322, width), one(323, height)) if tiled else (width, min(one(278, height), height))
+    starts, lengths = (tags[324], tags[325]) if tiled else (tags[273], tags[279])
+    columns, rows = math.ceil(width / wide), math.ceil(height / high)
+    full = np.zeros((height, width, bands), dtype.newbyteorder("="))
+    for k, (lo, n) in enumerate(zip(starts, lengths, strict=True)):
+        plane, at = divmod(k, columns * rows)
+        top, left = at // columns * high, at % columns * wide
+        lines = high if tiled else min(high, height - top)
+        part = np.frombuffer(unpack(data[lo : lo + n]), dtype, lines * wide * across).reshape(lines, wide, across)
+        if one(317, 1) == 2:
+            part = np.cumsum(part, axis=1, dtype=full.dtype)
+        y, x = min(high, height - top), min(wide, width - left)
+        full[top : top + y, left : left + x, plane if planar else slice(None)] = part[:y, :x, 0] if planar else part[:y, :x]
     return full[:, :, 0] if full.shape[2] == 1 else full
 
 
@@ -66,40 +115,70 @@ def write_png(image: np.ndarray, level: int = 6) -> bytes:
     return PNG_HEAD + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows.tobytes(), level)) + part(b"IEND", b"")
 
 
+def _unfiltered(raw: bytes, height: int, line: int, step: int) -> np.ndarray:
+    """Rows of a PNG without their filters; step: bytes of a pixel."""
+    rows = np.frombuffer(raw, np.uint8, height * (line + 1)).reshape(height, line + 1)
+    out = np.zeros((height, line), np.uint8)
+    above = np.zeros(line, np.uint8)
+    for y in range(height):
+        kind, own = rows[y, 0], rows[y, 1:]
+        if kind == 1:  # each byte minus the one a pixel before
+            pad = -line % step
+            own = np.cumsum(np.pad(own, (0, pad)).reshape(-1, step), axis=0, dtype=np.uint8).ravel()[:line]
+        elif kind == 2:
+            own = own + above
+        elif kind:
+            # these depend on the byte just made, so they go byte by byte, in plain integers
+            done, up = bytearray(own.tobytes()), above.tobytes()
+            if kind == 3:
+                for x in range(line):
+                    done[x] = (done[x] + ((done[x - step] if x >= step else 0) + up[x]) // 2) & 255
+            else:
+                for x in range(min(step, line)):
+                    done[x] = (done[x] + up[x]) & 255
+                for x in range(step, line):
+                    left, top, corner = done[x - step], up[x], up[x - step]
+                    p, q = top - corner, left - corner
+                    r = p + q
+                    p, q, r = (p if p >= 0 else -p), (q if q >= 0 else -q), (r if r >= 0 else -r)
+                    done[x] = (done[x] + (left if p <= q and p <= r else top if q <= r else corner)) & 255
+            own = np.frombuffer(bytes(done), np.uint8)
+        out[y] = above = own
+    return out
+
+
 def read_png(data: bytes) -> np.ndarray:
-    """An 8-bit gray, RGB or RGBA PNG without interlacing, as (H, W) or (H, W, C)."""
+    """A PNG without interlacing as (H, W) or (H, W, C): gray, RGB, with or without alpha, of 8 or 16 bits, or a palette (as RGB)."""
     if data[:8] != PNG_HEAD:
         raise ValueError("not a PNG")
-    at, body, head = 8, b"", b""
+    at, body, head, palette = 8, [], b"", b""
     while at < len(data):
         size, name = struct.unpack_from(">I4s", data, at)
         part = data[at + 8 : at + 8 + size]
-        head, body = (part if name == b"IHDR" else head), (body + part if name == b"IDAT" else body)
+        if name == b"IHDR":
+            head = part
+        elif name == b"PLTE":
+            palette = part
+        elif name == b"IDAT":
+            body.append(part)
         at += 12 + size
     width, height, depth, kind, _, _, laced = struct.unpack(">IIBBBBB", head)
-    bands = {0: 1, 2: 3, 4: 2, 6: 4}[kind]
-    if depth != 8 or laced:
-        raise ValueError("only 8-bit PNGs without interlacing are read")
-    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(height, 1 + width * bands)
-    out = np.zeros((height, width * bands), np.uint8)
-    above = np.zeros(width * bands, np.int64)
-    for y in range(height):
-        kind, line = rows[y, 0], rows[y, 1:].astype(np.int64)
-        if kind == 1:
-            line = np.cumsum(line.reshape(width, bands), axis=0).ravel() & 255
-        elif kind == 2:
-            line = (line + above) & 255
-        elif kind:
-            for x in range(len(line)):
-                left, up, corner = (line[x - bands] if x >= bands else 0), above[x], (above[x - bands] if x >= bands else 0)
-                guess = (left + up) // 2
-                if kind == 4:
-                    p = left + up - corner
-                    near = [abs(p - left), abs(p - up), abs(p - corner)]
-                    guess = (left, up, corner)[near.index(min(near))]
-                line[x] = (line[x] + guess) & 255
-        out[y], above = line, line
-    image = out.reshape(height, width, bands)
+    bands = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[kind]
+    if laced:
+        raise ValueError("PNGs with interlacing are not read")
+    line = (width * bands * depth + 7) // 8
+    rows = _unfiltered(zlib.decompress(b"".join(body)), height, line, max(1, bands * depth // 8))
+    if depth == 16:
+        image = rows.view(">u2").astype(np.uint16)
+    elif depth == 8:
+        image = rows
+    else:  # several pixels in a byte; gray is spread over 8 bits
+        bits = np.unpackbits(rows, axis=1).reshape(height, -1, depth)
+        image = (bits @ (1 << np.arange(depth)[::-1])).astype(np.uint8)[:, :width]
+        image = image if kind == 3 else (image * (255 // (2**depth - 1))).astype(np.uint8)
+    if kind == 3:
+        return np.frombuffer(palette, np.uint8).reshape(-1, 3)[image]
+    image = image.reshape(height, width, bands)
     return image[:, :, 0] if bands == 1 else image
 
 
@@ -236,6 +315,24 @@ def side_by_side(left: np.ndarray, right: np.ndarray, height: int | None = None,
     return np.concatenate([left, np.full((high, gap, 3), gray, np.uint8), right], axis=1)
 
 
+def concat_png(left: bytes, right: bytes, **options) -> bytes:
+    """Two PNGs beside each other, as an uncompressed PNG."""
+    colour = lambda x: np.stack([x] * 3, axis=-1) if x.ndim == 2 else x[:, :, :3]
+    return write_png(side_by_side(colour(read_png(left)), colour(read_png(right)), **options), 0)
+
+
+def class_boxes(mask: np.ndarray, classes: int) -> list[list[float]]:
+    """For each class in a mask of class numbers the box around its pixels, on the grid of 1000."""
+    mask = mask[:, :, 0] if mask.ndim == 3 else mask
+    h, w = mask.shape
+    out = []
+    for k in range(classes):
+        ys, xs = np.nonzero(mask == k)
+        if len(ys):
+            out.append([round(float(v) / n * 1000, 2) for v, n in ((xs.min(), w), (ys.min(), h), (xs.max(), w), (ys.max(), h))])
+    return out
+
+
 def db(values: np.ndarray, low: float, high: float) -> np.ndarray:
     return np.clip(10 * np.log10(np.maximum(values, 1e-10)), low, high)
 

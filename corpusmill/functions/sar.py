@@ -1,4 +1,4 @@
-"""Radar intensities as column expressions, for pixel tables; ``array_form`` lifts them to arrays."""
+"""Radar intensities as column expressions, for pixel tables."""
 
 from __future__ import annotations
 
@@ -45,10 +45,6 @@ def gray_rgb(intensity: Column) -> Column:
     return F.struct(g.alias("r"), g.alias("g"), g.alias("b"))
 
 
-def array_form(array: Column, function) -> Column:
-    return F.transform(array, function)
-
-
 def downsampled_size(size: Column, target: Column, native: Column) -> Column:
     """Pixels of a side after down-sampling to a coarser resolution; unchanged if it is as coarse already."""
     return F.when(native >= target, size).otherwise(F.greatest(F.lit(1), F.bround(size * (native / target), 0).cast("int")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ORDER = ["tier_ord", "file_ord", "line_no"]
+GROUPS = ("dataset", "task", "pair_type", "modality", "split")
 
 
 def union_tiers(tiers: list[DataFrame]) -> DataFrame:
@@ -43,7 +44,7 @@ def keep_first(samples: DataFrame, key: list[str], order: list[str]) -> DataFram
     return best.select("r.*")
 
 
-def grouped_counts(samples: DataFrame, fields: tuple[str, ...] = ("dataset", "task", "pair_type", "modality", "split")) -> DataFrame:
+def grouped_counts(samples: DataFrame, fields: tuple[str, ...] = GROUPS) -> DataFrame:
     """field, value, count for every field, in one pass; a missing value is ``?``. The total is the field ``total``."""
     filled = samples.select(*[F.coalesce(f, F.lit("?")).alias(f) for f in fields])
     pairs = F.array(F.struct(F.lit("total").alias("field"), F.lit("").alias("value")), *[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
@@ -57,9 +58,9 @@ def percent_text(part: Column, total: Column) -> Column:
 
 
 def coverage(samples: DataFrame) -> DataFrame:
-    """total, single, paired, with_bbox and the coverage text."""
-    has = F.coalesce(F.size("bbox") > 0, F.lit(False)) & F.col("bbox").isNotNull()
-    sums = samples.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("pair_type") == "single").alias("single"), F.count_if(F.col("pair_type") != "single").alias("paired"), F.count_if(has).alias("with_bbox"))
+    """total, single and paired (by the number of images), with_bbox (not null) and the coverage text."""
+    n = F.coalesce(F.size("image_path"), F.lit(0))
+    sums = samples.agg(F.count(F.lit(1)).alias("total"), F.count_if(n == 1).alias("single"), F.count_if(n == 2).alias("paired"), F.count_if(F.col("bbox").isNotNull()).alias("with_bbox"))
     return sums.withColumn("bbox_coverage", percent_text(F.col("with_bbox"), F.col("total")))
 
 
@@ -80,6 +81,6 @@ def shard_assign(files: DataFrame, order: list[str], capacity: int = 2000, slice
 
 
 def all_or_nothing(rows: DataFrame, group: str) -> DataFrame:
-    """Only the groups of which no row is invalid (column errors)."""
-    bad = rows.filter(F.size("errors") > 0).select(group).distinct()
-    return rows.join(bad, group, "left_anti")
+    """Only the groups of which no row is invalid (column errors). The input is read once; groups are the few rows of an item."""
+    packed = rows.groupBy(group).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != group])).alias("_rows"), F.bool_and(F.size("errors") == 0).alias("_fine"))
+    return packed.filter("_fine").select(group, F.explode("_rows").alias("_r")).select(group, "_r.*").select(*rows.columns)

@@ -30,6 +30,18 @@ def unpack(raster: dict) -> np.ndarray:
     return image[:, :, 0] if raster["bands"] == 1 else image
 
 
+#: Bytes of input that are turned into Python objects at a time (a larger image alone).
+SLICE_BYTES = 4 << 20
+
+
+def _slices(batches):
+    """Slices of Arrow batches of about SLICE_BYTES: images come by the thousand, but a few at a time are unpacked."""
+    for b in batches:
+        rows = max(1, int(SLICE_BYTES / max(1, b.nbytes / max(1, b.num_rows))))
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def map_images(df: DataFrame, inputs: list[str], out: str, kind: T.DataType, function: Callable) -> DataFrame:
     """Adds a column: function of the input columns, row by row in Arrow batches; null where an input is null or it fails.
 
@@ -41,7 +53,7 @@ def map_images(df: DataFrame, inputs: list[str], out: str, kind: T.DataType, fun
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
 
-        for b in batches:
+        for b in _slices(batches):
             values, failures = [], []
             for row in zip(*(b.column(c).to_pylist() for c in inputs), strict=True):
                 value = failure = None
@@ -85,6 +97,18 @@ def decode_jvm(spark, path: str, glob: str = "*", among: DataFrame | None = None
     return map_images(flat, ["raw"], "image", RASTER, swap).drop("raw", "error")
 
 
+def decode_any(spark, folder: str, wanted: DataFrame, by_jvm: str, by_us: str = "") -> DataFrame:
+    """wanted (path and others) with the image of the files in a folder that can be read: those of the glob ``by_jvm`` through the JVM
+    (TIFFs, which it doesn't know, here), those of ``by_us`` here. Files that can't be read have a null image or no row."""
+    from ..sources import readers
+
+    if not readers.exists(spark, folder):
+        return wanted.withColumn("image", F.lit(None).cast(RASTER))
+    jpeg = decode_jvm(spark, folder, by_jvm, wanted.select("path")).join(wanted, "path")
+    here = decode(readers.contents(spark, folder, by_us or "*.tif").join(wanted, "path")).drop("content", "error")
+    return here.unionByName(jpeg)
+
+
 def encode(images: DataFrame, image: str = "image", out: str = "png", level: int = 6) -> DataFrame:
     return map_images(images, [image], out, T.BinaryType(), lambda x: rasters.write_png(x, level))
 
@@ -94,11 +118,6 @@ def region_boxes(images: DataFrame, mask: str = "image", least: int = 50) -> Dat
     return map_images(images, [mask], "boxes", T.ArrayType(T.ArrayType(T.LongType())), lambda x: rasters.region_boxes(rasters.binary_mask(x), least))
 
 
-def once(items: DataFrame, key: str) -> DataFrame:
-    """One row per key, so that an image shared by many rows is made once."""
-    return items.dropDuplicates([key])
-
-
 def from_values(df: DataFrame, values: str, height: int, width: int, dtype: str = "<f4") -> DataFrame:
     """Rasters of arrays of numbers."""
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import MANIFEST
+
 
 def state(log: DataFrame, order: str) -> DataFrame:
     """id and its last processed flag (missing: false)."""
@@ -23,3 +25,15 @@ def counts(log: DataFrame, order: str) -> DataFrame:
 def outcomes(items: DataFrame) -> DataFrame:
     """Run counters over a column outcome: processed, skipped, failed."""
     return items.agg(*[F.count_if(F.col("outcome") == k).alias(k) for k in ("processed", "skipped", "failed")])
+
+
+def append(finished: DataFrame, path: str, dataset: str, split: str = "train", shard: str = "") -> None:
+    """Add a line for each processed item of a run (source_id, outcome) to the log: a folder of JSON lines."""
+    lines = finished.filter("outcome = 'processed'").select(F.col("source_id").alias("id"), F.lit(dataset).alias("dataset"), F.lit(split).alias("split"), F.lit(True).alias("processed"), F.lit(shard).alias("output_shard"))
+    lines.write.mode("append").json(path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The log with ``ord``: later files come after earlier ones, lines of a file in order. Lines without an id raise."""
+    rows = spark.read.schema(MANIFEST).json(path, mode="FAILFAST").select("*", F.struct(F.col("_metadata.file_modification_time").alias("written"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")).alias("ord"))
+    return rows.withColumn("id", F.coalesce("id", F.raise_error(F.lit("a line of the manifest has no id"))))

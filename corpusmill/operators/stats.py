@@ -42,6 +42,20 @@ def band_percentiles(df: DataFrame, band: str, value: str, low: float = 2.0, hig
     return df.groupBy(band).agg(p.alias("p")).select(band, F.bround(F.col("p")[0].cast("double"), 6).alias("low"), F.bround(F.col("p")[1].cast("double"), 6).alias("high"))
 
 
+def save_state(df: DataFrame, band: str, value: str, path: str, append: bool = True) -> None:
+    """Add the values seen so far, as counts of each band's distinct values, to a state that ``percentiles_of_state`` reads."""
+    df.groupBy(F.col(band).alias("band"), F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")).write.mode("append" if append else "overwrite").parquet(path)
+
+
+def percentiles_of_state(spark, path: str, low: float = 2.0, high: float = 98.0) -> DataFrame:
+    """band, low and high over all values that were added to a state; raises if there are none."""
+    state = spark.read.parquet(path)
+    if not state.limit(1).count():
+        raise ValueError("no values were accumulated")
+    p = F.percentile("value", F.array(F.lit(low / 100), F.lit(high / 100)), F.col("n"))
+    return state.groupBy("band").agg(p.alias("p")).select("band", F.bround(F.col("p")[0], 6).alias("low"), F.bround(F.col("p")[1], 6).alias("high"))
+
+
 def band_clip(df: DataFrame, percentiles: DataFrame, band: str, value: str) -> DataFrame:
     """Values clamped to their band's percentiles; a band without any is left as it is."""
     joined = df.join(percentiles, band, "left")
@@ -62,7 +76,3 @@ def first_class(rows: DataFrame, key: str, order: str, name: Column) -> DataFram
     """Per key the first valid class name by order, else ``unknown``."""
     return rows.groupBy(key).agg(F.coalesce(F.min_by(name, F.when(name.isNotNull(), F.col(order))), F.lit("unknown")).alias("class_name"))
 
-
-def class_names(names: Column) -> Column:
-    """Aggregate: the distinct names, sorted, joined with commas."""
-    return F.array_join(F.array_sort(F.collect_set(names)), ", ")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ _OWN: list[str] = []
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, or under one of our own where that is unset."""
+    """A new folder under spark.checkpoint.dir, or under one of our own where that is unset and all runs in one process."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _OWN:
             _OWN.append(tempfile.mkdtemp(prefix="corpusmill-"))
         base = "file://" + _OWN[0]

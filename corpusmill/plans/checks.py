@@ -28,14 +28,14 @@ class Kind:
 #: Needs in one group (same ``any_of`` name) hold if one of them holds.
 CHECKS: dict[str, tuple[tuple[Kind, str], ...]] = {
     "oscd": ((Kind("locations", r"/images/([^/]+)/", 1, 24, r"/images/([^/]+)/"), ""), (Kind("imgs_1", r"/imgs_1/", 1, 0, r"/images/([^/]+)/"), ""), (Kind("imgs_2", r"/imgs_2/", 1, 0, r"/images/([^/]+)/"), ""), (Kind("label_dirs", r"/labels/", 0, 0, r"/labels/([^/]+)/"), "")),
-    "vrsbench": ((Kind("annotations", r"/VRSBench_train\.json$", 1), ""), (Kind("zips", r"/[^/]*\.zip$", 1), "images"), (Kind("images", r"\.(png|jpg)$", 1), "images")),
-    "bigearthnet": ((Kind("metadata", r"/[^/]*\.parquet$", 1), "meta"), (Kind("h5", r"\.h5$", 1), "meta"), (Kind("arrays", r"\.npy$"), "")),
+    "vrsbench": ((Kind("annotations", r"/VRSBench_train\.json$", 1), ""), (Kind("zips", r"/Images_(train|val)\.zip$", 1), "")),
+    "bigearthnet": ((Kind("metadata", r"/metadata\.parquet(/|$)", 1), "meta"), (Kind("h5", r"\.(h5|hdf5)$", 1), "meta"), (Kind("arrays", r"/s2_npy/[^/]*\.npy$"), "")),
     "rsvqa_hr": ((Kind("questions", r"/(train|val|test)\.json$", 1), ""), (Kind("images", r"/images/[^/]*\.(png|jpg)$", 1), "")),
     "cdvqa": ((Kind("questions", r"/(train|val)\.json$", 1), ""), (Kind("test", r"/test\.json$"), "")),
     "levir_cd": ((Kind("train_before", r"/train/A/[^/]*\.png$", 1), ""), (Kind("train_after", r"/train/B/[^/]*\.png$"), ""), (Kind("labels", r"/label/[^/]*\.png$"), "")),
     "spacenet6": ((Kind("images", r"/train/images/[^/]*\.tif$", 1), ""), (Kind("labels", r"/train/labels/[^/]*\.geojson$"), ""), (Kind("sar", r"/train/sar/[^/]*\.tif$"), "")),
     "sardet": ((Kind("images", r"/images/[^/]*\.(png|jpg)$", 1), ""), (Kind("labels", r"/labels/[^/]*\.txt$"), "")),
-    "sen2lulc": ((Kind("metadata", r"/(metadata|labels|annotations)\.(csv|json)$", 1), ""), (Kind("images", r"/images/[^/]*\.(png|jpg|tif)$", 1), "")),
+    "sen2lulc": ((Kind("metadata", r"/(metadata\.csv|annotations\.json)$", 1), ""), (Kind("images", r"/images/[^/]*\.png$", 1), "")),
 }
 ALIASES = {"bigen": "bigearthnet", "sn6_opt": "spacenet6", "sn6_sar": "spacenet6"}
 
@@ -54,6 +54,30 @@ def judge(files: DataFrame, name: str) -> DataFrame:
     return counts(files, kinds).select(F.explode(rows).alias("r")).select("r.*").withColumn("status", status)
 
 
+def contents(spark: SparkSession, name: str, root: str) -> list[tuple[str, int, int]]:
+    """(kind, count, needed) of what a source's own tables hold: rows, and rows of a kind."""
+    there = lambda f: readers.exists(spark, f"{root}/{f}")
+    out: list[tuple[str, int, int]] = []
+    if name == "oscd" and there("images"):
+        files = readers.listing(spark, f"{root}/images", recursive=True, with_empty=True)
+        out.append(("complete_pairs", readers.location_pairs(files).count(), 1))
+    if name == "vrsbench" and there("VRSBench_train.json"):
+        said = readers.conversations(spark, root).select(F.col("conversations")[0]["value"].alias("v"))
+        n, *tasks = said.agg(F.count(F.lit(1)), *[F.count_if(F.col("v").contains(f"[{t}]")) for t in ("caption", "refer", "vqa")]).first()
+        out += [("entries", n, 1), *((f"entries_{t}", k, 0) for t, k in zip(("caption", "refer", "vqa"), tasks))]
+    if name == "bigearthnet" and there("metadata.parquet"):
+        table = spark.read.parquet(f"{root}/metadata.parquet")
+        out.append(("patches", table.count(), 1))
+        if "country" in table.columns:
+            out.append(("countries", table.select("country").distinct().count(), 0))
+        if there("s2_npy"):
+            out.append(("arrays_of_patches", readers.listing(spark, f"{root}/s2_npy", "*.npy", with_empty=True).count(), 1))
+    for split in {"rsvqa_hr": ("train", "val", "test"), "cdvqa": ("train", "val")}.get(name, ()):
+        if there(f"{split}.json"):
+            out.append((f"{split}_questions", readers.json_array(spark, f"{root}/{split}.json", readers.QUESTION, ("questions",)).count(), 0))
+    return out
+
+
 def run(spark: SparkSession, name: str, root: str) -> list[dict]:
     """The rows of a folder's check; StructureError if a need isn't met, ValueError for an unknown name."""
     if ALIASES.get(name, name) not in CHECKS:
@@ -65,6 +89,10 @@ def run(spark: SparkSession, name: str, root: str) -> list[dict]:
     for g in groups.values():
         if all(r["status"] == "missing" for r in g):
             raise StructureError(f"{name}: no {' or '.join(r['kind'] for r in g)} under {root}")
+    for kind, count, needed in contents(spark, ALIASES.get(name, name), root):
+        if count < needed:
+            raise StructureError(f"{name}: no {kind} under {root}")
+        rows.append({"kind": kind, "count": count, "needed": needed, "expected": 0, "any_of": "", "status": "ok"})
     return rows
 
 

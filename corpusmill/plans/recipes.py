@@ -12,13 +12,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions import boxes, rasters
 from ..functions.text import padded
 from ..operators import images, manifest, sampling, stats, validate
 from ..operators.tables import materialise
-from ..schema import SAR_CATEGORIES
+from ..schema import LAND_COVER, SAR_CATEGORIES
 from ..sources import readers, sinks
 from . import rows
 
@@ -32,6 +31,8 @@ class Options:
     seed: int = 42
     output_dir: str = ""
     done: DataFrame | None = None
+    #: Land-cover boxes from class masks. Rows that have them are then refused, as their task must not have any.
+    masks: bool = False
 
 
 def finish(made: DataFrame, validated: bool = True) -> DataFrame:
@@ -78,7 +79,7 @@ def vrsbench(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     proxy = F.lit(None).cast("string")
     if o.output_dir:  # one proxy per image, however many entries share it
         if folder:
-            pixels = images.decode_jvm(spark, folder)
+            pixels = images.decode_jvm(spark, folder, among=placed.filter("path IS NOT NULL").select("path").distinct())
             small = images.map_images(pixels, ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.proxy_image(x))).select(F.concat(_stem(), F.lit("_proxy")).alias("name"), "png")
             _write(small, o)
             proxy = F.when(F.col("path").isNotNull(), _at(o, F.concat(_stem(), F.lit("_proxy"))))
@@ -91,9 +92,11 @@ def rsvqa_hr(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     placed = readers.first_image(_pending(items, o), readers.listing(spark, f"{root}/images"), "image_id", ("png", "jpg", "jpeg", "tif"))
     image = F.col("image")
     if o.output_dir and readers.exists(spark, f"{root}/images"):  # other formats become PNGs, each image once
-        others = images.decode_jvm(spark, f"{root}/images", "*.{jpg,jpeg,tif}")
-        _write(images.encode(others).select(_stem().alias("name"), "png"), o)
-        image = F.when(F.endswith(image, F.lit(".png")), image).otherwise(_at(o, _stem("image")))
+        wanted = placed.filter(~F.endswith("image", F.lit(".png"))).select(F.col("image").alias("path")).distinct()
+        others = materialise(images.encode(images.decode_any(spark, f"{root}/images", wanted, "*.{jpg,jpeg,tif}")).filter("png IS NOT NULL").select("path", "png"))
+        _write(others.select(_stem().alias("name"), "png"), o)
+        placed = placed.join(others.select(F.col("path").alias("image"), F.lit(True).alias("made")), "image", "left")
+        image = F.when(F.endswith(image, F.lit(".png")), image).when(F.col("made"), _at(o, _stem("image")))
     return placed.select("source_id", "position", rows.question_rows(F.col("source_id"), F.col("question"), F.col("answer"), image).alias("rows"))
 
 
@@ -167,7 +170,8 @@ def oscd(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     """Bands other than the three of RGB are never read."""
     if not readers.exists(spark, f"{root}/images"):
         raise FileNotFoundError(f"{root}/images")
-    pairs = readers.location_pairs(readers.listing(spark, f"{root}/images", "*.tif", recursive=True)).withColumn("source_id", rows.text.location_id(F.col("location")))
+    masks = readers.listing(spark, f"{root}/labels", "*-cm.tif", recursive=True)
+    pairs = readers.location_pairs(readers.listing(spark, f"{root}/images", "*.tif", recursive=True), masks).withColumn("source_id", rows.text.location_id(F.col("location")))
     todo = _pending(pairs, o)
     date = lambda c: [F.col(c)[b] for b in ("B04", "B03", "B02")]
     complete = F.lit(True)
@@ -185,15 +189,6 @@ def oscd(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     return todo.select("source_id", F.lit(0).alias("position"), F.when(complete, rows.location_rows(F.col("location"), path("before"), path("after"))).alias("rows"))
 
 
-def _png_or_jpeg(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
-    """wanted (path and others) with the image of the files in a folder that can be read: PNGs, and JPEGs through the JVM."""
-    if not readers.exists(spark, folder):
-        return wanted.withColumn("image", F.lit(None).cast(images.RASTER))
-    png = images.decode(readers.contents(spark, folder, "*.[pP][nN][gG]").join(wanted, "path")).drop("content", "error")
-    jpeg = images.decode_jvm(spark, folder, "*.[jJ][pP][gG]", wanted.select("path")).join(wanted, "path")
-    return png.unionByName(jpeg)
-
-
 def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     fraction = 0.10 if o.fraction is None else o.fraction
     files = readers.listing(spark, f"{root}/images").filter(F.col("ext").isin("png", "jpg"))
@@ -204,7 +199,7 @@ def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     items = files.join(primary, "stem", "left").withColumn("class_name", F.coalesce("class_name", F.lit("unknown"))).withColumn("ext_ord", F.when(F.col("ext") == "png", 0).otherwise(1))
     chosen = sampling.head(sampling.stratified_sample(materialise(items), ["class_name"], "name", fraction, o.seed), ["ext_ord", "name"], o.max_samples).withColumn("source_id", F.concat(F.lit("sardet_"), "stem"))
     todo = _pending(chosen, o)
-    loaded = _png_or_jpeg(spark, f"{root}/images", todo.select("path", "stem", "source_id", "ext_ord"))
+    loaded = images.decode_any(spark, f"{root}/images", todo.select("path", "stem", "source_id", "ext_ord"), "*.[jJ][pP][gG]", "*.[pP][nN][gG]")
     # of a PNG and a JPEG of one id the first that can be read holds
     sizes = loaded.filter("image IS NOT NULL").select("path", "stem", "source_id", "ext_ord", F.col("image.w").cast("double").alias("w"), F.col("image.h").cast("double").alias("h"))
     first = materialise(sizes.groupBy("source_id").agg(F.min_by(F.struct("path", "stem", "w", "h"), F.struct("ext_ord", "path")).alias("f")).select("source_id", "f.*"))
@@ -220,7 +215,7 @@ def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
 
 def sn6_sar(spark: SparkSession, root: str, o: Options = Options(), optical: DataFrame | None = None, selection: DataFrame | None = None) -> DataFrame:
     """optical: samples of the optical run; selection: its tiles (tile). Without either, a uniform sample."""
-    folder = readers.first_existing(spark, [f"{root}/train/sar", f"{root}/train/SAR-Intensity", f"{root}/sar"]) or f"{root}/train/sar"
+    folder = readers.first_existing(spark, [f"{root}/train/sar", f"{root}/sar", f"{root}/Sentinel-1"]) or f"{root}/train/sar"
     tiles = readers.listing(spark, folder, "*.tif").select("path", F.col("stem").alias("tile"))
     pngs = None
     if optical is not None:
@@ -240,41 +235,73 @@ def sn6_sar(spark: SparkSession, root: str, o: Options = Options(), optical: Dat
             x = x.astype(np.float32)
             return rasters.write_png(rasters.radar_rgb(x[:, :, 1], x[:, :, 2], x[:, :, 0]) if x.ndim == 3 and x.shape[2] >= 3 else rasters.radar_rgb(x if x.ndim == 2 else x[:, :, 0]))
 
-        _write(images.map_images(loaded.drop("error"), ["image"], "png", T.BinaryType(), colour).select(F.col("source_id").alias("name"), "png"), o)
+        radar = images.map_images(loaded.drop("error"), ["image"], "png", T.BinaryType(), colour)
+        _write(radar.select(F.col("source_id").alias("name"), "png"), o)
+        paired = todo.filter("optical IS NOT NULL").select("tile", "source_id", F.col("optical").alias("path"))
+        optical_png = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load([r[0] for r in paired.select(F.regexp_replace("path", r"/[^/]*$", "")).distinct().collect()]) if pngs is not None and paired.limit(1).count() else None
+        if optical_png is not None:  # a picture of both, side by side
+            plain = F.regexp_replace("path", "^(file:)?/+", "/")
+            left = optical_png.select(plain.alias("at"), "content").join(paired.select(plain.alias("at"), "tile", "source_id"), "at")
+            both = left.join(radar.select("source_id", "png"), "source_id").withColumnRenamed("png", "right")
+            joined = images.map_images(both, ["content", "right"], "png", T.BinaryType(), rasters.concat_png)
+            _write(joined.select(F.concat(F.lit("sn6_fusion_"), "tile").alias("name"), "png"), o)
     image = _at(o, F.col("source_id")) if o.output_dir else F.col("path")
     return todo.select("source_id", F.lit(0).alias("position"), rows.radar_tile_rows(F.col("tile"), image, F.col("optical")).alias("rows"))
 
 
 def sen2lulc(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
-    items = materialise(readers.land_cover_labels(spark, root).withColumn("key", F.coalesce(F.col("position").cast("string"), F.lit(""))))
-    chosen = sampling.head(sampling.stratified_sample(items, ["label"], "key", 0.05 if o.fraction is None else o.fraction, o.seed), ["position"], o.max_samples)
-    numbered = chosen.withColumn("n", F.row_number().over(Window.orderBy("position")) - 1).withColumn("source_id", padded(F.col("n"), 7, "sen2lulc_"))
-    placed = readers.first_image(_pending(numbered, o), readers.listing(spark, readers.first_existing(spark, [f"{root}/{d}" for d in ("images", "Images", "patches")]) or f"{root}/images"), "image_id", ("png", "jpg", "tif"))
-    return placed.select("source_id", "position", F.when(F.coalesce("image_id", F.lit("")) != "", rows.land_cover_rows(F.col("source_id"), F.col("image"), F.col("label"))).alias("rows"))
+    items = materialise(readers.land_cover_labels(spark, root).withColumn("key", F.coalesce(F.col("position").cast("string"), F.lit(""))).withColumn("stratum", F.coalesce("label", F.lit("unknown"))))
+    chosen = sampling.head(sampling.stratified_sample(items, ["stratum"], "key", 0.05 if o.fraction is None else o.fraction, o.seed), ["position"], o.max_samples)
+    named = chosen.withColumn("source_id", F.concat(F.lit("sen2lulc_"), F.coalesce("image_id", F.col("position").cast("string"))))
+    files = lambda names: readers.listing(spark, readers.first_existing(spark, [f"{root}/{d}" for d in names]) or f"{root}/{names[0]}")
+    placed = readers.first_image(_pending(named, o), files(("images", "Images", "img")), "image_id", ("png", "jpg", "tif"))
+    box = None
+    if o.masks:
+        placed = readers.first_image(placed, files(("masks", "Masks", "label", "labels")), "image_id", ("png", "tif"), "mask")
+        folder = readers.first_existing(spark, [f"{root}/{d}" for d in ("masks", "Masks", "label", "labels")])
+        if folder:
+            boxes_of = lambda x: rasters.class_boxes(x, len(LAND_COVER))
+            masks = images.decode(readers.contents(spark, folder, "*.{png,tif}").join(placed.select(F.col("mask").alias("path")), "path")).drop("error")
+            made = images.map_images(masks, ["image"], "boxes", T.ArrayType(T.ArrayType(T.DoubleType())), boxes_of).select(F.col("path").alias("mask"), "boxes").dropDuplicates(["mask"])
+            placed = placed.join(made, "mask", "left")
+            box = F.when(F.size("boxes") > 0, F.col("boxes"))
+    return placed.select("source_id", "position", F.when(F.coalesce("image_id", F.lit("")) != "", rows.land_cover_rows(F.col("source_id"), F.col("image"), F.col("label"), box)).alias("rows"))
 
 
 def bigen(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
+    """Patches in the order of metadata.parquet, with arrays s2_npy/<patch>.npy (needed) and s1_npy/<patch>.npy."""
     meta = readers.first_existing(spark, [f"{root}/metadata.parquet"])
     if not meta:
         return spark.createDataFrame([], "source_id string, position int, rows array<struct<id:string>>")
-    items = spark.read.parquet(meta)
-    key = F.coalesce(*[F.col(c) for c in ("patch_id", "id") if c in items.columns])
-    items = items.select(F.monotonically_increasing_id().alias("m"), key.alias("patch"), "labels")
     limit = 60_000 if o.max_samples is None else o.max_samples
-    items = sampling.head(items, ["m"], limit, zero_is_none=False).withColumn("position", F.row_number().over(Window.orderBy("m")) - 1).withColumn("source_id", padded(F.col("position"), 8, "bigen_"))
+    items = readers.patches(spark, meta).filter(F.col("position") < limit).withColumn("source_id", padded(F.col("position"), 8, "bigen_"))
     todo = _pending(items, o)
-    s2 = readers.listing(spark, f"{root}/s2", "*.npy").select(F.col("stem").alias("patch"), F.col("path").alias("p2"))
-    s1 = readers.listing(spark, f"{root}/s1", "*.npy").select(F.col("stem").alias("patch"), F.col("path").alias("p1"))
+    s2 = readers.listing(spark, f"{root}/s2_npy", "*.npy").select(F.col("stem").alias("patch"), F.col("path").alias("p2"))
+    s1 = readers.listing(spark, f"{root}/s1_npy", "*.npy").select(F.col("stem").alias("patch"), F.col("path").alias("p1"))
     placed = todo.join(s2, "patch", "left").join(s1, "patch", "left")
     optical, radar = F.col("p2"), F.col("p1")
     if o.output_dir:
-        for sub, end, make in (("s2", "", lambda x: rasters.write_png(rasters.multispectral_rgb(np.moveaxis(x, -1, 0)))), ("s1", "_sar", lambda x: rasters.write_png(rasters.radar_rgb(x[:, :, 0].astype(np.float32), x[:, :, 1].astype(np.float32))))):
-            if readers.exists(spark, f"{root}/{sub}"):
-                names = placed.select(F.col("p2" if sub == "s2" else "p1").alias("path"), F.concat("source_id", F.lit(end)).alias("name"))
-                loaded = images.decode(readers.contents(spark, f"{root}/{sub}", "*.npy").join(names, "path")).drop("error")
-                _write(images.map_images(loaded, ["image"], "png", T.BinaryType(), make), o)
-        optical, radar = F.when(F.col("p2").isNotNull(), _at(o, F.col("source_id"))), F.when(F.col("p1").isNotNull(), _at(o, F.concat("source_id", F.lit("_sar"))))
-    return placed.select("source_id", "position", F.when(F.col("p2").isNotNull(), rows.patch_rows(F.col("position"), F.col("labels"), optical, radar)).alias("rows"))
+        placed = materialise(placed)
+
+        def arrays(sub: str, path: str):
+            names = placed.select(F.col(path).alias("path"), "source_id")
+            return images.decode(readers.contents(spark, f"{root}/{sub}", "*.npy").join(names, "path")).drop("error", "content")
+
+        made = images.map_images(arrays("s2_npy", "p2"), ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.multispectral_rgb(np.moveaxis(x, -1, 0)))).select("source_id", "png")
+        if readers.exists(spark, f"{root}/s1_npy"):
+            sar = lambda x: rasters.write_png(rasters.radar_rgb(x[:, :, 0].astype(np.float32), x[:, :, 1].astype(np.float32)))
+            colour = images.map_images(arrays("s1_npy", "p1").filter("image.bands >= 2"), ["image"], "sar", T.BinaryType(), sar).select("source_id", "sar")
+            made = made.join(colour, "source_id", "left")
+        else:
+            made = made.withColumn("sar", F.lit(None).cast("binary"))
+        made = materialise(made)
+        both = images.map_images(made.filter("png IS NOT NULL AND sar IS NOT NULL"), ["png", "sar"], "both", T.BinaryType(), rasters.concat_png)
+        for frame, end, column in ((made, "_optical", "png"), (made, "_sar", "sar"), (both, "_concat", "both")):
+            _write(frame.select(F.concat("source_id", F.lit(end)).alias("name"), F.col(column).alias("png")), o)
+        seen = made.select("source_id", F.col("png").isNotNull().alias("has"), F.col("sar").isNotNull().alias("has_sar"))
+        placed = placed.join(seen, "source_id", "left")
+        optical, radar = F.when(F.col("has"), _at(o, F.concat("source_id", F.lit("_optical")))), F.when(F.col("has_sar"), _at(o, F.concat("source_id", F.lit("_sar"))))
+    return placed.select("source_id", "position", F.when(optical.isNotNull(), rows.patch_rows(F.col("position"), F.col("labels"), optical, radar)).alias("rows"))
 
 
 RECIPES = {f.__name__: f for f in (bigen, vrsbench, rsvqa_hr, cdvqa, levir_cd, sn6_opt, oscd, sardet, sn6_sar, sen2lulc)}

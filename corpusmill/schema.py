@@ -36,7 +36,7 @@ CORINE = (
     "Complex cultivation patterns",
 )
 RGB_BANDS = ("B04", "B03", "B02")
-#: Native resolution buckets of sources with one known resolution.
+# Native resolution buckets of sources with one known resolution.
 NATIVE_BUCKETS = {
     "rsvqa_hr": "[GSD:0.15m]",
     "sn6_opt": "[GSD:0.5m]",
@@ -47,8 +47,6 @@ NATIVE_BUCKETS = {
     "oscd": "[GSD:10m]",
     "sen2lulc": "[GSD:10m]",
 }
-#: Sources that also get a coarser proxy of every sample.
-DUAL_RESOLUTION = ("vrsbench", "rsvqa_hr", "levir_cd", "sn6_opt")
 
 BOX = T.ArrayType(T.DoubleType())
 BOXES = T.ArrayType(BOX)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.text import band_of, strip
+from ..operators.tables import materialise
 from ..schema import SAMPLE
 
 CONVERSATION = T.StructType([T.StructField("id", T.StringType()), T.StructField("image", T.StringType()), T.StructField("conversations", T.ArrayType(T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])))])
@@ -25,10 +27,28 @@ def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
 
 
+def numbered(rows: DataFrame, of: list[str], out: str) -> DataFrame:
+    """Adds the place (from 0) of each row among those with equal ``of`` columns, in the order in which partitions hold them.
+
+    Only the rows of a partition are counted, per partition and ``of``; nothing is sorted or brought together. File splits come in the
+    order of their offsets, so a row's place in its file doesn't depend on how files are split.
+    """
+    marked = materialise(rows.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
+    parts = marked.groupBy("_p", *of).agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))
+    before = Window.partitionBy(*of).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_p", *of, "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    return marked.join(F.broadcast(starts), ["_p", *of]).withColumn(out, F.col("_before") + F.col("_i") - F.col("_first")).select(*rows.columns, out)
+
+
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file, line_no (from 1) and line of text files. Files are read whole: tiers' files are bounded by the tools that write them."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n").alias("lines"))
-    return whole.select("file", F.posexplode("lines").alias("p", "line")).select("file", (F.col("p") + 1).alias("line_no"), F.regexp_replace("line", r"\r$", "").alias("line"))
+    """file, line_no (from 1) and line of text files, which are split among tasks like any others."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line"))
+    # a split's lines stand together; splits of a file are ordered by their offset
+    marked = materialise(lines.withColumn("_i", F.monotonically_increasing_id()))
+    splits = marked.groupBy("file", "at").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "at", "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    return marked.join(F.broadcast(starts), ["file", "at"]).select("file", (F.col("_before") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "line")
 
 
 def jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = SAMPLE) -> DataFrame:
@@ -91,18 +111,29 @@ def change_questions_all(spark: SparkSession, root: str) -> DataFrame:
 
 
 def land_cover_labels(spark: SparkSession, root: str) -> DataFrame:
-    """image_id and label, all strings: CSV before JSON; none without either."""
-    path = first_existing(spark, [f"{root}/metadata.csv", f"{root}/labels.csv", f"{root}/annotations.csv"])
-    if path:
+    """position, image_id and label, all strings: CSV before JSON; none without either."""
+    path = f"{root}/metadata.csv"
+    if exists(spark, path):
         rows = spark.read.csv(path, header=True, inferSchema=False)
         have = {c.lower(): c for c in rows.columns}
-        rows = rows.select(F.monotonically_increasing_id().alias("position"), *[(F.col(f"`{have[c]}`") if c in have else F.lit(None).cast("string")).alias(c) for c in LABELLED.fieldNames()])
+        rows = numbered(rows.select(*[(F.col(f"`{have[c]}`") if c in have else F.lit(None).cast("string")).alias(c) for c in LABELLED.fieldNames()]), [], "position")
     else:
-        path = first_existing(spark, [f"{root}/metadata.json", f"{root}/labels.json", f"{root}/annotations.json"])
+        path = first_existing(spark, [f"{root}/annotations.json"])
         rows = json_array(spark, path, LABELLED, ("annotations", "data")) if path else _none(spark, LABELLED)
     return rows.select("position", F.coalesce("image_id", "id").alias("image_id"), F.coalesce("label", "class").alias("label"))
 
 
+def patches(spark: SparkSession, path: str) -> DataFrame:
+    """position (from 0, in the order of the file), patch and labels of a table of patches."""
+    items = spark.read.parquet(path)
+    key = F.coalesce(*[F.col(c).cast("string") for c in ("patch_id", "id") if c in items.columns])
+    rows = items.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.trim(key).alias("patch"), F.col("labels") if "labels" in items.columns else F.lit(None).cast("array<long>").alias("labels"))
+    sizes = rows.groupBy("file").agg(F.max("row").alias("last"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("start"))
+    return rows.join(F.broadcast(starts), "file").select((F.col("start") + F.col("row")).alias("position"), "patch", "labels")
+
+
 def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False, with_empty: bool = False) -> DataFrame:
     """path, name, stem, ext and size of files, without their content; nothing if the folder isn't there.
 
@@ -120,6 +151,13 @@ def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = F
     return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), F.col("length").alias("size"))
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, by the file system that Spark uses for it; none if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(p)) if store.exists(p) else []
+
+
 def names_below(spark: SparkSession, path: str) -> DataFrame:
     """path and size of every file below a folder by the file system itself, empty and hidden ones too; listed on the driver."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -149,11 +187,16 @@ def before_after(a: DataFrame, b: DataFrame, labels: DataFrame) -> DataFrame:
     return left.join(right, "base").join(labels.select(F.col("stem").alias("base"), F.col("path").alias("mask")), "base", "left")
 
 
-def location_pairs(files: DataFrame) -> DataFrame:
-    """location with both dates, and the band files of each date, from a recursive listing of <location>/imgs_{1,2}/*."""
+def location_pairs(files: DataFrame, masks: DataFrame | None = None) -> DataFrame:
+    """location, the band files of both dates, and mask (or null), from recursive listings of <location>/imgs_{1,2}/* and of
+    <location>/cm/<location>-cm.tif; only locations with both dates."""
     parts = files.select("path", F.regexp_extract("path", r"/([^/]+)/imgs_([12])/[^/]+$", 1).alias("location"), F.regexp_extract("path", r"/imgs_([12])/[^/]+$", 1).alias("date"), band_of(F.col("name")).alias("band"))
     per = parts.filter("location != ''").groupBy("location").agg(*[F.map_from_entries(F.array_sort(F.collect_set(F.when((F.col("date") == d) & F.col("band").isNotNull(), F.struct("band", "path"))))).alias(n) for d, n in (("1", "before"), ("2", "after"))], F.count_distinct("date").alias("dates"))
-    return per.filter("dates = 2").drop("dates").orderBy("location")
+    pairs = per.filter("dates = 2").drop("dates")
+    if masks is None:
+        return pairs.withColumn("mask", F.lit(None).cast("string")).orderBy("location")
+    found = masks.select(F.regexp_extract("path", r"/([^/]+)/cm/([^/]+)-cm\.tif$", 1).alias("location"), F.regexp_extract("path", r"/([^/]+)/cm/([^/]+)-cm\.tif$", 2).alias("again"), F.col("path").alias("mask"))
+    return pairs.join(found.filter("location != '' AND location = again").select("location", "mask"), "location", "left").orderBy("location")
 
 
 def rings(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import sys
 import tarfile
 from pathlib import Path
@@ -35,14 +36,41 @@ def write_split(samples: DataFrame, path: str) -> None:
     samples.select("split", json_line().alias("value")).write.mode("overwrite").partitionBy("split").text(path)
 
 
+def _place(folder: str):
+    """File system and path of a folder, local or in an object store; used on the executors."""
+    from pyarrow import fs
+
+    if folder.startswith("file:") or "://" not in folder:  # a plain path, whatever characters it has
+        store, base = fs.LocalFileSystem(), re.sub("^(file:)?/+", "/", folder)
+    else:
+        store, base = fs.FileSystem.from_uri(folder)
+    store.create_dir(base, recursive=True)
+    return store, base
+
+
+def _attempt() -> str:
+    """A name of this attempt of a task: another attempt of it writes to a file of its own."""
+    from pyspark import TaskContext
+
+    at = TaskContext.get()
+    return f"{at.stageId()}-{at.taskAttemptId()}" if at else "driver"
+
+
 def write_files(files: DataFrame, path: str, content: str, folder: str) -> None:
-    """Write each row's bytes to folder/path on a file system that all executors share."""
+    """Write each row's bytes to folder/path, by the file system of the folder; a file is whole or isn't there."""
 
     def run(rows):
+        store, base = _place(folder)
+        made, mine = {base}, _attempt()
         for r in rows:
-            target = Path(folder) / r[path]
-            target.parent.mkdir(parents=True, exist_ok=True)
-            target.write_bytes(r[content])
+            target = f"{base}/{r[path]}"
+            above = target.rsplit("/", 1)[0]
+            if above not in made:
+                store.create_dir(above, recursive=True)
+                made.add(above)
+            with store.open_output_stream(f"{target}.{mine}.part") as out:
+                out.write(r[content])
+            store.move(f"{target}.{mine}.part", target)
 
     files.select(path, content).foreachPartition(run)
 
@@ -50,29 +78,34 @@ def write_files(files: DataFrame, path: str, content: str, folder: str) -> None:
 def write_shards(files: DataFrame, folder: str, prefix: str, capacity: int = 2000, flat: bool = True) -> DataFrame:
     """Gzip tars <prefix>_shard_<4 digits>.tar.gz of at most ``capacity`` files each; files: path, content. Returns shard and count.
 
-    A shard is written by one task, to a name of its own first, so that a task that is run again does no harm.
+    A shard is written by one task, to a name of that attempt first, so that attempts of a task don't disturb each other.
     """
     numbered = corpus.shard_assign(files.select("path"), ["path"], capacity)
     rows = files.join(numbered, "path").repartition("shard").sortWithinPartitions("shard", "place")
 
     def run(parts):
-        tar = name = target = None
+        store, base = _place(folder)
+        mine = _attempt()
+        tar = out = name = None
+
+        def close():
+            tar.close()
+            out.close()
+            target = f"{base}/{prefix}_shard_{name:04d}.tar.gz"
+            store.move(f"{target}.{mine}.part", target)
+
         for r in parts:
             if r["shard"] != name:
                 if tar:
-                    tar.close()
-                    part.rename(target)
+                    close()
                 name = r["shard"]
-                target = Path(folder) / f"{prefix}_shard_{name:04d}.tar.gz"
-                part = target.with_suffix(".part")
-                target.parent.mkdir(parents=True, exist_ok=True)
-                tar = tarfile.open(part, "w:gz")
+                out = store.open_output_stream(f"{base}/{prefix}_shard_{name:04d}.tar.gz.{mine}.part", compression=None)
+                tar = tarfile.open(fileobj=out, mode="w|gz")
             info = tarfile.TarInfo(r["path"].rsplit("/", 1)[-1] if flat else r["path"])
             info.size = len(r["content"])
             tar.addfile(info, io.BytesIO(r["content"]))
         if tar:
-            tar.close()
-            part.rename(target)
+            close()
 
     rows.select("shard", "path", "content").foreachPartition(run)
     return numbered.groupBy("shard").agg(F.count(F.lit(1)).alias("files"))
@@ -97,17 +130,26 @@ def write_folder_shards(spark, source: str, folder: str, prefix: str, capacity:
     return write_shards(files.filter(~F.endswith("path", F.lit(skip))), folder, prefix, capacity)
 
 
-def report(samples: DataFrame, duplicates: int, path: str | None = None) -> dict:
+def write_text(spark, path: str, text: str) -> None:
+    """A small text file, written by the driver through the path's file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def report(samples: DataFrame, path: str | None = None, errors: int = 0, duplicates: int = 0) -> dict:
     """Corpus statistics as nested counts; written as JSON if a path is given. Its values are bounded by the enums."""
-    out: dict = {"duplicate_ids": duplicates}
+    out: dict = {"total_samples": 0, **{f"by_{f}": {} for f in corpus.GROUPS}}
     for r in corpus.grouped_counts(samples).collect():
         if r["field"] == "total":
-            out["total"] = r["count"]
+            out["total_samples"] = r["count"]
         else:
-            out.setdefault(r["field"], {})[r["value"]] = r["count"]
-    out |= corpus.coverage(samples).drop("total").first().asDict()
+            out[f"by_{r['field']}"][r["value"]] = r["count"]
+    seen = corpus.coverage(samples).first()
+    out |= {"bbox_coverage": seen["bbox_coverage"], "image_paths": {"single": seen["single"], "paired": seen["paired"]}, "errors": errors, "duplicate_ids": duplicates}
     if path:
-        Path(path).write_text(json.dumps(out, indent=2, sort_keys=True))
+        write_text(samples.sparkSession, path, json.dumps(out, indent=2))
     return out
 
 

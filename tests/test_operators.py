@@ -210,6 +210,99 @@ def tiff(a):
     return struct.pack("<2sHI", b"II", 42, 8 + len(data)) + data + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags) + b"\0\0\0\0"
 
 
+def png_with(rows: np.ndarray, depth: int, kind: int, filters, palette: bytes = b"") -> bytes:
+    """A PNG whose rows of bytes are filtered as said, by the definition of the filters."""
+    import struct
+    import zlib
+
+    step = max(1, depth * {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[kind] // 8)
+    width = rows.shape[1] * 8 // (depth * {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[kind])
+    out, above = b"", [0] * rows.shape[1]
+    for row, f in zip(rows.tolist(), filters, strict=True):
+        line = []
+        for x, v in enumerate(row):
+            a, b, c = (row[x - step] if x >= step else 0), above[x], (above[x - step] if x >= step else 0)
+            p = a + b - c
+            paeth = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            line.append((v - (0, a, b, (a + b) // 2, paeth)[f]) & 255)
+        out += bytes([f, *line])
+        above = row
+    part = lambda name, body: struct.pack(">I", len(body)) + name + body + b"\0\0\0\0"
+    return rasters.PNG_HEAD + part(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), depth, kind, 0, 0, 0)) + (part(b"PLTE", palette) if palette else b"") + part(b"IDAT", zlib.compress(out)) + part(b"IEND", b"")
+
+
+def test_png_kinds():
+    rng = np.random.default_rng(3)
+    filters = [0, 1, 2, 3, 4, 4, 3]
+    rgb = rng.integers(0, 256, (7, 15), np.uint8)
+    assert (rasters.read_png(png_with(rgb, 8, 2, filters)) == rgb.reshape(7, 5, 3)).all()
+    wide = rng.integers(0, 256, (7, 10), np.uint8)
+    assert (rasters.read_png(png_with(wide, 16, 0, filters)) == wide.view(">u2")).all()
+    palette = bytes(range(48))
+    assert (rasters.read_png(png_with(rng.integers(0, 16, (7, 6), np.uint8), 8, 3, filters, palette))[..., 1] % 3 == 1).all()
+    assert rasters.read_png(png_with(np.full((7, 1), 0b10100000, np.uint8), 1, 0, [0] * 7))[0].tolist() == [255, 0, 255, 0, 0, 0, 0, 0]
+
+
+def test_tiff_kinds():
+    """Tiles with deflate, planes, the difference predictor, packbits and LZW."""
+    import struct
+    import zlib
+
+    def made(tags, parts):
+        at, places = 8, []
+        for p in parts:
+            places.append(at)
+            at += len(p)
+        tags = sorted(tags)
+        extra, body = at + 2 + 12 * len(tags) + 4, b""
+        entries = b""
+        for t, v in tags:
+            v = places if v == "places" else [len(p) for p in parts] if v == "lengths" else v if isinstance(v, list) else [v]
+            data = struct.pack(f"<{len(v)}I", *v)
+            entries += struct.pack("<HHI", t, 4, len(v)) + (data if len(v) == 1 else struct.pack("<I", extra + len(body)))
+            body += data if len(v) > 1 else b""
+        return struct.pack("<2sHI", b"II", 42, at) + b"".join(parts) + struct.pack("<H", len(tags)) + entries + b"\0\0\0\0" + body
+
+    a = np.arange(20 * 24, dtype=np.uint16).reshape(20, 24) * 7
+    padded = np.zeros((32, 32), np.uint16)
+    padded[:20, :24] = a
+    tiles = [zlib.compress(padded[y : y + 16, x : x + 16].tobytes()) for y in (0, 16) for x in (0, 16)]
+    assert (rasters.read_tiff(made([(256, 24), (257, 20), (258, 16), (259, 8), (277, 1), (322, 16), (323, 16), (324, "places"), (325, "lengths")], tiles)) == a).all()
+    planes = np.stack([a, a + 1], axis=-1)
+    assert (rasters.read_tiff(made([(256, 24), (257, 20), (258, 16), (259, 1), (277, 2), (278, 20), (284, 2), (273, "places"), (279, "lengths")], [a.tobytes(), (a + 1).tobytes()])) == planes).all()
+    diff = np.diff(a.astype(np.uint16), axis=1, prepend=np.uint16(0)).astype(np.uint16)
+    strip = [(256, 24), (257, 20), (258, 16), (277, 1), (278, 20), (273, "places"), (279, "lengths")]
+    assert (rasters.read_tiff(made([*strip, (259, 8), (317, 2)], [zlib.compress(diff.tobytes())])) == a).all()
+    raw = a.tobytes()
+    packed = b"".join(bytes([len(raw[k : k + 100]) - 1]) + raw[k : k + 100] for k in range(0, len(raw), 100))
+    assert (rasters.read_tiff(made([*strip, (259, 32773)], [packed])) == a).all()
+    assert (rasters.read_tiff(made([*strip, (259, 5)], [lzw(raw)])) == a).all()
+
+
+def lzw(data: bytes) -> bytes:
+    """TIFF's LZW by its definition."""
+    bits, table, width = "", {bytes([k]): k for k in range(256)}, 9
+    emit = lambda code: format(code, f"0{width}b")
+    bits += emit(256)
+    last, size = b"", 258
+    for k in data:
+        if last + bytes([k]) in table:
+            last += bytes([k])
+            continue
+        bits += emit(table[last])
+        table[last + bytes([k])] = size
+        size += 1
+        if size in (512, 1024, 2048):
+            width += 1
+        elif size == 4095:
+            bits += emit(256)
+            table, width, size = {bytes([j]): j for j in range(256)}, 9, 258
+        last = bytes([k])
+    bits += emit(table[last]) + emit(257)
+    bits += "0" * (-len(bits) % 8)
+    return int(bits, 2).to_bytes(len(bits) // 8, "big")
+
+
 def test_raster_maths():
     mask = np.zeros((20, 20), np.uint8)
     mask[1:9, 1:9] = mask[12:19, 3:12] = 255
@@ -244,6 +337,34 @@ def test_structure(spark, tmp_path):
     assert checks.run_all(spark, {"sardet": str(tmp_path), "oscd": str(tmp_path / "x"), "levir_cd": str(tmp_path)})["oscd"] == "skipped"
 
 
+def test_structure_contents(spark, tmp_path):
+    """What the tables of a source hold counts too: empty lists and tables, locations without a pair."""
+    (tmp_path / "VRSBench_train.json").write_text("[]")
+    (tmp_path / "Images_val.zip").touch()
+    with pytest.raises(checks.StructureError):
+        checks.run(spark, "vrsbench", str(tmp_path))
+    (tmp_path / "VRSBench_train.json").write_text(json.dumps([{"id": "1", "image": "a", "conversations": [{"from": "human", "value": "[vqa] ?"}]}]))
+    assert {r["kind"]: r["count"] for r in checks.run(spark, "vrsbench", str(tmp_path))}["entries_vqa"] == 1
+    (tmp_path / "Images_val.zip").unlink()
+    with pytest.raises(checks.StructureError):
+        checks.run(spark, "vrsbench", str(tmp_path))
+    root = tmp_path / "o"
+    for place in ("a/imgs_1", "b/imgs_2"):
+        (root / "images" / place).mkdir(parents=True)
+        (root / "images" / place / "x_B02.tif").touch()
+    with pytest.raises(checks.StructureError):
+        checks.run(spark, "oscd", str(root))
+    (root / "images/a/imgs_2").mkdir()
+    (root / "images/a/imgs_2/x_B02.tif").touch()
+    assert {r["kind"]: r["count"] for r in checks.run(spark, "oscd", str(root))}["complete_pairs"] == 1
+    table = spark.createDataFrame([("p", "x"), ("q", "y")], "patch_id string, country string")
+    table.filter("false").write.parquet(str(tmp_path / "e/metadata.parquet"))
+    table.write.parquet(str(tmp_path / "m/metadata.parquet"))
+    with pytest.raises(checks.StructureError):
+        checks.run(spark, "bigen", str(tmp_path / "e"))
+    assert {r["kind"]: r["count"] for r in checks.run(spark, "bigen", str(tmp_path / "m"))}["countries"] == 2
+
+
 def test_config(tmp_path):
     (tmp_path / "c.yaml").write_text("training:\n  learning_rate: 2e-4\ncurriculum:\n  ratios: [1.0, 0.0]\n")
     c = training.load_config(str(tmp_path / "c.yaml"))

@@ -156,13 +156,41 @@ def test_sen2lulc(spark, tmp_path):
 
 
 def test_bigen(spark, tmp_path):
-    spark.createDataFrame([("p0", [0, 11]), ("p1", [2]), ("p2", [])], "patch_id string, labels array<long>").coalesce(1).write.parquet(str(tmp_path / "metadata.parquet"))
-    for sub, shape in (("s2", (12, 16, 16)), ("s1", (2, 16, 16))):
+    spark.createDataFrame([("p0", [0, 11]), ("p1", [2]), ("p2", []), ("p3", [1])], "patch_id string, labels array<long>").coalesce(1).write.parquet(str(tmp_path / "metadata.parquet"))
+    for sub, shape in (("s2_npy", (12, 16, 16)), ("s1_npy", (2, 16, 16))):
         (tmp_path / sub).mkdir()
-        for p in ("p0", "p2") if sub == "s2" else ("p0",):
-            np.save(tmp_path / sub / f"{p}.npy", np.full(shape, 0.05 if sub == "s1" else 700).astype(np.float32 if sub == "s1" else np.uint16))
+        for p in ("p0", "p2") if sub == "s2_npy" else ("p0",):
+            np.save(tmp_path / sub / f"{p}.npy", np.full(shape, 0.05 if sub == "s1_npy" else 700).astype(np.float32 if sub == "s1_npy" else np.uint16))
+    (tmp_path / "s2_npy/p3.npy").write_bytes(b"no array")
     counts, rows, _ = run(spark, "bigen", tmp_path)
-    assert counts == {"processed": 1, "failed": 2, "skipped": 0}
+    assert counts == {"processed": 1, "failed": 3, "skipped": 0}
     assert [r["id"] for r in rows] == ["bigen_00000000", "bigen_00000000_sar", "bigen_00000000_fusion"]
     assert rows[0]["response"] == "Continuous urban fabric, Non-irrigated arable land"
-    assert (tmp_path / "out/images/bigen_00000000_sar.png").exists()
+    assert [p.rsplit("/", 1)[1] for p in rows[2]["image_path"]] == ["bigen_00000000_optical.png", "bigen_00000000_sar.png"]
+    sizes = {end: rasters.read_png((tmp_path / f"out/images/bigen_00000000_{end}.png").read_bytes()).shape for end in ("optical", "sar", "concat")}
+    assert sizes == {"optical": (16, 16, 3), "sar": (16, 16, 3), "concat": (16, 34, 3)}
+
+
+def test_sen2lulc_masks(spark, tmp_path):
+    """With masks rows get boxes, which the rules of their task refuse; without, they pass."""
+    (tmp_path / "metadata.csv").write_text("image_id,label\na,1\n,2\n")
+    png(tmp_path / "img/a.png", np.zeros((4, 4)))
+    mask = np.full((10, 10), 9)
+    mask[2:4, 5:8] = 3
+    png(tmp_path / "masks/a.png", mask)
+    counts, rows, _ = run(spark, "sen2lulc", tmp_path, fraction=1.0)
+    assert counts == {"processed": 1, "failed": 1, "skipped": 0} and rows[0]["id"] == "sen2lulc_a" and rows[0]["response"] == "Vegetation"
+    made = recipes.sen2lulc(spark, str(tmp_path), recipes.Options(fraction=1.0, masks=True)).filter("source_id = 'sen2lulc_a'").first()
+    assert made.rows[0].bbox == [[500.0, 200.0, 700.0, 300.0]]
+    assert run(spark, "sen2lulc", tmp_path, fraction=1.0, masks=True)[0]["processed"] == 0
+
+
+def test_sn6_sar_fusion_picture(spark, tmp_path):
+    (tmp_path / "Sentinel-1").mkdir()
+    (tmp_path / "Sentinel-1/t1.tif").write_bytes(tiff(np.full((8, 8), 5, np.uint32)))
+    png(tmp_path / "opt/sn6_t1.png", np.zeros((8, 8)))
+    optical = spark.createDataFrame([("sn6_t1", [str(tmp_path / "opt/sn6_t1.png")])], "id string, image_path array<string>")
+    chosen = spark.createDataFrame([("t1",)], "tile string")
+    done = recipes.finish(recipes.sn6_sar(spark, str(tmp_path), recipes.Options(output_dir=str(tmp_path / "out")), optical, chosen))
+    assert {r.id for r in recipes.samples(done).collect()} == {"sn6_sar_t1", "sn6_fusion_t1"}
+    assert rasters.read_png((tmp_path / "out/images/sn6_fusion_t1.png").read_bytes()).shape == (8, 18, 3)
