@@ -354,10 +354,13 @@ def task_distribution(spark, d):
     return t.select("conv_id", F.when(F.col("t").contains("[caption]"), "caption").when(F.col("t").contains("[refer]"), "refer").when(F.col("t").contains("[vqa]"), "vqa").otherwise("other").alias("task"), "n")
 
 
+_COVER = "['Built-up', 'Vegetation', 'Water', 'Barren', 'Agriculture', 'Forest', 'Wetland']"
+
+
 @query(
-    """SELECT k, dataset, task, n FROM (SELECT p_partkey AS k, 'levir_cd' AS dataset, CASE WHEN p_size > 25 THEN 'change_grounding' ELSE 'change_vqa' END AS task, 2 AS n FROM part
-  UNION ALL SELECT p_partkey, 'oscd', 'change_vqa', 1 FROM part UNION ALL SELECT p_partkey, 'cdvqa', 'change_vqa', 1 FROM part WHERE p_size % 2 = 0
-  UNION ALL SELECT p_partkey, 'rsvqa_hr', 'vqa', 2 FROM part UNION ALL SELECT p_partkey, 'sen2lulc', 'vqa', 1 FROM part)"""
+    f"""SELECT k, dataset, task, n, instruction, response FROM (SELECT p_partkey AS k, 'levir_cd' AS dataset, CASE WHEN p_size > 25 THEN 'change_grounding' ELSE 'change_vqa' END AS task, 2 AS n, 'What building changes occurred between these two dates?' AS instruction, concat('Building changes detected in x', p_partkey, '.') AS response FROM part
+  UNION ALL SELECT p_partkey, 'oscd', 'change_vqa', 1, 'What changed between the two dates?', concat('Change detected in ', p_name, '.') FROM part UNION ALL SELECT p_partkey, 'cdvqa', 'change_vqa', 1, p_name, p_type FROM part WHERE p_size % 2 = 0
+  UNION ALL SELECT p_partkey, 'rsvqa_hr', 'vqa', 2, p_name, p_type FROM part UNION ALL SELECT p_partkey, 'sen2lulc', 'vqa', 1, 'What is the primary land cover type in this image?', CASE WHEN p_size < 7 THEN {_COVER}[CAST(p_size AS INTEGER) + 1] ELSE CAST(p_size AS VARCHAR) END FROM part)"""
 )
 def row_shapes(spark, d):
     p = table(spark, d, "part")
@@ -371,7 +374,7 @@ def row_shapes(spark, d):
         rows.land_cover_rows(key, F.lit("a.png"), F.col("p_size").cast("string")),
     ]
     each = p.select(k.alias("k"), F.explode(F.array_compact(F.array(*made))).alias("r"))
-    return each.select("k", F.col("r")[0]["dataset"].alias("dataset"), F.col("r")[0]["task"].alias("task"), F.size("r").alias("n"))
+    return each.select("k", *[F.col("r")[0][c].alias(c) for c in ("dataset", "task", "instruction", "response")], F.size("r").alias("n"))
 
 
 # ---- boxes
@@ -474,11 +477,6 @@ def _grid(spark, d):
     return e.select("vec_id", "label", F.floor(F.col("i") / 8).cast("long").alias("y"), (F.col("i") % 8).cast("long").alias("x"), F.col("v").cast("double").alias("v"))
 
 
-@query(f"SELECT vec_id, y // 2 AS y, x // 2 AS x, round_even(avg(v), 6) AS v FROM {_PIXELS} GROUP BY vec_id, y // 2, x // 2")
-def box_downsample(spark, d):
-    return _grid(spark, d).groupBy("vec_id", F.floor(F.col("y") / 2).alias("y"), F.floor(F.col("x") / 2).alias("x")).agg(F.bround(F.avg("v"), 6).alias("v"))
-
-
 _BANDS = "(SELECT event_type, round_even(quantile_cont(value, 0.02), 6) AS low, round_even(quantile_cont(value, 0.98), 6) AS high FROM events GROUP BY event_type)"
 
 

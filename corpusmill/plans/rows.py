@@ -1,4 +1,4 @@
-"""Sample rows of the sources as column expressions."""
+"""Sample rows of the sources as column expressions. The texts of instructions and responses, which are part of the sample format."""
 
 from __future__ import annotations
 
