@@ -479,7 +479,8 @@ def _key(*parts) -> object:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-K = F.col("k").cast("string")
+def _k():
+    return F.col("k").cast("string")
 
 
 def _png(df: DataFrame, value=None, side: int = 4) -> DataFrame:
@@ -494,17 +495,17 @@ _POSITIONS = f"(SELECT *, row_number() OVER (ORDER BY {_N} % 2, {_N}) - 1 AS p F
 @query(_sql(f"SELECT printf('cdvqa_%07d', p) AS id, 'change_vqa' AS task, 'VHR-native' AS gsd_bucket, n_name AS instruction, n_name || '!' AS response, 2 AS n_images, '' AS box FROM {_POSITIONS} WHERE {_N} % 5 <> 0 AND {_N} % 7 <> 3", f"SELECT printf('cdvqa_%07d', p) AS id FROM {_POSITIONS} WHERE {_N} % 5 = 0 OR {_N} % 7 = 3"))
 def recipe_cdvqa(spark, d):
     home, n = fresh_folder(spark), _nation(spark, d)
-    q = n.select("k", F.col("name").alias("question"), F.when(F.col("k") % 5 == 0, "").otherwise(F.concat("name", F.lit("!"))).alias("answer"), _key(K, "/1.png").alias("before"), _key(K, "/2.png").alias("after"))
+    q = n.select("k", F.col("name").alias("question"), F.when(F.col("k") % 5 == 0, "").otherwise(F.concat("name", F.lit("!"))).alias("answer"), _key(_k(), "/1.png").alias("before"), _key(_k(), "/2.png").alias("after"))
     _one_json(q.filter("k % 2 = 0"), f"{home}/train.json", "k", "questions")
     _one_json(q.filter("k % 2 = 1"), f"{home}/val.json", "k", "data")
-    _files(n.select("k", F.explode(F.array(F.lit(1), F.lit(2))).alias("date")).filter("date = 1 OR k % 7 <> 3"), f"{home}/images", _key(K, "/", F.col("date").cast("string"), ".png"))
+    _files(n.select("k", F.explode(F.array(F.lit(1), F.lit(2))).alias("date")).filter("date = 1 OR k % 7 <> 3"), f"{home}/images", _key(_k(), "/", F.col("date").cast("string"), ".png"))
     return _run(spark, "cdvqa", home)
 
 
 @query(_sql(f"SELECT concat('rsvqa_hr_', {_N}) AS id, 'vqa' AS task, '[GSD:0.15m]' AS gsd_bucket, n_name AS instruction, 'yes' AS response, 1 AS n_images, '' AS box FROM nation WHERE {_N} % 5 <> 0 AND n_regionkey > 0", f"SELECT concat('rsvqa_hr_', {_N}) AS id FROM nation WHERE {_N} % 5 = 0 OR n_regionkey = 0", "true"))
 def recipe_rsvqa(spark, d):
     home, n = fresh_folder(spark), _nation(spark, d)
-    _one_json(n.select("k", K.alias("question_id"), F.col("name").alias("question"), F.when(F.col("k") % 5 == 0, "").otherwise("yes").alias("answer"), _key("i", F.col("g").cast("string")).alias("image_id")), f"{home}/train.json", "k", "questions")
+    _one_json(n.select("k", _k().alias("question_id"), F.col("name").alias("question"), F.when(F.col("k") % 5 == 0, "").otherwise("yes").alias("answer"), _key("i", F.col("g").cast("string")).alias("image_id")), f"{home}/train.json", "k", "questions")
     _files(n.select("g").distinct().filter("g > 0"), f"{home}/images", _key("i", F.col("g").cast("string"), F.when(F.col("g") % 2 == 0, ".png").otherwise(".jpg")))
     return _run(spark, "rsvqa_hr", home)
 
@@ -518,7 +519,7 @@ def recipe_vrsbench(spark, d):
     tag = F.get(F.array(F.lit("caption"), F.lit("refer"), F.lit("vqa"), F.lit("other")), (F.col("k") % 4))
     said = F.when(F.col("k") % 4 == 1, "{<1><2><30><40>}").otherwise("so")
     turn = lambda who, c: F.struct(F.lit(who).alias("from"), c.alias("value"))
-    entries = n.select("k", K.alias("id"), _key("i", F.col("g").cast("string"), ".png").alias("image"), F.array(turn("human", F.concat(F.lit("<image>\n["), tag, F.lit("] "), "name")), turn("gpt", said)).alias("conversations"))
+    entries = n.select("k", _k().alias("id"), _key("i", F.col("g").cast("string"), ".png").alias("image"), F.array(turn("human", F.concat(F.lit("<image>\n["), tag, F.lit("] "), "name")), turn("gpt", said)).alias("conversations"))
     _one_json(entries, f"{home}/VRSBench_train.json", "k")
     _files(n.select("g").distinct().filter("g > 0"), f"{home}/Images_train", _key("i", F.col("g").cast("string"), ".png"))
     return _run(spark, "vrsbench", home)
@@ -530,8 +531,8 @@ _COVER = f"list_value({', '.join(repr(c) for c in LAND_COVER)})"
 @query(_sql(f"SELECT concat('sen2lulc_n', {_N}) AS id, 'vqa' AS task, '[GSD:10m]' AS gsd_bucket, 'What is the primary land cover type in this image?' AS instruction, CASE WHEN {_N} % 9 < 7 THEN {_COVER}[CAST({_N} % 9 AS INTEGER) + 1] ELSE CAST({_N} % 9 AS VARCHAR) END AS response, 1 AS n_images, '' AS box FROM nation WHERE {_N} % 6 > 0", f"SELECT concat('sen2lulc_n', {_N}) AS id FROM nation WHERE {_N} % 6 = 0"))
 def recipe_sen2lulc(spark, d):
     home, n = fresh_folder(spark), _nation(spark, d)
-    n.orderBy("k").select(_key("n", K).alias("image_id"), (F.col("k") % 9).alias("label")).coalesce(1).write.csv(f"{home}/metadata.csv", header=True)
-    _files(n.filter("k % 6 > 0"), f"{home}/images", _key("n", K, ".png"))
+    n.orderBy("k").select(_key("n", _k()).alias("image_id"), (F.col("k") % 9).alias("label")).coalesce(1).write.csv(f"{home}/metadata.csv", header=True)
+    _files(n.filter("k % 6 > 0"), f"{home}/images", _key("n", _k(), ".png"))
     return _run(spark, "sen2lulc", home, fraction=1.0)
 
 
@@ -547,9 +548,9 @@ def recipe_bigen(spark, d):
     """Patches: no arrays for every fifth, no labels for every seventh, radar for every other."""
     home, n = fresh_folder(spark), _nation(spark, d)
     labels = F.when(F.col("k") % 7 == 0, F.array().cast("array<bigint>")).otherwise(F.array((F.col("k") % 19).cast("long")))
-    n.orderBy("k").select(_key("p", K).alias("patch_id"), labels.alias("labels")).coalesce(1).write.parquet(f"{home}/metadata.parquet")
-    _files(n.filter("k % 5 > 0"), f"{home}/s2_npy", _key("p", K, ".npy"))
-    _files(n.filter("k % 2 = 0"), f"{home}/s1_npy", _key("p", K, ".npy"))
+    n.orderBy("k").select(_key("p", _k()).alias("patch_id"), labels.alias("labels")).coalesce(1).write.parquet(f"{home}/metadata.parquet")
+    _files(n.filter("k % 5 > 0"), f"{home}/s2_npy", _key("p", _k(), ".npy"))
+    _files(n.filter("k % 2 = 0"), f"{home}/s1_npy", _key("p", _k(), ".npy"))
     return _run(spark, "bigen", home)
 
 
@@ -558,10 +559,10 @@ def recipe_levir(spark, d):
     """Pairs of dates with a mask of which the upper left is changed; every sixth has no second date."""
     home, n = fresh_folder(spark), _nation(spark, d)
     plain = _png(n)
-    _files(plain, f"{home}/train/A", _key("t", K, "_1.png"), F.col("png"))
-    _files(plain.filter("k % 6 > 0"), f"{home}/train/B", _key("t", K, "_2.png"), F.col("png"))
+    _files(plain, f"{home}/train/A", _key("t", _k(), "_1.png"), F.col("png"))
+    _files(plain.filter("k % 6 > 0"), f"{home}/train/B", _key("t", _k(), "_2.png"), F.col("png"))
     changed = F.transform(F.sequence(F.lit(0), F.lit(1023)), lambda i: F.when((F.floor(i / 32) < F.col("g") * 8) & (i % 32 < 16), 255.0).otherwise(0.0))
-    _files(_png(n, changed, 32), f"{home}/train/label", _key("t", K, ".png"), F.col("png"))
+    _files(_png(n, changed, 32), f"{home}/train/label", _key("t", _k(), ".png"), F.col("png"))
     return _run(spark, "levir_cd", home, fraction=1.0)
 
 
@@ -570,9 +571,9 @@ def recipe_sn6_opt(spark, d):
     """Tiles with as many buildings as their region's number; every eighth file is damaged."""
     home, n = fresh_folder(spark), _nation(spark, d)
     tiles = images.map_images(images.from_values(n.withColumn("v", F.array_repeat(F.lit(500.0), 64)), "v", 8, 8, "<u2"), ["image"], "tif", T.BinaryType(), _tiff).drop("error", "v", "image")
-    _files(tiles, f"{home}/train/images", _key("t", K, ".tif"), F.when(F.col("k") % 8 > 0, F.col("tif")).otherwise(F.lit("no").cast("binary")))
+    _files(tiles, f"{home}/train/images", _key("t", _k(), ".tif"), F.when(F.col("k") % 8 > 0, F.col("tif")).otherwise(F.lit("no").cast("binary")))
     ring = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit('{"geometry":{"type":"Polygon","coordinates":[[['), i.cast("string"), F.lit(",0],["), (i + 4).cast("string"), F.lit(",0],["), (i + 4).cast("string"), F.lit(",4.5]]]}}")))
-    _files(n.filter("g > 0"), f"{home}/train/labels", _key("t", K, ".geojson"), F.concat(F.lit('{"features":['), F.array_join(F.slice(ring, 1, F.col("g")), ","), F.lit("]}")).cast("binary"))
+    _files(n.filter("g > 0"), f"{home}/train/labels", _key("t", _k(), ".geojson"), F.concat(F.lit('{"features":['), F.array_join(F.slice(ring, 1, F.col("g")), ","), F.lit("]}")).cast("binary"))
     return _run(spark, "sn6_opt", home, fraction=1.0)
 
 
@@ -580,9 +581,9 @@ def recipe_sn6_opt(spark, d):
 def recipe_sn6_sar(spark, d):
     """Radar tiles of the optical selection, fused where there is an optical sample."""
     home, n = fresh_folder(spark), _nation(spark, d)
-    _files(n, f"{home}/Sentinel-1", _key("t", K, ".tif"))
-    optical = n.filter("g > 1").select(_key("sn6_t", K).alias("id"), F.array(_key("/o/", K, ".png")).alias("image_path"))
-    return _run(spark, "sn6_sar", home, optical, n.filter("k % 3 > 0").select(_key("t", K).alias("tile")))
+    _files(n, f"{home}/Sentinel-1", _key("t", _k(), ".tif"))
+    optical = n.filter("g > 1").select(_key("sn6_t", _k()).alias("id"), F.array(_key("/o/", _k(), ".png")).alias("image_path"))
+    return _run(spark, "sn6_sar", home, optical, n.filter("k % 3 > 0").select(_key("t", _k()).alias("tile")))
 
 
 @query(_sql("SELECT replace(replace(lower(n_name), ' ', '_'), '-', '_') AS id, 'change_vqa' AS task, '[GSD:10m]' AS gsd_bucket, 'What changed between the two dates?' AS instruction, concat('Change detected in ', replace(lower(n_name), ' ', '-'), '.') AS response, 2 AS n_images, '' AS box FROM nation WHERE n_nationkey % 4 > 0 AND n_nationkey % 5 > 0", "SELECT replace(replace(lower(n_name), ' ', '_'), '-', '_') AS id FROM nation WHERE n_nationkey % 4 > 0 AND n_nationkey % 5 = 0"))
@@ -599,6 +600,6 @@ def recipe_oscd(spark, d):
 def recipe_sardet(spark, d):
     """Pictures with one object each; every fifth has no label file, every seventh picture is damaged."""
     home, n = fresh_folder(spark), _nation(spark, d)
-    _files(_png(n), f"{home}/images", _key("i", K, ".png"), F.when(F.col("k") % 7 > 0, F.col("png")).otherwise(F.lit("no").cast("binary")))
-    _files(n.filter("k % 5 > 0"), f"{home}/labels", _key("i", K, ".txt"), _key(F.col("g").cast("string"), " .5 .5 .5 .5\n9 .5 .5 .5 .5\n").cast("binary"))
+    _files(_png(n), f"{home}/images", _key("i", _k(), ".png"), F.when(F.col("k") % 7 > 0, F.col("png")).otherwise(F.lit("no").cast("binary")))
+    _files(n.filter("k % 5 > 0"), f"{home}/labels", _key("i", _k(), ".txt"), _key(F.col("g").cast("string"), " .5 .5 .5 .5\n9 .5 .5 .5 .5\n").cast("binary"))
     return _run(spark, "sardet", home, fraction=1.0)
