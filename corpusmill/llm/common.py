@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
+_SCOPES: list[list[str]] = []
+#: Bytes of text that an Arrow function takes up at a time (a longer text alone).
+SLICE_BYTES = 1 << 20
+#: Copies of a dimension's rows, and as many parts of each of its keys, where it is too large to be broadcast.
+SALTS = 32
 
 
 def ship(module: str) -> None:
@@ -23,25 +33,85 @@ ship(__name__)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset and all runs in one process."""
     set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if set_dir:
         return set_dir.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="corpusmill-"))
     return "file://" + _OWN_DIR[0]
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a frame as Parquet into the shared folder and read it again: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, outlives: int = 0) -> DataFrame:
+    """Write a frame as Parquet into the shared folder and read it again: cuts lineage, survives lost executors.
+
+    Within ``scratch`` the table is deleted at the end of the block, or of one further out if it outlives so many; otherwise it stays
+    as long as the shared folder.
+    """
     path = f"{shared_dir(df.sparkSession)}/corpusmill/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if outlives < len(_SCOPES):
+        _SCOPES[-1 - outlives].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, executors: bool = False) -> None:
+    """Let Spark free what finished steps have left: broadcasts (a table of some 16 MB each, however few rows) and shuffles.
+
+    It does so when the driver collects garbage, which a large driver rarely does. With ``executors`` theirs is collected too, so
+    that a heap that one stage has stretched isn't the next stage's: for between stages, as it takes each executor a full collection.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+    if executors:
+        slots = spark.sparkContext.defaultParallelism
+        spark.range(0, slots, 1, slots).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).write.format("noop").mode("overwrite").save()
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete the tables that ``materialise`` writes in this block, at its end: only what was written before or after it may still be read."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        release(spark)
+
+
+def few_rows(df: DataFrame, most_rows: int) -> bool:
+    """Whether a frame has at most so many rows (it is counted that far)."""
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
 def bounded_broadcast(df: DataFrame, most_rows: int) -> DataFrame:
     """Mark a frame for broadcast if it has at most ``most_rows`` rows (it is counted); else leave the join to a shuffle."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    return F.broadcast(df) if few_rows(df, most_rows) else df
+
+
+def join_dimension(df: DataFrame, dim: DataFrame, key: str, few: bool, how: str = "inner") -> DataFrame:
+    """Join rows with a dimension: by broadcast if it has few rows, or else by a shuffle in which each key is dealt to SALTS tasks."""
+    if few:
+        return df.join(F.broadcast(dim), key, how)
+    salted = df.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def sliced(batches, column: str = "text", most: int = SLICE_BYTES):
+    """Slices (without copies) of Arrow batches with at most ``most`` bytes in a column of texts, or one row: what is built from them in Python stays small."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def record_batches(columns: list, schema: pa.Schema, rows: int = 20_000):
