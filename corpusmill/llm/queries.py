@@ -106,8 +106,8 @@ WITH p AS (
 ), l AS (
   SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
 ), h AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain
-  FROM p LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) GROUP BY host
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x, array_to_string(string_split(host, '.')[-(1 + long):], '.') AS suffix, array_to_string(string_split(host, '.')[-(2 + long):], '.') AS domain
+  FROM (SELECT *, CASE WHEN regexp_matches(host, '(^|\.)(SECOND)\.[a-z][a-z]$') THEN 1 ELSE 0 END AS long FROM p) LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) GROUP BY host, long
 ), o AS (SELECT (coalesce(sum(x), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(x) AS x, (SELECT m FROM o) AS m FROM h GROUP BY suffix),
 sr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.001), 0.999) AS rho FROM s WHERE n > 0),
@@ -124,9 +124,9 @@ best AS (
   FROM p JOIN rules ON (host = top OR ends_with(host, '.' || top)) AND starts_with(path, rest) GROUP BY page_id, host, path
 )
 SELECT p.page_id, p.host, p.path, best.r.rule AS rule,
-  coalesce(best.r.v, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.35 THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(best.r.v, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > (SELECT m FROM o) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fp ON p.host = fp.host LEFT JOIN best ON p.page_id = best.page_id AND p.host = best.host AND p.path = best.path
-""".replace("AZ", _AZ)
+""".replace("AZ", _AZ).replace("SECOND", "|".join(urls.SECOND))
 
 OP5_SQL = r"""
 WITH RECURSIVE w AS (
@@ -163,19 +163,21 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """.replace("AZ", _AZ)
 
 OP9_SQL = r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, coalesce(CAST(floor(turn / 256) AS BIGINT), 0) AS part FROM conversations),
-sp AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+WITH t AS (
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS raw,
+    replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;') || chr(10) || '</turn>' || chr(10) AS body,
+    replace(replace(replace(replace(coalesce(role, 'unknown'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS name FROM conversations
+), sp AS (SELECT DISTINCT conv_id, alone, role AS speaker FROM t WHERE role <> 'system'),
 laid AS (
-  SELECT t.conv_id, part, speaker, turn, role, text, role = speaker AS own,
-    CASE WHEN role = speaker THEN '<assistant>' || chr(10) WHEN role = 'system' THEN '<system>' || chr(10) ELSE '<user name="' || role || '">' || chr(10) END AS head,
-    text || chr(10) || '</turn>' || chr(10) AS body
-  FROM t JOIN sp ON t.conv_id = sp.conv_id
+  SELECT t.conv_id, t.alone, speaker, turn, role, raw, role = speaker AS own, body,
+    CASE WHEN role = speaker THEN '<assistant>' || chr(10) WHEN role = 'system' THEN '<system>' || chr(10) ELSE '<user name="' || name || '">' || chr(10) END AS head
+  FROM t JOIN sp ON t.conv_id IS NOT DISTINCT FROM sp.conv_id AND t.alone IS NOT DISTINCT FROM sp.alone
 ), placed AS (
-  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM laid
+  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, alone, speaker ORDER BY turn NULLS FIRST, role, raw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start FROM laid
 )
-SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own, string_agg(head || body, '' ORDER BY turn, role, text) AS text,
-  coalesce(string_agg(CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT), ',' ORDER BY turn, role, text) FILTER (own), '') AS mask
-FROM placed GROUP BY conv_id, part, speaker
+SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, raw) AS text,
+  coalesce(string_agg(CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT), ',' ORDER BY turn NULLS FIRST, role, raw, start) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, alone, speaker
 """
 
 ORACLE_SQL = {"op2_fair_queueing": OP2_SQL, "op4_host_reputation": OP4_SQL, "op5_minhash_hamming": OP5_SQL, "op6_prefix_decontamination": OP6_SQL, "op9_perspective_rotation": OP9_SQL}

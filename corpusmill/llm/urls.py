@@ -3,38 +3,50 @@
 Labelled pages have an outcome, good or bad. A host's share of bad pages is shrunk towards its registered domain's, that
 towards its public suffix's, and that towards the overall share, each by a beta prior. The strength of a level's prior is
 estimated from the beta-binomial overdispersion of its groups by moments: with m the parent's mean, (x - n m)^2 / (n m (1 - m))
-is 1 + (n - 1) rho on average. A host is blocked if even the lower bound of its posterior exceeds ``most_bad``.
-Rules come first: the longest rule that fits decides.
-
-Edge cases: null and scheme-less urls have an empty host and path, and are judged as that host. Hosts without labelled pages get
-their domain's prior. Null outcomes count as unlabelled. Repeated rows each get a row. Without labels nothing is blocked but by rules.
+is 1 + (n - 1) rho on average. A host is blocked if even the lower bound of its posterior exceeds the share of bad pages overall
+times ``most_bad``: if it is worse than the corpus, not only unlucky. Where labels say nothing about hosts, the priors are strong
+and no host is blocked. Rules come first: the longest rule that fits decides.
+
+Registered domains
+    The suffix is the last label, or the last two where a country's two-letter label follows one of ``SECOND`` (``co.uk``). A public
+    suffix list in its own format may be given instead (``suffix_rules`` of its text); such a table isn't part of this library.
+
+Edge cases
+    Null and scheme-less urls have an empty host and path, and are judged as that host. Hosts without labelled pages get their
+    domain's prior. Null outcomes count as unlabelled; of several outcomes of a key a bad one holds. Repeated rows each get a row, and
+    count each. Rules of equal length (ties) can't both fit a url unless they are equal. Without labels nothing is blocked but by
+    rules. Very long urls are parsed whole. An empty table gives an empty result. Further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import few_rows, join_dimension, materialise
 
 #: (verdict, host and path); at most some hundred: they are part of the plan.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: The public suffix list (publicsuffix.org, with its private part), as the rules of ``with_suffixes``.
-SUFFIX_LIST = Path(__file__).with_name("public_suffix_list.dat")
+#: Labels under which countries register names.
+SECOND = ("ac", "co", "com", "edu", "go", "gob", "gov", "mil", "ne", "net", "or", "org")
 #: Bounds of the overdispersion, and its value where no group has two labelled pages.
 LEAST_RHO, MOST_RHO, NO_RHO = 1e-3, 0.999, 0.5
+#: Hosts that are broadcast at most (some 100 bytes each); beyond it pages are joined by a shuffle that deals each host to many tasks.
+BROADCAST_HOSTS = 200_000
+
+
+def _rest(url: Column) -> Column:
+    """What follows the first ``://``; null without one."""
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substr(url, at + 3))
 
 
 def host_of(url: Column) -> Column:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("url")))
-    return F.coalesce(F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+    return F.coalesce(F.translate(F.regexp_extract(_rest(url), r"^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("url")))
-    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
@@ -58,10 +70,21 @@ def suffix_rules(text: str) -> list[str]:
     return sorted(rules)
 
 
+def _by_rule(hosts: DataFrame) -> DataFrame:
+    """Adds suffix and domain by the rule of last labels."""
+    last = lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), F.lit(-n))
+    two = F.regexp_like("host", F.lit(rf"(^|\.)({'|'.join(SECOND)})\.[a-z][a-z]$"))
+    return hosts.withColumn("suffix", F.when(two, last(2)).otherwise(last(1))).withColumn("domain", F.when(two, last(3)).otherwise(last(2)))
+
+
 def with_suffixes(hosts: DataFrame, rules: list[str] | None = None) -> DataFrame:
-    """Adds suffix and domain (one label more) to rows of distinct hosts, by a public suffix list: ``*.x`` stands for any label
-    before x, ``!x`` is no suffix itself, the longest rule holds. Without a rule the last label is the suffix."""
-    rules = suffix_rules(SUFFIX_LIST.read_text("utf-8")) if rules is None else rules
+    """Adds suffix and domain (one label more) to rows of distinct hosts; without ``rules`` by last labels.
+
+    In rules of a public suffix list ``*.x`` stands for any label before x, ``!x`` is no suffix itself, the longest rule holds; where
+    none fits, the last label is the suffix.
+    """
+    if rules is None:
+        return _by_rule(hosts)
     most = max([r.count(".") + 1 for r in rules], default=1)
     line = hosts.sparkSession.range(1).select(F.explode(F.split(F.lit("\n".join(rules)), "\n")).alias("rule"))
     table = line.select(F.regexp_replace("rule", r"^(\*\.|!)", "").alias("tail"), F.startswith("rule", F.lit("*.")).alias("wild"), F.startswith("rule", F.lit("!")).alias("but"))
@@ -86,8 +109,8 @@ def _shrink(level: DataFrame) -> DataFrame:
     return level.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
 
 
-def reputation(pages: DataFrame, z: float = 1.645, suffixes: list[str] | None = None) -> DataFrame:
-    """host, n, x, mean, lower: posterior of the share of bad pages of hosts. pages: host, bad (null: unlabelled)."""
+def reputation(pages: DataFrame, z: float = 1.645, suffixes: list[str] | None = None) -> tuple[DataFrame, float]:
+    """host, n, x, mean, lower: posterior of the share of bad pages of hosts, and the overall share. pages: host, bad (null: unlabelled)."""
     sums = [F.sum("n").alias("n"), F.sum("x").alias("x")]
     hosts = pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("x"))
     hosts = materialise(with_suffixes(hosts, suffixes))
@@ -97,18 +120,20 @@ def reputation(pages: DataFrame, z: float = 1.645, suffixes: list[str] | None =
     domains = _shrink(hosts.groupBy("suffix", "domain").agg(*sums).join(suffixes.select("suffix", F.col("mean").alias("m")), "suffix"))
     full = _shrink(hosts.join(domains.select("domain", F.col("mean").alias("m")), "domain"))
     total = F.col("a") + F.col("b")
-    return full.select("host", "n", "x", "mean", (F.col("mean") - z * F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))).alias("lower"))
+    return full.select("host", "n", "x", "mean", (F.col("mean") - z * F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))).alias("lower")), overall
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, most_bad: float = 0.35, z: float = 1.645, rules=RULES, suffixes: list[str] | None = None) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, most_bad: float = 1.0, z: float = 1.645, rules=RULES, suffixes: list[str] | None = None) -> DataFrame:
     """One row per row of pages (page_id, url): page_id, host, path, rule, verdict, bad_share. outcomes: key, bad.
 
-    suffixes: rules of a public suffix list (by default those of ``SUFFIX_LIST``). A page's key, by which its outcome is found, is the first number in its path.
+    A page's key, by which its outcome is found, is the first number in its path: pages are numbered by the document they show.
     """
     parsed = pages.select("page_id", "url").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     known = outcomes.filter("key IS NOT NULL AND bad IS NOT NULL").groupBy("key").agg(F.max("bad").alias("bad"))
     keyed = parsed.select("host", F.expr("try_cast(regexp_extract(path, '([0-9]+)', 1) AS bigint)").alias("key"))
-    hosts = materialise(reputation(keyed.join(known, "key", "left"), z, suffixes))
-    judged = parsed.join(hosts, "host", "left").withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    own = F.when(F.col("n").isNotNull() & (F.col("lower") > most_bad), F.lit("block")).otherwise(F.lit("allow"))
+    hosts, overall = reputation(keyed.join(known, "key", "left"), z, suffixes)
+    hosts = materialise(hosts)
+    # few hosts: broadcast; many: each host's pages are dealt out, as one host may have a third of them
+    judged = join_dimension(parsed, hosts, "host", few_rows(hosts, BROADCAST_HOSTS), "left").withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
+    own = F.when(F.col("n").isNotNull() & (F.col("lower") > most_bad * overall), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", own).alias("verdict"), F.col("mean").alias("bad_share"))
