@@ -3,54 +3,67 @@
 For every participant of a dialogue one example is made in which that speaker is the assistant and all others are named users.
 The loss mask is the list of spans (code points, end exclusive) of the speaker's own texts with their closing marks.
 
-A dialogue is rendered in parts of ``PART`` consecutive turn numbers, so that one very long dialogue is many rows, never one task's;
-every participant of the dialogue gets every part. Later parts lack the other earlier turns but begin with the turns of ``NARRATORS``
-from earlier parts (counted in n_turns). Turns are joined with participants per dialogue.
+An example is the whole dialogue, however long: one row for each dialogue and speaker, since that row is the result. Places come
+from running sums over the dialogue in which everyone is a named user; a speaker's k-th own turn is moved by k times the difference
+of the two headings. So each turn is laid out once, not once for every speaker, in linear time and by windows that spill.
 
-Edge cases: null text is empty; null role is the name ``unknown``; turns come in order of (turn, role, text), null turns first in part
-0; repeated rows are repeated turns. Roles in ``NARRATORS`` set the scene and get no example of their own; a dialogue of them
-alone gives no row. Null conv_id is one dialogue. Further columns are ignored.
+Texts and names are escaped (``&`` and ``<``, in names ``>`` and ``"`` too), so that nothing in them can pass for a mark.
+
+Edge cases
+    Null text is empty; null role is the name ``unknown``. Turns come in order of (turn, role, text), null turns first; ties of all
+    three are equal turns, so their order doesn't matter. Repeated rows are repeated turns. Rows with a null conv_id are dialogues of
+    one turn each. Roles in ``NARRATORS`` set the scene and get no example of their own; a dialogue of them alone gives no row. An
+    empty table gives an empty result. Very long texts are laid out whole. Further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-PART = 256
 NARRATORS = ("system",)
+OWN = "<assistant>\n"
+
+
+def escaped(text: Column, name: bool = False) -> Column:
+    """A text, or a name, without anything that could be read as a mark."""
+    for plain, code in (("&", "&amp;"), ("<", "&lt;"), *([(">", "&gt;"), ('"', "&quot;")] if name else [])):
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
 
 
-def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
-    """conv_id, part, speaker, n_turns, n_own, text, mask for turns (conv_id, turn, role, text)."""
-    clean = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    number = F.coalesce(F.floor(F.col("turn") / part).cast("long"), F.lit(0).cast("long"))
-    parts = clean.groupBy("conv_id", number.alias("part")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    # parts after the first are rare: only they look for what set the scene before
-    scene = clean.filter(F.col("role").isin(*NARRATORS)).select(F.col("conv_id").alias("in"), number.alias("from"), F.struct("turn", "role", "text").alias("t"))
-    later = clean.select(F.col("conv_id").alias("c"), number.alias("k")).filter("k > 0").distinct()
-    carried = later.join(scene, F.col("c").eqNullSafe(F.col("in")) & (F.col("from") < F.col("k"))).groupBy("c", "k").agg(F.array_sort(F.collect_list("t")).alias("earlier"))
-    parts = parts.join(carried, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("k")), "left")
-    parts = parts.select("conv_id", "part", F.when(F.col("earlier").isNull(), F.col("turns")).otherwise(F.concat("earlier", "turns")).alias("turns"))
-    speakers = clean.filter(~F.col("role").isin(*NARRATORS)).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
-    both = parts.join(speakers, parts.conv_id.eqNullSafe(speakers["of"]))
-
-    def pieces(t):
-        own = t["role"] == F.col("speaker")
-        head = F.when(own, "<assistant>\n").when(t["role"].isin(*NARRATORS), F.concat(F.lit("<"), t["role"], F.lit(">\n"))).otherwise(F.concat(F.lit('<user name="'), t["role"], F.lit('">\n')))
-        return F.struct(head.alias("head"), F.concat(t["text"], F.lit("\n</turn>\n")).alias("body"), own.alias("own"))
-
-    laid = both.select("conv_id", "part", "speaker", F.transform("turns", pieces).alias("p"))
-    length = F.transform("p", lambda x: F.length(x["head"]) + F.length(x["body"]))
-    before = F.transform("p", lambda x, i: F.aggregate(F.slice("len", 1, i), F.lit(0), lambda s, y: s + y) + F.length(x["head"]))
-    laid = laid.withColumn("len", length).withColumn("at", before)
-    spans = F.transform(F.filter(F.arrays_zip("p", "at"), lambda z: z["p"]["own"]), lambda z: F.concat_ws(":", z["at"].cast("string"), (z["at"] + F.length(z["p"]["body"])).cast("string")))
-    return laid.select(
+def rotate(turns: DataFrame) -> DataFrame:
+    """conv_id, speaker, n_turns, n_own, text, mask for turns (conv_id, turn, role, text)."""
+    narrates = F.col("role").isin(*NARRATORS)
+    name = escaped(F.col("role"), name=True)
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    clean = (
+        turns.select("conv_id", alone.alias("alone"), "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("raw"))
+        .withColumn("head", F.when(narrates, F.concat(F.lit("<"), name, F.lit(">\n"))).otherwise(F.concat(F.lit('<user name="'), name, F.lit('">\n'))))
+        .withColumn("body", F.concat(escaped(F.col("raw")), F.lit("\n</turn>\n")))
+    )
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("raw")]
+    dialogue = Window.partitionBy("conv_id", "alone").orderBy(*order)
+    before = F.coalesce(F.sum(F.length("head") + F.length("body")).over(dialogue.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("conv_id", "alone", "role").orderBy(*order)) - 1
+    start = F.col("before") + F.col("nth") * (len(OWN) - F.length("head")) + len(OWN)
+    placed = (
+        clean.withColumn("place", F.row_number().over(dialogue))
+        .withColumn("before", before)
+        .withColumn("nth", nth)
+        .withColumn("span", F.concat_ws(":", start.cast("string"), (start + F.length("body")).cast("string")))
+    )
+    whole = placed.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list(F.struct("place", "role", "head", "body", "span"))).alias("turns"))
+    speakers = F.array_distinct(F.transform(F.filter("turns", lambda t: ~t["role"].isin(*NARRATORS)), lambda t: t["role"]))
+    rotated = whole.select("conv_id", "turns", F.explode(speakers).alias("speaker"))
+    own = F.filter("turns", lambda t: t["role"] == F.col("speaker"))
+    laid = F.transform("turns", lambda t: F.concat(F.when(t["role"] == F.col("speaker"), F.lit(OWN)).otherwise(t["head"]), t["body"]))
+    return rotated.select(
         "conv_id",
-        "part",
         "speaker",
-        F.size("p").cast("long").alias("n_turns"),
-        F.size(F.filter("p", lambda x: x["own"])).cast("long").alias("n_own"),
-        F.array_join(F.transform("p", lambda x: F.concat(x["head"], x["body"])), "").alias("text"),
-        F.array_join(spans, ",").alias("mask"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.size(own).cast("long").alias("n_own"),
+        F.array_join(laid, "").alias("text"),
+        F.array_join(F.transform(own, lambda t: t["span"]), ",").alias("mask"),
     )
