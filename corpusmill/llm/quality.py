@@ -9,14 +9,20 @@ How the estimate is distributed
     group count once (by a 64-bit digest): thousands of copies of one text can't pose as the bulk, and a hot group
     shrinks in the map-side aggregate. A concentration step bins all squared distances of a group on a fine logarithmic
     grid and sums counts and moments per bin; the bins up to the one that reaches h rows are the next subset.
-    No rows of a group ever meet in one task. Steps start from the classical moments and from medians with
+    No rows of a group ever meet in one task: estimates are broadcast to the rows (behind a count of the groups; beyond it
+    each group's rows are dealt to several tasks). Steps start from the classical moments and from medians with
     quartile scales; the smaller determinant wins, and one reweighting step follows.
 
+Small groups
+    Every (language, source) has an estimate of its own. It is shrunk towards its language's, and that towards that of all
+    texts, as if the latter had been seen in ``PRIOR`` texts: location and scatter are averages weighted by n and PRIOR.
+    There is no group size at which the rule changes; in groups of thousands the prior weighs nothing.
+
 Edge cases
-    Null or empty text: no words, hence base_failed. Null lang or source is a group of its own. Groups with
-    fewer than ``min_group`` distinct texts use their language's estimate, then that of all texts; with
-    still fewer texts the method keeps what the base rules keep. Repeated rows each get their own result.
-    Further columns are ignored by ``judge`` and passed through by ``keep``.
+    Null or empty text: no words, hence base_failed. Null lang or source is a group of its own. A text alone in its group is
+    judged by its language's scatter, mostly from its language's location. Equal texts (ties, repeated rows) count once for
+    an estimate, and each row gets its own result. Very long texts are read whole, one at a time. An empty table gives an
+    empty result. Further columns are ignored by ``judge`` and passed through by ``keep``, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bounded_broadcast, materialise, ship
+from .common import few_rows, join_dimension, materialise, release, ship, sliced
 
 ship(__name__)
 
@@ -45,8 +51,10 @@ UNIT = 1024
 #: Smallest standard deviation of each feature that counts as a difference, in feature units.
 FLOORS = (0.08, 0.15, 0.10, 0.08)
 P = len(FLOORS)
-#: Groups whose estimates are broadcast at most (some 300 bytes each); more are joined by a shuffle.
+#: Groups whose estimates are broadcast at most (some 300 bytes each, 15 MB); more are joined by a shuffle.
 BROADCAST_GROUPS = 50_000
+#: Texts that a group's prior, the estimate of the level above, is worth.
+PRIOR = 20
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 X = [f"x{i}" for i in range(P)]
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -89,7 +97,7 @@ def with_stats(df: DataFrame, keep: list[str]) -> DataFrame:
     out = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in names)])
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows = [text_stats(t) for t in b.column("text").to_pylist()]
             cols = np.array(rows, dtype=np.int64).reshape(len(rows), len(names))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(cols[:, i]) for i in range(len(names)))], names=[*keep, *names])
@@ -119,31 +127,64 @@ def _moments() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), F.array(*[F.sum(x) for x in X]).alias("s1"), F.array(*[F.sum(F.col(X[i]) * F.col(X[j])) for i, j in PAIRS]).alias("s2")]
 
 
-def _solve(moments: DataFrame, keys: list[str], consistency: float) -> DataFrame:
-    """Location, inverse scatter and log determinant of each row of sums. Scatter is bounded from below by the floors."""
+DOUBLES = T.ArrayType(T.DoubleType())
+
+
+def _invert(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inverse and log determinant of a scatter; a spread below the floor is not believed, the diagonal is lifted up to it."""
     floor = np.diag((np.array(FLOORS) * UNIT) ** 2)
-    fields = [moments.schema[k] for k in keys]
-    out = T.StructType([*fields, T.StructField("mu", T.ArrayType(T.DoubleType())), T.StructField("inv", T.ArrayType(T.DoubleType())), T.StructField("logdet", T.DoubleType())])
+    cov = cov + np.diag(np.maximum(np.diag(floor) - np.diag(cov), 0)) + floor * 1e-3
+    return np.linalg.inv(cov), float(np.linalg.slogdet(cov)[1])
+
+
+def _solve(moments: DataFrame, keys: list[str], consistency: float) -> DataFrame:
+    """n, location, scatter, and with bounds from below the inverse scatter and log determinant, of each row of sums."""
+    names = ["mu", "cov", "inv", "logdet"]
+    out = T.StructType([*[moments.schema[k] for k in keys], T.StructField("n", T.LongType()), *[T.StructField(c, DOUBLES) for c in names[:3]], T.StructField("logdet", T.DoubleType())])
 
     def run(batches):
         for b in batches:
-            mus, invs, dets = [], [], []
+            rows = []
             for n, s1, s2 in zip(*(b.column(c).to_pylist() for c in ("n", "s1", "s2")), strict=True):
                 mu = np.array(s1, float) / n
                 cov = np.zeros((P, P))
                 for (i, j), v in zip(PAIRS, s2, strict=True):
                     cov[i, j] = cov[j, i] = v / n - mu[i] * mu[j]
                 cov = cov * consistency
-                # a spread below the floor is not believed: lift the diagonal up to it
-                cov += np.diag(np.maximum(np.diag(floor) - np.diag(cov), 0)) + floor * 1e-3
-                mus.append(mu.tolist())
-                invs.append(np.linalg.inv(cov).ravel().tolist())
-                dets.append(float(np.linalg.slogdet(cov)[1]))
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(mus, pa.list_(pa.float64())), pa.array(invs, pa.list_(pa.float64())), pa.array(dets, pa.float64())], names=[*keys, "mu", "inv", "logdet"])
+                inv, logdet = _invert(cov)
+                rows.append((mu.tolist(), cov.ravel().tolist(), inv.ravel().tolist(), logdet))
+            cols = list(zip(*rows)) or [[]] * 4
+            kinds = [pa.list_(pa.float64())] * 3 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in (*keys, "n")), *(pa.array(c, t) for c, t in zip(cols, kinds))], names=[*keys, "n", *names])
 
     return moments.select(*keys, "n", "s1", "s2").mapInArrow(run, out)
 
 
+def shrunk(chain: list[tuple[int, np.ndarray, np.ndarray]], prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
+    """Location and inverse scatter of the first of a chain of estimates (n, mu, cov), each shrunk towards the next."""
+    _, mu, cov = chain[-1]
+    for n, m, c in chain[-2::-1]:
+        share = n / (n + prior)
+        mu, cov = share * m + (1 - share) * mu, share * c + (1 - share) * cov
+    return mu, _invert(cov)[0]
+
+
+def _shrink(chains: DataFrame) -> DataFrame:
+    """g, mu, inv for rows of g and levels: an array of (level, n, mu, cov)."""
+    out = T.StructType([T.StructField("g", T.StringType()), T.StructField("mu", DOUBLES), T.StructField("inv", DOUBLES)])
+
+    def run(batches):
+        for b in batches:
+            mus, invs = [], []
+            for chain in b.column("levels").to_pylist():
+                mu, inv = shrunk([(x["n"], np.array(x["mu"]), np.array(x["cov"]).reshape(P, P)) for x in chain])
+                mus.append(mu.tolist())
+                invs.append(inv.ravel().tolist())
+            yield pa.RecordBatch.from_arrays([b.column("g"), pa.array(mus, pa.list_(pa.float64())), pa.array(invs, pa.list_(pa.float64()))], names=["g", "mu", "inv"])
+
+    return chains.mapInArrow(run, out)
+
+
 def _d2() -> Column:
     """Squared Mahalanobis distance of x0.. from mu under inv."""
     diff = [F.col(X[i]) - F.get("mu", F.lit(i)) for i in range(P)]
@@ -153,16 +194,17 @@ def _d2() -> Column:
     return total
 
 
-def _concentrate(vectors: DataFrame, params: DataFrame, sizes: DataFrame, h: float, consistency: float) -> DataFrame:
+def _concentrate(vectors: DataFrame, params: DataFrame, sizes: DataFrame, few: bool, h: float, consistency: float) -> DataFrame:
     """One C-step for all groups and starts: the h share of vectors nearest to the estimate gives the next one."""
     binned = (
-        vectors.join(params, "g")
+        join_dimension(vectors, params.select("g", "start", "mu", "inv"), "g", few)
         .withColumn("bin", F.least(F.lit(2047), F.floor(F.log2(1 + _d2()) * 64)).cast("int"))
         .groupBy("g", "start", "bin")
         .agg(*_moments())
     )
     before = Window.partitionBy("g", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    inside = binned.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(sizes, "g").filter(F.col("before") < F.ceil(F.col("size") * h))
+    placed = binned.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    inside = join_dimension(placed, sizes, "g", few).filter(F.col("before") < F.ceil(F.col("size") * h))
     sums = inside.groupBy("g", "start").agg(
         F.sum("n").alias("n"),
         F.array(*[F.sum(F.get("s1", F.lit(i))) for i in range(P)]).alias("s1"),
@@ -171,34 +213,34 @@ def _concentrate(vectors: DataFrame, params: DataFrame, sizes: DataFrame, h: flo
     return _solve(sums, ["g", "start"], consistency)
 
 
-def estimate(stats: DataFrame, h: float = 0.6, steps: int = 3, min_group: int = 60) -> DataFrame:
+def estimate(stats: DataFrame, h: float = 0.6, steps: int = 3) -> DataFrame:
     """Columns g (language and source), mu, inv: the estimate that each (language, source) is judged by."""
     vectors = stats.filter(~base_failed()).groupBy("lang", "source", "digest", *X).agg(F.lit(1).alias("one")).drop("one", "digest")
-    vectors = vectors.withColumn("own", _key(0)).select("own", F.explode(F.array(_key(0), _key(1), _key(2))).alias("g"), *X)
-    vectors = materialise(vectors)
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), _key(k).alias("g")) for k in range(3)])
+    groups = vectors.select("lang", "source").distinct().select(_key(0).alias("own"), F.explode(levels).alias("l")).select("own", "l.*")
+    vectors = materialise(vectors.select(F.explode(F.array(_key(0), _key(1), _key(2))).alias("g"), *X))
     totals = materialise(vectors.groupBy("g").agg(*_moments(), *[F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, x in enumerate(X)]))
+    few = few_rows(totals, BROADCAST_GROUPS)
     sizes = totals.select("g", F.col("n").alias("size"))
-    enough = totals.filter(F.col("n") >= min_group)
-    classical = _solve(enough.withColumn("start", F.lit(0)), ["g", "start"], 1.0)
+    classical = _solve(totals.withColumn("start", F.lit(0)), ["g", "start"], 1.0).select("g", "start", "mu", "inv")
     scale = [F.greatest(F.lit(FLOORS[i] * UNIT), (F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349) for i in range(P)]
-    median = enough.select(
+    median = totals.select(
         "g",
         F.lit(1).alias("start"),
         F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(P)]).alias("mu"),
         F.array(*[(1 / (scale[i] * scale[i])) if i == j else F.lit(0.0) for i in range(P) for j in range(P)]).alias("inv"),
-        F.lit(0.0).alias("logdet"),
     )
     params = classical.unionByName(median)
     # variance of a normal sample cut at the h quantile of its distances, and at the 0.975 one
     cut = lambda q: q / _chi2_cdf(chi2_quantile(q, P), P + 2)
     for _ in range(steps):
-        params = _concentrate(vectors.select("g", *X), params, sizes, h, cut(h))
-    params = materialise(params)
+        params = materialise(_concentrate(vectors, params, sizes, few, h, cut(h)))
     best = params.groupBy("g").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("b")).select("g", "b.mu", "b.inv")
-    near = vectors.select("g", *X).join(best, "g").filter(_d2() <= chi2_quantile(0.975, P)).groupBy("g").agg(*_moments())
-    final = _solve(near.withColumn("start", F.lit(0)), ["g"], cut(0.975)).drop("logdet")
-    groups = vectors.select("own", "g").distinct()
-    return materialise(groups.join(final, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("b")).select(F.col("own").alias("g"), "b.mu", "b.inv"))
+    near = join_dimension(vectors, best, "g", few).filter(_d2() <= chi2_quantile(0.975, P)).groupBy("g").agg(*_moments())
+    final = _solve(near, ["g"], cut(0.975)).select("g", "n", "mu", "cov")
+    release(stats.sparkSession)
+    chains = join_dimension(groups, final, "g", few).groupBy(F.col("own").alias("g")).agg(F.array_sort(F.collect_list(F.struct("level", "n", "mu", "cov"))).alias("levels"))
+    return materialise(_shrink(chains))
 
 
 def _chi2_cdf(x: float, df: int) -> float:
@@ -214,8 +256,7 @@ def verdicts(stats: DataFrame, params: DataFrame, tail: float = 1e-6) -> DataFra
     """Adds base_failed, distance2 and kept to a frame with lang, source and statistics."""
     cutoff = chi2_quantile(1 - tail, P)
     return (
-        stats.withColumn("g", _key(0))
-        .join(bounded_broadcast(params, BROADCAST_GROUPS), "g", "left")
+        join_dimension(stats.withColumn("g", _key(0)), params, "g", few_rows(params, BROADCAST_GROUPS), "left")
         .withColumn("base_failed", base_failed())
         .withColumn("distance2", _d2())
         .withColumn("kept", ~F.col("base_failed") & (F.col("mu").isNull() | (F.col("distance2") <= cutoff)))
