@@ -6,10 +6,14 @@ Expectation-maximisation estimates the text's language proportions; starting fro
 dropped and the rest fitted again as long as the penalised likelihood (BIC) gets better. The largest share is predicted.
 
 Learning uses at most about ``per_language`` documents of each language, chosen by a hash of their ids (a bound on the
-sample; languages are counted over all). The model has languages times BUCKETS cells; it is made on the driver.
-
-Edge cases: null text, and text without a letter, is ``und`` with score 0 and empty proportions; so is every text if nothing could be
-learned. Ties go to the first language in order. Null lang teaches nothing. Rows with null doc_id are predicted, not learned from.
+sample; languages are counted over all). The model has languages times BUCKETS cells (half a MB a language); it is made on the
+driver, and refused beyond ``MOST_LANGUAGES`` languages.
+
+Edge cases
+    Null text, and text without a letter, is ``und`` with score 0 and empty proportions; so is every text if nothing could be
+    learned. Ties go to the first language in order. Null lang teaches nothing. Rows with null doc_id are predicted, not learned
+    from. Repeated rows are learned from and predicted each. Very long texts are read whole, one at a time. An empty table teaches
+    nothing and gives an empty result. Further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, ship
+from .common import few_rows, ship, sliced
 
 ship(__name__)
 
 BUCKETS = 1 << 16
 SMOOTH = 0.5
 ROUNDS = 30
+MOST_LANGUAGES = 500
 
 
 def letters() -> np.ndarray:
@@ -51,20 +56,19 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, per_language: int = 2000) -> tuple[list[str], np.ndarray]:
     """The languages in order, and log probabilities (BUCKETS x languages) of cells. docs: doc_id, text, lang to learn from."""
-    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    known = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     rates = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("rate"))
-    sample = known.join(bounded_broadcast(rates, 10_000), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("rate") * 1_000_000)
+    if not few_rows(rates, MOST_LANGUAGES):
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sample = known.join(F.broadcast(rates), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("rate") * 1_000_000)
     table = letters()
 
     def count(batches):
         is_letter = np.unpackbits(table)[:0x110000].view(bool)
-        for b in batches:
+        for b in sliced(batches, most=4 << 20):
             langs, texts = b.column("lang").to_pylist(), b.column("text").to_pylist()
             for lang in sorted(set(langs)):
-                total = np.zeros(BUCKETS, np.int64)
-                for l, t in zip(langs, texts, strict=True):
-                    if l == lang:
-                        total += np.bincount(cells(t, is_letter)[0], minlength=BUCKETS)
+                total = np.bincount(np.concatenate([cells(t, is_letter)[0] for l, t in zip(langs, texts, strict=True) if l == lang]), minlength=BUCKETS)
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(total[used])], names=["lang", "cell", "n"])
 
@@ -118,7 +122,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     def run(batches):
         names, logs, table = sent.value
         is_letter = np.unpackbits(table)[:0x110000].view(bool)
-        for b in batches:
+        for b in sliced(batches):
             out = []
             for text in b.column("text").to_pylist():
                 cell, start = cells(text or "", is_letter)
