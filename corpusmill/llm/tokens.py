@@ -1,14 +1,17 @@
 """Token counts of a unigram tokenizer by dynamic programming over a trie of pre-tokens.
 
-A text's pre-tokens are its words between ASCII white space, each with the word-start mark in front. For a batch of texts the
+A text's pre-tokens are its words between ASCII white space, each with the word-start mark in front. For a slice of texts the
 distinct pre-tokens form a trie (visited in sorted order, with the current path held in a stack): the forward score of a prefix,
 the best sum of piece scores and its number of tokens, is computed once and used by all pre-tokens below it. A node that ends a
-pre-token stores its count. Texts then sum the counts of their pre-tokens; nothing is shuffled.
+pre-token stores its count, and a task keeps the counts it has (up to ``KEPT_CHARS`` characters of pre-tokens, then it starts
+afresh), so that a pre-token is scored once for many slices. Texts sum the counts of their pre-tokens; nothing is shuffled.
 
 Pieces come from a public vocabulary file whose path is a parameter. It carries ranks and no probabilities, so a piece's score is
 that of Zipf's law, -log(rank + 1). A character that no piece covers costs its UTF-8 bytes as tokens. Ties go to fewer tokens.
 
 Edge cases: null and blank texts have no tokens. A very long pre-token is scored like any other, in time linear in its length.
+Repeated rows each get a row, with equal counts. An empty table gives an empty result. Rows with null doc_id are counted too.
+Further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship
+from .common import ship, sliced
 
 ship(__name__)
 
@@ -29,6 +32,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MARK = "▁"
 #: Score of a byte of an uncovered character, below every piece's.
 BYTE = -20.0
+#: Characters of the pre-tokens whose counts a task keeps.
+KEPT_CHARS = 1 << 23
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -70,10 +75,17 @@ def count_tokens(docs: DataFrame, pieces: dict[str, float]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
-        for b in batches:
+        known: dict[str, int] = {}
+        held = 0
+        for b in sliced(batches):
             bags = [Counter(WORD.findall(t or "")) for t in b.column("text").to_pylist()]
-            counts = forward_counts({MARK + w for bag in bags for w in bag}, sent.value, longest)
-            n = [sum(k * counts[MARK + w] for w, k in bag.items()) for bag in bags]
+            new = {MARK + w for bag in bags for w in bag}
+            if held > KEPT_CHARS:
+                known, held = {}, 0
+            new -= known.keys()
+            known.update(forward_counts(new, sent.value, longest))
+            held += sum(map(len, new))
+            n = [sum(k * known[MARK + w] for w, k in bag.items()) for bag in bags]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([bag.total() for bag in bags], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_pretokens", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
