@@ -5,14 +5,17 @@ theta_0 <= theta_1 <= .... Features are the distinct words of the whole text, ha
 mean over those with a weight, so that many words of one grade don't add up to the next. The output is the
 expected severity, the sum of P(grade > k), and whether P(grade > 0) reaches one half.
 
-The model is fitted on the driver by Adam on at most about ``most_rows`` labelled documents chosen by a hash of their ids, a
-documented bound on the sample. Only cells whose documents' grades differ from the rest's get a weight: for some threshold, the
+The model is fitted on the driver by Adam on at most about ``most_rows`` labelled documents, and of these on at most about
+``most_chars`` characters of text, chosen by hashes of their ids: a documented bound on the sample, in rows and in bytes. Only cells whose documents' grades differ from the rest's get a weight: for some threshold, the
 exact binomial tail of the number above it must be below ``chance`` divided by the number of cells that are tested. Tested are
 cells of so many documents that they could pass at all (chosen by document counts alone), so few labels still teach clear words,
 and chance words of single documents stay out at any base rate.
 
-Edge cases: null text has no features and gets the base rate. Labels of documents that don't exist, or with a null grade, are
-ignored; of several labels of a document the highest holds. Without labels, severity is null and nothing is toxic.
+Edge cases
+    Null text has no features and gets the base rate. Labels of documents that don't exist, or with a null grade, are ignored; of
+    several labels of a document the highest holds. Without labels, severity is null and nothing is toxic. A tie, P(grade > 0) of
+    exactly one half, is toxic. Repeated rows are scored each (and learned from each, if labelled). Very long texts are read whole.
+    An empty table gives an empty result. Further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, ship
+from .common import bounded_broadcast, ship, sliced
 
 ship(__name__)
 
@@ -100,16 +103,20 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, steps: int = 80
     return weights, par[d] + np.concatenate([[0.0], np.cumsum(np.exp(par[d + 1 :]))])
 
 
-def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 16_000) -> tuple[np.ndarray, np.ndarray] | None:
+def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 16_000, most_chars: int = 100_000_000) -> tuple[np.ndarray, np.ndarray] | None:
     """The model for labels (doc_id, grade); None if there is nothing to learn from."""
-    known = labels.filter("doc_id IS NOT NULL AND grade IS NOT NULL")
+    known = labels.select("doc_id", "grade").filter("doc_id IS NOT NULL AND grade IS NOT NULL")
     if not (total := known.count()):
         return None
     part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000.0 * most_rows / total)).groupBy("doc_id").agg(F.max("grade").cast("long").alias("grade"))
-    sample = docs.select("doc_id", "text").join(bounded_broadcast(part, 2 * most_rows), "doc_id").select("text", "grade")
+    sample = docs.select("doc_id", "text").join(bounded_broadcast(part, 2 * most_rows), "doc_id")
+    chars = sample.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars > most_chars:
+        sample = sample.filter(F.pmod(F.xxhash64("doc_id", F.lit("chars")), F.lit(1_000_000)) < F.lit(1_000_000.0 * most_chars / chars))
+    sample = sample.select("text", "grade")
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32())), b.column("grade")], names=["cells", "grade"])
 
     got = sample.mapInArrow(run, "cells array<int>, grade long").toArrow()
@@ -126,7 +133,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataF
 
     def run(batches):
         model = sent.value
-        for b in batches:
+        for b in sliced(batches):
             texts = b.column("text").to_pylist()
             if model is None:
                 sev = p = [None] * len(texts)
