@@ -7,11 +7,15 @@ the token in the window gives the only possible start in the document (positiona
 out are dropped (length bound); what is left is compared word by word (exact containment).
 
 Rarity is the count of a word over all documents. Two passes read the documents; the index of windows is broadcast if
-it has at most ``BROADCAST_ROWS`` rows, else candidates are found by a shuffled join on words without the texts.
-
-Edge cases: null and word-less documents have no words and are not contaminated. Items without words have no window.
-Items with a null item_id count for hits but not for n_items. Repeated rows each get a row; an empty benchmark hits
-nothing. Further columns are ignored (``keep`` passes them through).
+it weighs at most ``BROADCAST_ROWS`` (a row, an item of a row, and each 100 characters weigh one), else candidates are found
+by a shuffled join on words without the texts. Counts of the windows' words are broadcast under the same bound.
+
+Edge cases
+    Null and word-less documents have no words and are not contaminated. Items without words have no window. Items with a null
+    item_id count for hits but not for n_items. Of equally rare words of a window (ties) the first in order holds; results don't
+    depend on it. Repeated documents each get a row, repeated items count once. An empty benchmark hits nothing; an empty table
+    gives an empty result. Very long texts are searched whole. Further columns are ignored (``keep`` passes them through),
+    whatever their names.
 """
 
 from __future__ import annotations
@@ -19,9 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, materialise
+from .common import bounded_broadcast, lower_az, materialise
 
-#: Windows that are broadcast at most: some 100 bytes a row, 20 MB.
+#: Windows (rows, items and hundreds of characters) that are broadcast at most: some 20 MB.
 BROADCAST_ROWS = 200_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -44,7 +48,8 @@ def _index(docs: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
     vocabulary = windows.select(F.explode("win").alias("word")).distinct()
     small = vocabulary.limit(limit + 1).count() <= limit
     counted = docs.select(F.explode(words(F.col("text"))).alias("word")).join(F.broadcast(vocabulary) if small else vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    tokens = windows.select("win", F.posexplode("win").alias("off", "word")).join(counted, "word", "left")
+    counted = materialise(counted)
+    tokens = windows.select("win", F.posexplode("win").alias("off", "word")).join(F.broadcast(counted) if small else counted, "word", "left")
     rarest = tokens.groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "off")).alias("r"))
     return rarest.join(windows, "win").select("r.word", "r.off", "win", "len", "items")
 
@@ -53,7 +58,7 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 13, broadcast_rows:
     """One row per row of docs (doc_id, text): doc_id, mark, n_words, n_hit, items. ``mark`` is xxhash64 of the text."""
     windows = materialise(_windows(benchmark, width))
     index = materialise(_index(docs, windows, broadcast_rows))
-    n_index = index.count()
+    n_index = index.agg(F.sum(1 + F.size("items") + F.length(F.concat_ws(" ", "win")) / 100)).first()[0] or 0
     # one token more than the document has words keeps a row for every document
     end = index.sparkSession.createDataFrame([("", 0, [], 0, [])], index.schema)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("mark"), words(F.col("text")).alias("w"))
@@ -90,4 +95,5 @@ def contaminated() -> Column:
 def keep(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
     bad = materialise(find(docs, benchmark, width).filter(contaminated()).select(F.col("doc_id").alias("__bad_id"), F.col("mark").alias("__bad_mark")).distinct())
+    bad = bounded_broadcast(bad, BROADCAST_ROWS)
     return docs.join(bad, docs.doc_id.eqNullSafe(bad["__bad_id"]) & (F.xxhash64(docs.text) == bad["__bad_mark"]), "left_anti")
