@@ -9,15 +9,20 @@ probability below 1e-5. Links are then confirmed on the full shingle sets.
 
 How buckets are handled
     Equal sets are one class from the start, so copies never meet as pairs. In every bucket all members are
-    first tested against its smallest id only (a star, linear in the bucket). Members of a bucket that the
+    first tested against its smallest id only (a star, linear in the bucket; buckets that a sample shows to be heavy are not
+    dealt to one task but get that id by partial minima). Members of a bucket that the
     confirmed links have not yet brought into one component are then compared with their texts, across components
-    only, in blocks of bounded size, by signature distance first: exact, without caps on buckets or partners. Only
-    links that join components leave a task, so what is written stays linear in the group.
-    Components come from alternating star contractions on the link table; nothing of it goes to the driver.
-
-Edge cases: null, empty and word-less texts have an empty set, link with nothing and are kept. Texts with fewer words
-than a shingle have their whole sequence as the one shingle. Rows with null doc_id are kept and stand alone. Rows that
-repeat a doc_id are one document whose every text counts. Further columns are ignored (``keep`` passes them through).
+    only, in blocks of bounded size (members and shingles), by signature distance first: exact, without caps on buckets
+    or partners. Only links that join components leave a task, so what is written stays linear in the group.
+    Components come from alternating star contractions on the link table, until a step changes no row of it; nothing of
+    it goes to the driver.
+
+Edge cases
+    Null, empty and word-less texts have an empty set, link with nothing and are kept. Texts with fewer words than a shingle have
+    their whole sequence as the one shingle. Rows with null doc_id take no part: component_id null, kept. Rows that repeat a
+    doc_id are one document whose every text counts. doc_id must be of a whole-number type (others are refused). Very long texts
+    are read whole, one at a time. Ties don't arise: the smallest id stands for a group. An empty table gives an empty result.
+    Further columns are ignored (``keep`` passes them through), whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bounded_broadcast, materialise, record_batches, ship
+from .common import bounded_broadcast, materialise, record_batches, release, ship, sliced
 
 ship(__name__)
 
@@ -40,6 +45,10 @@ K = 64
 MISS = 1e-5
 #: Members of an unresolved bucket that one task compares with as many others.
 BLOCK = 2048
+#: Members from which a bucket (as a sample of one in HEAVY_SAMPLE classes tells) is heavy, and heavy buckets that are broadcast at most.
+HEAVY, HEAVY_SAMPLE, MOST_HEAVY = 50_000, 64, 500_000
+#: Shingles of a block (8 bytes each; a task holds two blocks).
+BLOCK_SHINGLES = 1 << 21
 #: Most ids that are broadcast to prefilter the texts (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -106,7 +115,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     out = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("set_hash", T.BinaryType()), T.StructField("sig", T.ArrayType(T.ShortType()))])
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             ns, hashes, sigs = [], [], []
             for text in b.column("text").to_pylist():
                 s = shingles(text, width)
@@ -151,8 +160,18 @@ def _buckets(classes: DataFrame, width: int) -> DataFrame:
             member = ident != pivot
             yield from record_batches([key[member], pivot[member], ident[member]], found, 100_000)
 
-    keyed = classes.select("rep", "sig").mapInArrow(index, "key long, id long")
-    return keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(scan, "key long, pivot long, id long")
+    keyed = lambda part: part.select("rep", "sig").mapInArrow(index, "key long, id long")
+    dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(scan, "key long, pivot long, id long")
+    some = keyed(classes.filter(F.pmod(F.xxhash64("rep"), F.lit(HEAVY_SAMPLE)) == 0)).groupBy("key").count()
+    heavy = materialise(some.filter(F.col("count") * HEAVY_SAMPLE >= HEAVY).select("key"))
+    if not heavy.limit(1).count():
+        return dealt(keyed(classes))
+    # heavy buckets are never dealt to a task: their pivots are found by partial minima and sent to the members
+    heavy = bounded_broadcast(heavy, MOST_HEAVY)
+    inside = keyed(classes).join(heavy, "key", "left_semi")
+    pivots = materialise(inside.groupBy("key").agg(F.min("id").alias("pivot")))
+    hot = inside.join(bounded_broadcast(pivots, MOST_HEAVY), "key").filter("id != pivot").select("key", "pivot", "id")
+    return hot.union(dealt(keyed(classes).join(heavy, "key", "left_anti")))
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, threshold: int, most: int) -> DataFrame:
@@ -172,7 +191,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
     def run(batches):
         last, left = None, None
-        for b in batches:
+        for b in sliced(batches, "t_b"):
             keep = []
             for ta, tb in zip(b.column("t_a").to_pylist(), b.column("t_b").to_pylist(), strict=True):
                 if ta != last:
@@ -188,18 +207,18 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (its smallest reachable node) for the nodes of edges (a, b): alternating large-star and small-star steps."""
     state = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-    now = mark(state)
-    while now[0]:
+    size = state.count()
+    while size:
         both = state.union(state.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u != v")
-        state = materialise(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        if (after := mark(state)) == now:
+        after = materialise(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        last, (state, size) = (state, size), (after, after.count())
+        # both are sets: of equal size and without a new row they are the same
+        if size == last[1] and not state.join(last[0], ["u", "v"], "left_anti").limit(1).count():
             break
-        now = after
     return state.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(state.select("v", "v").distinct())
 
 
@@ -212,9 +231,10 @@ def _cross_links(members: DataFrame, comps: DataFrame, classes: DataFrame, docs:
     rows = members.select("key", "id").union(members.select("key", "pivot").distinct())
     rows = rows.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     per_key = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi and size > 2").select("key", "size")
-    open_rows = rows.join(per_key, "key")
+    open_rows = materialise(rows.join(per_key, "key").join(classes.select(F.col("rep").alias("id"), "n_shingles"), "id"))
+    weights = open_rows.groupBy("key").agg(F.greatest(F.ceil(F.first("size") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     # large buckets are cut into blocks by hash, and every two blocks meet in a task of their own
-    open_rows = open_rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    open_rows = open_rows.join(weights, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = materialise(tasks.select("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "id", "comp"))
     needed = bounded_broadcast(tasks.select(F.col("id").alias("doc_id")).distinct(), BROADCAST_IDS)
@@ -256,9 +276,7 @@ def _cross_links(members: DataFrame, comps: DataFrame, classes: DataFrame, docs:
                     yield from record_batches([[x[0] for x in found], [x[1] for x in found]], schema)
             held.clear()
 
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in sliced(batches):
             sigs = _sigs(b.column("sig"))
             for i, (task, key, ident, comp, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("task", "key", "id", "comp", "text")), strict=True)):
                 if task != now:
@@ -275,21 +293,26 @@ def resolve(docs: DataFrame, width: int = 5, threshold: int = 80) -> tuple[DataF
 
     ``docs`` has doc_id (integer) and text. A class is a set of shingles; its rep is the smallest doc_id that has it.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("doc_id must be of a whole-number type")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chunk, most = plan(threshold)
     prints = materialise(fingerprints(docs, width))
     named = prints.filter(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
     classes = materialise(named.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
     members = materialise(_buckets(classes, chunk))
+    release(docs.sparkSession)
     stars = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = _confirm(stars, classes, docs, width, threshold, most)
     # a doc_id with several texts ties their classes
     tied = named.join(classes.select("set_hash", "rep"), "set_hash").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("reps")).filter("a != z")
     links = materialise(links.union(tied.select("a", F.explode("reps").alias("b")).filter("a != b")))
     comps = materialise(components(links))
+    release(docs.sparkSession)
     more = materialise(_cross_links(members, comps, classes, docs, width, threshold, chunk, most))
     if more.limit(1).count():
         comps = materialise(components(links.union(more)))
+    release(docs.sparkSession)
     return prints.join(classes.select("set_hash", "rep"), "set_hash", "left"), comps
 
 
@@ -297,7 +320,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
     prints, comps = resolve(docs, width, threshold)
     found = prints.join(comps, prints.rep == comps.node, "left")
-    comp = F.coalesce("comp", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
+    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "rep", "doc_id"))
     return found.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
