@@ -231,10 +231,12 @@ def _cross_links(members: DataFrame, comps: DataFrame, classes: DataFrame, docs:
     rows = members.select("key", "id").union(members.select("key", "pivot").distinct())
     rows = rows.join(comps.select(F.col("node").alias("id"), "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     per_key = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi and size > 2").select("key", "size")
+    # buckets that are still open are few beside their members: they are sent to them, not the members of one bucket to one task
+    per_key = bounded_broadcast(materialise(per_key), MOST_HEAVY)
     open_rows = materialise(rows.join(per_key, "key").join(classes.select(F.col("rep").alias("id"), "n_shingles"), "id"))
     weights = open_rows.groupBy("key").agg(F.greatest(F.ceil(F.first("size") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     # large buckets are cut into blocks by hash, and every two blocks meet in a task of their own
-    open_rows = open_rows.join(weights, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    open_rows = open_rows.join(bounded_broadcast(materialise(weights), MOST_HEAVY), "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = materialise(tasks.select("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"), "id", "comp"))
     needed = bounded_broadcast(tasks.select(F.col("id").alias("doc_id")).distinct(), BROADCAST_IDS)

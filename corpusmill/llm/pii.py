@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, release, ship, sliced
+from .common import bounded_broadcast, materialise, release, ship, sliced
 
 ship(__name__)
 
@@ -261,6 +261,8 @@ def disclosing(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, s
     total = dict(seen.filter("term IS NULL AND entity IS NULL").select("wide", "unit").distinct().groupBy("wide").count().collect())
     found = seen.filter("entity IS NOT NULL")
     n_entity = found.select("wide", "entity", "unit").distinct().groupBy("wide", "entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # a class of entities may have a good part of all rows: its count is sent to them rather than they to one task
+    n_entity = bounded_broadcast(materialise(n_entity), SENT_TERMS)
     joint = materialise(found.filter("term IS NOT NULL").distinct().groupBy("wide", "entity", "term").agg(F.count(F.lit(1)).alias("n_te")))
     chance = math.log2(max(joint.count(), 1) / CHANCE)
     n = F.when(F.col("wide") == 0, float(max(total.get(0, 0), 2))).otherwise(float(max(total.get(1, 0), 2)))
