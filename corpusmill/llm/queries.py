@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, neardup, pii, quality, tokens, toxicity, urls
+from . import chat, collocations, decontam, langid, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls, whitening
 
 #: Public vocabulary for token counts.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -61,13 +61,26 @@ def op10_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op11_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.judge(_read(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_read(spark, sf_dir, "documents"), longest=4, least=30, contained=80, most=2000)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_read(spark, sf_dir, "embeddings"), most=32)
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_mixture, op2_fair_queueing, op3_trie_token_counts, op4_host_reputation, op5_minhash_hamming, op6_prefix_decontamination, op7_information_sanitiser, op8_ordinal_toxicity, op9_perspective_rotation, op10_mcd_outliers, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_mixture, op2_fair_queueing, op3_trie_token_counts, op4_host_reputation, op5_minhash_hamming, op6_prefix_decontamination, op7_information_sanitiser, op8_ordinal_toxicity, op9_perspective_rotation, op10_mcd_outliers, op11_license_diagonals, op12_phrase_collocations, op13_embedding_whitening, pipeline)}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -180,4 +193,52 @@ SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_own, st
 FROM placed GROUP BY conv_id, alone, speaker
 """
 
-ORACLE_SQL = {"op2_fair_queueing": OP2_SQL, "op4_host_reputation": OP4_SQL, "op5_minhash_hamming": OP5_SQL, "op6_prefix_decontamination": OP6_SQL, "op9_perspective_rotation": OP9_SQL}
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', {t.base}, {len(t.words)}, {t.slack}, {t.percent}, '{t.text}')" for k, t in enumerate(licenses.PHRASES + licenses.NOTICES))
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), AZ), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), t AS (
+  SELECT template, label, base, len, slack, percent, string_split(text, ' ') AS w FROM (VALUES TEMPLATES) AS v(template, label, base, len, slack, percent, text)
+), tg AS (SELECT template, off - 1 AS off, w[off] || ' ' || w[off + 1] || ' ' || w[off + 2] AS g FROM (SELECT *, unnest(range(1, len - 1)) AS off FROM t)),
+dg AS (SELECT rid, pos - 1 AS pos, w[pos] || ' ' || w[pos + 1] || ' ' || w[pos + 2] AS g FROM (SELECT rid, w, unnest(range(1, CAST(len(w) AS BIGINT) - 1)) AS pos FROM d)),
+hits AS (SELECT rid, template, off, pos, pos - off AS diagonal FROM dg JOIN tg USING (g)),
+near AS (
+  SELECT a.rid, a.template, a.diagonal, b.pos, unnest(range(b.off, b.off + 3)) AS word
+  FROM (SELECT DISTINCT rid, template, diagonal FROM hits) a JOIN t USING (template) JOIN hits b ON a.rid = b.rid AND a.template = b.template AND abs(a.diagonal - b.diagonal) <= slack
+), merged AS (SELECT rid, template, diagonal, min(pos) AS start, count(DISTINCT word) AS n_found FROM near GROUP BY rid, template, diagonal),
+held AS (SELECT rid, label, base, start, CAST(n_found AS DOUBLE) / len AS coverage FROM merged JOIN t USING (template) WHERE n_found * 100 >= percent * len),
+found AS (
+  SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word, max(coverage) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM held GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN found USING (rid)
+""".replace("AZ", _AZ).replace("TEMPLATES", _TEMPLATES)
+
+OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), AZ), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), g AS (
+  SELECT lang, size, array_to_string(w[s : s + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, CAST(len(w) - size + 2 AS BIGINT))) AS s FROM p, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)
+), f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND f >= 30),
+cut AS (SELECT *, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : size], ' ') AS rest FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+s AS (
+  SELECT cut.lang, cut.size, cut.phrase, a, k, h.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (CAST(h.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cut JOIN f h ON h.lang = cut.lang AND h.phrase = cut.head JOIN f r ON r.lang = cut.lang AND r.phrase = cut.rest
+), low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT DISTINCT c.lang, array_to_string(w[s : s + m - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT *, unnest(range(1, CAST(size - m + 2 AS BIGINT))) AS s FROM (SELECT *, unnest(range(2, size)) AS m FROM c)) c
+), gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_ i ON c.lang = i.lang AND c.phrase = i.phrase AND 100 * i.longer >= 80 * c.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM low WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.lang = low.lang AND gone.phrase = low.phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+""".replace("AZ", _AZ)
+
+ORACLE_SQL = {"op11_license_diagonals": OP11_SQL, "op12_phrase_collocations": OP12_SQL, "op2_fair_queueing": OP2_SQL, "op4_host_reputation": OP4_SQL, "op5_minhash_hamming": OP5_SQL, "op6_prefix_decontamination": OP6_SQL, "op9_perspective_rotation": OP9_SQL}
