@@ -94,6 +94,7 @@ def contaminated() -> Column:
 
 def keep(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
-    bad = materialise(find(docs, benchmark, width).filter(contaminated()).select(F.col("doc_id").alias("__bad_id"), F.col("mark").alias("__bad_mark")).distinct())
-    bad = bounded_broadcast(bad, BROADCAST_ROWS)
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad["__bad_id"]) & (F.xxhash64(docs.text) == bad["__bad_mark"]), "left_anti")
+    bad = bounded_broadcast(materialise(find(docs, benchmark, width).filter(contaminated()).select("doc_id", "mark").distinct()), BROADCAST_ROWS)
+    # all columns travel inside a struct, where their names can't clash with ours
+    packed = docs.select(F.col("doc_id").alias("own"), F.xxhash64("text").alias("own_mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return packed.join(bad, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_mark") == F.col("mark")), "left_anti").select("row.*")

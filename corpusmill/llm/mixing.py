@@ -41,7 +41,8 @@ MOST_SOURCES = 50_000
 
 def n_words(text: Column) -> Column:
     """Words separated by ASCII white space; null has none."""
-    return F.coalesce(F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")), F.lit(0)).cast("long")
+    # the text is coalesced, not the size: without ANSI the size of null is -1
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -48,7 +48,7 @@ KINDS = ("email", "ip", "card", "phone")
 SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}+")
 SECRET_BITS = 60
 #: Accepted chance of any term passing for nothing, and share of units without entities that bound n(t) from below.
-CHANCE, SAMPLE = 0.05, 64
+CHANCE, SAMPLE = 1e-3, 64
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -303,9 +303,11 @@ def rewritten(text: str, base: list, keys: list, terms: list) -> str:
 
 
 def _with_actions(docs: DataFrame, terms: DataFrame) -> tuple[DataFrame, dict[str, str] | None]:
-    """docs, and the terms' actions as a dict; if they are too many, docs with the column __acts of those each text has."""
+    """text, row (all other columns of docs, in a struct where their names can't clash with ours) and acts, and the terms' actions as a
+    dict; if they are too many, acts has those of each text."""
+    packed = docs.select("text", F.struct(F.lit(True), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
     if (few := _few(terms.select("term", "action"))) is not None:
-        return docs.withColumn("__acts", F.lit(None).cast("map<string,string>")), dict(few)
+        return packed.withColumn("acts", F.lit(None).cast("map<string,string>")), dict(few)
     mark = F.xxhash64("text")
 
     def run(batches):
@@ -315,8 +317,8 @@ def _with_actions(docs: DataFrame, terms: DataFrame) -> tuple[DataFrame, dict[st
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.string()))], names=["mark", "term"])
 
     used = docs.select(mark.alias("mark"), "text").mapInArrow(run, "mark long, term string").distinct().join(terms, "term")
-    acts = used.groupBy(F.col("mark").alias("__mark")).agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("__acts"))
-    return docs.join(acts, mark == F.col("__mark"), "left").drop("__mark"), None
+    acts = used.groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("acts"))
+    return packed.withColumn("mark", mark).join(acts, "mark", "left").drop("mark"), None
 
 
 def find(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 2) -> DataFrame:
@@ -327,7 +329,7 @@ def find(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support
     def run(batches):
         for b in sliced(batches):
             out = []
-            for text, acts in zip(b.column("text").to_pylist(), b.column("__acts").to_pylist(), strict=True):
+            for text, acts in zip(b.column("text").to_pylist(), b.column("acts").to_pylist(), strict=True):
                 base, keys, terms = all_spans(text or "", actions if actions is not None else dict(acts or ()))
                 plain = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
                 spans = ",".join([*filter(None, [plain]), *(f"{k}:{s}:{e}" for k, s, e in keys), *(f"term:{s}:{e}" for _, s, e in terms)])
@@ -336,20 +338,21 @@ def find(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.string() if k in (4, 5) else pa.int64()) for k, c in enumerate(cols))], names=["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "__acts").mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_term long")
+    return rows.select("row.doc_id", "text", "acts").mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_term long")
 
 
 def sanitise(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 2) -> DataFrame:
     """docs with entities replaced by their kind and disclosing terms generalised or removed; null texts stay null."""
     rows, actions = _with_actions(docs, disclosing(docs, generalise, remove, support))
-    columns = docs.columns
+    kinds = docs.schema
 
     def run(batches):
         for b in sliced(batches):
             texts = []
-            for text, acts in zip(b.column("text").to_pylist(), b.column("__acts").to_pylist(), strict=True):
+            for text, acts in zip(b.column("text").to_pylist(), b.column("acts").to_pylist(), strict=True):
                 texts.append(text and rewritten(text, *all_spans(text, actions if actions is not None else dict(acts or ()))))
-            cols = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(cols, names=columns)
+            others = iter(b.column("row").flatten()[1:])
+            cols = [pa.array(texts, pa.string()) if name == "text" else next(others) for name in kinds.names]
+            yield pa.RecordBatch.from_arrays(cols, names=kinds.names)
 
-    return rows.select(*columns, "__acts").mapInArrow(run, docs.schema)
+    return rows.select("row", "text", "acts").mapInArrow(run, kinds)

@@ -29,9 +29,10 @@ def op3_trie_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VO
     return tokens.count_tokens(_read(spark, sf_dir, "documents"), tokens.load_pieces(vocabulary))
 
 
-def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op4_host_reputation(spark: SparkSession, sf_dir: str, suffixes: list[str] | None = None) -> DataFrame:
+    """``suffixes``: rules of a public suffix list, if one is at hand."""
     labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("key"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return urls.judge(_read(spark, sf_dir, "pages"), labels).drop("bad_share")
+    return urls.judge(_read(spark, sf_dir, "pages"), labels, suffixes=suffixes).drop("bad_share")
 
 
 def op5_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +120,9 @@ WITH p AS (
 ), l AS (
   SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
 ), h AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x, array_to_string(string_split(host, '.')[-(1 + long):], '.') AS suffix, array_to_string(string_split(host, '.')[-(2 + long):], '.') AS domain
-  FROM (SELECT *, CASE WHEN regexp_matches(host, '(^|\.)(SECOND)\.[a-z][a-z]$') THEN 1 ELSE 0 END AS long FROM p) LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) GROUP BY host, long
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS x, CASE WHEN ip THEN site ELSE array_to_string(string_split(site, '.')[-(1 + long):], '.') END AS suffix, CASE WHEN ip THEN site ELSE array_to_string(string_split(site, '.')[-(2 + long):], '.') END AS domain
+  FROM (SELECT *, CASE WHEN regexp_matches(site, '(^|\.)(SECOND)\.[a-z][a-z]$') THEN 1 ELSE 0 END AS long, regexp_matches(site, '^[0-9]+(\.[0-9]+){3}$') OR starts_with(site, '[') AS ip
+    FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\.+$', '') AS site FROM p)) LEFT JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)', 1) AS BIGINT) GROUP BY host, site, long, ip
 ), o AS (SELECT (coalesce(sum(x), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(x) AS x, (SELECT m FROM o) AS m FROM h GROUP BY suffix),
 sr AS (SELECT least(greatest(coalesce(sum(power(x - n * m, 2) / (n * m * (1 - m)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.001), 0.999) AS rho FROM s WHERE n > 0),

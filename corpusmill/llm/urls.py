@@ -10,6 +10,7 @@ and no host is blocked. Rules come first: the longest rule that fits decides.
 Registered domains
     The suffix is the last label, or the last two where a country's two-letter label follows one of ``SECOND`` (``co.uk``). A public
     suffix list in its own format may be given instead (``suffix_rules`` of its text); such a table isn't part of this library.
+    Users, ports and final dots don't count; an IP address is its own domain and suffix.
 
 Edge cases
     Null and scheme-less urls have an empty host and path, and are judged as that host. Hosts without labelled pages get their
@@ -70,27 +71,43 @@ def suffix_rules(text: str) -> list[str]:
     return sorted(rules)
 
 
+def site_of(host: Column) -> Column:
+    """A host's name without user, port and the dots at its end."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", ""), r"\.+$", "")
+
+
+def is_address(site: Column) -> Column:
+    """IP addresses are no names of labels."""
+    return site.rlike(r"^[0-9]+(\.[0-9]+){3}$") | F.startswith(site, F.lit("["))
+
+
 def _by_rule(hosts: DataFrame) -> DataFrame:
-    """Adds suffix and domain by the rule of last labels."""
-    last = lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), F.lit(-n))
-    two = F.regexp_like("host", F.lit(rf"(^|\.)({'|'.join(SECOND)})\.[a-z][a-z]$"))
+    """Adds suffix and domain by the rule of last labels of site."""
+    last = lambda n: F.call_function("substring_index", F.col("site"), F.lit("."), F.lit(-n))
+    two = F.regexp_like("site", F.lit(rf"(^|\.)({'|'.join(SECOND)})\.[a-z][a-z]$"))
     return hosts.withColumn("suffix", F.when(two, last(2)).otherwise(last(1))).withColumn("domain", F.when(two, last(3)).otherwise(last(2)))
 
 
 def with_suffixes(hosts: DataFrame, rules: list[str] | None = None) -> DataFrame:
     """Adds suffix and domain (one label more) to rows of distinct hosts; without ``rules`` by last labels.
 
-    In rules of a public suffix list ``*.x`` stands for any label before x, ``!x`` is no suffix itself, the longest rule holds; where
-    none fits, the last label is the suffix.
+    Users, ports and final dots are no part of either; an IP address is its own domain and suffix. In rules of a public suffix list
+    ``*.x`` stands for any label before x, ``!x`` is no suffix itself, the longest rule holds; where none fits, the last label is the suffix.
     """
-    if rules is None:
-        return _by_rule(hosts)
+    hosts = hosts.withColumn("site", site_of(F.col("host")))
+    named = _by_rule(hosts) if rules is None else _by_list(hosts, rules)
+    own = is_address(F.col("site"))
+    return named.withColumn("suffix", F.when(own, F.col("site")).otherwise(F.col("suffix"))).withColumn("domain", F.when(own, F.col("site")).otherwise(F.col("domain"))).drop("site")
+
+
+def _by_list(hosts: DataFrame, rules: list[str]) -> DataFrame:
+    """Adds suffix and domain by the rules of a public suffix list."""
     most = max([r.count(".") + 1 for r in rules], default=1)
     line = hosts.sparkSession.range(1).select(F.explode(F.split(F.lit("\n".join(rules)), "\n")).alias("rule"))
     table = line.select(F.regexp_replace("rule", r"^(\*\.|!)", "").alias("tail"), F.startswith("rule", F.lit("*.")).alias("wild"), F.startswith("rule", F.lit("!")).alias("but"))
-    last = lambda count, more=0: F.call_function("substring_index", F.col("host"), F.lit("."), -F.col(count) - more)
-    labels = F.split("host", r"\.")
-    split = hosts.select("host", F.size(labels).alias("all"), F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))).alias("k")).withColumn("tail", last("k"))
+    last = lambda count, more=0: F.call_function("substring_index", F.col("site"), F.lit("."), -F.col(count) - more)
+    labels = F.split("site", r"\.")
+    split = hosts.select("host", "site", F.size(labels).alias("all"), F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))).alias("k")).withColumn("tail", last("k"))
     length = F.when(F.col("wild"), F.when(F.col("all") > F.col("k"), F.col("k") + 1)).otherwise(F.col("k"))
     found = split.join(F.broadcast(table), "tail").groupBy("host").agg(F.max(F.when(F.col("but"), F.col("k") - 1)).alias("but"), F.max(F.when(~F.col("but"), length)).alias("most"))
     size = F.coalesce("but", "most", F.lit(1))
