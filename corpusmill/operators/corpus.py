@@ -81,6 +81,6 @@ def shard_assign(files: DataFrame, order: list[str], capacity: int = 2000, slice
 
 
 def all_or_nothing(rows: DataFrame, group: str) -> DataFrame:
-    """Only the groups of which no row is invalid (column errors). The input is read once; groups are the few rows of an item."""
-    packed = rows.groupBy(group).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != group])).alias("_rows"), F.bool_and(F.size("errors") == 0).alias("_fine"))
-    return packed.filter("_fine").select(group, F.explode("_rows").alias("_r")).select(group, "_r.*").select(*rows.columns)
+    """Only the groups of which no row is invalid (column errors): one shuffle by group, rows stay as they are."""
+    fine = F.bool_and(F.size("errors") == 0).over(Window.partitionBy(group))
+    return rows.withColumn("_fine", fine).filter("_fine").drop("_fine")

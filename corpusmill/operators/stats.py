@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import sampling
+from . import quantiles, sampling
 
 
-def edges_of(value: Column, n: int, digits: int = 6) -> Column:
-    """Aggregate: the n - 1 interior quantile edges, by linear interpolation; empty for n <= 1 and for no values.
-
-    Exact percentiles hold one counter for each distinct value of a group; ``approx=True`` in ``band_percentiles`` is the
-    bounded form.
-    """
+def quantile_edges(df: DataFrame, value: str, n: int, digits: int = 6) -> DataFrame:
+    """One row with edges: the n - 1 interior quantile edges, by linear interpolation; empty for n <= 1 and for no values."""
+    none = F.array().cast("array<double>")
     if n <= 1:
-        return F.first(F.array().cast("array<double>"))
-    return F.transform(F.coalesce(F.percentile(value, F.array(*[F.lit(i / n) for i in range(1, n)])), F.array().cast("array<double>")), lambda e: F.bround(e, digits))
+        return df.sparkSession.range(1).select(none.alias("edges"))
+    found = quantiles.percentiles(df, [], value, [i / n for i in range(1, n)])
+    return found.agg(F.first("p").alias("p")).select(F.coalesce(F.transform("p", lambda e: F.bround(e, digits)), none).alias("edges"))
 
 
 def bucket_of(value: Column, edges: Column) -> Column:
@@ -26,7 +24,7 @@ def bucket_of(value: Column, edges: Column) -> Column:
 
 def with_quantile_bucket(df: DataFrame, value: str, n: int, out: str = "bucket") -> DataFrame:
     """Adds the quantile bucket of a column; the n - 1 edges become literals."""
-    edges = df.agg(edges_of(F.col(value), n)).first()[0]
+    edges = quantile_edges(df, value, n).first()["edges"]
     return df.withColumn(out, bucket_of(F.col(value), F.array(*[F.lit(e) for e in edges]).cast("array<double>")))
 
 
@@ -35,25 +33,38 @@ def quantile_sample(df: DataFrame, value: str, n: int, key: str, fraction: float
     return sampling.stratified_sample(with_quantile_bucket(df, value, n), ["bucket"], key, fraction, seed)
 
 
-def band_percentiles(df: DataFrame, band: str, value: str, low: float = 2.0, high: float = 98.0, approx: bool = False) -> DataFrame:
-    """low and high per band; exact, or with bounded memory."""
-    both = F.array(F.lit(low / 100), F.lit(high / 100))
-    p = F.percentile_approx(value, both, F.lit(10_000)) if approx else F.percentile(F.col(value), both)
-    return df.groupBy(band).agg(p.alias("p")).select(band, F.bround(F.col("p")[0].cast("double"), 6).alias("low"), F.bround(F.col("p")[1].cast("double"), 6).alias("high"))
+def band_percentiles(df: DataFrame, band: str, value: str, low: float = 2.0, high: float = 98.0) -> DataFrame:
+    """low and high per band, exact."""
+    p = quantiles.percentiles(df, [band], value, [low / 100, high / 100])
+    return p.select(band, F.bround(F.col("p")[0], 6).alias("low"), F.bround(F.col("p")[1], 6).alias("high"))
+
+
+#: Size of a sketch (some 200 KB a band at most): ranks are off by less than 0.0007 of the values in 99 of 100 sketches.
+SKETCH_K = 8192
+#: A bound of the rank error for SKETCH_K, by a wide margin.
+RANK_ERROR = 0.002
+
 
+def save_state(df: DataFrame, band: str, value: str, path: str, append: bool = True, run: str | None = None) -> None:
+    """Add the values seen by a run to a state that ``percentiles_of_state`` reads: one row a band, a mergeable sketch of bounded size.
 
-def save_state(df: DataFrame, band: str, value: str, path: str, append: bool = True) -> None:
-    """Add the values seen so far, as counts of each band's distinct values, to a state that ``percentiles_of_state`` reads."""
-    df.groupBy(F.col(band).alias("band"), F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")).write.mode("append" if append else "overwrite").parquet(path)
+    Nulls and NaN are left out. A run with a name replaces what it has added before, so that a run that is repeated doesn't count twice.
+    """
+    seen = F.col(value).cast("double")
+    rows = df.filter(seen.isNotNull() & ~F.isnan(seen)).groupBy(F.col(band).alias("band")).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(seen, F.lit(SKETCH_K)).alias("sketch"))
+    if run is None:
+        rows.write.mode("append" if append else "overwrite").parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def percentiles_of_state(spark, path: str, low: float = 2.0, high: float = 98.0) -> DataFrame:
-    """band, low and high over all values that were added to a state; raises if there are none."""
+    """band, n, low and high over all values that were added to a state, by their ranks within RANK_ERROR; raises if there are none."""
     state = spark.read.parquet(path)
     if not state.limit(1).count():
         raise ValueError("no values were accumulated")
-    p = F.percentile("value", F.array(F.lit(low / 100), F.lit(high / 100)), F.col("n"))
-    return state.groupBy("band").agg(p.alias("p")).select("band", F.bround(F.col("p")[0], 6).alias("low"), F.bround(F.col("p")[1], 6).alias("high"))
+    merged = state.groupBy("band").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+    return merged.select("band", "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(share / 100)).alias(name) for name, share in (("low", low), ("high", high))])
 
 
 def band_clip(df: DataFrame, percentiles: DataFrame, band: str, value: str) -> DataFrame:
@@ -62,6 +73,21 @@ def band_clip(df: DataFrame, percentiles: DataFrame, band: str, value: str) -> D
     return joined.withColumn(value, F.when(F.col("low").isNull(), F.col(value)).otherwise(F.least(F.greatest(F.col(value), F.col("low")), F.col("high")))).drop("low", "high")
 
 
+def clip_to_percentiles(values: Column, low: float = 2.0, high: float = 98.0) -> Column:
+    """An image's values (an array) clamped to their own percentiles, by linear interpolation; nulls and NaN stay and don't count."""
+    double = F.transform(values, lambda v: v.cast("double"))
+    known = F.array_sort(F.filter(double, lambda v: v.isNotNull() & ~F.isnan(v)))
+
+    def at(share: float) -> Column:
+        place = (F.size(known) - 1) * F.lit(share / 100)
+        lower, upper = F.get(known, F.floor(place).cast("int")), F.get(known, F.ceil(place).cast("int"))
+        return lower + (upper - lower) * (place - F.floor(place))
+
+    # the two bounds are worked out once for the whole array
+    bounds = F.array(F.struct(at(low).alias("low"), at(high).alias("high")))
+    return F.transform(bounds, lambda b: F.transform(double, lambda v: F.when(F.isnan(v), v).when(v.isNotNull(), F.least(F.greatest(v, b["low"]), b["high"]))))[0]
+
+
 def change_fraction(values: Column, level: float = 127) -> Column:
     """Share of an array's elements above a level; 0 without elements."""
     return F.coalesce(F.try_divide(F.size(F.filter(values, lambda v: v > level)), F.size(values)), F.lit(0.0))

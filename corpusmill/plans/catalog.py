@@ -92,7 +92,7 @@ DECILES = EDGES.format(v="o_totalprice", q="[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7,
 
 @query(f"SELECT unnest({DECILES}) AS edge")
 def quantile_edges(spark, d):
-    return table(spark, d, "orders").agg(stats.edges_of(F.col("o_totalprice"), 10).alias("e")).select(F.explode("e").alias("edge"))
+    return stats.quantile_edges(table(spark, d, "orders"), "o_totalprice", 10).select(F.explode("edges").alias("edge"))
 
 
 @query(f"SELECT len(list_filter({EDGES.format(v='l_extendedprice', q='[0.25, 0.5, 0.75]', t='lineitem')}, lambda e: e < l_extendedprice)) AS bucket, count(*) AS n FROM lineitem GROUP BY 1")
