@@ -24,10 +24,11 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SALTS, few_rows, join_dimension, materialise, record_batches, ship, sliced
+from .common import SALTS, few_rows, join_dimension, materialise, ship, sliced
 
 ship(__name__)
 
@@ -35,6 +36,8 @@ ship(__name__)
 FILTER_BITS = 1 << 25
 #: Bytes of text whose words are numbered at a time (a longer piece alone).
 CHUNK = 4 << 20
+#: Sets the checksums of a pair's words apart.
+SPREAD = 1_000_003
 #: Phrases whose counts are broadcast at most.
 BROADCAST_PHRASES = 100_000
 #: Ends a phrase in a key: it can't stand in a phrase.
@@ -64,27 +67,34 @@ def _chunks(data: bytes):
         lo = hi + 1
 
 
-def _numbered(data: bytes) -> tuple[list[bytes], np.ndarray]:
+def _numbered(data: bytes) -> tuple[pa.Array, np.ndarray]:
     """The distinct words, number 0 being the end of a piece, and the text as numbers."""
-    known = {b".": 0}
-    ids = np.fromiter((known.setdefault(w, len(known)) for w in data.replace(b".", b" . ").split()), np.int64)
-    return list(known), ids
+    marked = pa.array([b". " + data.replace(b".", b" . ").strip()], pa.large_binary()).cast(pa.large_string())
+    coded = pc.ascii_split_whitespace(marked).flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def _sums(words: pa.Array) -> np.ndarray:
+    """The checksum of each word."""
+    return np.fromiter((zlib.crc32(w) for w in words.cast(pa.large_binary()).to_pylist()), np.int64, len(words))
 
 
 class Frequent:
-    """A filter of keys that says yes to all that were put in."""
+    """A filter of words or pairs of words of a language that says yes to all that were put in."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
-    def of(self, keys) -> np.ndarray:
-        at = np.fromiter((zlib.crc32(k) for k in keys), np.int64) % (len(self.bits) * 8)
+    def has(self, lang: str, *sums: np.ndarray) -> np.ndarray:
+        """For the checksums of the words: one array for words, two for pairs."""
+        at = (sum(s * SPREAD**k for k, s in enumerate(sums)) + zlib.crc32(lang.encode("utf-8"))) % (len(self.bits) * 8)
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
     @classmethod
-    def build(cls, counts: DataFrame, bits: int) -> Frequent:
-        """From a frame of lang and phrase: at most bits / 8 bytes reach the driver."""
-        bit = F.crc32(key(F.col("lang"), F.col("phrase"))) % bits + 1
+    def build(cls, counts: DataFrame, size: int, bits: int) -> Frequent:
+        """From a frame of lang and phrase (of ``size`` words): at most bits / 8 bytes reach the driver."""
+        w = F.split("phrase", " ")
+        bit = (sum((F.crc32(w[k]) * SPREAD**k for k in range(size)), F.lit(0)) + F.crc32("lang")) % bits + 1
         maps = counts.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
         whole = np.zeros(max(bits // 8, 4096), np.uint8)
         for bucket, part in maps.toLocalIterator():
@@ -92,41 +102,43 @@ class Frequent:
         return cls(whole[: bits // 8])
 
 
-def _rows(lang: str, phrases: list[bytes], size: int, n: np.ndarray):
-    return record_batches([[lang] * len(phrases), [p.decode("utf-8") for p in phrases], [size] * len(phrases), n], SCHEMA)
+def _rows(lang: str, phrases: pa.Array, size: int, n: np.ndarray):
+    """Batches of counts, of 20,000 rows."""
+    for lo in range(0, len(phrases), 20_000):
+        part = phrases.slice(lo, 20_000).cast(pa.string())
+        k = len(part)
+        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), k), part, pa.repeat(pa.scalar(size, pa.int32()), k), pa.array(n[lo : lo + k], pa.int64())], schema=SCHEMA)
 
 
 def _grams(lang: str, data: bytes, level: int, longest: int, words: Frequent | None, pairs: Frequent | None):
     """Counts of a chunk's n-grams: words (level 1), pairs of frequent words (2), longer ones of frequent pairs (3)."""
     known, ids = _numbered(data)
+    ids = ids.astype(np.int64)
     if len(known) == 1:
         return
     if level == 1:
         n = np.bincount(ids, minlength=len(known))[1:]
-        yield from _rows(lang, [b"", *known[1:]], 1, np.concatenate([[n.sum()], n]))
+        yield from _rows(lang, pa.concat_arrays([pa.array([""], pa.large_string()), known.slice(1)]), 1, np.concatenate([[n.sum()], n]))
         return
-    tail = STOP.encode() + lang.encode("utf-8")
-    frequent = words.of(w + tail for w in known) & (np.arange(len(known)) > 0)
+    sums = _sums(known)
+    frequent = words.has(lang, sums) & (np.arange(len(known)) > 0)
+    joined = lambda left, right: pc.binary_join_element_wise(left, right, pa.scalar(" ", pa.large_string()))
     # a pair's number at its first word; the last is no pair
-    both = frequent[ids[:-1]] & frequent[ids[1:]]
-    at = np.flatnonzero(both)
+    at = np.flatnonzero(frequent[ids[:-1]] & frequent[ids[1:]])
     codes, number, n = np.unique(ids[at] * len(known) + ids[at + 1], return_inverse=True, return_counts=True)
-    names = [known[c // len(known)] + b" " + known[c % len(known)] for c in codes.tolist()]
+    first, second = codes // len(known), codes % len(known)
     if level == 2:
-        yield from _rows(lang, names, 2, n)
+        yield from _rows(lang, joined(known.take(first), known.take(second)), 2, n)
         return
-    good = pairs.of(x + tail for x in names)
     pair = np.full(len(ids), -1, np.int64)
-    pair[at] = np.where(good[number], number, -1) if len(at) else -1
+    pair[at] = np.where(pairs.has(lang, sums[first], sums[second])[number], number, -1)
     # phrases of more words, by number: one of the last length and the pair that overlaps it by a word
-    size, of, labels = 2, pair, names
-    while size < longest:
-        size += 1
-        ahead = np.full(len(ids), -1, np.int64)
-        ahead[: len(ids) - size + 2] = pair[size - 2 :] if len(ids) >= size - 1 else pair[:0]
+    of, labels = pair, joined(known.take(first), known.take(second))
+    for size in range(3, longest + 1):
+        ahead = np.concatenate([pair[size - 2 :], np.full(min(size - 2, len(pair)), -1)])
         at = np.flatnonzero((of >= 0) & (ahead >= 0))
-        codes, number, n = np.unique(of[at] * max(len(names), 1) + ahead[at], return_inverse=True, return_counts=True)
-        labels = [labels[c // len(names)] + b" " + names[c % len(names)].split(b" ")[1] for c in codes.tolist()]
+        codes, number, n = np.unique(of[at] * max(len(first), 1) + ahead[at], return_inverse=True, return_counts=True)
+        labels = joined(labels.take(codes // max(len(first), 1)), known.take(second[codes % max(len(first), 1)]))
         yield from _rows(lang, labels, size, n)
         of = np.full(len(ids), -1, np.int64)
         of[at] = number
@@ -136,7 +148,7 @@ def _count(docs: DataFrame, level: int, longest: int, words: Frequent | None = N
     """lang, phrase, size, n of one level over all documents; at level 1 the phrase '' holds the number of words."""
 
     def tally(batches):
-        for b in sliced(batches):
+        for b in sliced(batches, most=CHUNK):
             texts = defaultdict(list)
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
                 texts[lang].append(text.encode("utf-8").translate(LOWER))
@@ -153,10 +165,10 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, filter_bits: int
     first = materialise(_count(docs, 1, longest).filter((F.col("n") >= least) | (F.col("phrase") == "")))
     levels = [first.filter(F.col("phrase") != "")]
     if longest >= 2:
-        words = Frequent.build(levels[0], filter_bits)
+        words = Frequent.build(levels[0], 1, filter_bits)
         levels.append(materialise(_count(docs, 2, longest, words).filter(F.col("n") >= least)))
     if longest >= 3:
-        pairs = Frequent.build(levels[1], filter_bits)
+        pairs = Frequent.build(levels[1], 2, filter_bits)
         levels.append(materialise(_count(docs, 3, longest, words, pairs).filter(F.col("n") >= least)))
     found = levels[0]
     for x in levels[1:]:
