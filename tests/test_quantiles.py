@@ -38,7 +38,7 @@ GROUPS = {
 }
 
 
-@pytest.mark.parametrize("bounds", [{}, {"bins": 8, "most": 20}, {"bins": 2, "most": 1}])
+@pytest.mark.parametrize("bounds", [{}, {"bins": 300, "most": 20}, {"bins": 2, "most": 1}])
 def test_groups(spark, bounds):
     """The same quantiles at any bound of what a task may hold."""
     rng = np.random.default_rng(1)
