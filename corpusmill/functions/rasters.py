@@ -265,45 +265,6 @@ def binary_mask(mask: np.ndarray, shape: tuple[int, int] | None = None) -> np.nd
     return mask.astype(np.uint8)
 
 
-def regions(mask: np.ndarray) -> np.ndarray:
-    """Labels from 1 of regions that touch at sides, in scan order; runs of rows are joined by union-find."""
-    on = np.pad(mask.astype(bool), ((0, 0), (1, 1)))
-    step = np.diff(on.astype(np.int8), axis=1)
-    (row, start), (_, stop) = np.nonzero(step == 1), np.nonzero(step == -1)
-    parent = list(range(len(row)))
-
-    def top(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    first = np.searchsorted(row, np.arange(mask.shape[0] + 1))
-    for y in range(1, mask.shape[0]):
-        i, j = first[y - 1], first[y]
-        while i < first[y] and j < first[y + 1]:
-            if start[i] < stop[j] and start[j] < stop[i]:
-                a, b = top(i), top(j)
-                parent[max(a, b)] = min(a, b)
-            i, j = (i + 1, j) if stop[i] < stop[j] else (i, j + 1)
-    names: dict[int, int] = {}
-    out = np.zeros(mask.shape, np.int32)
-    for k in range(len(row)):
-        out[row[k], start[k] : stop[k]] = names.setdefault(top(k), len(names) + 1)
-    return out
-
-
-def region_boxes(mask: np.ndarray, least: int = 50) -> list[list[int]]:
-    """Inclusive boxes of the regions with enough pixels, in scan order."""
-    label = regions(mask)
-    out = []
-    for k in range(1, label.max(initial=0) + 1):
-        ys, xs = np.nonzero(label == k)
-        if len(ys) >= least:
-            out.append([int(xs.min()), int(ys.min()), int(xs.max()), int(ys.max())])
-    return out
-
-
 def side_by_side(left: np.ndarray, right: np.ndarray, height: int | None = None, gap: int = 2, gray: int = 128) -> np.ndarray:
     """Two RGB images beside each other with a gray gap; both at the given height, or the right at the left's."""
     for image in (left, right):

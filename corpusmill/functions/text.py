@@ -10,6 +10,15 @@ from ..schema import CORINE, LAND_COVER
 TAG = r"\[(caption|refer|vqa)\]"
 
 
+#: Tags of tasks, in the order in which they hold.
+TAGS = ("caption", "refer", "vqa")
+
+
+def task_tag(text: Column) -> Column:
+    """The first of the tags that stands in a text, null without one: a text with two of them counts once."""
+    return F.coalesce(*[F.when(F.contains(text, F.lit(f"[{t}]")), F.lit(t)) for t in TAGS])
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

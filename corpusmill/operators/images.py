@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rasters
+from .tables import few_rows
 
 for _m in (__name__, rasters.__name__):
     cloudpickle.register_pickle_by_value(sys.modules[_m])
@@ -34,7 +36,7 @@ def unpack(raster: dict) -> np.ndarray:
 SLICE_BYTES = 4 << 20
 
 
-def _slices(batches):
+def slices(batches):
     """Slices of Arrow batches of about SLICE_BYTES: images come by the thousand, but a few at a time are unpacked."""
     for b in batches:
         rows = max(1, int(SLICE_BYTES / max(1, b.nbytes / max(1, b.num_rows))))
@@ -53,7 +55,7 @@ def map_images(df: DataFrame, inputs: list[str], out: str, kind: T.DataType, fun
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
 
-        for b in _slices(batches):
+        for b in slices(batches):
             values, failures = [], []
             for row in zip(*(b.column(c).to_pylist() for c in inputs), strict=True):
                 value = failure = None
@@ -70,24 +72,40 @@ def map_images(df: DataFrame, inputs: list[str], out: str, kind: T.DataType, fun
     return df.mapInArrow(run, schema)
 
 
+def read(name: str, data: bytes) -> np.ndarray:
+    """The raster of an npy, TIFF or PNG file, by its name's ending."""
+    if name.endswith(".npy"):
+        return np.moveaxis(x, 0, -1) if (x := rasters.read_npy(data)).ndim == 3 else x
+    return rasters.read_png(data) if name.lower().endswith(".png") else rasters.read_tiff(data)
+
+
 def decode(files: DataFrame, content: str = "content", path: str = "path", out: str = "image") -> DataFrame:
     """Rasters of npy, TIFF and PNG files by their names' endings."""
+    return map_images(files, [path, content], out, RASTER, read)
 
-    def read(name, data):
-        if name.endswith(".npy"):
-            return np.moveaxis(x, 0, -1) if (x := rasters.read_npy(data)).ndim == 3 else x
-        return rasters.read_png(data) if name.lower().endswith(".png") else rasters.read_tiff(data)
 
-    return map_images(files, [path, content], out, RASTER, read)
+def see(files: DataFrame, out: str, kind: T.DataType, function: Callable, content: str = "content", path: str = "path") -> DataFrame:
+    """Adds what a function says of the decoded files; the rasters themselves stay in the tasks."""
+    return map_images(files, [path, content], out, kind, lambda name, data: function(read(name, data)))
+
+
+#: Paths that the JVM's image source is given one by one at most; beyond it the folder is scanned.
+MOST_PATHS = 20_000
 
 
 def decode_jvm(spark, path: str, glob: str = "*", among: DataFrame | None = None) -> DataFrame:
     """path and image (gray or RGB) of 8-bit files that the JVM decodes, JPEG among them; files it can't read are left out.
 
-    ``among`` (path): only these files reach Python.
+    ``among`` (path): only these files are read, or, if they are more than MOST_PATHS, reach Python.
     """
+    where: str | list[str] = path
+    if among is not None and few_rows(among, MOST_PATHS):
+        # names are no globs
+        where = [re.sub(r"([\\{}\[\]*?])", r"\\\1", r[0]) for r in among.select("path").distinct().collect()]
+        if not where:
+            return spark.createDataFrame([], T.StructType([T.StructField("path", T.StringType()), T.StructField("image", RASTER)]))
     # a damaged JPEG is an IOException of the decoder, which dropInvalid doesn't cover
-    files = spark.read.format("image").option("dropInvalid", True).option("ignoreCorruptFiles", True).option("pathGlobFilter", glob).load(path)
+    files = spark.read.format("image").option("dropInvalid", True).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("pathGlobFilter", glob).load(where)
     # origins are percent-encoded, paths of listings aren't
     plain = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
     flat = files.select(F.regexp_replace(plain, "^file:///", "file:/").alias("path"), F.struct(F.col("image.height").alias("h"), F.col("image.width").alias("w"), F.col("image.nChannels").alias("bands"), F.lit("|u1").alias("dtype"), F.col("image.data").alias("data")).cast(RASTER).alias("raw"))
@@ -97,27 +115,26 @@ def decode_jvm(spark, path: str, glob: str = "*", among: DataFrame | None = None
     return map_images(flat, ["raw"], "image", RASTER, swap).drop("raw", "error")
 
 
-def decode_any(spark, folder: str, wanted: DataFrame, by_jvm: str, by_us: str = "") -> DataFrame:
-    """wanted (path and others) with the image of the files in a folder that can be read: those of the glob ``by_jvm`` through the JVM
-    (TIFFs, which it doesn't know, here), those of ``by_us`` here. Files that can't be read have a null image or no row."""
-    from ..sources import readers
+def decode_any(spark, folder: str, wanted: DataFrame, by_jvm: tuple[str, ...] = ("jpg", "jpeg")) -> DataFrame:
+    """wanted (path and others) with the image of the files in a folder that can be read: JPEGs through the JVM, others here. Files that
+    can't be read have a null image or no row; files that aren't wanted aren't opened."""
+    from ..sources import stores
 
-    if not readers.exists(spark, folder):
+    if not stores.exists(spark, folder):
         return wanted.withColumn("image", F.lit(None).cast(RASTER))
-    jpeg = decode_jvm(spark, folder, by_jvm, wanted.select("path")).join(wanted, "path")
-    here = decode(readers.contents(spark, folder, by_us or "*.tif").join(wanted, "path")).drop("content", "error")
-    return here.unionByName(jpeg)
+    ext = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
+    jpeg = wanted.filter(ext.isin(*by_jvm))
+    rest = stores.contents_of(spark, wanted.filter(~ext.isin(*by_jvm)), "path", folder).drop("error")
+    here = decode(rest).drop("content", "error")
+    if not jpeg.limit(1).count():
+        return here
+    return here.unionByName(decode_jvm(spark, folder, "*", jpeg.select("path")).join(jpeg, "path"))
 
 
 def encode(images: DataFrame, image: str = "image", out: str = "png", level: int = 6) -> DataFrame:
     return map_images(images, [image], out, T.BinaryType(), lambda x: rasters.write_png(x, level))
 
 
-def region_boxes(images: DataFrame, mask: str = "image", least: int = 50) -> DataFrame:
-    """Boxes of the mask's connected regions."""
-    return map_images(images, [mask], "boxes", T.ArrayType(T.ArrayType(T.LongType())), lambda x: rasters.region_boxes(rasters.binary_mask(x), least))
-
-
 def from_values(df: DataFrame, values: str, height: int, width: int, dtype: str = "<f4") -> DataFrame:
     """Rasters of arrays of numbers."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import boxes, gsd, sar, text
-from ..operators import corpus, images, manifest, sampling, stats, validate
+from ..operators import corpus, images, manifest, regions, sampling, stats, validate
 from ..schema import BOXES, DATASETS, SAR_CATEGORIES, TASKS
 from ..sources import readers
 from ..streaming import resume
@@ -346,12 +346,15 @@ def conversation_parse(spark, d):
 
 
 @query(
-    """SELECT conv_id, CASE WHEN contains(t, '[caption]') THEN 'caption' WHEN contains(t, '[refer]') THEN 'refer' WHEN contains(t, '[vqa]') THEN 'vqa' ELSE 'other' END AS task, n FROM (SELECT conv_id, concat('[', ['caption', 'refer', 'vqa', 'x'][CAST(conv_id % 4 AS INT) + 1], ']') AS t, count(*) AS n FROM conversations GROUP BY conv_id)"""
+    """WITH c AS (SELECT concat(text, CASE WHEN conv_id % 3 = 0 THEN ' [refer]' ELSE '' END, CASE WHEN conv_id % 4 = 0 THEN ' [caption]' WHEN conv_id % 4 = 1 THEN ' [vqa]' ELSE '' END) AS t FROM conversations)
+  SELECT CASE WHEN contains(t, '[caption]') THEN 'caption' WHEN contains(t, '[refer]') THEN 'refer' WHEN contains(t, '[vqa]') THEN 'vqa' END AS task, count(*) AS count FROM c GROUP BY 1"""
 )
 def task_distribution(spark, d):
-    tag = F.concat(F.lit("["), F.array(*[F.lit(x) for x in ("caption", "refer", "vqa", "x")])[(F.col("conv_id") % 4).cast("int")], F.lit("]"))
-    t = table(spark, d, "conversations").groupBy("conv_id", tag.alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    return t.select("conv_id", F.when(F.col("t").contains("[caption]"), "caption").when(F.col("t").contains("[refer]"), "refer").when(F.col("t").contains("[vqa]"), "vqa").otherwise("other").alias("task"), "n")
+    """Texts by the first of the tags that they have; some have two."""
+    k = F.col("conv_id")
+    more = F.concat(F.when(k % 3 == 0, " [refer]").otherwise(""), F.when(k % 4 == 0, " [caption]").when(k % 4 == 1, " [vqa]").otherwise(""))
+    said = table(spark, d, "conversations").select(F.concat("text", more).alias("t"))
+    return said.groupBy(text.task_tag(F.col("t")).alias("task")).agg(F.count(F.lit(1)).alias("count"))
 
 
 _COVER = "['Built-up', 'Vegetation', 'Water', 'Barren', 'Agriculture', 'Forest', 'Wetland']"
@@ -514,9 +517,48 @@ def change_fraction(spark, d):
   SELECT vec_id, min(i % 8) AS x1, min(i // 8) AS y1, max(i % 8) AS x2, max(i // 8) AS y2 FROM c GROUP BY vec_id, comp HAVING count(*) >= 5"""
 )
 def components(spark, d):
-    grid = images.from_values(table(spark, d, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 64), lambda v: F.when(v > 0, 1.0).otherwise(0.0)).alias("v")), "v", 8, 8)
-    found = images.region_boxes(grid, least=5).select("vec_id", F.explode("boxes").alias("b"))
-    return found.select("vec_id", *[F.col("b")[k].alias(n) for k, n in enumerate(("x1", "y1", "x2", "y2"))])
+    """Regions of a table of pixels."""
+    runs = regions.runs_of_pixels(_grid(spark, d).filter("v > 0"), "vec_id")
+    return regions.boxes(runs, "vec_id", 5).drop("pixels")
+
+
+@query(ORACLE_SQL["components"])
+def components_of_tiles(spark, d):
+    """The same regions of images that lie in four tiles each."""
+    part = lambda y, x: F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.when(F.get("embedding", (F.lit(y) + F.floor(i / 4)).cast("int") * 8 + x + i % 4) > 0, 1.0).otherwise(0.0))
+    four = F.array(*[F.struct(F.lit(y).alias("top"), F.lit(x).alias("left"), part(y, x).alias("v")) for y in (0, 4) for x in (0, 4)])
+    tiles = table(spark, d, "embeddings").select("vec_id", F.explode(four).alias("t")).select("vec_id", "t.*")
+    runs = regions.runs_of_tiles(images.from_values(tiles, "v", 4, 4), "vec_id", top="top", left="left")
+    return regions.boxes(runs, "vec_id", 5).drop("pixels")
+
+
+@query(f"SELECT vec_id, y // 2 AS y, x // 2 AS x, round_even(avg(v), 6) + 0 AS v FROM {_PIXELS} GROUP BY vec_id, y // 2, x // 2")
+def box_downsample(spark, d):
+    """Area averages at half the resolution."""
+    side = sar.downsampled_size(F.lit(8), F.lit(1.0), F.lit(0.5))
+    small = regions.area_averages(_grid(spark, d).select("vec_id", "y", "x", "v"), ["vec_id"], F.lit(8), F.lit(8), side, side)
+    return small.withColumn("v", F.bround("v", 6) + 0)
+
+
+@query(
+    f"""WITH p AS (SELECT vec_id, y, x, v, least(y + 1, (cy + 1) * 8 / 3.0::DOUBLE) - greatest(y, cy * 8 / 3.0::DOUBLE) AS py, least(x + 1, (cx + 1) * 8 / 5.0::DOUBLE) - greatest(x, cx * 8 / 5.0::DOUBLE) AS px, cy, cx
+    FROM {_PIXELS}, (SELECT unnest(range(3)) AS cy), (SELECT unnest(range(5)) AS cx))
+  SELECT vec_id, cy AS y, cx AS x, round_even(sum(v * py * px) / sum(py * px), 6) + 0 AS v FROM p WHERE py > 1e-9 AND px > 1e-9 GROUP BY vec_id, cy, cx"""
+)
+def area_downsample(spark, d):
+    """Area averages at a size that divides pixels among cells."""
+    small = regions.area_averages(_grid(spark, d).select("vec_id", "y", "x", "v"), ["vec_id"], F.lit(8), F.lit(8), F.lit(3), F.lit(5))
+    return small.withColumn("v", F.bround("v", 6) + 0)
+
+
+@query(
+    f"""WITH q AS (SELECT vec_id, quantile_cont(v, 0.02) AS low, quantile_cont(v, 0.98) AS high FROM {_PIXELS} GROUP BY vec_id)
+  SELECT vec_id, CAST(y * 8 + x AS INTEGER) AS i, round_even(least(greatest(v, low), high), 9) AS v FROM {_PIXELS} JOIN q USING (vec_id)"""
+)
+def image_clip(spark, d):
+    """Every image clamped to its own percentiles."""
+    e = table(spark, d, "embeddings").select("vec_id", F.posexplode(stats.clip_to_percentiles(F.slice("embedding", 1, 64))).alias("i", "v"))
+    return e.withColumn("v", F.bround("v", 9))
 
 
 @query("SELECT p_partkey AS k, array_to_string(list_transform(range(0, 19), lambda i: CASE WHEN i IN (p_size, p_partkey % 23) THEN 1 ELSE 0 END), '') AS hot FROM part")
@@ -563,6 +605,21 @@ def native_proxy_mix(spark, d):
     return mixed.select("id", gsd.is_proxy(F.col("gsd_bucket")).alias("proxy"))
 
 
+_STEPS, _BATCH = 500, 8
+
+
+@query(
+    f"""WITH {S}, m AS (SELECT id, k, contains(lower(gsd_bucket), 'proxy') AS proxy FROM s), r AS (SELECT k AS key, proxy, row_number() OVER (PARTITION BY proxy ORDER BY md5(concat_ws(':', k, '42')), k) - 1 AS rn, count(*) OVER (PARTITION BY proxy) AS size FROM m),
+  t AS (SELECT slot, slot // {_BATCH} AS step, CASE WHEN (slot // {_BATCH}) / {_STEPS}.0 < 0.33 THEN 800000 WHEN (slot // {_BATCH}) / {_STEPS}.0 < 0.66 THEN 500000 ELSE 300000 END AS share FROM (SELECT unnest(range({_STEPS * _BATCH})) AS slot)),
+  u AS (SELECT slot, step, (sum(share) OVER (ORDER BY slot) - share) // 1000000 AS before, sum(share) OVER (ORDER BY slot) // 1000000 AS after FROM t),
+  w AS (SELECT slot, step, before = after AS proxy, CAST(CASE WHEN before = after THEN slot - before ELSE before END AS BIGINT) AS rank FROM u)
+  SELECT step, slot, rank // size AS epoch, key, w.proxy FROM w JOIN r ON w.proxy = r.proxy AND w.rank % r.size = r.rn"""
+)
+def training_steps(spark, d):
+    """Rows dealt to the steps of a curriculum whose native share goes from 0.8 to 0.3."""
+    return training.deal_to_steps(samples(spark, d).select("k", "gsd_bucket"), "k", _STEPS, _BATCH, [0.8, 0.5, 0.3])
+
+
 @query("SELECT doc_id AS id, 'new' AS part FROM documents UNION ALL " + _sampled("benchmark", "item_id", "", "floor((SELECT count(*) FROM documents) * 0.02)", "item_id, 'replay'"))
 def replay_mix(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("new").alias("part"))
@@ -606,6 +663,28 @@ def stream_resume(spark, d):
     return spark.read.parquet(f"{home}/sink").select("event_id", "user_id")
 
 
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def incremental_first(spark, d):
+    """The first event of each user and type, from three increments, of which the last are the earliest and one is run twice."""
+    from ..operators.tables import fresh_folder
+
+    home, e = fresh_folder(spark), table(spark, d, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    for part in (2, 1, 2, 0):
+        resume.add_increment(e.filter(F.col("event_id") % 3 == part), ["user_id", "event_type"], ["ts", "event_id"], f"{home}/state", part)
+    return resume.first_of_state(spark, f"{home}/state").drop("ts")
+
+
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def stream_first(spark, d):
+    """The same from a stream of files; a second run finds nothing new."""
+    from ..operators.tables import fresh_folder
+
+    home, schema = fresh_folder(spark), table(spark, d, "events").schema
+    for _ in range(2):
+        resume.keep_first_stream(spark, d, schema, ["user_id", "event_type"], ["ts", "event_id"], f"{home}/state", f"{home}/log", glob="events.parquet")
+    return resume.first_of_state(spark, f"{home}/state").select("user_id", "event_type", "event_id", "value")
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def windowed_counts(spark, d):
     return resume.windowed_counts(table(spark, d, "events"), "ts", "event_type").withColumn("start", F.col("start").cast("timestamp_ntz"))

@@ -19,9 +19,9 @@ from ..functions import rasters
 from ..operators import images, manifest, stats
 from ..operators.tables import fresh_folder
 from ..schema import CORINE, LAND_COVER, SAR_CATEGORIES
-from ..sources import readers, sinks
+from ..sources import readers, sinks, stores
 from . import checks, packaging, recipes, rows, training
-from .catalog import _BANDS, _PIXELS, S, J, query, samples, table
+from .catalog import _BANDS, _PIXELS, S, J, _sampled, query, samples, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -321,13 +321,12 @@ def percentile_state(spark, d):
     return ranks.select("band", "n", holds("low", 0.02).alias("low_holds"), holds("high", 0.98).alias("high_holds"))
 
 
-@query("SELECT p_partkey AS line_no, concat('p', p_partkey) AS id FROM part WHERE p_size % 4 IN (0, 2) ORDER BY 1 LIMIT 500")
+@query("SELECT p_partkey AS line_no, concat('p', p_partkey) AS id FROM part WHERE p_size % 4 IN (0, 2) ORDER BY CASE WHEN p_size % 4 = 0 THEN 'b' ELSE 'a_train' END, p_partkey LIMIT 500")
 def training_feed(spark, d):
     """Training rows: files that a split has replaced and validation files are left out, then the first rows."""
     stem = F.get(F.array(F.lit("b"), F.lit("a"), F.lit("a_train"), F.lit("a_val_internal")), (F.col("p_size") % 4).cast("int"))
     feed = table(spark, d, "part").select(stem.alias("stem"), F.col("p_partkey").alias("line_no"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"))
-    kept = training.training_rows(feed)
-    return kept.orderBy("line_no").limit(500).select("line_no", "id")
+    return training.training_rows(feed, max_samples=500).select("line_no", "id")
 
 
 # ---- rasters as pixels
@@ -434,8 +433,8 @@ def raster_mask(spark, d):
 
 
 @query(f"SELECT vec_id, y // 2 AS y, x // 2 AS x, round_even(avg(v), 6) + 0 AS v FROM {_PIXELS} GROUP BY vec_id, y // 2, x // 2")
-def box_downsample(spark, d):
-    """Area averages at half the resolution."""
+def raster_downsample(spark, d):
+    """The same averages of whole pictures."""
     small = _pixels(_made(_raster(spark, d, lambda v: v, "<f8"), lambda a: rasters.downsample(a, 1.0, 0.5)), "out", 6)
     return small.withColumn("v", F.col("v") + 0)
 
@@ -607,3 +606,172 @@ def recipe_sardet(spark, d):
     _files(_png(n), f"{home}/images", _key("i", _k(), ".png"), F.when(F.col("k") % 7 > 0, F.col("png")).otherwise(F.lit("no").cast("binary")))
     _files(n.filter("k % 5 > 0"), f"{home}/labels", _key("i", _k(), ".txt"), _key(F.col("g").cast("string"), " .5 .5 .5 .5\n9 .5 .5 .5 .5\n").cast("binary"))
     return _run(spark, "sardet", home, fraction=1.0)
+
+
+# ---- recipes with an output folder: their pictures, pixel by pixel, from real files of every vector
+
+_B = _BYTES
+_V = "CAST(vec_id AS VARCHAR)"
+
+
+def _drawn(spark: SparkSession, home: str, band: int | None = 0) -> DataFrame:
+    """name, y, x, v: one channel of the pictures that a recipe has written."""
+    files = stores.files_below(spark, f"{home}/out/images").select("path")
+    kept = files.filter(F.endswith("path", F.lit(".png")))
+    plane = images.see(stores.read_selected(kept).drop("error"), "image", images.RASTER, lambda a: a if a.ndim == 2 else a[:, :, band]).drop("content", "error")
+    flat = images.pixels(plane.select(F.regexp_extract("path", r"/([^/]*)\.png$", 1).alias("name"), "image"), "image")
+    return flat.select("name", F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), F.col("v").cast("int").alias("v"))
+
+
+def _go(spark: SparkSession, name: str, home: str, **options) -> None:
+    """Run a recipe with its output folder; its rows are needed, as some pictures are made on the way to them."""
+    done = recipes.finish(recipes.RECIPES[name](spark, home, recipes.Options(output_dir=f"{home}/out", fraction=1.0, **options)))
+    assert not done.filter("outcome = 'failed'").limit(1).count()
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumn("n", F.col("vec_id").cast("string"))
+
+
+@query(f"SELECT 'levir_t' || {_V} || e AS name, y, x, CASE WHEN e = '_before' THEN {_B} ELSE 255 - {_B} END AS v FROM {_PIXELS}, (VALUES ('_before'), ('_after')) AS t(e)")
+def pictures_levir(spark, d):
+    """Both dates of a pair as PNGs."""
+    home, a = fresh_folder(spark), _named(_byte_raster(spark, d))
+    for folder, end, f in (("A", "_1", lambda x: x), ("B", "_2", lambda x: 255 - x), ("label", "", lambda x: x * 0)):
+        coded = images.map_images(a, ["image"], "png", T.BinaryType(), lambda x, f=f: rasters.write_png(f(x)))
+        _files(coded, f"{home}/train/{folder}", _key("t", F.col("n"), f"{end}.png"), F.col("png"))
+    _go(spark, "levir_cd", home)
+    return _drawn(spark, home)
+
+
+@query(f"SELECT 'sn6_t' || {_V} AS name, y, x, {_STRETCH.format(p=_WIDE, top='top')} AS v FROM {_PIXELS} JOIN {_TOP.format(p=_WIDE, t=_PIXELS)} USING (vec_id)")
+def pictures_sn6_opt(spark, d):
+    """16-bit tiles in colour."""
+    home = fresh_folder(spark)
+    tiles = images.map_images(_named(_wide_raster(spark, d)), ["image"], "tif", T.BinaryType(), _tiff)
+    _files(tiles, f"{home}/train/images", _key("t", F.col("n"), ".tif"), F.col("tif"))
+    _go(spark, "sn6_opt", home)
+    return _drawn(spark, home, 2)
+
+
+@query(f"SELECT 'v' || {_V} || e AS name, y, x, CASE WHEN e = '_before' THEN {_STRETCH.format(p=_WIDE, top='10000')} ELSE 0 END AS v FROM {_PIXELS}, (VALUES ('_before'), ('_after')) AS t(e)")
+def pictures_oscd(spark, d):
+    """Three bands of two dates; a fourth is damaged and not opened."""
+    home, a = fresh_folder(spark), _named(_wide_raster(spark, d))
+    for date in (1, 2):
+        coded = images.map_images(a, ["image"], "tif", T.BinaryType(), lambda x, date=date: _tiff(x * (date == 1)))
+        for band in ("B02", "B03", "B04", "B08"):
+            _files(coded, f"{home}/images", _key("v", F.col("n"), f"/imgs_{date}/x_{band}.tif"), F.col("tif") if band != "B08" else F.lit(b"no"))
+    _go(spark, "oscd", home)
+    return _drawn(spark, home, 1)
+
+
+@query(f"SELECT 'sardet_i' || {_V} AS name, y, x, CASE WHEN {_B} > 0 THEN 255 ELSE 0 END AS v FROM {_PIXELS}")
+def pictures_sardet(spark, d):
+    """Radar pictures: every byte but zero is beyond the top of the decibels."""
+    home = fresh_folder(spark)
+    _files(images.encode(_named(_byte_raster(spark, d))), f"{home}/images", _key("i", F.col("n"), ".png"), F.col("png"))
+    _files(_named(_byte_raster(spark, d)), f"{home}/labels", _key("i", F.col("n"), ".txt"), F.lit("0 .5 .5 .5 .5\n").cast("binary"))
+    _go(spark, "sardet", home)
+    return _drawn(spark, home)
+
+
+#: Bytes of decibels that are half a step off the next ones, so that single precision decides alike.
+_STEPS_DB = "CAST(abs(v) * 1000 AS BIGINT) % 200 + 20"
+
+
+@query(f"SELECT 'sn6_sar_t' || {_V} AS name, y, x, CAST({_STEPS_DB} AS INTEGER) AS v FROM {_PIXELS} UNION ALL SELECT 'sn6_fusion_t' || {_V}, y, x + 10, CAST({_STEPS_DB} AS INTEGER) FROM {_PIXELS} UNION ALL SELECT 'sn6_fusion_t' || {_V}, y, x, {_B} FROM {_PIXELS} UNION ALL SELECT 'sn6_fusion_t' || {_V}, y, x + 8, 128 FROM {_PIXELS} WHERE x < 2")
+def pictures_sn6_sar(spark, d):
+    """Radar tiles in decibels, and beside the picture of the optical run, which has left its lines and selection in a folder."""
+    home = fresh_folder(spark)
+    step = lambda v: F.pow(F.lit(10.0), (((F.bround(F.abs(v) * 1000, 0).cast("long") % 200 + 20) + 0.5) / 255 * 25 - 25) / 10)
+    tiles = images.map_images(_named(_raster(spark, d, step, "<f4")), ["image"], "tif", T.BinaryType(), _tiff)
+    _files(tiles, f"{home}/train/sar", _key("t", F.col("n"), ".tif"), F.col("tif"))
+    _files(images.encode(_named(_byte_raster(spark, d))), f"{home}/opt", _key("t", F.col("n"), ".png"), F.col("png"))
+    at = F.concat(F.lit(f"{home}/opt/t"), F.col("n"), F.lit(".png"))
+    lines = _named(table(spark, d, "embeddings")).select(F.to_json(F.struct(_key("sn6_t", F.col("n")).alias("id"), F.array(at).alias("image_path"))))
+    lines.write.text(f"{home}/run/sn6_opt.jsonl")
+    sinks.write_selection(_named(table(spark, d, "embeddings")).select(_key("t", F.col("n")).alias("tile")), "tile", f"{home}/run/selected_tile_ids")
+    o = recipes.Options(output_dir=f"{home}/out")
+    recipes.finish(recipes.sn6_sar(spark, home, o, optical_dir=f"{home}/run")).collect()
+    return _drawn(spark, home)
+
+
+@query(f"SELECT printf('bigen_%08d_optical', n) AS name, y, x, {_STRETCH.format(p=_WIDE, top='top')} AS v FROM {_PIXELS} JOIN {_TOP.format(p=_WIDE, t=_PIXELS)} USING (vec_id) JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS n FROM embeddings) USING (vec_id) UNION ALL SELECT printf('bigen_%08d_sar', n), y, x, CAST({_STEPS_DB} AS INTEGER) FROM {_PIXELS} JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS n FROM embeddings) USING (vec_id)")
+def pictures_bigen(spark, d):
+    """Arrays of many bands in colour, and two bands of radar."""
+    home = fresh_folder(spark)
+    order = table(spark, d, "embeddings").orderBy("vec_id").select(F.col("vec_id").cast("string").alias("patch_id"), F.array(F.lit(3).cast("long")).alias("labels"))
+    order.coalesce(1).write.parquet(f"{home}/metadata.parquet")
+    optical = images.map_images(_named(_wide_raster(spark, d)), ["image"], "npy", T.BinaryType(), lambda a: _npy(np.stack([a * 0, a, a, a])))
+    _files(optical, f"{home}/s2_npy", _key(F.col("n"), ".npy"), F.col("npy"))
+    step = lambda v: F.pow(F.lit(10.0), (((F.bround(F.abs(v) * 1000, 0).cast("long") % 200 + 20) + 0.5) / 255 * 25 - 25) / 10)
+    radar = images.map_images(_named(_raster(spark, d, step, "<f4")), ["image"], "npy", T.BinaryType(), lambda a: _npy(np.stack([a, a / 3])))
+    _files(radar, f"{home}/s1_npy", _key(F.col("n"), ".npy"), F.col("npy"))
+    _go(spark, "bigen", home)
+    return _drawn(spark, home).filter(~F.endswith("name", F.lit("_concat")))
+
+
+@query(f"SELECT 'v' || {_V} AS name, y, x, {_B} AS v FROM {_PIXELS}")
+def pictures_rsvqa(spark, d):
+    """Images of another format become PNGs."""
+    home, e = fresh_folder(spark), _named(table(spark, d, "embeddings").select("vec_id"))
+    _one_json(e.select("vec_id", F.col("n").alias("question_id"), F.lit("q").alias("question"), F.lit("a").alias("answer"), _key("v", F.col("n")).alias("image_id")), f"{home}/train.json", "vec_id", "questions")
+    _files(images.map_images(_named(_byte_raster(spark, d)), ["image"], "tif", T.BinaryType(), _tiff), f"{home}/images", _key("v", F.col("n"), ".tif"), F.col("tif"))
+    _go(spark, "rsvqa_hr", home)
+    return _drawn(spark, home)
+
+
+@query("SELECT 'v' || CAST(vec_id AS VARCHAR) || '_proxy' AS name, y, x, CAST(vec_id % 251 AS INTEGER) AS v FROM embeddings, (SELECT unnest(range(32)) AS y), (SELECT unnest(range(32)) AS x)")
+def pictures_vrsbench(spark, d):
+    """Proxies, one for each image however many entries share it."""
+    home, e = fresh_folder(spark), _named(table(spark, d, "embeddings").select("vec_id"))
+    turn = lambda who, c: F.struct(F.lit(who).alias("from"), F.lit(c).alias("value"))
+    entries = e.select(F.explode(F.array(F.col("vec_id") * 2, F.col("vec_id") * 2 + 1)).alias("o"), F.col("n").alias("id"), _key("v", F.col("n"), ".png").alias("image"), F.array(turn("human", "<image>\n[vqa] q"), turn("gpt", "a")).alias("conversations"))
+    _one_json(entries, f"{home}/VRSBench_train.json", "o")
+    _files(_png(e, F.array_repeat((F.col("vec_id") % 251).cast("double"), 64), 8), f"{home}/Images_train", _key("v", F.col("n"), ".png"), F.col("png"))
+    _go(spark, "vrsbench", home)
+    return _drawn(spark, home)
+
+
+@query(f"SELECT vec_id, c AS class, round_even(min(x) / 8.0 * 1000, 2) AS x1, round_even(max(y) / 8.0 * 1000, 2) AS y2 FROM (SELECT vec_id, x, y, {_B} % 7 AS c FROM {_PIXELS}) GROUP BY vec_id, c")
+def masks_sen2lulc(spark, d):
+    """Boxes of the classes of land-cover masks, by option."""
+    home, e = fresh_folder(spark), _named(table(spark, d, "embeddings").select("vec_id"))
+    e.orderBy("vec_id").select(F.col("n").alias("image_id"), F.lit("1").alias("label")).coalesce(1).write.csv(f"{home}/metadata.csv", header=True)
+    _files(e, f"{home}/images", _key(F.col("n"), ".png"))
+    kinds = images.map_images(_named(_byte_raster(spark, d)), ["image"], "png", T.BinaryType(), lambda a: rasters.write_png(a % 7))
+    _files(kinds, f"{home}/masks", _key(F.col("n"), ".png"), F.col("png"))
+    seen = images.map_images(_byte_raster(spark, d), ["image"], "classes", T.ArrayType(T.IntegerType()), lambda a: sorted({int(v) for v in (a % 7).ravel()})).select("vec_id", "classes")
+    made = recipes.sen2lulc(spark, home, recipes.Options(fraction=1.0, masks=True)).select(F.regexp_extract("source_id", r"_(\d+)$", 1).cast("long").alias("vec_id"), F.col("rows")[0]["bbox"].alias("boxes"))
+    both = made.join(seen, "vec_id").select("vec_id", F.explode(F.arrays_zip("classes", "boxes")).alias("z"))
+    return both.select("vec_id", F.col("z.classes").alias("class"), F.col("z.boxes")[0].alias("x1"), F.col("z.boxes")[3].alias("y2"))
+
+
+_TILES = "(SELECT 't' || CAST(c_custkey AS VARCHAR) AS tile, c_custkey AS k FROM customer)"
+
+
+@query(
+    f"""SELECT 'paired' AS run, 'sn6_sar_' || tile AS id FROM {_TILES} WHERE k % 3 = 0 UNION ALL SELECT 'paired', 'sn6_fusion_' || tile FROM {_TILES} WHERE k % 6 = 0
+  UNION ALL SELECT 'no selection', 'sn6_sar_' || tile FROM {_TILES} UNION ALL SELECT 'no selection', 'sn6_fusion_' || tile FROM {_TILES} WHERE k % 6 = 0
+  UNION ALL SELECT 'no pictures', 'sn6_sar_' || tile FROM ({_sampled(f"(SELECT * FROM {_TILES} WHERE k % 3 = 0)", "tile", "", "greatest(1, floor(n * 0.05))", "tile")})
+  UNION ALL SELECT 'alone', 'sn6_sar_' || tile FROM ({_sampled(_TILES, "tile", "", "greatest(1, floor(n * 0.05))", "tile")})"""
+)
+def optical_selection(spark, d):
+    """Radar tiles by what the optical run has left: lines and selection, lines and an empty selection, a selection alone, nothing."""
+    home, c = fresh_folder(spark), table(spark, d, "customer").select(F.col("c_custkey").alias("k"), _key("t", F.col("c_custkey").cast("string")).alias("tile"))
+    _files(c, f"{home}/train/sar", F.concat("tile", F.lit(".tif")))
+    proxy = F.array(F.struct(F.concat(F.lit("sn6_"), "tile").alias("id"), F.array(F.concat(F.lit("/o/"), "tile", F.lit(".png"))).alias("image_path")), F.struct(F.concat(F.lit("sn6_"), "tile", F.lit("_proxy")).alias("id"), F.array(F.lit("/o/p.png")).alias("image_path")))
+    lines = c.filter("k % 6 = 0").select(F.explode(proxy).alias("r")).select(F.to_json("r"))
+    chosen = c.filter("k % 3 = 0").agg(F.to_json(F.collect_list("tile")))
+    out = None
+    for run, has_lines, selection in (("paired", True, chosen), ("no selection", True, chosen.select(F.lit("[]"))), ("no pictures", False, chosen), ("alone", False, None)):
+        at = f"{home}/{run.replace(' ', '_')}"
+        if has_lines:
+            lines.write.text(f"{at}/sn6_opt.jsonl")
+        if selection is not None:
+            selection.coalesce(1).write.text(f"{at}/selected_tile_ids.json")
+        made = recipes.finish(recipes.sn6_sar(spark, home, optical_dir=at))
+        each = recipes.samples(made).select(F.lit(run).alias("run"), "id")
+        out = each if out is None else out.union(each)
+    return out

@@ -7,6 +7,7 @@ import dataclasses
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import TAGS, task_tag
 from ..sources import readers
 
 
@@ -59,19 +60,19 @@ def contents(spark: SparkSession, name: str, root: str) -> list[tuple[str, int,
     there = lambda f: readers.exists(spark, f"{root}/{f}")
     out: list[tuple[str, int, int]] = []
     if name == "oscd" and there("images"):
-        files = readers.listing(spark, f"{root}/images", recursive=True, with_empty=True)
+        files = readers.listing(spark, f"{root}/images", recursive=True)
         out.append(("complete_pairs", readers.location_pairs(files).count(), 1))
     if name == "vrsbench" and there("VRSBench_train.json"):
         said = readers.conversations(spark, root).select(F.col("conversations")[0]["value"].alias("v"))
-        n, *tasks = said.agg(F.count(F.lit(1)), *[F.count_if(F.col("v").contains(f"[{t}]")) for t in ("caption", "refer", "vqa")]).first()
-        out += [("entries", n, 1), *((f"entries_{t}", k, 0) for t, k in zip(("caption", "refer", "vqa"), tasks))]
+        n, *tasks = said.agg(F.count(F.lit(1)), *[F.count_if(task_tag(F.col("v")) == t) for t in TAGS]).first()
+        out += [("entries", n, 1), *((f"entries_{t}", k, 0) for t, k in zip(TAGS, tasks, strict=True))]
     if name == "bigearthnet" and there("metadata.parquet"):
         table = spark.read.parquet(f"{root}/metadata.parquet")
         out.append(("patches", table.count(), 1))
         if "country" in table.columns:
             out.append(("countries", table.select("country").distinct().count(), 0))
         if there("s2_npy"):
-            out.append(("arrays_of_patches", readers.listing(spark, f"{root}/s2_npy", "*.npy", with_empty=True).count(), 1))
+            out.append(("arrays_of_patches", readers.listing(spark, f"{root}/s2_npy", "*.npy").count(), 1))
     for split in {"rsvqa_hr": ("train", "val", "test"), "cdvqa": ("train", "val")}.get(name, ()):
         if there(f"{split}.json"):
             out.append((f"{split}_questions", readers.json_array(spark, f"{root}/{split}.json", readers.QUESTION, ("questions",)).count(), 0))
@@ -82,7 +83,7 @@ def run(spark: SparkSession, name: str, root: str) -> list[dict]:
     """The rows of a folder's check; StructureError if a need isn't met, ValueError for an unknown name."""
     if ALIASES.get(name, name) not in CHECKS:
         raise ValueError(f"unknown source {name!r}")
-    rows = [r.asDict() for r in judge(readers.listing(spark, root, recursive=True, with_empty=True), name).collect()]
+    rows = [r.asDict() for r in judge(readers.listing(spark, root, recursive=True), name).collect()]
     groups: dict[str, list[dict]] = {}
     for r in rows:
         groups.setdefault(r["any_of"] or r["kind"], []).append(r)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import corpus, sampling, validate
-from ..operators.tables import materialise
+from ..operators.tables import delete, materialise, scratch
 from ..sources import readers, sinks
 
 ENDING = ".jsonl"
@@ -46,28 +49,35 @@ def merge(spark: SparkSession, tiers: list[str]) -> tuple[DataFrame, DataFrame]:
 
 def merge_and_package(spark: SparkSession, tiers: list[str], out: str, tar_shards: bool = False) -> dict:
     """Write dataset.jsonl (first sample of each id, in order), stats.json, and with ``tar_shards`` each tier's images; returns the statistics."""
-    valid, bad = merge(spark, tiers)
-    first = materialise(corpus.keep_first(valid, ["id"], [*corpus.ORDER[:2], "file", "line_no"]))
-    sinks.write_jsonl(first.orderBy(*corpus.ORDER[:2], "file", "line_no"), f"{out}/dataset.jsonl")
-    stats = sinks.report(first, f"{out}/stats.json", bad.count(), corpus.duplicate_ids(valid).count())
-    for tier in tiers if tar_shards else ():
-        if readers.exists(spark, f"{tier}/images"):
-            sinks.write_folder_shards(spark, f"{tier}/images", out, f"{_tail(tier)}_images")
+    with scratch(spark):
+        valid, bad = merge(spark, tiers)
+        first = materialise(corpus.keep_first(valid, ["id"], [*corpus.ORDER[:2], "file", "line_no"]))
+        sinks.write_jsonl(first.orderBy(*corpus.ORDER[:2], "file", "line_no"), f"{out}/dataset.jsonl")
+        stats = sinks.report(first, f"{out}/stats.json", bad.count(), corpus.duplicate_ids(valid).count())
+        for tier in tiers if tar_shards else ():
+            if readers.exists(spark, f"{tier}/images"):
+                sinks.write_folder_shards(spark, f"{tier}/images", out, f"{_tail(tier)}_images")
     return stats
 
 
 def split_all(spark: SparkSession, folder: str, fraction: float = 0.03, seed: int = 42) -> DataFrame:
     """Write <stem>_train.jsonl and <stem>_val_internal.jsonl for each file that isn't split yet; file, total, train and val of each.
 
-    All files are read and split in one job each for the counts and the two outputs of a file; quotas are by dataset and task within a file.
+    All files are read once, split and written by one job, a partition for each output, which then get their names; quotas are by
+    dataset and task within a file.
     """
     files = corpus.unsplit_files(jsonl_files(spark, [folder]))
     rows = samples_of(spark, files).withColumn("key", F.concat_ws(":", "id", "file", F.col("line_no").cast("string")))
     marked = materialise(sampling.validation_split(rows, ["stem", "dataset", "task"], "key", fraction, seed))
-    for (stem,) in files.select("stem").collect():
-        for split, ending in (("train", "_train"), ("val_internal", "_val_internal")):
-            part = marked.filter((F.col("stem") == stem) & (F.col("split") == split))
-            if part.limit(1).count():
-                sinks.write_jsonl(part, f"{folder}/{stem}{ending}{ENDING}")
+    staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    try:
+        # the split stays a field of the lines, so the outputs are dealt by a copy of it
+        marked.select("stem", F.col("split").alias("part"), sinks.json_line().alias("value")).write.partitionBy("stem", "part").text(staging)
+        for at_stem in readers.names_in(spark, staging):
+            for at_part in readers.names_in(spark, f"{staging}/{at_stem}") if at_stem.startswith("stem=") else ():
+                stem, part = (unquote(x.partition("=")[2]) for x in (at_stem, at_part))
+                sinks.rename(spark, f"{staging}/{at_stem}/{at_part}", f"{folder}/{stem}_{part}{ENDING}")
+    finally:
+        delete(spark, staging)
     counts = marked.groupBy("stem").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "val_internal").alias("val"))
     return files.select("stem").join(counts, "stem", "left").select(F.concat("stem", F.lit(ENDING)).alias("file"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "train", "val")])

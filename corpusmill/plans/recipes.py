@@ -18,7 +18,7 @@ from ..functions.text import padded
 from ..operators import images, manifest, sampling, stats, validate
 from ..operators.tables import materialise
 from ..schema import LAND_COVER, SAR_CATEGORIES
-from ..sources import readers, sinks
+from ..sources import readers, sinks, stores
 from . import rows
 
 
@@ -67,6 +67,11 @@ def _write(encoded: DataFrame, o: Options) -> None:
         sinks.write_files(encoded.filter("png IS NOT NULL").select(F.concat("name", F.lit(".png")).alias("path"), "png"), "path", "png", f"{o.output_dir}/images")
 
 
+def _content(spark: SparkSession, items: DataFrame, folder: str, glob: str, recursive: bool = False) -> DataFrame:
+    """The items (path and others) with the content of their files; no other file of the folder is opened."""
+    return stores.contents_of(spark, items, "path", folder, glob, recursive).drop("error")
+
+
 def _stem(c: str = "path"):
     return F.regexp_replace(F.substring_index(c, "/", -1), r"\.[^.]*$", "")
 
@@ -93,7 +98,7 @@ def rsvqa_hr(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     image = F.col("image")
     if o.output_dir and readers.exists(spark, f"{root}/images"):  # other formats become PNGs, each image once
         wanted = placed.filter(~F.endswith("image", F.lit(".png"))).select(F.col("image").alias("path")).distinct()
-        others = materialise(images.encode(images.decode_any(spark, f"{root}/images", wanted, "*.{jpg,jpeg,tif}")).filter("png IS NOT NULL").select("path", "png"))
+        others = materialise(images.encode(images.decode_any(spark, f"{root}/images", wanted)).filter("png IS NOT NULL").select("path", "png"))
         _write(others.select(_stem().alias("name"), "png"), o)
         placed = placed.join(others.select(F.col("path").alias("image"), F.lit(True).alias("made")), "image", "left")
         image = F.when(F.endswith(image, F.lit(".png")), image).when(F.col("made"), _at(o, _stem("image")))
@@ -113,8 +118,8 @@ def levir_cd(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     folder = f"{root}/train"
     pairs = readers.before_after(*(readers.listing(spark, f"{folder}/{d}", "*.png") for d in ("A", "B", "label")))
     if readers.exists(spark, f"{folder}/label"):
-        masks = images.decode(readers.contents(spark, f"{folder}/label", "*.png")).select(F.col("path").alias("mask"), "image")
-        # one read of a mask gives both the key and the box
+        masks = _content(spark, pairs.filter("mask IS NOT NULL").select(F.col("mask").alias("path")).distinct(), f"{folder}/label", "*.png")
+        # one read of a mask gives both the key and the box; no picture goes back to the JVM
 
         def look(x):
             plane = (x[:, :, 0] if x.ndim == 3 else x) > 127
@@ -125,7 +130,7 @@ def levir_cd(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
             return {"share": float(plane.mean()), "box": box}
 
         kind = T.StructType([T.StructField("share", T.DoubleType()), T.StructField("box", T.ArrayType(T.DoubleType()))])
-        seen = images.map_images(masks, ["image"], "seen", kind, look).select("mask", "seen")
+        seen = images.see(masks, "seen", kind, look).select(F.col("path").alias("mask"), "seen")
         pairs = pairs.join(seen, "mask", "left")
     else:
         pairs = pairs.withColumn("seen", F.lit(None).cast("struct<share:double,box:array<double>>"))
@@ -137,20 +142,25 @@ def levir_cd(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     if o.output_dir:
         for end, src, sub in (("_before", "before", "A"), ("_after", "after", "B")):
             names = todo.select(F.col(src).alias("path"), F.concat("source_id", F.lit(end)).alias("name"))
-            _write(images.encode(images.decode(readers.contents(spark, f"{folder}/{sub}", "*.png").join(names, "path")).drop("error")), o)
+            _write(images.see(_content(spark, names, f"{folder}/{sub}", "*.png"), "png", T.BinaryType(), rasters.write_png), o)
     return todo.select("source_id", F.lit(0).alias("position"), rows.change_pair_rows(F.col("base"), path("_before", "before"), path("_after", "after"), box).alias("rows"))
 
 
 def sn6_opt(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     """The selection of tiles is returned by ``sn6_selection`` before the limit is applied."""
     chosen = sampling.head(sn6_selection(spark, root, o), ["tile"], o.max_samples).withColumn("source_id", F.concat(F.lit("sn6_"), "tile"))
-    loaded = images.decode(readers.contents(spark, f"{root}/train/images", "*.tif").join(_pending(chosen, o).select("path", "tile", "source_id", "rings"), "path"))
-    size = loaded.withColumn("w", F.col("image.w").cast("double")).withColumn("h", F.col("image.h").cast("double"))
-    if o.output_dir:
-        _write(images.map_images(loaded.drop("error"), ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.tile_rgb(x))).select(F.col("source_id").alias("name"), "png"), o)
-    found = boxes.polygons_to_boxes(F.col("rings"), F.col("w"), F.col("h"))
-    image = _at(o, F.col("source_id")) if o.output_dir else F.col("path")
-    return size.select("source_id", F.lit(0).alias("position"), F.when(F.col("image").isNotNull(), rows.building_rows(F.col("tile"), image, found)).alias("rows"))
+    files = _content(spark, _pending(chosen, o).select("path", "tile", "source_id", "rings"), f"{root}/train/images", "*.tif")
+    drawn = bool(o.output_dir)
+    kind = T.StructType([T.StructField("w", T.DoubleType()), T.StructField("h", T.DoubleType()), T.StructField("png", T.BinaryType())])
+    # a tile is decoded once, for its size and its picture
+    look = lambda x: {"w": float(x.shape[1]), "h": float(x.shape[0]), "png": rasters.write_png(rasters.tile_rgb(x)) if drawn else None}
+    seen = images.see(files, "seen", kind, look).drop("content", "error")
+    if drawn:
+        seen = materialise(seen)
+        _write(seen.select(F.col("source_id").alias("name"), "seen.png"), o)
+    found = boxes.polygons_to_boxes(F.col("rings"), F.col("seen.w"), F.col("seen.h"))
+    image = _at(o, F.col("source_id")) if drawn else F.col("path")
+    return seen.select("source_id", F.lit(0).alias("position"), F.when(F.col("seen").isNotNull(), rows.building_rows(F.col("tile"), image, found)).alias("rows"))
 
 
 def sn6_selection(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
@@ -167,7 +177,7 @@ def sn6_selection(spark: SparkSession, root: str, o: Options = Options()) -> Dat
 
 
 def oscd(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
-    """Bands other than the three of RGB are never read."""
+    """Bands other than the three of RGB are never opened."""
     if not readers.exists(spark, f"{root}/images"):
         raise FileNotFoundError(f"{root}/images")
     masks = readers.listing(spark, f"{root}/labels", "*-cm.tif", recursive=True)
@@ -179,10 +189,9 @@ def oscd(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
         for b in date(c):
             complete = complete & b.isNotNull()
     if o.output_dir:
-        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif").load(f"{root}/images").select("path", "content")
         for c in ("before", "after"):
             want = todo.filter(complete).select(F.concat("source_id", F.lit(f"_{c}")).alias("name"), F.posexplode(F.array(*date(c))).alias("k", "path"))
-            planes = images.decode(content.join(want, "path")).drop("error", "content").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("k", "image"))).alias("b"))
+            planes = images.decode(_content(spark, want, f"{root}/images", "*.tif", recursive=True)).drop("error", "content").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("k", "image"))).alias("b"))
             three = planes.select("name", *[F.col("b")[k]["image"].alias(f"i{k}") for k in range(3)])
             _write(images.map_images(three, ["i0", "i1", "i2"], "png", T.BinaryType(), lambda r, g, b: rasters.write_png(rasters.reflectance_rgb(np.stack([r, g, b], axis=-1)))), o)
     path = lambda c: _at(o, F.concat(F.col("source_id"), F.lit(f"_{c}"))) if o.output_dir else date(c)[0]
@@ -199,7 +208,7 @@ def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     items = files.join(primary, "stem", "left").withColumn("class_name", F.coalesce("class_name", F.lit("unknown"))).withColumn("ext_ord", F.when(F.col("ext") == "png", 0).otherwise(1))
     chosen = sampling.head(sampling.stratified_sample(materialise(items), ["class_name"], "name", fraction, o.seed), ["ext_ord", "name"], o.max_samples).withColumn("source_id", F.concat(F.lit("sardet_"), "stem"))
     todo = _pending(chosen, o)
-    loaded = images.decode_any(spark, f"{root}/images", todo.select("path", "stem", "source_id", "ext_ord"), "*.[jJ][pP][gG]", "*.[pP][nN][gG]")
+    loaded = materialise(images.decode_any(spark, f"{root}/images", todo.select("path", "stem", "source_id", "ext_ord")))
     # of a PNG and a JPEG of one id the first that can be read holds
     sizes = loaded.filter("image IS NOT NULL").select("path", "stem", "source_id", "ext_ord", F.col("image.w").cast("double").alias("w"), F.col("image.h").cast("double").alias("h"))
     first = materialise(sizes.groupBy("source_id").agg(F.min_by(F.struct("path", "stem", "w", "h"), F.struct("ext_ord", "path")).alias("f")).select("source_id", "f.*"))
@@ -213,38 +222,48 @@ def sardet(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     return placed.select("source_id", F.lit(0).alias("position"), rows.detection_rows(F.col("source_id"), image, F.col("found")).alias("rows"))
 
 
-def sn6_sar(spark: SparkSession, root: str, o: Options = Options(), optical: DataFrame | None = None, selection: DataFrame | None = None) -> DataFrame:
-    """optical: samples of the optical run; selection: its tiles (tile). Without either, a uniform sample."""
+def optical_run(spark: SparkSession, folder: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Samples and selected tiles that the optical run has left in its folder; None for what isn't there."""
+    lines, chosen = (readers.first_existing(spark, [f"{folder}/{n}" for n in names]) for names in (("sn6_opt.jsonl",), ("selected_tile_ids.json", "selected_tile_ids")))
+    return readers.jsonl(spark, lines).select("id", "image_path", "file", "line_no") if lines else None, sinks.read_selection(spark, chosen) if chosen else None
+
+
+def sn6_sar(spark: SparkSession, root: str, o: Options = Options(), optical: DataFrame | None = None, selection: DataFrame | None = None, optical_dir: str | None = None) -> DataFrame:
+    """optical: samples of the optical run; selection: its tiles (tile); or both from its folder, ``optical_dir``.
+
+    A selection without tiles is none: tiles aren't paired then. Without a picture of the optical run they are sampled uniformly.
+    """
+    if optical_dir is not None:
+        optical, selection = optical_run(spark, optical_dir)
     folder = readers.first_existing(spark, [f"{root}/train/sar", f"{root}/sar", f"{root}/Sentinel-1"]) or f"{root}/train/sar"
     tiles = readers.listing(spark, folder, "*.tif").select("path", F.col("stem").alias("tile"))
     pngs = None
     if optical is not None:
-        native = optical.filter(~F.endswith("id", F.lit("_proxy")))
-        pngs = native.groupBy(F.expr("substring(id, 5)").alias("tile")).agg(F.max_by(F.col("image_path")[0], F.col("id")).alias("optical"))
-    if selection is not None:
+        native = optical.filter(~F.endswith("id", F.lit("_proxy")) & (F.size("image_path") > 0))
+        pngs = native.groupBy(F.expr("substring(id, 5)").alias("tile")).agg(F.max_by(F.get("image_path", F.lit(0)), F.struct("file", "line_no") if {"file", "line_no"} <= set(optical.columns) else F.col("id")).alias("optical"))
+        pngs = pngs if pngs.limit(1).count() else None
+    if selection is not None and selection.limit(1).count():
         tiles = tiles.join(selection.select("tile"), "tile", "left_semi")
-    if selection is None or optical is None:
-        tiles = sampling.uniform_sample(tiles, "tile", 0.05 if o.fraction is None else o.fraction, o.seed)
+    fraction = 0.05 if o.fraction is None else o.fraction
+    if pngs is None and fraction < 1:
+        tiles = sampling.uniform_sample(tiles, "tile", fraction, o.seed)
     chosen = sampling.head(tiles, ["tile"], o.max_samples).withColumn("source_id", F.concat(F.lit("sn6_sar_"), "tile"))
     todo = _pending(chosen, o)
     todo = todo.join(pngs, "tile", "left") if pngs is not None else todo.withColumn("optical", F.lit(None).cast("string"))
     if o.output_dir:
-        loaded = images.decode(readers.contents(spark, folder, "*.tif").join(todo.select("path", "source_id"), "path"))
+        todo = materialise(todo)
 
         def colour(x):
             x = x.astype(np.float32)
             return rasters.write_png(rasters.radar_rgb(x[:, :, 1], x[:, :, 2], x[:, :, 0]) if x.ndim == 3 and x.shape[2] >= 3 else rasters.radar_rgb(x if x.ndim == 2 else x[:, :, 0]))
 
-        radar = images.map_images(loaded.drop("error"), ["image"], "png", T.BinaryType(), colour)
-        _write(radar.select(F.col("source_id").alias("name"), "png"), o)
-        paired = todo.filter("optical IS NOT NULL").select("tile", "source_id", F.col("optical").alias("path"))
-        optical_png = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load([r[0] for r in paired.select(F.regexp_replace("path", r"/[^/]*$", "")).distinct().collect()]) if pngs is not None and paired.limit(1).count() else None
-        if optical_png is not None:  # a picture of both, side by side
-            plain = F.regexp_replace("path", "^(file:)?/+", "/")
-            left = optical_png.select(plain.alias("at"), "content").join(paired.select(plain.alias("at"), "tile", "source_id"), "at")
-            both = left.join(radar.select("source_id", "png"), "source_id").withColumnRenamed("png", "right")
-            joined = images.map_images(both, ["content", "right"], "png", T.BinaryType(), rasters.concat_png)
-            _write(joined.select(F.concat(F.lit("sn6_fusion_"), "tile").alias("name"), "png"), o)
+        radar = materialise(images.see(_content(spark, todo.select("path", "source_id"), folder, "*.tif"), "png", T.BinaryType(), colour).select("source_id", "png"))
+        _write(radar.withColumnRenamed("source_id", "name"), o)
+        # a picture of both, side by side
+        left = stores.read_selected(todo.filter("optical IS NOT NULL").select("tile", "source_id", F.col("optical").alias("path"))).drop("error")
+        both = left.join(radar.withColumnRenamed("png", "right"), "source_id")
+        joined = images.map_images(both, ["content", "right"], "png", T.BinaryType(), rasters.concat_png)
+        _write(joined.select(F.concat(F.lit("sn6_fusion_"), "tile").alias("name"), "png"), o)
     image = _at(o, F.col("source_id")) if o.output_dir else F.col("path")
     return todo.select("source_id", F.lit(0).alias("position"), rows.radar_tile_rows(F.col("tile"), image, F.col("optical")).alias("rows"))
 
@@ -261,8 +280,8 @@ def sen2lulc(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
         folder = readers.first_existing(spark, [f"{root}/{d}" for d in ("masks", "Masks", "label", "labels")])
         if folder:
             boxes_of = lambda x: rasters.class_boxes(x, len(LAND_COVER))
-            masks = images.decode(readers.contents(spark, folder, "*.{png,tif}").join(placed.select(F.col("mask").alias("path")), "path")).drop("error")
-            made = images.map_images(masks, ["image"], "boxes", T.ArrayType(T.ArrayType(T.DoubleType())), boxes_of).select(F.col("path").alias("mask"), "boxes").dropDuplicates(["mask"])
+            masks = _content(spark, placed.filter("mask IS NOT NULL").select(F.col("mask").alias("path")).distinct(), folder, "*.{png,tif}")
+            made = images.see(masks, "boxes", T.ArrayType(T.ArrayType(T.DoubleType())), boxes_of).select(F.col("path").alias("mask"), "boxes")
             placed = placed.join(made, "mask", "left")
             box = F.when(F.size("boxes") > 0, F.col("boxes"))
     return placed.select("source_id", "position", F.when(F.coalesce("image_id", F.lit("")) != "", rows.land_cover_rows(F.col("source_id"), F.col("image"), F.col("label"), box)).alias("rows"))
@@ -283,17 +302,13 @@ def bigen(spark: SparkSession, root: str, o: Options = Options()) -> DataFrame:
     if o.output_dir:
         placed = materialise(placed)
 
-        def arrays(sub: str, path: str):
-            names = placed.select(F.col(path).alias("path"), "source_id")
-            return images.decode(readers.contents(spark, f"{root}/{sub}", "*.npy").join(names, "path")).drop("error", "content")
-
-        made = images.map_images(arrays("s2_npy", "p2"), ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.multispectral_rgb(np.moveaxis(x, -1, 0)))).select("source_id", "png")
-        if readers.exists(spark, f"{root}/s1_npy"):
-            sar = lambda x: rasters.write_png(rasters.radar_rgb(x[:, :, 0].astype(np.float32), x[:, :, 1].astype(np.float32)))
-            colour = images.map_images(arrays("s1_npy", "p1").filter("image.bands >= 2"), ["image"], "sar", T.BinaryType(), sar).select("source_id", "sar")
-            made = made.join(colour, "source_id", "left")
-        else:
-            made = made.withColumn("sar", F.lit(None).cast("binary"))
+        def coloured(sub: str, path: str, out: str, function) -> DataFrame:
+            names = placed.filter(F.col(path).isNotNull()).select(F.col(path).alias("path"), "source_id")
+            return images.see(_content(spark, names, f"{root}/{sub}", "*.npy"), out, T.BinaryType(), function).select("source_id", out)
+
+        made = coloured("s2_npy", "p2", "png", lambda x: rasters.write_png(rasters.multispectral_rgb(np.moveaxis(x, -1, 0))))
+        sar = lambda x: rasters.write_png(rasters.radar_rgb(x[:, :, 0].astype(np.float32), x[:, :, 1].astype(np.float32)))
+        made = made.join(coloured("s1_npy", "p1", "sar", sar), "source_id", "left")
         made = materialise(made)
         both = images.map_images(made.filter("png IS NOT NULL AND sar IS NOT NULL"), ["png", "sar"], "both", T.BinaryType(), rasters.concat_png)
         for frame, end, column in ((made, "_optical", "png"), (made, "_sar", "sar"), (both, "_concat", "both")):

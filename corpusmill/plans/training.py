@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.gsd import is_proxy
 from ..operators import corpus, sampling
 
 
@@ -63,6 +64,39 @@ def training_rows(corpus_rows: DataFrame, max_samples: int | None = None, replay
     return rows.unionByName(sampling.replay(replay, "id", fraction, rows.count(), seed), allowMissingColumns=True)
 
 
+def deal_to_steps(rows: DataFrame, key: str, max_steps: int, batch: int, ratios: list[float], seed: int = 42, bucket: str = "gsd_bucket") -> DataFrame:
+    """step, slot (from 0 over all steps), epoch, key and proxy: which row is read where in a curriculum.
+
+    Each step has ``batch`` slots, of which the share of native rows is that of its step. Shares are added up slot by slot in millionths,
+    and a slot is native where the sum passes a whole number: in every stretch of slots of one ratio the native rows are within one of
+    their share. Rows come in the order of a hash of (key, seed), native ones and proxies apart, and again from the first when they are
+    used up. Places in that order are offsets of range partitions, so no task numbers all rows. Without native rows or without proxies all
+    slots are of the others; without rows there are none.
+    """
+    marked = rows.select(F.col(key).alias("key"), is_proxy(F.col(bucket)).alias("proxy")).withColumn("h", sampling.order_hash(F.col("key"), seed))
+    ranked = corpus.shard_assign(marked, ["proxy", "h", "key"], 1).select("key", "proxy", F.col("shard").alias("place"))
+    counts = {r.proxy: r.n for r in marked.groupBy("proxy").agg(F.count(F.lit(1)).alias("n")).collect()}
+    native, proxies = counts.get(False, 0), counts.get(True, 0)
+    slots = rows.sparkSession.range(max_steps * batch if native + proxies else 0).select(F.col("id").alias("slot"), F.floor(F.col("id") / batch).cast("long").alias("step"))
+    # the steps at which the ratio changes, and what is added up until then
+    share = [1.0 if not proxies else 0.0 if not native else ratios[min(len(ratios) - 1, 0 if s / max_steps < 0.33 else 1 if s / max_steps < 0.66 else 2)] for s in range(max_steps)]
+    starts = [s for s in range(max_steps) if s == 0 or share[s] != share[s - 1]]
+    upto, total, last = F.lit(0).cast("long"), 0, None
+    for s in starts:
+        if last is not None:
+            total += (s - last) * batch * round(share[last] * 1_000_000)
+        upto = F.when(F.col("step") >= s, F.lit(total) + (F.col("slot") - s * batch) * round(share[s] * 1_000_000)).otherwise(upto)
+        last = s
+    step_share = F.lit(0).cast("long")
+    for s in starts:
+        step_share = F.when(F.col("step") >= s, F.lit(round(share[s] * 1_000_000)).cast("long")).otherwise(step_share)
+    slots = slots.withColumn("before", F.floor(upto / 1_000_000)).withColumn("after", F.floor((upto + step_share) / 1_000_000)).withColumn("proxy", F.col("before") == F.col("after"))
+    rank = F.when(F.col("proxy"), F.col("slot") - F.col("before")).otherwise(F.col("before"))
+    size = F.when(F.col("proxy"), F.lit(max(proxies, 1))).otherwise(F.lit(max(native, 1))).cast("long")
+    wanted = slots.select("step", "slot", "proxy", F.floor(rank / size).alias("epoch"), (rank % size + F.when(F.col("proxy"), F.lit(native)).otherwise(0)).alias("place"))
+    return wanted.join(ranked, ["proxy", "place"]).select("step", "slot", "epoch", "key", "proxy")
+
+
 def compare(results: DataFrame) -> DataFrame:
     """Winners of two adapters (rows a = dora and qlora, as columns of one row); ties go to qlora, losses count only if both are measured."""
     best = lambda c: F.when(c, "dora").otherwise("qlora")

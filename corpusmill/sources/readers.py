@@ -2,42 +2,38 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import band_of, strip
-from ..operators.tables import materialise
+from ..operators.tables import join_small, materialise
 from ..schema import SAMPLE
+from . import json_arrays, stores
+from .stores import exists
 
 CONVERSATION = T.StructType([T.StructField("id", T.StringType()), T.StructField("image", T.StringType()), T.StructField("conversations", T.ArrayType(T.StructType([T.StructField("from", T.StringType()), T.StructField("value", T.StringType())])))])
 QUESTION = T.StructType([T.StructField(n, T.StringType()) for n in ("question_id", "id", "question", "answer", "image_id", "before", "after")])
 LABELLED = T.StructType([T.StructField(n, T.StringType()) for n in ("image_id", "id", "label", "class")])
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, by the file system that Spark uses for it."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
-
-
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
 
 
-def numbered(rows: DataFrame, of: list[str], out: str) -> DataFrame:
-    """Adds the place (from 0) of each row among those with equal ``of`` columns, in the order in which partitions hold them.
-
-    Only the rows of a partition are counted, per partition and ``of``; nothing is sorted or brought together. File splits come in the
-    order of their offsets, so a row's place in its file doesn't depend on how files are split.
-    """
-    marked = materialise(rows.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
-    parts = marked.groupBy("_p", *of).agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))
-    before = Window.partitionBy(*of).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_p", *of, "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    return marked.join(F.broadcast(starts), ["_p", *of]).withColumn(out, F.col("_before") + F.col("_i") - F.col("_first")).select(*rows.columns, out)
+def numbered(rows: DataFrame, out: str) -> DataFrame:
+    """Adds the place (from 0) of each row among all, in the order of files' names and of rows in a file; rows: file, at (the offset of
+    their split) and others. Only the rows of a split are counted; nothing is sorted or brought together."""
+    marked = materialise(rows.withColumn("_i", F.monotonically_increasing_id()))
+    splits = marked.groupBy("file", "at").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))
+    before = Window.orderBy("file", "at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "at", "_first", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    others = [c for c in rows.columns if c not in ("file", "at")]
+    return join_small(marked, starts, ["file", "at"]).select((F.col("_before") + F.col("_i") - F.col("_first")).alias(out), *others)
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -58,23 +54,19 @@ def jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = SAM
 
 
 def head_lines(spark: SparkSession, path: str, n: int = 100, schema: T.StructType = SAMPLE) -> DataFrame:
-    """Rows of the first n physical lines; blank ones count."""
-    rows = numbered_lines(spark, path).filter((F.col("line_no") <= n) & (strip(F.col("line")) != ""))
+    """Rows of the first n physical lines; blank ones count. Of one file only its beginning is read."""
+    text = spark.read.text(path)
+    if len(text.inputFiles()) <= 1:
+        lines = spark.createDataFrame([(k, r.value) for k, r in enumerate(text.head(n), 1)], "line_no long, line string")
+    else:
+        lines = numbered_lines(spark, path)
+    rows = lines.filter((F.col("line_no") <= n) & (strip(F.col("line")) != ""))
     return rows.select("line_no", F.from_json("line", schema, {"mode": "FAILFAST"}).alias("r")).select("line_no", "r.*")
 
 
-def entries(text: Column, schema: T.StructType, wrappers: tuple[str, ...] = ()) -> Column:
-    """Array of entries of a JSON text: a list, or a list under the first of the wrappers that is there."""
-    plain = F.from_json(text, T.ArrayType(schema))
-    wrapped = [F.from_json(F.get_json_object(text, f"$.{w}"), T.ArrayType(schema)) for w in wrappers]
-    return F.when(F.ltrim(F.regexp_replace(text, r"^\s+", "")).startswith("["), plain).otherwise(F.coalesce(*wrapped, F.array().cast(T.ArrayType(schema))) if wrapped else F.lit(None))
-
-
 def json_array(spark: SparkSession, path: str, schema: T.StructType, wrappers: tuple[str, ...] = ()) -> DataFrame:
-    """Entries of one JSON file with their position; dealt out at once, as the file is one row."""
-    text = spark.read.text(path, wholetext=True)
-    rows = text.select(F.posexplode(entries(F.col("value"), schema, wrappers)).alias("position", "e"))
-    return rows.repartition(spark.sparkContext.defaultParallelism, "position").select("position", "e.*")
+    """Entries of one JSON file with their position; the file is read by as many tasks as it has splits."""
+    return json_arrays.read(spark, path, schema, wrappers)
 
 
 def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -116,7 +108,8 @@ def land_cover_labels(spark: SparkSession, root: str) -> DataFrame:
     if exists(spark, path):
         rows = spark.read.csv(path, header=True, inferSchema=False)
         have = {c.lower(): c for c in rows.columns}
-        rows = numbered(rows.select(*[(F.col(f"`{have[c]}`") if c in have else F.lit(None).cast("string")).alias(c) for c in LABELLED.fieldNames()]), [], "position")
+        named = [(F.col(f"`{have[c]}`") if c in have else F.lit(None).cast("string")).alias(c) for c in LABELLED.fieldNames()]
+        rows = numbered(rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), *named), "position")
     else:
         path = first_existing(spark, [f"{root}/annotations.json"])
         rows = json_array(spark, path, LABELLED, ("annotations", "data")) if path else _none(spark, LABELLED)
@@ -134,21 +127,20 @@ def patches(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(starts), "file").select((F.col("start") + F.col("row")).alias("position"), "patch", "labels")
 
 
-def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False, with_empty: bool = False) -> DataFrame:
-    """path, name, stem, ext and size of files, without their content; nothing if the folder isn't there.
-
-    Spark makes no rows of files without bytes; ``with_empty`` takes the names from its file index, which is on the driver, and has no sizes.
-    """
-    empty = spark.createDataFrame([], "path string, length long")
-    if exists(spark, path):
-        reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        files = (reader.option("recursiveFileLookup", "true") if recursive else reader).load(path).select("path", "length")
-        if with_empty:
-            files = spark.createDataFrame([(f, None) for f in files.inputFiles()], empty.schema)
+def listing(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    """path, name, stem, ext and size of the files of a folder that fit the glob, empty ones too, without their content; nothing if the
+    folder isn't there. Names that start with '_' or '.' are left out, as Spark's own sources do."""
+    if not exists(spark, path):
+        files = spark.createDataFrame([], "path string, size long")
     else:
-        files = empty
+        files = stores.files_below(spark, path, recursive)
     name = F.substring_index("path", "/", -1)
-    return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), F.col("length").alias("size"))
+    # fnmatch has no braces, which Spark's globs have
+    parts = re.split(r"\{([^}]*)\}", glob)
+    kinds = [parts[0] + x + (parts[2] if len(parts) > 2 else "") for x in (parts[1].split(",") if len(parts) > 1 else [""])]
+    wanted = "|".join(f"(?:{fnmatch.translate(k).removesuffix('\\Z').removesuffix('\\z')})" for k in kinds)
+    files = files.filter(~name.rlike("^[._]") & name.rlike(f"^(?:{wanted})$"))
+    return files.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), "size")
 
 
 def names_in(spark: SparkSession, path: str) -> list[str]:
@@ -158,20 +150,6 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(p)) if store.exists(p) else []
 
 
-def names_below(spark: SparkSession, path: str) -> DataFrame:
-    """path and size of every file below a folder by the file system itself, empty and hidden ones too; listed on the driver."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found, files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True), []
-    while found.hasNext():
-        f = found.next()
-        files.append((f.getPath().toString(), f.getLen()))
-    return spark.createDataFrame(files, "path string, size long")
-
-
-def contents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-
-
 def first_image(items: DataFrame, files: DataFrame, key: str, extensions: tuple[str, ...], out: str = "image") -> DataFrame:
     """Adds the path of the item's file with the first extension that is there; null without one."""
     priority = F.array_position(F.array(*[F.lit(e) for e in extensions]), F.col("ext"))

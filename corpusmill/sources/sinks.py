@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import dataclasses
 import io
 import json
-import re
 import sys
 import tarfile
-from pathlib import Path
+import uuid
 
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..operators import corpus
+from ..operators.tables import delete
 from ..schema import FIELDS
-from . import readers
+from . import stores
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,98 +37,168 @@ def write_split(samples: DataFrame, path: str) -> None:
     samples.select("split", json_line().alias("value")).write.mode("overwrite").partitionBy("split").text(path)
 
 
-def _place(folder: str):
-    """File system and path of a folder, local or in an object store; used on the executors."""
-    from pyarrow import fs
-
-    if folder.startswith("file:") or "://" not in folder:  # a plain path, whatever characters it has
-        store, base = fs.LocalFileSystem(), re.sub("^(file:)?/+", "/", folder)
-    else:
-        store, base = fs.FileSystem.from_uri(folder)
-    store.create_dir(base, recursive=True)
-    return store, base
-
-
 def _attempt() -> str:
-    """A name of this attempt of a task: another attempt of it writes to a file of its own."""
+    """A name of this attempt of a task: another attempt of it writes to a folder of its own."""
     from pyspark import TaskContext
 
     at = TaskContext.get()
-    return f"{at.stageId()}-{at.taskAttemptId()}" if at else "driver"
+    return f"{at.stageId()}-{at.taskAttemptId()}" if at else uuid.uuid4().hex
 
 
 def write_files(files: DataFrame, path: str, content: str, folder: str) -> None:
-    """Write each row's bytes to folder/path, by the file system of the folder; a file is whole or isn't there."""
+    """Write each row's bytes to folder/path, by the file system of the folder; a file is whole or isn't there.
+
+    Files are begun in a staging folder and moved; it goes at the end, with what failed attempts have left in it.
+    """
+    staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
 
     def run(rows):
-        store, base = _place(folder)
-        made, mine = {base}, _attempt()
-        for r in rows:
+        (store, base), (_, begun) = stores.resolve(folder), stores.resolve(f"{staging}/{_attempt()}")
+        base, made = base.rstrip("/"), set()
+        store.create_dir(begun, recursive=True)
+        for k, r in enumerate(rows):
             target = f"{base}/{r[path]}"
             above = target.rsplit("/", 1)[0]
             if above not in made:
                 store.create_dir(above, recursive=True)
                 made.add(above)
-            with store.open_output_stream(f"{target}.{mine}.part") as out:
+            with store.open_output_stream(f"{begun}/{k}", compression=None) as out:
                 out.write(r[content])
-            store.move(f"{target}.{mine}.part", target)
+            store.move(f"{begun}/{k}", target)
 
-    files.select(path, content).foreachPartition(run)
+    try:
+        files.select(path, content).foreachPartition(run)
+    finally:
+        delete(files.sparkSession, staging)
 
 
-def write_shards(files: DataFrame, folder: str, prefix: str, capacity: int = 2000, flat: bool = True) -> DataFrame:
-    """Gzip tars <prefix>_shard_<4 digits>.tar.gz of at most ``capacity`` files each; files: path, content. Returns shard and count.
+@dataclasses.dataclass
+class _Written(WriterCommitMessage):
+    """What a task has written: shard, number of files and staged name of each tar."""
 
-    A shard is written by one task, to a name of that attempt first, so that attempts of a task don't disturb each other.
-    """
-    numbered = corpus.shard_assign(files.select("path"), ["path"], capacity)
-    rows = files.join(numbered, "path").repartition("shard").sortWithinPartitions("shard", "place")
+    tars: list[tuple[int, int, str]]
 
-    def run(parts):
-        store, base = _place(folder)
-        mine = _attempt()
-        tar = out = name = None
+
+class _ShardWriter(DataSourceArrowWriter):
+    """Tars in a staging folder; commit moves those of the attempts that count and records their numbers, abort leaves nothing."""
+
+    def __init__(self, options: dict[str, str]):
+        self.folder, self.prefix, self.token = options["folder"].rstrip("/"), options["prefix"], options["token"]
+        self.flat = options["flat"] == "true"
+
+    @property
+    def staging(self) -> str:
+        return f"{self.folder}/_staging-{self.token}"
+
+    def write(self, iterator) -> _Written:
+        """Rows sorted by shard and place: shard, path, and content, or the path of the file that holds it in ``source``."""
+        store, begun = stores.resolve(f"{self.staging}/{_attempt()}")
+        store.create_dir(begun, recursive=True)
+        written, tar, out = [], None, None
 
         def close():
             tar.close()
             out.close()
-            target = f"{base}/{prefix}_shard_{name:04d}.tar.gz"
-            store.move(f"{target}.{mine}.part", target)
-
-        for r in parts:
-            if r["shard"] != name:
-                if tar:
-                    close()
-                name = r["shard"]
-                out = store.open_output_stream(f"{base}/{prefix}_shard_{name:04d}.tar.gz.{mine}.part", compression=None)
-                tar = tarfile.open(fileobj=out, mode="w|gz")
-            info = tarfile.TarInfo(r["path"].rsplit("/", 1)[-1] if flat else r["path"])
-            info.size = len(r["content"])
-            tar.addfile(info, io.BytesIO(r["content"]))
+
+        for b in iterator:
+            names = b.schema.names
+            for k in range(b.num_rows):
+                row = {c: b.column(c)[k].as_py() for c in names}
+                if not written or row["shard"] != written[-1][0]:
+                    if tar:
+                        close()
+                    at = f"{begun}/{row['shard']}.tar.gz"
+                    out = store.open_output_stream(at, compression=None)
+                    tar = tarfile.open(fileobj=out, mode="w|gz")
+                    written.append([row["shard"], 0, f"{self.staging}/{at.rsplit('/', 2)[1]}/{row['shard']}.tar.gz"])
+                info = tarfile.TarInfo(row["path"].rsplit("/", 1)[-1] if self.flat else row["path"])
+                if "source" in row:  # the file goes from its store to the tar as a stream
+                    home, inner = stores.resolve(row["source"])
+                    info.size = home.get_file_info(inner).size
+                    with home.open_input_stream(inner, compression=None) as data:
+                        tar.addfile(info, data)
+                else:
+                    info.size = len(row["content"])
+                    tar.addfile(info, io.BytesIO(row["content"]))
+                written[-1][1] += 1
         if tar:
             close()
+        return _Written([tuple(x) for x in written])
+
+    def commit(self, messages) -> None:
+        store, base = stores.resolve(self.folder)
+        base = base.rstrip("/")
+        counts = []
+        for shard, n, staged in sorted(t for m in messages if m is not None for t in m.tars):
+            name = f"{self.prefix}_shard_{shard:04d}.tar.gz"
+            store.move(stores.resolve(staged)[1], f"{base}/{name}")
+            counts.append({"shard": shard, "files": n, "tar": name})
+        store.create_dir(base, recursive=True)
+        with store.open_output_stream(f"{base}/{self.prefix}_shards.jsonl", compression=None) as out:
+            out.write("".join(json.dumps(c) + "\n" for c in counts).encode())
+        self._clear(store)
+
+    def abort(self, messages) -> None:
+        self._clear(stores.resolve(self.folder)[0])
 
-    rows.select("shard", "path", "content").foreachPartition(run)
-    return numbered.groupBy("shard").agg(F.count(F.lit(1)).alias("files"))
+    def _clear(self, store) -> None:
+        at = stores.resolve(self.staging)[1]
+        if store.get_file_info(at).type.name == "Directory":
+            store.delete_dir(at)
+
+
+class ShardSink(DataSource):
+    """Spark's format ``corpusmill_shards``: compressed tars, all or none."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "corpusmill_shards"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _ShardWriter(self.options)
+
+
+def _pack(rows: DataFrame, folder: str, prefix: str, flat: bool) -> DataFrame:
+    """Write rows (shard, place, path, content or source) as tars; the counts are those of the commit."""
+    spark, token = rows.sparkSession, uuid.uuid4().hex
+    spark.dataSource.register(ShardSink)
+    dealt = rows.repartition("shard").sortWithinPartitions("shard", "place").drop("place")
+    try:
+        dealt.write.format("corpusmill_shards").options(folder=folder, prefix=prefix, flat=str(flat).lower(), token=token).mode("append").save()
+    finally:
+        delete(spark, f"{folder.rstrip('/')}/_staging-{token}")
+    return spark.read.schema("shard long, files long, tar string").json(f"{folder.rstrip('/')}/{prefix}_shards.jsonl")
+
+
+def write_shards(files: DataFrame, folder: str, prefix: str, capacity: int = 2000, flat: bool = True) -> DataFrame:
+    """Gzip tars <prefix>_shard_<4 digits>.tar.gz of at most ``capacity`` files each; files: path, content. Returns shard, files and tar.
+
+    A shard is written by one task into a staging folder; tars appear together when all tasks are done, and not at all if one fails.
+    """
+    numbered = corpus.shard_assign(files.select("path"), ["path"], capacity)
+    return _pack(files.select("path", "content").join(numbered, "path"), folder, prefix, flat)
 
 
 def write_folder_shards(spark, source: str, folder: str, prefix: str, capacity: int = 2000, skip: str = ".jsonl") -> DataFrame:
-    """Shards of all files below a folder in path order, without those of the ending ``skip``.
+    """Shards of all files below a folder in path order, empty and hidden ones too, without those of the ending ``skip``.
 
-    Spark's file source leaves out files without bytes and names that start with '_' or '.'; the file system lists those.
-    They are read on a file system that all executors share, as ``write_files`` writes there.
+    Tasks list the folders, and the task that writes a shard reads its files: only names are dealt out.
     """
+    names = stores.files_below(spark, source).select("path").filter(~F.endswith("path", F.lit(skip)))
+    numbered = corpus.shard_assign(names, ["path"], capacity)
+    if stores.scheme(source) in stores.OPENED:
+        return _pack(numbered.withColumn("source", F.col("path")), folder, prefix, True)
     plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "content")
-    names = readers.names_below(spark, source)
-    rest = names.join(plain.select("path"), "path", "left_anti")
+    return _pack(numbered.join(plain, "path", "left").withColumn("content", F.coalesce("content", F.lit(b""))), folder, prefix, True)
 
-    def run(batches):
-        for b in batches:
-            for path, size in zip(b.column("path").to_pylist(), b.column("size").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([Path(path.removeprefix("file:")).read_bytes() if size else b""], pa.binary())], names=["path", "content"])
 
-    files = plain.unionByName(rest.mapInArrow(run, "path string, content binary"))
-    return write_shards(files.filter(~F.endswith("path", F.lit(skip))), folder, prefix, capacity)
+def rename(spark, old: str, new: str) -> None:
+    """Move a file or folder by its file system, in place of what is there."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (old, new))
+    store = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(b, True)
+    if not store.rename(a, b):
+        raise OSError(f"{old} can't be moved to {new}")
 
 
 def write_text(spark, path: str, text: str) -> None:
@@ -153,6 +224,16 @@ def report(samples: DataFrame, path: str | None = None, errors: int = 0, duplica
     return out
 
 
+def read_selection(spark, path: str) -> DataFrame:
+    """tile: the ids of a selection, written by ``write_selection`` or as one JSON list; none if it isn't there."""
+    if not stores.exists(spark, path):
+        return spark.createDataFrame([], "tile string")
+    line = F.regexp_replace("value", r"^\s+|\s+$", "")
+    listed = F.when(line.startswith("["), F.from_json(line, "array<string>")).otherwise(F.array(line))
+    whole = path.endswith(".json")
+    return spark.read.text(path, wholetext=whole).select(F.explode(listed).alias("tile")).filter("tile <> ''").distinct()
+
+
 def write_selection(items: DataFrame, key: str, path: str) -> None:
     """Sorted ids as a one-column text table."""
     items.select(F.col(key).cast("string")).orderBy(key).write.mode("overwrite").text(path)

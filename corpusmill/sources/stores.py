@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.tables import materialise
 
@@ -24,6 +25,12 @@ def scheme(path: str) -> str:
     return m[1] if (m := re.match(r"([A-Za-z][A-Za-z0-9+.-]*):/", path)) else "file"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, by the file system that Spark uses for it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def resolve(path: str):
     """File system and inner path, local or in an object store; used on the executors."""
     from pyarrow import fs
@@ -98,9 +105,8 @@ def read_selected(files: DataFrame, path: str = "path", out: str = "content", me
 
     A file that can't be read has null content. ``meter`` is an accumulator that gets the bytes that were read.
     """
-    spark = files.sparkSession
     columns = files.columns
-    schema = files.withColumn(out, F.lit(b"")).withColumn("error", F.lit("").cast("string")).schema
+    schema = T.StructType([*files.schema.fields, T.StructField(out, T.BinaryType()), T.StructField("error", T.StringType())])
 
     def run(batches):
         def batch(rows, contents, errors):
@@ -129,7 +135,7 @@ def read_selected(files: DataFrame, path: str = "path", out: str = "content", me
                 yield batch(b.slice(first), contents, errors)
 
     # names are few bytes: they are dealt out, so that reading is shared however few rows there are
-    return files.repartition(spark.sparkContext.defaultParallelism, path).mapInArrow(run, schema)
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism, path).mapInArrow(run, schema)
 
 
 def contents_of(spark: SparkSession, files: DataFrame, path: str = "path", folder: str | None = None, glob: str = "*", recursive: bool = False) -> DataFrame:

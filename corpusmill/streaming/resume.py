@@ -2,30 +2,70 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import readers, sinks
+
 
 def resume(spark: SparkSession, source: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, glob: str | None = None) -> int:
     """Process what is new under ``source`` (Parquet) into ``sink``; returns the number of batches.
 
     A batch is written to a folder of its own number, overwriting it: a batch that is run again leaves no duplicates.
     """
+    return _batches(spark, source, schema, lambda rows, number: transform(rows).write.mode("overwrite").parquet(f"{sink}/batch={number}"), checkpoint, glob)
+
+
+def _batches(spark: SparkSession, source: str, schema: T.StructType, each: Callable[[DataFrame, int], None], checkpoint: str, glob: str | None) -> int:
     reader = spark.readStream.schema(schema)
     stream = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(source)
     done: list[int] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        each(batch, number)
         done.append(number)
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return len(done)
 
 
+def add_increment(rows: DataFrame, key: list[str], order: list[str], state: str, batch: int | str) -> None:
+    """Keep-first by increments: add to a state what this increment brings that is new or comes earlier than what is known.
+
+    The state has a folder for each increment, of its winners alone; only keys and orders of the others are read again, never the earlier
+    increments themselves. The order of increments doesn't matter, and an increment that is run again replaces its own folder.
+    """
+    spark = rows.sparkSession
+    names = [f"_k{i}" for i in range(len(key))]
+    keys = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(n) for k, n in zip(key, names, strict=True)]
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    place = F.struct(*[F.col(c) for c in order])
+    # min_by combines on the map side: a key with a third of all rows is no hot task
+    best = rows.groupBy(*keys).agg(F.min_by(row, place).alias("_row"), F.min(place).alias("_place"))
+    if any(n.startswith("batch=") for n in readers.names_in(spark, state)):
+        known = spark.read.parquet(state).filter(F.col("batch").cast("string") != str(batch)).groupBy(*names).agg(F.min("_place").alias("_known"))
+        best = best.join(known, names, "left").filter("_known IS NULL OR _place < _known").drop("_known")
+    staged = f"{state.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    best.write.parquet(staged)
+    sinks.rename(spark, staged, f"{state.rstrip('/')}/batch={batch}")
+
+
+def first_of_state(spark: SparkSession, state: str) -> DataFrame:
+    """The first row of each key over all increments."""
+    held = spark.read.parquet(state)
+    names = [c for c in held.columns if c.startswith("_k")]
+    return held.groupBy(*names).agg(F.min_by("_row", "_place").alias("r")).select("r.*")
+
+
+def keep_first_stream(spark: SparkSession, source: str, schema: T.StructType, key: list[str], order: list[str], state: str, checkpoint: str, glob: str | None = None) -> int:
+    """``add_increment`` for what is new under ``source`` (Parquet) since the last run; returns the number of batches."""
+    return _batches(spark, source, schema, lambda rows, number: add_increment(rows, key, order, state, number), checkpoint, glob)
+
+
 def windowed_counts(events: DataFrame, time: str, kind: str, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Counts per window and kind, batch or stream; later rows than ``late`` are dropped on a stream."""
     return events.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")

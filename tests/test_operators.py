@@ -304,12 +304,6 @@ def lzw(data: bytes) -> bytes:
 
 
 def test_raster_maths():
-    mask = np.zeros((20, 20), np.uint8)
-    mask[1:9, 1:9] = mask[12:19, 3:12] = 255
-    mask[0, 19] = 1
-    assert rasters.region_boxes(rasters.binary_mask(mask)) == [[1, 1, 8, 8], [3, 12, 11, 18]]
-    assert rasters.regions(np.array([[1, 0, 1], [1, 1, 1]])).max() == 1
-    assert rasters.regions(np.array([[1, 0], [0, 1]])).max() == 2
     flat = np.full((64, 64, 3), 7, np.uint8)
     assert (rasters.proxy_image(flat) == 7).all() and rasters.proxy_image(flat).shape == (32, 32, 3)
     small = rasters.downsample(np.arange(16.0).reshape(4, 4), 1.0, 0.5)
