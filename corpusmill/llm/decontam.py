@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, lower_az, materialise
+from .common import bounded_broadcast, join_dimension, lower_az, materialise
 
 #: Windows (rows, items and hundreds of characters) that are broadcast at most: some 20 MB.
 BROADCAST_ROWS = 200_000
@@ -47,7 +47,11 @@ def _index(docs: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
     """word, off, win, len, items: the windows under their rarest word by its count over all documents."""
     vocabulary = windows.select(F.explode("win").alias("word")).distinct()
     small = vocabulary.limit(limit + 1).count() <= limit
-    counted = docs.select(F.explode(words(F.col("text"))).alias("word")).join(F.broadcast(vocabulary) if small else vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    tokens = docs.select(F.explode(words(F.col("text"))).alias("word"))
+    if small:
+        counted = tokens.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    else:  # counts before the join: the most common word is a row of each task, not all of its tokens
+        counted = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n")).join(vocabulary, "word")
     counted = materialise(counted)
     tokens = windows.select("win", F.posexplode("win").alias("off", "word")).join(F.broadcast(counted) if small else counted, "word", "left")
     rarest = tokens.groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "off")).alias("r"))
@@ -71,7 +75,8 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 13, broadcast_rows:
         hits = hits.select("rid", "doc_id", "mark", F.size("w").alias("n_words"), start.alias("start"), "len", "items")
     else:
         rows = materialise(rows)
-        near = rows.select("rid", F.posexplode("w").alias("pos", "word")).join(index.select("word", "off", "len", F.xxhash64("win").alias("wid")), "word")
+        # a window of common words only has a common rarest word: its tokens are dealt to many tasks
+        near = join_dimension(rows.select("rid", F.posexplode("w").alias("pos", "word")), index.select("word", "off", "len", F.xxhash64("win").alias("wid")), "word", few=False)
         near = near.join(rows.select("rid", "w"), "rid").filter(fits)
         near = near.select("rid", start.alias("start"), "w", "wid").join(index.select(F.xxhash64("win").alias("wid"), "win", "len", "items"), "wid")
         near = near.filter(F.slice("w", F.col("start") + 1, F.col("len")) == F.col("win")).select("rid", "start", "len", "items")
