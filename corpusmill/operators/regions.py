@@ -1,7 +1,8 @@
 """Rasters as tables: runs of pixels, connected regions across tiles, area averages.
 
 A mask becomes its runs, the stretches of set pixels of a row: far fewer rows than pixels, and cut at no size of image. Runs that touch
-are links of a graph, and regions are its components, so an image may lie in any number of tiles and tasks.
+are links of a graph, and regions are its components, so an image may lie in any number of tiles and tasks. Images of a bounded number
+of runs need no graph: theirs are folded in order.
 """
 
 from __future__ import annotations
@@ -17,11 +18,14 @@ from pyspark.sql.window import Window
 
 from ..functions import rasters
 from . import graph, images
+from .tables import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Columns of an image that meet in a join of neighbouring runs.
 STRIP = 256
+#: Runs of an image that are taken together in a row at most.
+MOST_RUNS = 100
 
 
 def runs_of_pixels(pixels: DataFrame, key: str) -> DataFrame:
@@ -68,14 +72,48 @@ def links(runs: DataFrame, key: str, strip: int = STRIP) -> DataFrame:
     return below.select(F.col("node").alias("a"), "b").union(beside.select(F.col("node").alias("a"), "b")).distinct()
 
 
-def boxes(runs: DataFrame, key: str, least: int = 50) -> DataFrame:
-    """key, x1, y1, x2, y2 (inclusive) and pixels of the connected regions with at least ``least`` pixels."""
-    found = graph.components(links(runs, key))
-    node = F.struct(F.col(key).alias("k"), "y", "x1")
-    placed = runs.withColumn("node", node).join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+def boxes(runs: DataFrame, key: str, least: int = 50, most_runs: int = MOST_RUNS) -> DataFrame:
+    """key, x1, y1, x2, y2 (inclusive) and pixels of the connected regions with at least ``least`` pixels.
+
+    Images of at most ``most_runs`` runs are folded within a row each; the runs of larger ones are components of a table of links.
+    """
+    runs = materialise(runs.select(F.col(key).alias("k"), "y", "x1", "x2"))
+    small = runs.groupBy(F.col("k").alias("own")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= most_runs).select("own")
+    is_small = F.col("k").eqNullSafe(F.col("own"))
+    few = _of_small_images(runs.join(small, is_small, "left_semi"), least)
+    large = materialise(runs.join(small, is_small, "left_anti"))
+    if not large.limit(1).count():
+        return few.withColumnRenamed("k", key)
+    found = graph.components(links(large, "k"))
+    placed = large.withColumn("node", F.struct("k", "y", "x1")).join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     size = F.sum(F.col("x2") - F.col("x1") + 1).alias("pixels")
     out = placed.groupBy("comp").agg(F.min("x1").alias("x1"), F.min("y").alias("y1"), F.max("x2").alias("x2"), F.max("y").alias("y2"), size)
-    return out.filter(F.col("pixels") >= least).select(F.col("comp.k").alias(key), "x1", "y1", "x2", "y2", "pixels")
+    return few.unionByName(out.filter(F.col("pixels") >= least).select("comp.k", "x1", "y1", "x2", "y2", "pixels")).withColumnRenamed("k", key)
+
+
+def _of_small_images(runs: DataFrame, least: int) -> DataFrame:
+    """The regions of images of few runs (k, y, x1, x2): runs in their order are added to the boxes they touch, which become one."""
+    box = "x1 bigint, y1 bigint, x2 bigint, y2 bigint, pixels bigint, last array<struct<y: bigint, x1: bigint, x2: bigint>>"
+    none = F.array().cast("array<struct<" + ",".join(f"{c.split(' ', 1)[0]}:{c.split(' ', 1)[1]}" for c in box.replace(": ", ":").split(", ", 5)) + ">>")
+    rows = F.array_sort(F.collect_list(F.struct("y", "x1", "x2")))
+
+    def touches(g, r):
+        """Whether a run meets one of a box's runs in its own row or the one before: those are all that later runs can meet."""
+        beside = lambda p: ((p["y"] == r["y"] - 1) & (p["x1"] <= r["x2"]) & (r["x1"] <= p["x2"])) | ((p["y"] == r["y"]) & (p["x2"] + 1 == r["x1"]))
+        return F.exists(g["last"], beside)
+
+    def add(groups, r):
+        one = F.struct(r["x1"].alias("x1"), r["y"].alias("y1"), r["x2"].alias("x2"), r["y"].alias("y2"), (r["x2"] - r["x1"] + 1).alias("pixels"), F.array(r).alias("last"))
+
+        def join(a, g):
+            recent = F.filter(F.concat(a["last"], g["last"]), lambda p: p["y"] >= r["y"] - 1)
+            return F.struct(F.least(a["x1"], g["x1"]).alias("x1"), F.least(a["y1"], g["y1"]).alias("y1"), F.greatest(a["x2"], g["x2"]).alias("x2"), F.greatest(a["y2"], g["y2"]).alias("y2"), (a["pixels"] + g["pixels"]).alias("pixels"), recent.alias("last"))
+
+        met = F.aggregate(F.filter(groups, lambda g: touches(g, r)), one, join)
+        return F.concat(F.filter(groups, lambda g: ~touches(g, r)), F.array(met))
+
+    found = runs.groupBy("k").agg(F.aggregate(rows, none, add).alias("g")).select("k", F.explode("g").alias("g")).select("k", "g.x1", "g.y1", "g.x2", "g.y2", "g.pixels")
+    return found.filter(F.col("pixels") >= least)
 
 
 def _cells(at: str, old: Column, new: Column) -> Column:

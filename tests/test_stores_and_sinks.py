@@ -127,9 +127,9 @@ def test_selection_files(spark, tmp_path):
 
 def test_split_all_in_one_job(spark, tmp_path):
     """Names with odd characters, a file of one row, lines that keep their split."""
-    from test_operators import SAMPLES, samples  # noqa: F401
+    from test_operators import row
 
-    rows = samples(spark, [{"id": f"r{k}", "split": "train"} for k in range(40)])
+    rows = spark.createDataFrame([row(id=f"r{k}", split="train") for k in range(40)], readers.SAMPLE)
     sinks.write_jsonl(rows, f"{tmp_path}/a b=c.jsonl")
     sinks.write_jsonl(rows.limit(1), f"{tmp_path}/one.jsonl")
     got = {r.file: (r.total, r.train, r.val) for r in packaging.split_all(spark, str(tmp_path)).collect()}
