@@ -20,38 +20,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import decontam, mixing, neardup, pii, quality
-from corpusmill.llm.common import materialise, release, scratch
+from corpusmill.llm.common import materialise, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the outlier test keep."""
-    release(spark, executors=True)
     return quality.keep(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8)."""
-    release(spark, executors=True)
     return neardup.keep(docs.select(*COLUMNS), width=5, threshold=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages don't contaminate."""
-    release(spark, executors=True)
     return decontam.keep(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their personal data and secrets replaced; n_chars is the new text's length."""
-    release(spark, executors=True)
     return pii.sanitise(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target, taken (words, repeats counted) and copies (times to be read)."""
-    release(spark, executors=True)
     return mixing.lay_out(docs.select(*COLUMNS))
 
 
