@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import rasters
-from . import graph, images
+from ..functions.rasters import binary_mask
+from . import graph
+from .images import slices, unpack
 from .tables import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,12 +43,12 @@ def runs_of_tiles(tiles: DataFrame, key: str, mask: str = "image", top: str | No
     at = [c for c in (top, left) if c]
 
     def run(batches):
-        for b in images.slices(batches):
+        for b in slices(batches):
             offs = [b.column(c).to_pylist() if c else [0] * b.num_rows for c in (top, left)]
             for k, (raster, oy, ox) in enumerate(zip(b.column(mask).to_pylist(), *offs, strict=True)):
                 if raster is None:
                     continue
-                on = np.pad(rasters.binary_mask(images.unpack(raster)), ((0, 0), (1, 1)))
+                on = np.pad(binary_mask(unpack(raster)), ((0, 0), (1, 1)))
                 step = np.diff(on.astype(np.int8), axis=1)
                 (y, x1), (_, stop) = np.nonzero(step == 1), np.nonzero(step == -1)
                 keys = b.column(key).slice(k, 1).take(pa.array(np.zeros(len(y), np.int64)))

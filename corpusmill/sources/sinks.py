@@ -18,6 +18,7 @@ from ..operators import corpus
 from ..operators.tables import delete
 from ..schema import FIELDS
 from . import stores
+from .stores import resolve
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -53,7 +54,7 @@ def write_files(files: DataFrame, path: str, content: str, folder: str) -> None:
     staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
 
     def run(rows):
-        (store, base), (_, begun) = stores.resolve(folder), stores.resolve(f"{staging}/{_attempt()}")
+        (store, base), (_, begun) = resolve(folder), resolve(f"{staging}/{_attempt()}")
         base, made = base.rstrip("/"), set()
         store.create_dir(begun, recursive=True)
         for k, r in enumerate(rows):
@@ -92,7 +93,7 @@ class _ShardWriter(DataSourceArrowWriter):
 
     def write(self, iterator) -> _Written:
         """Rows sorted by shard and place: shard, path, and content, or the path of the file that holds it in ``source``."""
-        store, begun = stores.resolve(f"{self.staging}/{_attempt()}")
+        store, begun = resolve(f"{self.staging}/{_attempt()}")
         store.create_dir(begun, recursive=True)
         written, tar, out = [], None, None
 
@@ -113,7 +114,7 @@ class _ShardWriter(DataSourceArrowWriter):
                     written.append([row["shard"], 0, f"{self.staging}/{at.rsplit('/', 2)[1]}/{row['shard']}.tar.gz"])
                 info = tarfile.TarInfo(row["path"].rsplit("/", 1)[-1] if self.flat else row["path"])
                 if "source" in row:  # the file goes from its store to the tar as a stream
-                    home, inner = stores.resolve(row["source"])
+                    home, inner = resolve(row["source"])
                     info.size = home.get_file_info(inner).size
                     with home.open_input_stream(inner, compression=None) as data:
                         tar.addfile(info, data)
@@ -126,12 +127,12 @@ class _ShardWriter(DataSourceArrowWriter):
         return _Written([tuple(x) for x in written])
 
     def commit(self, messages) -> None:
-        store, base = stores.resolve(self.folder)
+        store, base = resolve(self.folder)
         base = base.rstrip("/")
         counts = []
         for shard, n, staged in sorted(t for m in messages if m is not None for t in m.tars):
             name = f"{self.prefix}_shard_{shard:04d}.tar.gz"
-            store.move(stores.resolve(staged)[1], f"{base}/{name}")
+            store.move(resolve(staged)[1], f"{base}/{name}")
             counts.append({"shard": shard, "files": n, "tar": name})
         store.create_dir(base, recursive=True)
         with store.open_output_stream(f"{base}/{self.prefix}_shards.jsonl", compression=None) as out:
@@ -139,10 +140,10 @@ class _ShardWriter(DataSourceArrowWriter):
         self._clear(store)
 
     def abort(self, messages) -> None:
-        self._clear(stores.resolve(self.folder)[0])
+        self._clear(resolve(self.folder)[0])
 
     def _clear(self, store) -> None:
-        at = stores.resolve(self.staging)[1]
+        at = resolve(self.staging)[1]
         if store.get_file_info(at).type.name == "Directory":
             store.delete_dir(at)
 
