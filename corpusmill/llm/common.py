@@ -6,6 +6,7 @@ import gc
 import re
 import sys
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()
 #: Bytes of text that an Arrow function takes up at a time (a longer text alone).
 SLICE_BYTES = 1 << 20
 #: Copies of a dimension's rows, and as many parts of each of its keys, where it is too large to be broadcast.
@@ -44,6 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN_DIR[0]
 
 
+def _scopes() -> list[list[str]]:
+    """This thread's open ``scratch`` blocks: pipelines in several threads don't delete each other's tables."""
+    return _LOCAL.__dict__.setdefault("open", [])
+
+
 def materialise(df: DataFrame, outlives: int = 0) -> DataFrame:
     """Write a frame as Parquet into the shared folder and read it again: cuts lineage, survives lost executors.
 
@@ -52,32 +58,28 @@ def materialise(df: DataFrame, outlives: int = 0) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/corpusmill/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if outlives < len(_SCOPES):
-        _SCOPES[-1 - outlives].append(path)
+    if outlives < len(_scopes()):
+        _scopes()[-1 - outlives].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, executors: bool = False) -> None:
+def release(spark: SparkSession) -> None:
     """Let Spark free what finished steps have left: broadcasts (a table of some 16 MB each, however few rows) and shuffles.
 
-    It does so when the driver collects garbage, which a large driver rarely does. With ``executors`` theirs is collected too, so
-    that a heap that one stage has stretched isn't the next stage's: for between stages, as it takes each executor a full collection.
+    It does so when the driver collects garbage, which a large driver rarely does.
     """
     gc.collect()
     spark._jvm.System.gc()
-    if executors:
-        slots = spark.sparkContext.defaultParallelism
-        spark.range(0, slots, 1, slots).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).write.format("noop").mode("overwrite").save()
 
 
 @contextmanager
 def scratch(spark: SparkSession):
     """Delete the tables that ``materialise`` writes in this block, at its end: only what was written before or after it may still be read."""
-    _SCOPES.append([])
+    _scopes().append([])
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        for path in _scopes().pop():
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         release(spark)
