@@ -59,7 +59,7 @@ def percent_text(part: Column, total: Column) -> Column:
 
 def coverage(samples: DataFrame) -> DataFrame:
     """total, single and paired (by the number of images), with_bbox (not null) and the coverage text."""
-    n = F.coalesce(F.size("image_path"), F.lit(0))
+    n = F.when(F.col("image_path").isNotNull(), F.size("image_path")).otherwise(0)
     sums = samples.agg(F.count(F.lit(1)).alias("total"), F.count_if(n == 1).alias("single"), F.count_if(n == 2).alias("paired"), F.count_if(F.col("bbox").isNotNull()).alias("with_bbox"))
     return sums.withColumn("bbox_coverage", percent_text(F.col("with_bbox"), F.col("total")))
 

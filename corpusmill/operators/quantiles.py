@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from .tables import join_small, materialise
 
 #: Ranges of a pass, and rows of a range that are sorted in one task.
-BINS, MOST = 4096, 65_536
+BINS, MOST = 4096, 500_000
 _RANGE = ["g", "lo", "hi"]
 
 

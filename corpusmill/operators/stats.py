@@ -90,7 +90,9 @@ def clip_to_percentiles(values: Column, low: float = 2.0, high: float = 98.0) ->
 
 def change_fraction(values: Column, level: float = 127) -> Column:
     """Share of an array's elements above a level; 0 without elements."""
-    return F.coalesce(F.try_divide(F.size(F.filter(values, lambda v: v > level)), F.size(values)), F.lit(0.0))
+    # the size of a null array is -1 in sessions without ANSI
+    share = F.try_divide(F.size(F.filter(values, lambda v: v > level)), F.size(values))
+    return F.when(values.isNull(), F.lit(0.0)).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
 def envelope(pixels: DataFrame, keys: list[str], least: int = 10) -> DataFrame:

@@ -27,7 +27,7 @@ def schema_errors() -> Column:
     found += [(~F.col(f).isin(*values), F.concat(F.lit(f"schema [{f}]: "), _quoted(F.col(f)), F.lit(" is not an allowed value"))) for f, values in ENUMS.items()]
     found += [(~F.col("id").rlike(ID_PATTERN), F.concat(F.lit("schema [id]: "), _quoted(F.col("id")), F.lit(" does not match the pattern")))]
     found += [(F.col(f) == "", f"schema [{f}]: '' is too short") for f in TEXTS]
-    n = F.size("image_path")
+    n = F.when(F.col("image_path").isNotNull(), F.size("image_path"))
     found += [(n == 0, "schema [image_path]: [] is too short"), (n > 2, "schema [image_path]: too long"), (F.exists("image_path", lambda p: F.coalesce(p, F.lit("")) == ""), "schema [image_path]: '' is too short")]
     found += [(F.exists("bbox", lambda b: b.isNull() | (F.size(b) != 4)), "schema [bbox]: a box is not 4 numbers")]
     return _collect(*found)
@@ -35,7 +35,7 @@ def schema_errors() -> Column:
 
 def cross_field_errors() -> Column:
     task, pair, box = F.col("task"), F.col("pair_type"), F.col("bbox")
-    n = F.size("image_path")
+    n = F.when(F.col("image_path").isNotNull(), F.size("image_path"))
     got = F.concat(F.lit(", got "), n.cast("string"))
     got_pair = F.concat(F.lit(", got pair_type='"), pair, F.lit("'"))
     found = [

@@ -60,6 +60,22 @@ def test_empty_tables(spark):
     assert corpus.shard_assign(empty, ["id"], 2).count() == 0
 
 
+def test_null_arrays_without_ansi(spark):
+    """The size of a null array is -1 in such sessions: no result depends on it."""
+    df = spark.createDataFrame([tuple(row(image_path=None, bbox=None)[f] for f in SAMPLE.fieldNames())], SAMPLE)
+    found = []
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            seen = corpus.coverage(df).first()
+            share = df.select(stats.change_fraction(F.lit(None).cast("array<double>")).alias("v")).first().v
+            found.append((validate.with_errors(df).first().errors, seen.single, seen.paired, share))
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)
+    assert found[0] == found[1] and found[0][1:] == (0, 0, 0.0)
+
+
 def test_validation(spark):
     assert errors(spark, row(), row(task="grounding", bbox=[[0.0, 0.0, 1000.0, 1000.0]])) == [[], []]
     got = errors(
