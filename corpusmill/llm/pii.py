@@ -49,6 +49,8 @@ SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}+")
 SECRET_BITS = 60
 #: Accepted chance of any term passing for nothing, and share of units without entities that bound n(t) from below.
 CHANCE, SAMPLE = 1e-3, 64
+#: Units of a row: lists stay small beside what a reader takes at a time.
+UNITS = 1024
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -179,26 +181,32 @@ def _has_any(text: str, terms) -> bool:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """wide, entity, term, unit: every unit once a slice (entity and term null), a row for each entity and term of a sentence or
-    paragraph, and one without entity for each term of the sampled units that have none."""
-    names = ["wide", "entity", "term", "unit"]
+    """wide, entity, term, unit, units: every unit once a slice (in lists of ``units``, all else null), a row for each entity and term of a
+    sentence or paragraph, and one without entity for each term of the sampled units that have none."""
+    names = ["wide", "entity", "term", "unit", "units"]
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.string(), pa.int64()))], names=names)
+        columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.string(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.list_(pa.int64()))], names=names)
+
+    def lists(wide, units):
+        ends = [*range(0, len(units), UNITS), len(units)]
+        n = len(ends) - 1
+        units = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(units, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([wide] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), units], names=names)
 
     def run(batches):
         for b in sliced(batches):
-            rows, seen = [], set()
+            rows, seen = [], (set(), set())
             for text in b.column("text").to_pylist():
                 if not text:
                     continue
                 spans = protected(text)
                 for wide, lo, hi in stretches(text):
                     unit = _digest(text[lo:hi])
-                    if (wide, unit) in seen:
+                    if unit in seen[wide]:
                         continue
-                    seen.add((wide, unit))
-                    rows.append((wide, None, None, unit))
+                    seen[wide].add(unit)
                     own = spans and [s for s in spans if s[1] < hi and lo < s[2]]
                     if own:
                         entities = sorted({_digest(n) for kind, s, e in own for n in names_of(kind, text[s:e])})
@@ -214,8 +222,11 @@ def mentions(docs: DataFrame) -> DataFrame:
                             rows = []
             if rows:
                 yield batch(rows)
+            for wide, units in enumerate(seen):
+                if units:
+                    yield lists(wide, list(units))
 
-    return docs.select("text").mapInArrow(run, "wide int, entity long, term string, unit long")
+    return docs.select("text").mapInArrow(run, "wide int, entity long, term string, unit long, units array<bigint>")
 
 
 def occurrences(docs: DataFrame, only: frozenset | None) -> DataFrame:
@@ -258,7 +269,7 @@ def _few(terms: DataFrame) -> list | None:
 def disclosing(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 2) -> DataFrame:
     """term, score, action ('generalise' or 'remove'): the terms that disclose some entity, by their largest PMI / IC."""
     seen = materialise(mentions(docs))
-    total = dict(seen.filter("term IS NULL AND entity IS NULL").select("wide", "unit").distinct().groupBy("wide").count().collect())
+    total = dict(seen.filter("units IS NOT NULL").select("wide", F.explode("units").alias("unit")).distinct().groupBy("wide").count().collect())
     found = seen.filter("entity IS NOT NULL")
     n_entity = found.select("wide", "entity", "unit").distinct().groupBy("wide", "entity").agg(F.count(F.lit(1)).alias("n_e"))
     # a class of entities may have a good part of all rows: its count is sent to them rather than they to one task
