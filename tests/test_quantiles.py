@@ -25,7 +25,7 @@ def same(a, b):
 
 GROUPS = {
     "uniform": lambda r: r.uniform(-5, 5, 3000).tolist(),
-    "tail": lambda r: np.exp(r.normal(0, 40, 3000)).tolist(),
+    "tail": lambda r: np.exp(r.normal(0, 12, 3000)).tolist(),
     "ties": lambda r: r.integers(0, 4, 3000).astype(float).tolist(),
     "mostly one": lambda r: [7.5] * 2900 + r.normal(0, 1, 100).tolist(),
     "near": lambda r: (1e15 + r.integers(0, 50, 3000)).tolist(),
