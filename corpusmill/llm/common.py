@@ -23,6 +23,8 @@ _LOCAL = threading.local()
 SLICE_BYTES = 1 << 20
 #: Copies of a dimension's rows, and as many parts of each of its keys, where it is too large to be broadcast.
 SALTS = 32
+#: Rows of one key that go to one task of a join whose keys are cut, and keys that are cut at most.
+HOT_ROWS, MOST_HOT = 10_000, 200_000
 
 
 def ship(module: str) -> None:
@@ -104,6 +106,29 @@ def join_dimension(df: DataFrame, dim: DataFrame, key: str, few: bool, how: str
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def cut_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The keys of a written table that have more rows than one task should get, with their number of ``_parts``; None if there are none.
+
+    A part has ``HOT_ROWS`` rows, or a ``MOST_HOT``-th of the table if that is more, so no more than MOST_HOT keys are cut.
+    """
+    rows = df.count()
+    most = max(HOT_ROWS, rows // MOST_HOT)
+    if rows <= most:
+        return None
+    parts = materialise(df.groupBy(key).count().filter(F.col("count") > most).select(key, F.ceil(F.col("count") / most).cast("int").alias("_parts")))
+    return parts if parts.limit(1).count() else None
+
+
+def join_cut(df: DataFrame, dim: DataFrame, key: str, by: str, parts: DataFrame | None) -> DataFrame:
+    """Join rows with a dimension of one row a key; rows of a cut key are dealt by a hash of column ``by``, and each part gets the dimension's row."""
+    if parts is None:
+        return df.join(dim, key)
+    cut = lambda x: x.join(F.broadcast(parts), key, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    dealt = cut(df).withColumn("_part", F.pmod(F.xxhash64(by), F.col("_parts")).cast("int")).drop("_parts")
+    copies = cut(dim).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"]).drop("_part")
+
+
 def sliced(batches, column: str = "text", most: int = SLICE_BYTES):
     """Slices (without copies) of Arrow batches with at most ``most`` bytes in a column of texts, or one row: what is built from them in Python stays small."""
     for b in batches:

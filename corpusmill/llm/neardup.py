@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bounded_broadcast, materialise, record_batches, release, ship, sliced
+from .common import bounded_broadcast, cut_keys, join_cut, materialise, record_batches, release, ship, sliced
 
 ship(__name__)
 
@@ -175,11 +175,14 @@ def _buckets(classes: DataFrame, width: int) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, threshold: int, most: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough: first by size and signature, then on the texts."""
+    """The pairs (a, b), a written table, whose full sets are similar enough: first by size and signature, then on the texts.
+
+    Many pairs may have one a, the smallest id of a large bucket: they are dealt to tasks of their own, each with its set.
+    """
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sig").alias(f"s_{x}"))
     differ = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x != y), lambda z: z))
     near = materialise(
-        pairs.join(side("a"), "a")
+        join_cut(pairs, side("a"), "a", "b", cut_keys(pairs, "a"))
         .join(side("b"), "b")
         .filter((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold) & (differ <= most))
         .select("a", "b")
@@ -187,7 +190,8 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     )
     needed = bounded_broadcast(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), BROADCAST_IDS)
     texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-    both = near.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a")), "a")
+    both = near.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t_b")), "b")
+    both = join_cut(both, texts.select(F.col("doc_id").alias("a"), F.col("text").alias("t_a")), "a", "b", cut_keys(near, "a"))
 
     def run(batches):
         last, left = None, None
@@ -205,15 +209,19 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, comp (its smallest reachable node) for the nodes of edges (a, b): alternating large-star and small-star steps."""
+    """node, comp (its smallest reachable node) for the nodes of edges (a, b): alternating large-star and small-star steps.
+
+    A node that many others are linked with is dealt to many tasks.
+    """
     state = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
     size = state.count()
     while size:
         both = state.union(state.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = join_cut(both, low, "u", "v", cut_keys(both, "u")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
+        large = materialise(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u != v")
+        small = join_cut(large, least, "u", "v", cut_keys(large, "u")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u != v")
         after = materialise(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         last, (state, size) = (state, size), (after, after.count())
         # both are sets: of equal size and without a new row they are the same
@@ -304,7 +312,7 @@ def resolve(docs: DataFrame, width: int = 5, threshold: int = 80) -> tuple[DataF
     classes = materialise(named.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")))
     members = materialise(_buckets(classes, chunk))
     release(docs.sparkSession)
-    stars = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = materialise(members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
     links = _confirm(stars, classes, docs, width, threshold, most)
     # a doc_id with several texts ties their classes
     tied = named.join(classes.select("set_hash", "rep"), "set_hash").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.collect_set("rep").alias("reps")).filter("a != z")

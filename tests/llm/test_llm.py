@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusmill.llm import chat, decontam, langid, mixing, neardup, pii, quality, queries, tokens, toxicity, urls
+from corpusmill.llm import chat, common, decontam, langid, mixing, neardup, pii, quality, queries, tokens, toxicity, urls
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -370,6 +370,41 @@ def test_shuffled_texts(spark, monkeypatch):
     assert got == brute_components(rows, 3, 85)
 
 
+def test_cut_keys(spark, monkeypatch):
+    """A key with a third of all rows is dealt: no task of the join gets more than about HOT_ROWS of its rows, without adaptive plans."""
+    monkeypatch.setattr(common, "HOT_ROWS", 500)
+    rows = common.materialise(spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("a"), F.col("id").alias("b")))
+    dim = rows.select("a").distinct().withColumn("x", F.col("a") * 2)
+    parts = common.cut_keys(rows, "a")
+    assert [tuple(r) for r in parts.collect()] == [(7, 21)]
+    set_ = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "200", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in set_}
+    for k, v in set_.items():
+        spark.conf.set(k, v)
+    try:
+        joined = common.join_cut(rows, dim, "a", "b", parts)
+        whole = rows.join(dim, "a")
+        largest = [df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] for df in (joined, whole)]
+        assert largest[0] < 3000 and largest[1] > 10_000
+        assert sorted(map(tuple, joined.select("a", "b", "x").collect())) == sorted(map(tuple, whole.select("a", "b", "x").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert common.cut_keys(rows.filter("a != 7"), "a") is None
+
+
+def test_hot_pivots(spark, monkeypatch):
+    """Pivots and nodes with many rows are cut; links, components and what stays are the same."""
+    monkeypatch.setattr(common, "HOT_ROWS", 4)
+    rows = near_rows()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(spark, rows), 3, 85).collect()}
+    assert got == brute_components(rows, 3, 85)
+    edges = [(1000, k) for k in range(1, 60)] + [(2000, k) for k in range(2001, 2060)] + [(2059, 2)]
+    assert {(r.node, r.comp) for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()} == {(k, 1) for e in edges for k in e}
+    monkeypatch.setattr(common, "MOST_HOT", 3)
+    assert {r.comp for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()} == {1}
+
+
 def test_near_plan():
     for threshold in (70, 80, 85, 90):
         width, most = neardup.plan(threshold)
