@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SALTS, few_rows, join_dimension, materialise, ship, sliced
+from .common import SALTS, few_rows, join_dimension, map_arrow, materialise, ship, sliced
 
 ship(__name__)
 
@@ -156,7 +156,7 @@ def _count(docs: DataFrame, level: int, longest: int, words: Frequent | None = N
                 for chunk in _chunks(b".".join(parts)):
                     yield from _grams(lang, chunk, level, longest, words, pairs)
 
-    rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(tally, SQL_SCHEMA)
+    rows = map_arrow(docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")), tally, SQL_SCHEMA)
     return rows.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 

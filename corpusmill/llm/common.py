@@ -21,6 +21,8 @@ _OWN_DIR: list[str] = []
 _LOCAL = threading.local()
 #: Bytes of text that an Arrow function takes up at a time (a longer text alone).
 SLICE_BYTES = 1 << 20
+#: Bytes of a batch (or one row) that Spark hands to an Arrow function, where the session doesn't say.
+BATCH_BYTES, BATCH_LIMIT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Copies of a dimension's rows, and as many parts of each of its keys, where it is too large to be broadcast.
 SALTS = 32
 #: Rows of one key that go to one task of a join whose keys are cut, and keys that are cut at most.
@@ -129,6 +131,18 @@ def join_cut(df: DataFrame, dim: DataFrame, key: str, by: str, parts: DataFrame
     return dealt.join(copies, [key, "_part"]).drop("_part")
 
 
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, by small batches.
+
+    Each running task holds a batch outside the heap, with room to grow, and once more in Python: of Spark's 64 MB that is some
+    hundreds of MB an executor. So the session's limit becomes ``BATCH_BYTES`` where none is set; one that is set stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_LIMIT, None) is None:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def sliced(batches, column: str = "text", most: int = SLICE_BYTES):
     """Slices (without copies) of Arrow batches with at most ``most`` bytes in a column of texts, or one row: what is built from them in Python stays small."""
     for b in batches:

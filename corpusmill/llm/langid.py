@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows, ship, sliced
+from .common import few_rows, map_arrow, ship, sliced
 
 ship(__name__)
 
@@ -72,7 +72,7 @@ def learn(docs: DataFrame, per_language: int = 2000) -> tuple[list[str], np.ndar
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(total[used])], names=["lang", "cell", "n"])
 
-    got = sample.select("lang", "text").mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    got = map_arrow(sample.select("lang", "text"), count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(got.column("lang").to_pylist()))
     place = {name: k for k, name in enumerate(names)}
     counts = np.full((BUCKETS, len(names)), SMOOTH)
@@ -136,4 +136,4 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.map_(pa.string(), pa.float64()))], names=["doc_id", "held_out", "lang_pred", "score", "proportions"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, proportions map<string,double>")
+    return map_arrow(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, proportions map<string,double>")

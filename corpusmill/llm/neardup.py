@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import bounded_broadcast, cut_keys, join_cut, materialise, record_batches, release, ship, sliced
+from .common import bounded_broadcast, cut_keys, join_cut, map_arrow, materialise, record_batches, release, ship, sliced
 
 ship(__name__)
 
@@ -124,7 +124,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
                 sigs.append(signature(s).view(np.int16) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sigs, pa.list_(pa.int16()))], names=out.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, out)
+    return map_arrow(docs.select("doc_id", "text"), run, out)
 
 
 def _sigs(column) -> np.ndarray:
@@ -160,8 +160,8 @@ def _buckets(classes: DataFrame, width: int) -> DataFrame:
             member = ident != pivot
             yield from record_batches([key[member], pivot[member], ident[member]], found, 100_000)
 
-    keyed = lambda part: part.select("rep", "sig").mapInArrow(index, "key long, id long")
-    dealt = lambda rows: rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(scan, "key long, pivot long, id long")
+    keyed = lambda part: map_arrow(part.select("rep", "sig"), index, "key long, id long")
+    dealt = lambda rows: map_arrow(rows.repartition("key").sortWithinPartitions("key", "id"), scan, "key long, pivot long, id long")
     some = keyed(classes.filter(F.pmod(F.xxhash64("rep"), F.lit(HEAVY_SAMPLE)) == 0)).groupBy("key").count()
     heavy = materialise(some.filter(F.col("count") * HEAVY_SAMPLE >= HEAVY).select("key"))
     if not heavy.limit(1).count():
@@ -205,7 +205,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 keep.append(100 * inter >= threshold * (len(left) + len(right) - inter) and inter > 0)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialise(both.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long").distinct())
+    return materialise(map_arrow(both.select("a", "b", "t_a", "t_b"), run, "a long, b long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -295,7 +295,7 @@ def _cross_links(members: DataFrame, comps: DataFrame, classes: DataFrame, docs:
                 held.append((key, ident, comp, sigs[i].copy(), shingles(text, width)))
         yield from flush()
 
-    return tasks.select("task", "key", "id", "comp", "sig", "text").mapInArrow(run, "a long, b long").filter("a != b").distinct()
+    return map_arrow(tasks.select("task", "key", "id", "comp", "sig", "text"), run, "a long, b long").filter("a != b").distinct()
 
 
 def resolve(docs: DataFrame, width: int = 5, threshold: int = 80) -> tuple[DataFrame, DataFrame]:

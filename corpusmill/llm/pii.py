@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, materialise, release, ship, sliced
+from .common import bounded_broadcast, map_arrow, materialise, release, ship, sliced
 
 ship(__name__)
 
@@ -226,7 +226,7 @@ def mentions(docs: DataFrame) -> DataFrame:
                 if units:
                     yield lists(wide, list(units))
 
-    return docs.select("text").mapInArrow(run, "wide int, entity long, term string, unit long, units array<bigint>")
+    return map_arrow(docs.select("text"), run, "wide int, entity long, term string, unit long, units array<bigint>")
 
 
 def occurrences(docs: DataFrame, only: frozenset | None) -> DataFrame:
@@ -257,7 +257,7 @@ def occurrences(docs: DataFrame, only: frozenset | None) -> DataFrame:
             if rows:
                 yield batch(rows)
 
-    return docs.select("text").mapInArrow(run, "wide int, term string, unit long")
+    return map_arrow(docs.select("text"), run, "wide int, term string, unit long")
 
 
 def _few(terms: DataFrame) -> list | None:
@@ -327,7 +327,7 @@ def _with_actions(docs: DataFrame, terms: DataFrame) -> tuple[DataFrame, dict[st
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.string()))], names=["mark", "term"])
 
-    used = docs.select(mark.alias("mark"), "text").mapInArrow(run, "mark long, term string").distinct().join(terms, "term")
+    used = map_arrow(docs.select(mark.alias("mark"), "text"), run, "mark long, term string").distinct().join(terms, "term")
     acts = used.groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("acts"))
     return packed.withColumn("mark", mark).join(acts, "mark", "left").drop("mark"), None
 
@@ -349,7 +349,7 @@ def find(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.string() if k in (4, 5) else pa.int64()) for k, c in enumerate(cols))], names=["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.select("row.doc_id", "text", "acts").mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_term long")
+    return map_arrow(rows.select("row.doc_id", "text", "acts"), run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_secret long, n_term long")
 
 
 def sanitise(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, support: int = 2) -> DataFrame:
@@ -366,4 +366,4 @@ def sanitise(docs: DataFrame, generalise: float = 0.9, remove: float = 0.97, sup
             cols = [pa.array(texts, pa.string()) if name == "text" else next(others) for name in kinds.names]
             yield pa.RecordBatch.from_arrays(cols, names=kinds.names)
 
-    return rows.select("row", "text", "acts").mapInArrow(run, kinds)
+    return map_arrow(rows.select("row", "text", "acts"), run, kinds)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import few_rows, join_dimension, materialise, release, ship, sliced
+from .common import few_rows, join_dimension, map_arrow, materialise, release, ship, sliced
 
 ship(__name__)
 
@@ -103,7 +103,7 @@ def with_stats(df: DataFrame, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(cols[:, i]) for i in range(len(names)))], names=[*keep, *names])
 
     src = df.select(*dict.fromkeys([*keep, "text"]))
-    return src.mapInArrow(run, out)
+    return map_arrow(src, run, out)
 
 
 def chi2_quantile(q: float, df: int) -> float:
@@ -157,7 +157,7 @@ def _solve(moments: DataFrame, keys: list[str], consistency: float) -> DataFrame
             kinds = [pa.list_(pa.float64())] * 3 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in (*keys, "n")), *(pa.array(c, t) for c, t in zip(cols, kinds))], names=[*keys, "n", *names])
 
-    return moments.select(*keys, "n", "s1", "s2").mapInArrow(run, out)
+    return map_arrow(moments.select(*keys, "n", "s1", "s2"), run, out)
 
 
 def shrunk(chain: list[tuple[int, np.ndarray, np.ndarray]], prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +182,7 @@ def _shrink(chains: DataFrame) -> DataFrame:
                 invs.append(inv.ravel().tolist())
             yield pa.RecordBatch.from_arrays([b.column("g"), pa.array(mus, pa.list_(pa.float64())), pa.array(invs, pa.list_(pa.float64()))], names=["g", "mu", "inv"])
 
-    return chains.mapInArrow(run, out)
+    return map_arrow(chains, run, out)
 
 
 def _d2() -> Column:

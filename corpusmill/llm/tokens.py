@@ -24,7 +24,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship, sliced
+from .common import map_arrow, ship, sliced
 
 ship(__name__)
 
@@ -89,4 +89,4 @@ def count_tokens(docs: DataFrame, pieces: dict[str, float]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([bag.total() for bag in bags], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_pretokens", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_pretokens long, n_tokens long")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_pretokens long, n_tokens long")

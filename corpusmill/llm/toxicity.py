@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, ship, sliced
+from .common import bounded_broadcast, map_arrow, ship, sliced
 
 ship(__name__)
 
@@ -119,7 +119,7 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 16_000, most_char
         for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32())), b.column("grade")], names=["cells", "grade"])
 
-    got = sample.mapInArrow(run, "cells array<int>, grade long").toArrow()
+    got = map_arrow(sample, run, "cells array<int>, grade long").toArrow()
     if not got.num_rows:
         return None
     rows = [x.values.to_numpy() for x in got.column("cells")]
@@ -146,4 +146,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataF
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sev, pa.float64()), pa.array(p, pa.float64()), pa.array(toxic, pa.bool_())], names=["doc_id", "severity", "p_toxic", "toxic"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, severity double, p_toxic double, toxic boolean")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, severity double, p_toxic double, toxic boolean")

@@ -30,7 +30,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ship
+from .common import map_arrow, materialise, ship
 
 ship(__name__)
 
@@ -97,7 +97,7 @@ def project(x: DataFrame, model: Model) -> DataFrame:
             w = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * w.shape[1], pa.int32()), pa.array(w.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), deviation, w], names=["vec_id", "deviation", "w"])
 
-    return x.select("vec_id", "x").mapInArrow(whiten, f"vec_id {vec_id}, deviation decimal(38,0), w array<double>")
+    return map_arrow(x.select("vec_id", "x"), whiten, f"vec_id {vec_id}, deviation decimal(38,0), w array<double>")
 
 
 def identity_error(whitened: DataFrame, n: int, k: int) -> float:
