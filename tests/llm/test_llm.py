@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -1017,3 +1018,25 @@ def test_registered_domains(spark):
     hosts = spark.createDataFrame([(h,) for h in want], "host string")
     for rules in (None, ["com", "co.uk", "uk"]):
         assert {r.host: (r.domain, r.suffix) for r in urls.with_suffixes(hosts, rules).collect()} == want
+
+
+def test_arrow_batches_are_small_unless_the_session_says(spark):
+    """A batch holds some 4 MB of text where the session sets no limit; a limit that it sets stays; rows come through whole and once."""
+    texts = spark.range(400, numPartitions=1).select("id", F.expr("repeat('word ', 20000)").alias("text"))
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [sum(map(len, b.column("text").to_pylist()))]})
+
+    before = spark.conf.get(common.BATCH_LIMIT, None)
+    try:
+        spark.conf.unset(common.BATCH_LIMIT)
+        got = common.map_arrow(texts, count, "n long, size long").collect()
+        assert sum(r.n for r in got) == 400 and sum(r.size for r in got) == 400 * 100_000
+        assert max(r.size for r in got) <= common.BATCH_BYTES + 100_000
+        spark.conf.set(common.BATCH_LIMIT, "1m")
+        got = common.map_arrow(texts, count, "n long, size long").collect()
+        assert sum(r.n for r in got) == 400 and max(r.size for r in got) <= (1 << 20) + 100_000
+        assert spark.conf.get(common.BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.unset(common.BATCH_LIMIT) if before is None else spark.conf.set(common.BATCH_LIMIT, before)
