@@ -201,7 +201,8 @@ def _alone(candidates: DataFrame, contained: int) -> DataFrame:
     longer = longer.groupBy("lang", "phrase").agg(F.max("most").alias("most"))
     c, x = candidates.alias("c"), longer.alias("x")
     within = (F.col("c.lang") == F.col("x.lang")) & (F.col("c.phrase") == F.col("x.phrase")) & (F.col("x.most").cast("decimal(22,0)") * 100 >= F.col("c.a").cast("decimal(22,0)") * contained)
-    return c.join(x, within, "left_anti")
+    # no broadcast: packed files of phrases look small
+    return c.join(x.hint("merge"), within, "left_anti")
 
 
 def mine(docs: DataFrame, longest: int = 4, least: int = 30, contained: int = 80, most: int = 2000, filter_bits: int = FILTER_BITS, broadcast_phrases: int = BROADCAST_PHRASES) -> DataFrame:

@@ -66,9 +66,10 @@ def few_rows(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join rows with a table that is small as a rule: by broadcast if it is, or else by a shuffle that deals each key to SALTS tasks."""
+    """Join rows with a table that is small as a rule: by broadcast if it is, or else by a shuffle that deals each key to SALTS tasks
+    (the hint keeps Spark from broadcasting the copies, whose size it underrates)."""
     if few_rows(small, most_rows):
         return df.join(F.broadcast(small), on, how)
     salted = df.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")

@@ -110,3 +110,15 @@ def test_sql(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", [(t, lang) for t, lang in rows() if "\x00" not in (t or "")])
     want = brute([x for x in rows() if "\x00" not in (x[0] or "")])
     assert sorted(repr(tuple(r)) for r in con.execute(queries.ORACLE_SQL["op12_phrase_collocations"]).fetchall()) == want
+
+
+def test_large_dimensions_are_not_broadcast(spark, tmp_path):
+    """Beyond the bound the join is shuffled, however small the dimension's files look to Spark; results stay."""
+    from corpusmill.llm.common import join_dimension
+    from corpusmill.operators.tables import join_small
+
+    spark.range(2000).selectExpr("concat('w', id) AS key", "id AS n").write.parquet(str(tmp_path / "dim"))
+    dim, rows = spark.read.parquet(str(tmp_path / "dim")), spark.range(5000).selectExpr("id", "concat('w', id % 2500) AS key")
+    for joined in (join_dimension(rows, dim, "key", False), join_small(rows, dim, ["key"], most_rows=100)):
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.selectExpr("count(*)", "sum(int(n = id % 2500))").first() == (4000, 4000)
