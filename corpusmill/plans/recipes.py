@@ -84,8 +84,8 @@ def vrsbench(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     proxy = F.lit(None).cast("string")
     if o.output_dir:  # one proxy per image, however many entries share it
         if folder:
-            pixels = images.decode_jvm(spark, folder, among=placed.filter("path IS NOT NULL").select("path").distinct())
-            small = images.map_images(pixels, ["image"], "png", T.BinaryType(), lambda x: rasters.write_png(rasters.proxy_image(x))).select(F.concat(_stem(), F.lit("_proxy")).alias("name"), "png")
+            among = placed.filter("path IS NOT NULL").select("path").distinct()
+            small = images.decode_jvm(spark, folder, among=among, out="png", kind=T.BinaryType(), function=lambda x: rasters.write_png(rasters.proxy_image(x))).select(F.concat(_stem(), F.lit("_proxy")).alias("name"), "png")
             _write(small, o)
             proxy = F.when(F.col("path").isNotNull(), _at(o, F.concat(_stem(), F.lit("_proxy"))))
     return placed.select("source_id", "position", rows.conversation_rows(F.col("position"), F.col("conversations"), F.col("path"), proxy).alias("rows"))
@@ -98,7 +98,7 @@ def rsvqa_hr(spark: SparkSession, root: str, o: Options = Options()) -> DataFram
     image = F.col("image")
     if o.output_dir and readers.exists(spark, f"{root}/images"):  # other formats become PNGs, each image once
         wanted = placed.filter(~F.endswith("image", F.lit(".png"))).select(F.col("image").alias("path")).distinct()
-        others = materialise(images.encode(images.decode_any(spark, f"{root}/images", wanted)).filter("png IS NOT NULL").select("path", "png"))
+        others = materialise(images.decode_any(spark, f"{root}/images", wanted, out="png", kind=T.BinaryType(), function=rasters.write_png).filter("png IS NOT NULL").select("path", "png"))
         _write(others.select(_stem().alias("name"), "png"), o)
         placed = placed.join(others.select(F.col("path").alias("image"), F.lit(True).alias("made")), "image", "left")
         image = F.when(F.endswith(image, F.lit(".png")), image).when(F.col("made"), _at(o, _stem("image")))
