@@ -194,3 +194,20 @@ def test_sn6_sar_fusion_picture(spark, tmp_path):
     done = recipes.finish(recipes.sn6_sar(spark, str(tmp_path), recipes.Options(output_dir=str(tmp_path / "out")), optical, chosen))
     assert {r.id for r in recipes.samples(done).collect()} == {"sn6_sar_t1", "sn6_fusion_t1"}
     assert rasters.read_png((tmp_path / "out/images/sn6_fusion_t1.png").read_bytes()).shape == (8, 18, 3)
+
+
+def test_bigen_pictures_take_every_patch(spark, monkeypatch):
+    """The recipe's own limit of 60,000 patches isn't the query's: it says how many it has, in the order of their ids."""
+    from corpusmill.plans import catalog, catalog_files  # noqa: F401  (registers the query)
+
+    said = []
+    bigen = recipes.RECIPES["bigen"]
+
+    def watched(spark, root, o):
+        said.append((o.max_samples, spark.read.parquet(f"{root}/metadata.parquet").count()))
+        return bigen(spark, root, o)
+
+    monkeypatch.setitem(recipes.RECIPES, "bigen", watched)
+    catalog.QUERIES["pictures_bigen"](spark, "/root/testdata/sf0.001")
+    ((most, patches),) = said
+    assert most == patches > 0
