@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..schema import CORINE, LAND_COVER
 
+#: Whole numbers as a cast takes them: with white space and control characters around.
+WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
 TAG = r"\[(caption|refer|vqa)\]"
 
 
@@ -35,10 +37,14 @@ def parse_conversation(turns: Column) -> Column:
 
 def multihot(cell: Column, n: int = 19) -> Column:
     """0/1 per class from an array of class numbers (as strings or numbers), or from an array that is multihot already."""
-    numbers = F.transform(cell, lambda v: v.cast("string").try_cast("int"))
-    ready = (F.size(numbers) == n) & F.forall(numbers, lambda v: v.isin(0, 1))
-    chosen = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(F.array_contains(numbers, i), 1).otherwise(0))
-    return F.when(cell.isNull(), F.array_repeat(F.lit(0), n)).when(ready, numbers).otherwise(chosen)
+    # a text that is no number costs an exception each time it is cast, so such texts aren't, and the numbers are worked out once
+    numbers = F.transform(cell.cast("array<string>"), lambda v: F.when(v.rlike(WHOLE), v.try_cast("int")))
+
+    def hot(x: Column) -> Column:
+        ready = (F.size(x) == n) & (F.size(F.array_except(x, F.array(F.lit(0), F.lit(1)))) == 0)
+        return F.when(x.isNull(), F.array_repeat(F.lit(0), n)).when(ready, x).otherwise(F.array(*[F.when(F.array_contains(x, i), 1).otherwise(0) for i in range(n)]))
+
+    return F.transform(F.array(numbers), hot)[0]
 
 
 def active_classes(hot: Column, names=CORINE) -> Column:
