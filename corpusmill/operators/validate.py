@@ -81,9 +81,11 @@ def lines(texts: DataFrame) -> DataFrame:
     Types are judged on the raw JSON: a variant tells a number from a text and a missing key from a null.
     """
     rows = texts.filter(F.trim(F.regexp_replace("line", r"\s+", " ")) != "").withColumn("v", F.try_parse_json("line"))
+    # the keys are a column of their own: within the conditions the line would be parsed for each of them
+    rows = rows.withColumn("keys", F.json_object_keys("line"))
     typed = F.from_json("line", SAMPLE)
     kind = lambda f: F.schema_of_variant(F.variant_get("v", f"$.{f}", "variant"))
-    keys = F.json_object_keys("line")
+    keys = F.col("keys")
     wrong = [F.when(~F.array_contains(keys, f), F.lit(f"schema [<root>]: '{f}' is a required property")) for f in FIELDS]
     wrong += [F.when(F.array_contains(keys, f) & (kind(f) != "STRING"), F.lit(f"schema [{f}]: not of type 'string'")) for f in FIELDS if f not in ("image_path", "bbox")]
     wrong += [F.when(F.array_contains(keys, "image_path") & (~kind("image_path").isin("ARRAY<STRING>", "ARRAY<VOID>")), F.lit("schema [image_path]: not an array of strings"))]
