@@ -67,6 +67,19 @@ def percentiles_of_state(spark, path: str, low: float = 2.0, high: float = 98.0)
     return merged.select("band", "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(share / 100)).alias(name) for name, share in (("low", low), ("high", high))])
 
 
+def save_values(df: DataFrame, band: str, value: str, path: str, run: str) -> None:
+    """Add the values seen by a run to an exact state: counts of each band's distinct values. Nulls and NaN are left out; a repeated run replaces itself."""
+    seen = F.col(value).cast("double")
+    rows = df.filter(seen.isNotNull() & ~F.isnan(seen)).groupBy(F.col(band).alias("band"), seen.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def percentiles_of_values(spark, path: str, low: float = 2.0, high: float = 98.0) -> DataFrame:
+    """band, low and high, exact, over all values that were added to a state; no task holds a band's values."""
+    values = spark.read.parquet(path).select("band", "value", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return band_percentiles(values, "band", "value", low, high)
+
+
 def band_clip(df: DataFrame, percentiles: DataFrame, band: str, value: str) -> DataFrame:
     """Values clamped to their band's percentiles; a band without any is left as it is."""
     joined = df.join(percentiles, band, "left")

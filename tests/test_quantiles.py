@@ -111,3 +111,14 @@ def test_image_clip(spark):
         assert np.allclose(r.c, np.clip(r.v, *np.percentile(r.v, [2, 98])))
     odd = spark.createDataFrame([([1.0, None, 3.0, float("nan"), 2.0],), ([],), (None,)], "v array<double>").select(stats.clip_to_percentiles(F.col("v"), 0, 50).alias("c")).collect()
     assert odd[0].c[:3] == [1.0, None, 2.0] and odd[0].c[3] != odd[0].c[3] and odd[0].c[4] == 2.0 and odd[1].c == [] and odd[2].c is None
+
+
+def test_state_of_values_is_exact(spark, tmp_path):
+    """Of runs, one of them repeated, with equal values, a null and NaN."""
+    rows = [("a", float(k % 50), k % 2) for k in range(1001)] + [("a", None, 0), ("a", float("nan"), 1), ("b", 3.0, 1)]
+    df = spark.createDataFrame(rows, "k string, v double, run int")
+    for run in (0, 1, 1):
+        stats.save_values(df.filter(F.col("run") == run), "k", "v", f"{tmp_path}/values", str(run))
+    found = {r.band: (r.low, r.high) for r in stats.percentiles_of_values(spark, f"{tmp_path}/values").collect()}
+    known = [v for k, v, _ in rows if k == "a" and v is not None and v == v]
+    assert found == {"a": tuple(round(float(np.percentile(known, q)), 6) for q in (2, 98)), "b": (3.0, 3.0)}
