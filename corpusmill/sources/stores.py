@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 import sys
 
@@ -48,23 +50,32 @@ def _outer(path: str, base: str, inner: str) -> str:
     return f"file:{inner}" if scheme(path) == "file" else path.rstrip("/") + inner[len(base) :]
 
 
+def _entries(path: str):
+    """Path, whether it is a folder, and size of what a folder holds; a local one is read entry by entry, however many it has."""
+    from pyarrow import fs
+
+    store, base = resolve(path)
+    base = base.rstrip("/") or "/"
+    if scheme(path) != "file":
+        for x in store.get_file_info(fs.FileSelector(base, allow_not_found=True)):
+            yield _outer(path, base, x.path), x.type == fs.FileType.Directory, x.size
+    elif os.path.isdir(base):
+        with os.scandir(base) as found:
+            for x in found:
+                folder = x.is_dir()
+                yield _outer(path, base, x.path), folder, None if folder or not os.path.exists(x.path) else x.stat().st_size
+
+
 def _level(folders: DataFrame) -> DataFrame:
     """path, folder (whether it is one) and size of what the folders (path) hold."""
 
     def run(batches):
-        from pyarrow import fs
-
         for b in batches:
             for path in b.column("path").to_pylist():
-                store, base = resolve(path)
-                base = base.rstrip("/") or "/"
-                found = store.get_file_info(fs.FileSelector(base, allow_not_found=True))
-                for lo in range(0, len(found), 20_000):
-                    part = found[lo : lo + 20_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([_outer(path, base, x.path) for x in part], pa.string()), pa.array([x.type == fs.FileType.Directory for x in part]), pa.array([x.size for x in part], pa.int64())],
-                        names=["path", "folder", "size"],
-                    )
+                found = _entries(path)
+                while part := list(itertools.islice(found, 20_000)):
+                    names, folder, sizes = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folder, pa.bool_()), pa.array(sizes, pa.int64())], names=["path", "folder", "size"])
 
     return folders.mapInArrow(run, "path string, folder boolean, size long")
 
@@ -84,16 +95,16 @@ def files_below(spark: SparkSession, path: str, recursive: bool = True) -> DataF
     """path and size of the files in a folder, empty and hidden ones too; none if it isn't there.
 
     Folders are rows: tasks list those of a level and hand on the ones of the next, so the driver sees no names. A folder is listed by
-    one task.
+    one task, and its files are then dealt out, so that what follows isn't left to that task.
     """
     if scheme(path) not in OPENED:
         return _by_driver(spark, path, recursive)
+    slots = spark.sparkContext.defaultParallelism
     level = _level(spark.createDataFrame([(path,)], "path string"))
     if not recursive:
-        return level.filter("NOT folder").select("path", "size")
+        return level.filter("NOT folder").select("path", "size").repartition(slots, "path")
     level = materialise(level)
     out = level.filter("NOT folder").select("path", "size")
-    slots = spark.sparkContext.defaultParallelism
     while (below := level.filter("folder").select("path")).limit(1).count():
         level = materialise(_level(below.repartition(slots, "path")))
         out = out.unionByName(level.filter("NOT folder").select("path", "size"))

@@ -146,3 +146,19 @@ def test_shards_of_pictures(spark, tmp_path):
     sinks.write_folder_shards(spark, str(tmp_path / "images"), str(tmp_path / "out"), "p", 2)
     data = [c for v in members(tmp_path / "out").values() for _, c in v]
     assert [int(rasters.read_png(c)[0, 0].max()) for c in data] == [0, 1, 2, 3, 4] and io.BytesIO(data[0]).read(4) == b"\x89PNG"
+
+
+def test_listed_and_written_files_are_dealt_out(spark, tmp_path):
+    """One task lists a folder, but many have its files; tasks that write files have a bounded number of them."""
+    from pyspark.sql import functions as F
+
+    from corpusmill.plans import catalog_files
+    from corpusmill.sources import stores
+
+    for k in range(60):
+        (tmp_path / f"f{k}.txt").write_text("x" * k)
+    (tmp_path / "below").mkdir()
+    found = stores.files_below(spark, f"file://{tmp_path}", recursive=False)
+    assert sorted(r["size"] for r in found.collect()) == list(range(60))
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+    assert catalog_files._dealt(spark.range(0, 45_000, 1, 1)).rdd.getNumPartitions() == 5
